@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,18 +69,16 @@ def stamp_global(df: DataFrame, tenant: str = GLOBAL_TENANT, out: str = "_tenant
     return df.withColumn(out, F.lit(tenant))
 
 
-def stamp_lineage(df: DataFrame, batch_id: str | None = None) -> DataFrame:
+def stamp_lineage(df: DataFrame, batch_id: str | None = None, from_files: bool = True) -> DataFrame:
     """Add ``_ingestion_timestamp``, ``_source_file`` and ``_batch_id``.
 
-    The source file comes from the scan's hidden ``_metadata.file_path`` column
-    (parquet and CSV); a frame that is not a direct file scan falls back to
-    ``input_file_name()`` (empty string when there is no file).
+    ``from_files``: ``df`` is a direct file scan (parquet, CSV, JSON, also a
+    file stream); the source file comes from its hidden ``_metadata.file_path``
+    column.  For any other frame (e.g. a join) there is no single source file
+    and ``_source_file`` is NULL.
     """
     batch_id = batch_id or str(uuid.uuid4())
-    try:
-        source = df.select(F.col("_metadata.file_path")).columns and F.col("_metadata.file_path")
-    except AnalysisException:
-        source = F.input_file_name()
+    source = F.col("_metadata.file_path") if from_files else F.lit(None).cast("string")
     return df.withColumns({
         "_ingestion_timestamp": F.current_timestamp(),
         "_source_file": source,

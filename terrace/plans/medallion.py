@@ -166,7 +166,7 @@ def bronze_frame(spark: SparkSession, source: DataFrame | str | list[str], spec:
         spark, source, spec.fmt, spec.schema, **spec.options)
     if enforce_contract(raw, spec.required_columns, spec.name, on_violation) is None:
         return None
-    df = stamp_lineage(raw, batch_id) if lineage else raw
+    df = stamp_lineage(raw, batch_id, from_files=not isinstance(source, DataFrame)) if lineage else raw
     if spec.date_column:
         df = date_range(df, spec.date_column, start, end)
     df = isolate_tenants(df, spec.tenant_column, tenants) if spec.tenant_column else stamp_global(df)
