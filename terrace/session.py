@@ -13,10 +13,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every job of this library relies on.  AQE re-plans joins at runtime
-# (broadcast only when the *measured* side is below the threshold), splits
-# skewed join partitions and rebalances skewed write partitions.
+# and splits skewed join partitions and skewed write partitions.  Broadcasts
+# are decided on *measured* sizes only: the static, estimate-based threshold
+# is off (file-size estimates ignore compression and filter selectivity and
+# can pick the fact side), the adaptive threshold converts a shuffle join to
+# a broadcast join once the small side's shuffle output is known to be small.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
