@@ -89,18 +89,36 @@ def rules_for_tenants(base, overrides: Mapping[str, Mapping[str, str]],
     return out
 
 
-def quality_log(df: DataFrame, rules, run_id: str | None = None,
-                tenant_column: str = "_tenant_id", batch_column: str = "_batch_id",
-                layer: str = LOG_LAYER, table_name: str = LOG_TABLE) -> DataFrame:
-    """One log row per tenant and rule, from one grouped aggregation.
-
-    ``records_failed`` counts FALSE only; NULL goes to ``records_unknown``.
-    ``check_passed`` is ``records_failed = 0``.  Tenants without rows produce
-    no log rows.  ``_batch_id`` is the largest batch id of the tenant's rows
-    (deterministic).  The frame is evaluated lazily; with partial
-    aggregation the shuffle carries one row per tenant and task.
+def rule_summary(df: DataFrame, rules, tenant_column: str = "_tenant_id",
+                 batch_column: str = "_batch_id", discard_rules: Iterable[str] = DISCARD_RULES,
+                 unknown: str = "drop") -> DataFrame:
+    """Every per-tenant counter of a quality run in ONE aggregation (one row per tenant).
+
+    Columns: ``tenant``, ``records_checked``, ``_batch_id``, per rule ``__f<i>``
+    (FALSE) and ``__u<i>`` (NULL), the outcome counts ``good``, ``bad``,
+    ``quarantined``, ``discarded`` and ``critical_failed`` (rows failing a
+    critical rule).  The quality log and the outcome counts are projections of
+    it, so the evaluated rows are scanned once.  Partial aggregation keeps the
+    shuffle at one row per tenant and task, whatever the tenant skew.
     """
     rules = as_rules(rules)
+    cond = rule_condition(rules)
+    keep = _discard_condition(rules, discard_rules)
+    if unknown == "drop":
+        good, bad = cond, ~cond
+        quar = bad & (keep if keep is not None else F.lit(True))
+        disc = bad & (~keep if keep is not None else F.lit(False))
+    elif unknown == "quarantine":
+        good = F.coalesce(cond, F.lit(False))
+        bad = ~good
+        quar = bad & (~is_false(keep) if keep is not None else F.lit(True))
+        disc = bad & (is_false(keep) if keep is not None else F.lit(False))
+    else:
+        raise ValueError("unknown must be 'drop' or 'quarantine'")
+    crit = F.lit(False)
+    for r in rules:
+        if (r.severity or "").lower() == "critical":
+            crit = crit | is_false(F.col(r.column))
     aggs = [F.count(F.lit(1)).alias("records_checked")]
     for i, r in enumerate(rules):
         c = F.col(r.column)
@@ -109,14 +127,24 @@ def quality_log(df: DataFrame, rules, run_id: str | None = None,
         aggs.append(F.max(F.col(batch_column).cast("string")).alias("_batch_id"))
     else:
         aggs.append(F.lit(None).cast("string").alias("_batch_id"))
-    grouped = df.groupBy(F.lower(F.col(tenant_column)).alias("tenant_id")).agg(*aggs)
+    aggs += [F.count_if(good).alias("good"), F.count_if(bad).alias("bad"),
+             F.count_if(quar).alias("quarantined"), F.count_if(disc).alias("discarded"),
+             F.count_if(crit).alias("critical_failed")]
+    return df.groupBy(F.lower(F.col(tenant_column)).alias("tenant")).agg(*aggs)
+
+
+def log_from_summary(summary: DataFrame, rules, run_id: str | None = None,
+                     layer: str = LOG_LAYER, table_name: str = LOG_TABLE) -> DataFrame:
+    """Quality log rows (tenant x rule) from a :func:`rule_summary`."""
+    rules = as_rules(rules)
     entries = F.array(*[
         F.struct(F.lit(r.name).alias("check_name"),
                  F.lit(r.severity or DEFAULT_SEVERITY).alias("check_severity"),
                  F.col(f"__f{i}").alias("records_failed"),
                  F.col(f"__u{i}").alias("records_unknown"))
         for i, r in enumerate(rules)])
-    long = grouped.select("tenant_id", "records_checked", "_batch_id", F.inline(entries))
+    long = summary.select(F.col("tenant").alias("tenant_id"), "records_checked", "_batch_id",
+                          F.inline(entries))
     return long.select(
         F.lit(run_id).cast("string").alias("_run_id"), "_batch_id", "tenant_id",
         F.lit(layer).alias("layer"), F.lit(table_name).alias("table_name"),
@@ -125,6 +153,27 @@ def quality_log(df: DataFrame, rules, run_id: str | None = None,
         F.current_timestamp().alias("executed_at"))
 
 
+def counts_from_summary(summary: DataFrame) -> DataFrame:
+    """Per-tenant outcome counts (with ``lost``) from a :func:`rule_summary`."""
+    return summary.select(
+        "tenant", F.col("records_checked").alias("rows_in"), "good", "bad", "quarantined", "discarded",
+        (F.col("records_checked") - F.col("good") - F.col("quarantined") - F.col("discarded")).alias("lost"))
+
+
+def quality_log(df: DataFrame, rules, run_id: str | None = None,
+                tenant_column: str = "_tenant_id", batch_column: str = "_batch_id",
+                layer: str = LOG_LAYER, table_name: str = LOG_TABLE) -> DataFrame:
+    """One log row per tenant and rule, from one grouped aggregation.
+
+    ``records_failed`` counts FALSE only; NULL goes to ``records_unknown``.
+    ``check_passed`` is ``records_failed = 0``.  Tenants without rows produce
+    no log rows.  ``_batch_id`` is the largest batch id of the tenant's rows
+    (deterministic).
+    """
+    return log_from_summary(rule_summary(df, rules, tenant_column, batch_column), rules, run_id,
+                            layer, table_name)
+
+
 def critical_tenants(log: DataFrame) -> list[str]:
     """Tenants with a failing critical check (one row per tenant at most)."""
     rows = (log.filter((F.lower("check_severity") == "critical") & (F.col("records_failed") > 0))
@@ -211,23 +260,5 @@ def quarantine_frame(df: DataFrame, rules, discard_rules: Iterable[str] = DISCAR
 def outcome_counts(df: DataFrame, rules, discard_rules: Iterable[str] = DISCARD_RULES,
                    unknown: str = "drop", tenant_column: str = "_tenant_id") -> DataFrame:
     """Per tenant: rows in, good, bad, quarantined, discarded and lost — one aggregation."""
-    rules = as_rules(rules)
-    cond = rule_condition(rules)
-    keep = _discard_condition(rules, discard_rules)
-    if unknown == "drop":
-        good, bad = cond, ~cond
-        quar = bad & (keep if keep is not None else F.lit(True))
-        disc = bad & (~keep if keep is not None else F.lit(False))
-    else:
-        good = F.coalesce(cond, F.lit(False))
-        bad = ~good
-        quar = bad & (~is_false(keep) if keep is not None else F.lit(True))
-        disc = bad & (is_false(keep) if keep is not None else F.lit(False))
-    counts = df.groupBy(F.col(tenant_column).alias("tenant")).agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(good).alias("good"),
-        F.count_if(bad).alias("bad"),
-        F.count_if(quar).alias("quarantined"),
-        F.count_if(disc).alias("discarded"))
-    return counts.withColumn(
-        "lost", F.col("rows_in") - F.col("good") - F.col("quarantined") - F.col("discarded"))
+    return counts_from_summary(rule_summary(df, rules, tenant_column, discard_rules=discard_rules,
+                                            unknown=unknown))

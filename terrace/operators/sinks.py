@@ -44,15 +44,24 @@ def _write(df: DataFrame, path: str, mode: str, partition_by: Iterable[str] | No
     w.parquet(path)
 
 
-def table_schema(spark: SparkSession, path: str, like: T.StructType | None = None) -> T.StructType:
-    """Schema of an existing table: all file columns (merged), partition columns
-    typed like ``like`` where ``like`` has them (partition inference would
-    otherwise turn ``'20250101'`` into an int)."""
-    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+def table_schema(spark: SparkSession, path: str, like: T.StructType | None = None,
+                 merge: bool = False) -> T.StructType:
+    """Schema of an existing table, with the columns of ``like`` added and typed like ``like``.
+
+    Partition columns take ``like``'s types (inference would turn a string
+    ``'20250101'`` into an int).  ``merge=False`` reads the schema from the
+    table's files without merging every footer (that costs a pass over all
+    footers of a large table); columns the caller brings in ``like`` are
+    added, so an evolving table keeps working.
+    """
+    found = spark.read.option("mergeSchema", str(merge).lower()).parquet(path).schema
     if like is None:
         return found
     types = {f.name: f.dataType for f in like.fields}
-    return T.StructType([T.StructField(f.name, types.get(f.name, f.dataType), True) for f in found.fields])
+    fields = [T.StructField(f.name, types.get(f.name, f.dataType), True) for f in found.fields]
+    names = {f.name for f in fields}
+    fields += [T.StructField(f.name, f.dataType, True) for f in like.fields if f.name not in names]
+    return T.StructType(fields)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Iterable[str] | None = None,
@@ -60,7 +69,7 @@ def overwrite(df: DataFrame, path: str, partition_by: Iterable[str] | None = Non
     """Full load.  ``keep_old_columns`` keeps columns of the existing table that the
     new data lacks, as NULLs (what a table format with schema merge does)."""
     if keep_old_columns and table_exists(df.sparkSession, path):
-        old = table_schema(df.sparkSession, path, like=df.schema)
+        old = table_schema(df.sparkSession, path, like=df.schema, merge=True)
         extra = [f for f in old.fields if f.name not in df.columns]
         df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in extra})
     _write(df, path, "overwrite", partition_by)
@@ -140,11 +149,9 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
     """Update rows whose key matches, insert the others; create the table if absent.
 
     Partitioned target: only partitions that the source touches are read and
-    rewritten.  ``touched = target ⋉ distinct(source partitions)`` (the
-    distinct partition values are broadcast — their number is bounded by the
-    table's partition count — which lets Spark prune the target scan at
-    runtime), ``kept = touched ▷ source`` on the key, and ``kept ∪ source``
-    replaces those partitions.
+    rewritten (:func:`touched_partitions` prunes the scan statically),
+    ``kept = touched ▷ source`` on the key, and ``kept ∪ source`` replaces
+    those partitions.
 
     Unpartitioned target: the result is staged in the shared folder first
     and the table is overwritten from the stage (an overwrite cannot read its
@@ -169,12 +176,7 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
 
     target = read_table(spark, path, schema=table_schema(spark, path, like=df.schema))
     if pb:
-        parts = F.broadcast(df.select(*pb).distinct())
-        cond = None
-        for c in pb:
-            e = target[c].eqNullSafe(parts[c])
-            cond = e if cond is None else cond & e
-        target = target.join(parts, cond, "left_semi")
+        target = touched_partitions(target, df, pb)
     src_keys = df.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)])
     match = None
     for i, k in enumerate(keys):
@@ -187,3 +189,33 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
     else:
         staged = materialize(spark, result, "upsert-stage")
         overwrite(staged, path)
+
+
+def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Iterable[str],
+                       max_values: int = 10000) -> DataFrame:
+    """Rows of ``target`` in the partitions that ``source`` touches (NULL partitions included).
+
+    The distinct partition values of the source — metadata, bounded by the
+    table's partition count, not by its rows — become a static partition
+    filter, so the target scan is pruned at planning time whatever the
+    source's plan looks like.  Per column ``IN`` lists select a superset (the
+    product of the values); the null-safe semi join then keeps exactly the
+    touched tuples.  Above ``max_values`` tuples the static filter is
+    skipped and the semi join alone gives the same rows (it may then scan
+    more of the target).
+    """
+    pb = list(partition_by)
+    parts = source.select(*pb).distinct()
+    values = parts.limit(max_values + 1).collect()
+    if len(values) <= max_values:
+        for i, c in enumerate(pb):
+            seen = {r[i] for r in values}
+            cond = F.col(c).isin(sorted(v for v in seen if v is not None))
+            if None in seen:
+                cond = cond | F.col(c).isNull()
+            target = target.filter(cond)
+    cond = None
+    for c in pb:
+        e = target[c].eqNullSafe(parts[c])
+        cond = e if cond is None else cond & e
+    return target.join(F.broadcast(parts) if len(values) <= max_values else parts, cond, "left_semi")

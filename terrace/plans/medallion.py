@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.config import (
+    ACTIVE_TENANTS,
     DEFAULT_RULES,
     GLOBAL_TENANT,
     DELIVERIES,
@@ -48,14 +49,24 @@ from terrace.operators.metrics import DAILY_KEYS, DAILY_MEASURES, daily_metrics,
 from terrace.operators.normalize import conform_types, date_range, normalize_deliveries, order_columns
 from terrace.operators.quality import (
     as_rules,
+    counts_from_summary,
     evaluate_rules,
-    quality_log,
+    log_from_summary,
     quarantine_frame,
     route_bad,
+    rule_summary,
     rules_for_tenants,
     split_by_quality,
 )
-from terrace.operators.sinks import append, materialize, overwrite, replace_partitions, replace_prefix, upsert
+from terrace.operators.sinks import (
+    append,
+    materialize,
+    overwrite,
+    replace_partitions,
+    replace_prefix,
+    table_schema,
+    upsert,
+)
 from terrace.operators.temporal import point_in_time_join
 from terrace.sources.files import MissingTableError, read_source, read_table, require_table, table_exists
 
@@ -267,8 +278,14 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
     evaluated, cond = silver_evaluate(bronze, dim, rules)
 
     staged = materialize(spark, evaluated, "silver-evaluated")
-    append(quality_log(staged, rules, run_id), layout.quality_log)
-    counts = _fact_counts(staged, rules, cfg)
+    # One aggregation yields the log, the outcome counts and the breaker input;
+    # it is tiny (one row per tenant) and staged so both consumers reuse it.
+    summary = materialize(spark, rule_summary(staged, rules, discard_rules=cfg.discard_rules,
+                                              unknown=cfg.unknown), "silver-summary")
+    append(log_from_summary(summary, rules, run_id), layout.quality_log)
+    counts = {r["tenant"]: {k: int(v or 0) for k, v in r.asDict().items() if k != "tenant"}
+              for r in counts_from_summary(summary).join(
+                  summary.select("tenant", "critical_failed"), "tenant").collect()}
     good, bad = split_by_quality(staged, cond, cfg.unknown)
     upsert(spark, silver_rows(good, FACT_KEYS), layout.fact, cfg.fact_keys(), cfg.partition_by)
     quarantine, _ = route_bad(bad, rules, cfg.discard_rules, cfg.unknown)
@@ -279,24 +296,10 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
                        extra={"counts": counts, "run_id": run_id})
 
 
-def _fact_counts(staged: DataFrame, rules: list[Rule], cfg: RunConfig) -> dict[str, dict[str, int]]:
-    """Per-tenant outcome counts and critical failures in one aggregation
-    (the result has one row per tenant)."""
-    from terrace.operators.quality import outcome_counts
-
-    crit = [r for r in rules if (r.severity or "").lower() == "critical"]
-    counts = outcome_counts(staged, rules, cfg.discard_rules, cfg.unknown)
-    if crit:
-        any_crit = F.lit(False)
-        for r in crit:
-            any_crit = any_crit | F.coalesce(~F.col(r.column), F.lit(False))
-        crit_df = staged.groupBy(F.col("_tenant_id").alias("tenant")).agg(
-            F.count_if(any_crit).alias("critical_failed"))
-        counts = counts.join(crit_df, "tenant", "left")
-    else:
-        counts = counts.withColumn("critical_failed", F.lit(0).cast("long"))
-    return {r["tenant"]: {k: int(v or 0) for k, v in r.asDict().items() if k != "tenant"}
-            for r in counts.collect()}
+def partition_types(cfg: RunConfig) -> T.StructType:
+    """Types of the layout's partition columns (tenant string, date and derived keys int)."""
+    return T.StructType([T.StructField(c, T.StringType() if c == "_tenant_id" else T.IntegerType())
+                         for c in cfg.partition_by])
 
 
 def gold_frame(silver: DataFrame, partition_by: Iterable[str] = ("_tenant_id", "fecha_proceso")) -> DataFrame:
@@ -309,9 +312,8 @@ def build_metrics(spark: SparkSession, layout: Layout, cfg: RunConfig,
     """Gold: recompute the daily metrics of the selected dates and replace those partitions."""
     if not table_exists(spark, layout.fact):
         return StageResult("gold_daily_metrics", "skipped", reason=f"no silver fact at {layout.fact}")
-    silver = read_table(spark, layout.fact)
-    silver = silver.withColumns({c: F.col(c).cast("string" if c == "_tenant_id" else "int")
-                                 for c in cfg.partition_by})
+    silver = read_table(spark, layout.fact,
+                        schema=table_schema(spark, layout.fact, like=partition_types(cfg)))
     tenants = cfg.tenant_list()
     blocked = sorted(set(blocked))
     if tenants is not None:
@@ -369,12 +371,8 @@ def run(spark: SparkSession, deliveries_source, materials_source, layout: Layout
     guarded("silver_dim_materials", lambda: build_dimension(spark, layout), ["global"])
 
     spec = dataclasses.replace(DELIVERIES, partition_by=cfg.partition_by, derived=cfg.derived)
-    if tenants is None:
-        tenants_seen = [r[0] for r in read_source(spark, deliveries_source, spec.fmt, spec.schema)
-                        .select(F.lower(spec.tenant_column)).distinct().collect()] \
-            if not isinstance(deliveries_source, DataFrame) else \
-            [r[0] for r in deliveries_source.select(F.lower(spec.tenant_column)).distinct().collect()]
-        tenants = sorted(t for t in tenants_seen if t is not None)
+    if tenants is None:                   # "all": the configured active tenants
+        tenants = sorted(ACTIVE_TENANTS)
         cfg = dataclasses.replace(cfg, tenants=tuple(tenants))
     bronze = guarded("bronze_deliveries",
                      lambda: ingest(spark, deliveries_source, spec, layout, tenants, cfg.start, cfg.end,

@@ -69,4 +69,4 @@ def try_read_table(spark: SparkSession, path: str, schema: T.StructType | None =
         df.schema  # noqa: B018
         return df, None
     except AnalysisException as exc:
-        return None, f"cannot read {path}: {exc.getErrorClass() or type(exc).__name__}"
+        return None, f"cannot read {path}: {exc.getCondition() or type(exc).__name__}"
