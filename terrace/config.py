@@ -48,6 +48,7 @@ FACT_KEYS = ("_tenant_id", "fecha_proceso", "transporte", "ruta", "material", "t
 DIMENSION_KEYS = ("material", "valid_from")
 DELIVERIES_REQUIRED = ("pais", "fecha_proceso")
 MATERIALS_REQUIRED = ("material", "precio_base")
+MONTH_KEY = ("mes", "CAST(fecha_proceso DIV 100 AS INT)")   # optional coarser partition key
 DEFAULT_RULES = (
     Rule("cantidad_valida", "cantidad > 0 AND cantidad IS NOT NULL", "warning"),
     Rule("precio_valido", "precio >= 0 AND precio IS NOT NULL", "critical"),

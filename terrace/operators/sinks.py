@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.session import scratch_path
+from terrace.session import remove_path, scratch_path
 from terrace.sources.files import read_table, table_exists
 
 
@@ -126,13 +126,20 @@ def materialize(spark: SparkSession, df: DataFrame, name: str = "stage") -> Data
 
     Cuts the lineage (a lost executor no longer recomputes the upstream plan)
     and lets several consumers read one evaluated result, each with its own
-    column pruning.
+    column pruning.  The stage's location is ``staged_path(result)``; remove
+    it with :func:`terrace.session.remove_path` once every consumer has run.
     """
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return read_table(spark, path, schema=df.schema)
 
 
+def staged_path(staged: DataFrame) -> str:
+    """Root folder of a :func:`materialize` result."""
+    files = staged.inputFiles()
+    return files[0].rsplit("/", 1)[0] if files else ""
+
+
 def assert_unique(df: DataFrame, keys: Iterable[str], null_safe: bool = False) -> None:
     """Raise :class:`DuplicateKeyError` if two rows share a key (NULL keys only
     count when matching is null-safe, since plain ``=`` never matches them)."""
@@ -187,8 +194,10 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
     if pb:
         replace_partitions(result, path, pb)
     else:
-        staged = materialize(spark, result, "upsert-stage")
-        overwrite(staged, path)
+        stage = scratch_path(spark, "upsert-stage")
+        result.write.mode("overwrite").parquet(stage)
+        overwrite(read_table(spark, stage, schema=result.schema), path)
+        remove_path(spark, stage)
 
 
 def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Iterable[str],

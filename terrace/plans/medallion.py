@@ -32,12 +32,13 @@ from terrace.config import (
     FACT_KEYS,
     MATERIALS,
     MATERIALS_CONFORM,
+    MONTH_KEY,
     ROUTINE_TYPES,
     UNIT_FACTORS,
     EntitySpec,
     Rule,
 )
-from terrace.functions.columns import factor_case
+from terrace.functions.columns import bound_key, factor_case
 from terrace.operators.contract import (
     enforce_contract,
     entity_spec,
@@ -60,7 +61,6 @@ from terrace.operators.quality import (
 )
 from terrace.operators.sinks import (
     append,
-    materialize,
     overwrite,
     replace_partitions,
     replace_prefix,
@@ -68,6 +68,7 @@ from terrace.operators.sinks import (
     upsert,
 )
 from terrace.operators.temporal import point_in_time_join
+from terrace.session import remove_path, scratch_path
 from terrace.sources.files import MissingTableError, read_source, read_table, require_table, table_exists
 
 AUDIT_FIELDS = [
@@ -141,6 +142,18 @@ class RunConfig:
     def tenant_list(self) -> list[str] | None:
         return None if self.tenants is None else sorted({t.lower() for t in self.tenants})
 
+    def select_dates(self, df: DataFrame, column: str = "fecha_proceso") -> DataFrame:
+        """The run's date range; with a month partition key the range also
+        becomes a filter on the month, so whole month partitions are pruned."""
+        df = date_range(df, column, self.start, self.end)
+        if MONTH_KEY in self.derived and MONTH_KEY[0] in df.columns:
+            lo, hi = bound_key(self.start), bound_key(self.end)
+            if lo is not None:
+                df = df.filter(F.col(MONTH_KEY[0]) >= lo // 100)
+            if hi is not None:
+                df = df.filter(F.col(MONTH_KEY[0]) <= hi // 100)
+        return df
+
 
 @dataclass
 class StageResult:
@@ -272,25 +285,32 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
     tenants = cfg.tenant_list()
     if tenants is not None:
         bronze = bronze.filter(F.col("_tenant_id").isin(tenants))
-    bronze = date_range(bronze, "fecha_proceso", cfg.start, cfg.end)
+    bronze = cfg.select_dates(bronze)
     dim = read_table(spark, layout.dimension)
     rules = cfg.effective_rules()
     evaluated, cond = silver_evaluate(bronze, dim, rules)
 
-    staged = materialize(spark, evaluated, "silver-evaluated")
-    # One aggregation yields the log, the outcome counts and the breaker input;
-    # it is tiny (one row per tenant) and staged so both consumers reuse it.
-    summary = materialize(spark, rule_summary(staged, rules, discard_rules=cfg.discard_rules,
-                                              unknown=cfg.unknown), "silver-summary")
-    append(log_from_summary(summary, rules, run_id), layout.quality_log)
-    counts = {r["tenant"]: {k: int(v or 0) for k, v in r.asDict().items() if k != "tenant"}
-              for r in counts_from_summary(summary).join(
-                  summary.select("tenant", "critical_failed"), "tenant").collect()}
-    good, bad = split_by_quality(staged, cond, cfg.unknown)
-    upsert(spark, silver_rows(good, FACT_KEYS), layout.fact, cfg.fact_keys(), cfg.partition_by)
-    quarantine, _ = route_bad(bad, rules, cfg.discard_rules, cfg.unknown)
-    replace_partitions(quarantine_frame(quarantine, rules, cfg.discard_rules, cfg.unknown),
-                       layout.quarantine, cfg.partition_by)
+    stage_dir, summary_dir = scratch_path(spark, "silver-evaluated"), scratch_path(spark, "silver-summary")
+    try:
+        evaluated.write.parquet(stage_dir)
+        staged = read_table(spark, stage_dir, schema=evaluated.schema)
+        # One aggregation yields the log, the outcome counts and the breaker
+        # input; it is tiny (one row per tenant) and staged for both consumers.
+        summary_df = rule_summary(staged, rules, discard_rules=cfg.discard_rules, unknown=cfg.unknown)
+        summary_df.write.parquet(summary_dir)
+        summary = read_table(spark, summary_dir, schema=summary_df.schema)
+        append(log_from_summary(summary, rules, run_id), layout.quality_log)
+        counts = {r["tenant"]: {k: int(v or 0) for k, v in r.asDict().items() if k != "tenant"}
+                  for r in counts_from_summary(summary).join(
+                      summary.select("tenant", "critical_failed"), "tenant").collect()}
+        good, bad = split_by_quality(staged, cond, cfg.unknown)
+        upsert(spark, silver_rows(good, FACT_KEYS), layout.fact, cfg.fact_keys(), cfg.partition_by)
+        quarantine, _ = route_bad(bad, rules, cfg.discard_rules, cfg.unknown)
+        replace_partitions(quarantine_frame(quarantine, rules, cfg.discard_rules, cfg.unknown),
+                           layout.quarantine, cfg.partition_by)
+    finally:
+        for p in (stage_dir, summary_dir):
+            remove_path(spark, p)
     return StageResult("silver_fact_deliveries", "ok",
                        {t: c["good"] for t, c in counts.items()},
                        extra={"counts": counts, "run_id": run_id})
@@ -321,7 +341,7 @@ def build_metrics(spark: SparkSession, layout: Layout, cfg: RunConfig,
         silver = silver.filter(F.col("_tenant_id").isin(tenants))
     elif blocked:
         silver = silver.filter(~F.col("_tenant_id").isin(blocked))
-    silver = date_range(silver, "fecha_proceso", cfg.start, cfg.end)
+    silver = cfg.select_dates(silver)
     gold, obs = _observe(gold_frame(silver, cfg.partition_by), tenants, "gold")
     replace_partitions(gold, layout.gold, cfg.partition_by)
     return StageResult("gold_daily_metrics", "ok", _tenant_counts(obs, tenants))

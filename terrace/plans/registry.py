@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.config import DEFAULT_RULES, DELIVERIES, DIMENSION_KEYS, FACT_KEYS
+from terrace.config import DEFAULT_RULES, DELIVERIES, DIMENSION_KEYS, FACT_KEYS, MONTH_KEY
 from terrace.operators.contract import isolate_tenants, stamp_global
 from terrace.operators.metrics import dedup
 from terrace.operators.normalize import (
@@ -28,12 +28,10 @@ from terrace.operators.normalize import (
     parse_process_date,
 )
 from terrace.operators.quality import (
-    evaluate_rules,
     outcome_counts,
     quality_log,
     quarantine_frame,
     route_bad,
-    rule_condition,
     rules_for_tenants,
     split_by_quality,
 )
@@ -65,7 +63,7 @@ OVERRIDES = {
     "europe": {"precio_valido": "precio > 1000 AND precio IS NOT NULL"},
     "asia": {"cantidad_valida": "cantidad >= 10 AND cantidad IS NOT NULL"},
 }
-MONTH = ("mes", "CAST(fecha_proceso DIV 100 AS INT)")
+MONTH = MONTH_KEY
 MONTH_LAYOUT = ("_tenant_id", "mes")
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -416,5 +414,3 @@ QUERIES: dict[str, QueryFn] = {
     "run_status": run_status,
     "run_status_breaker": run_status_breaker,
 }
-
-_ = (evaluate_rules, rule_condition)

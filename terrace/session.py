@@ -39,6 +39,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int | None = Non
         "spark.ui.enabled": "false",
         "spark.driver.memory": os.environ.get("TERRACE_DRIVER_MEMORY", "16g"),
         "spark.sql.shuffle.partitions": str(shuffle_partitions or 16),
+        # Local tuning only: lets AQE keep several write tasks for small batches.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
     })
     conf.update(extra or {})
     for k, v in conf.items():
@@ -72,3 +74,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return f"{base}/terrace/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staging path this library created (Hadoop FileSystem API)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

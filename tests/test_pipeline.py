@@ -101,3 +101,28 @@ def test_lineage_columns(spark):
     row = b.select("_source_file", "_batch_id", "_ingestion_timestamp", "_tenant_id").first()
     assert row["_source_file"].endswith(".parquet") and row["_tenant_id"] == "asia"
     assert b.select(F.count_distinct("_batch_id")).first()[0] == 1
+
+
+def test_date_range_run_prunes_months_and_keeps_others(spark, capsys):
+    cfg = dataclasses.replace(reg._run_config(), tenants=("asia",), start="1996-01-15", end="1996-03-31")
+    layout = m.Layout(scratch_path(spark, "lake"))
+    m.run(spark, fixtures.deliveries(spark, SF_SMALL), fixtures.materials_raw(spark, SF_SMALL), layout, cfg)
+    silver = read_table(spark, layout.fact)
+    got = silver.agg(F.min("fecha_proceso"), F.max("fecha_proceso"), F.count(F.lit(1))).first()
+    ev, cond = reg.evaluated(spark, SF_SMALL)
+    want = ev.filter(cond & (F.col("_tenant_id") == "asia")
+                     & F.col("fecha_proceso").between(19960115, 19960331)).count()
+    assert got[0] >= 19960115 and got[1] <= 19960331 and got[2] == want
+    bronze = read_table(spark, layout.bronze("deliveries"))
+    cfg.select_dates(bronze).explain()
+    scan = [line for line in capsys.readouterr().out.splitlines() if "FileScan parquet" in line][0]
+    assert "PartitionFilters: [isnotnull(mes" in scan and "(mes#" in scan and ">= 199601" in scan
+
+
+def test_read_source_with_inference(spark):
+    path = reg._raw_files(spark, SF_SMALL, "csv")
+    from terrace.sources.files import read_source
+    inferred = read_source(spark, path, "csv", infer=True)
+    assert dict(inferred.dtypes)["fecha_proceso"] == "int"
+    declared = read_source(spark, path, "csv", schema=DELIVERIES.schema)
+    assert declared.count() == 6000
