@@ -26,7 +26,8 @@ def close_overlaps(dim: DataFrame, keys: Iterable[str], valid_from: str = "valid
 def point_in_time_join(fact: DataFrame, dim: DataFrame, keys: Iterable[str] | Mapping[str, str],
                        at: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
                        columns: Mapping[str, str] | None = None, how: str = "left",
-                       on_overlap: str = "fanout", broadcast: bool = False) -> DataFrame:
+                       on_overlap: str = "fanout", broadcast: bool = False,
+                       salt: int = 0) -> DataFrame:
     """Attach the dimension version valid at ``fact[at]``: equal keys and
     ``valid_from <= at <= valid_to`` (both ends inclusive).
 
@@ -42,6 +43,14 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, keys: Iterable[str] | Ma
     AQE's skew-join handling.  ``broadcast=True`` forces the broadcast for a
     dimension whose size the caller has bounded.
 
+    ``salt > 1`` splits every key over ``salt`` join partitions explicitly:
+    each fact row gets a deterministic salt (a hash of the whole row, so a
+    recomputed task gives the same value), each dimension version is
+    replicated once per salt value, and the salt joins the equi keys.  A key
+    holding a third of all facts then spreads over ``salt`` tasks even where
+    AQE cannot split it (AQE off, or the hot side on the build side).  Costs:
+    the dimension side grows ``salt`` times.
+
     ``keys`` is a list of shared names or a mapping fact column -> dim column.
     ``columns`` maps dimension columns to output names (default: all non-key,
     non-range columns with their own names).
@@ -60,14 +69,20 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, keys: Iterable[str] | Ma
         *[F.col(dc).alias(f"__dk_{i}") for i, dc in enumerate(pairs.values())],
         F.col(valid_from).alias("__d_from"), F.col(valid_to).alias("__d_to"),
         *[F.col(src).alias(f"__dv_{i}") for i, src in enumerate(columns)])
+    out_cols = list(fact.columns)
+    if salt > 1:
+        fact = fact.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in out_cols]), F.lit(salt)))
+        d = d.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
     if broadcast:
         d = F.broadcast(d)
     cond = None
     for i, fc in enumerate(pairs):
         c = fact[fc] == d[f"__dk_{i}"]
         cond = c if cond is None else cond & c
+    if salt > 1:
+        cond = cond & (fact["__salt"] == d["__salt"])
     cond = cond & fact[at].between(d["__d_from"], d["__d_to"])
     joined = fact.join(d, cond, how)
     return joined.select(
-        *[fact[c] for c in fact.columns],
+        *[fact[c] for c in out_cols],
         *[d[f"__dv_{i}"].alias(out) for i, out in enumerate(columns.values())])

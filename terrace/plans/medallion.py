@@ -131,6 +131,7 @@ class RunConfig:
     on_violation: str = "skip"
     partition_by: tuple[str, ...] = ("_tenant_id", "fecha_proceso")
     derived: tuple[tuple[str, str], ...] = ()
+    log_partition_by: tuple[str, ...] = ()      # e.g. ("tenant_id",): one log folder per tenant
 
     def effective_rules(self) -> list[Rule]:
         rules = as_rules(self.rules)
@@ -299,7 +300,7 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
         summary_df = rule_summary(staged, rules, discard_rules=cfg.discard_rules, unknown=cfg.unknown)
         summary_df.write.parquet(summary_dir)
         summary = read_table(spark, summary_dir, schema=summary_df.schema)
-        append(log_from_summary(summary, rules, run_id), layout.quality_log)
+        append(log_from_summary(summary, rules, run_id), layout.quality_log, cfg.log_partition_by)
         counts = {r["tenant"]: {k: int(v or 0) for k, v in r.asDict().items() if k != "tenant"}
                   for r in counts_from_summary(summary).join(
                       summary.select("tenant", "critical_failed"), "tenant").collect()}

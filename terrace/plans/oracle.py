@@ -276,6 +276,9 @@ FROM bronze_v""",
     "point_in_time_join": with_(DELIVERIES_V, BRONZE_V, MATERIALS_V, NORMALIZED_V, JOINED_V)
     + "SELECT * FROM joined_v",
 
+    "point_in_time_join_salted": with_(DELIVERIES_V, BRONZE_V, MATERIALS_V, NORMALIZED_V, JOINED_V)
+    + "SELECT * FROM joined_v",
+
     "point_in_time_join_latest": with_(DELIVERIES_V, BRONZE_V, MATERIALS_V, NORMALIZED_V) + """,
 dim AS (
   SELECT material, valid_from, valid_to, precio_base FROM materials_v

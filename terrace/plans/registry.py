@@ -133,6 +133,14 @@ def point_in_time_join_q(spark, sf):
                               columns={"precio_base": "precio_catalogo_unitario"})
 
 
+def point_in_time_join_salted(spark, sf):
+    """The same join with every material explicitly split over 8 salt buckets."""
+    fact = normalize_deliveries(bronze(spark, sf))
+    return point_in_time_join(fact, dimension(spark, sf).select("material", "valid_from", "valid_to", "precio_base"),
+                              ["material"], at="fecha_proceso_dt",
+                              columns={"precio_base": "precio_catalogo_unitario"}, salt=8)
+
+
 def point_in_time_join_latest(spark, sf):
     """Overlapping versions: a third version from 1998-01-01 overlaps both others;
     ``on_overlap='latest'`` keeps one row per fact, the newest version."""
@@ -386,6 +394,7 @@ QUERIES: dict[str, QueryFn] = {
     "dimension_conform": dimension_conform,
     "silver_column_order": silver_column_order,
     "point_in_time_join": point_in_time_join_q,
+    "point_in_time_join_salted": point_in_time_join_salted,
     "point_in_time_join_latest": point_in_time_join_latest,
     "rule_flags": rule_flags,
     "quality_log": quality_log_q,
