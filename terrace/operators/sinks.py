@@ -152,7 +152,7 @@ def assert_unique(df: DataFrame, keys: Iterable[str], null_safe: bool = False) -
 
 def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
            partition_by: Iterable[str] | None = None, null_safe: bool = False,
-           check_duplicates: bool = True) -> None:
+           check_duplicates: bool = True, stage_source: bool = True) -> None:
     """Update rows whose key matches, insert the others; create the table if absent.
 
     Partitioned target: only partitions that the source touches are read and
@@ -167,11 +167,25 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
     Matching uses ``=`` (a NULL key never matches, parity with MERGE) unless
     ``null_safe``.  Partition columns must be part of the key, otherwise an
     update could not move a row between partitions.
+
+    The source is consumed several times (key check, touched partitions,
+    anti join, union); ``stage_source`` writes it once to the shared folder so
+    its upstream plan is not recomputed for each (pass False when the source
+    is already a plain scan of staged data).
     """
     keys, pb = list(keys), list(partition_by or [])
     outside = [c for c in pb if c not in keys]
     if outside:
         raise ValueError(f"partition columns {outside} must be part of the upsert key")
+    if stage_source:
+        stage = scratch_path(spark, "upsert-source")
+        df.write.parquet(stage)
+        try:
+            upsert(spark, read_table(spark, stage, schema=df.schema), path, keys, pb, null_safe,
+                   check_duplicates, stage_source=False)
+        finally:
+            remove_path(spark, stage)
+        return
     if check_duplicates:
         assert_unique(df, keys, null_safe)
     if not table_exists(spark, path):

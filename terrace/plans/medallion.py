@@ -305,7 +305,8 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
                   for r in counts_from_summary(summary).join(
                       summary.select("tenant", "critical_failed"), "tenant").collect()}
         good, bad = split_by_quality(staged, cond, cfg.unknown)
-        upsert(spark, silver_rows(good, FACT_KEYS), layout.fact, cfg.fact_keys(), cfg.partition_by)
+        upsert(spark, silver_rows(good, FACT_KEYS), layout.fact, cfg.fact_keys(), cfg.partition_by,
+               stage_source=False)
         quarantine, _ = route_bad(bad, rules, cfg.discard_rules, cfg.unknown)
         replace_partitions(quarantine_frame(quarantine, rules, cfg.discard_rules, cfg.unknown),
                            layout.quarantine, cfg.partition_by)

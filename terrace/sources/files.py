@@ -47,8 +47,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem API (no Spark job, no exception)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a readable parquet table (metadata only, no job)."""
+    if not path_exists(spark, path):
+        return False
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the relation only
         return True
@@ -64,6 +73,8 @@ def require_table(spark: SparkSession, path: str, what: str = "table") -> None:
 def try_read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                    merge_schema: bool = False) -> tuple[DataFrame | None, str | None]:
     """Missing-source tolerance: ``(df, None)`` or ``(None, reason)`` instead of raising."""
+    if not path_exists(spark, path):
+        return None, f"cannot read {path}: PATH_NOT_FOUND"
     try:
         df = read_table(spark, path, schema=schema, merge_schema=merge_schema)
         df.schema  # noqa: B018
