@@ -55,17 +55,18 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster this is set by the operator to a shared file system.  Only
-    when it is unset (local tests) do we create one, and we register it with
-    the SparkContext so ``DataFrame.checkpoint`` uses the same place.
+    when it is unset (local tests) do we create one, registered with the
+    SparkContext so ``DataFrame.checkpoint`` uses the same place.
     """
     sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="terrace-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if path:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(path)
+        return path.rstrip("/")
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(path)
-    return path.rstrip("/")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="terrace-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
