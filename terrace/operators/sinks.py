@@ -121,23 +121,17 @@ def append(df: DataFrame, path: str, partition_by: Iterable[str] | None = None)
     _write(df, path, "append", partition_by)
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+def materialize(spark: SparkSession, df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
+    """Write ``df`` once to the shared checkpoint folder; return it read back, and its path.
 
     Cuts the lineage (a lost executor no longer recomputes the upstream plan)
     and lets several consumers read one evaluated result, each with its own
-    column pruning.  The stage's location is ``staged_path(result)``; remove
-    it with :func:`terrace.session.remove_path` once every consumer has run.
+    column pruning.  Remove the path with :func:`terrace.session.remove_path`
+    once every consumer has run.
     """
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return read_table(spark, path, schema=df.schema)
-
-
-def staged_path(staged: DataFrame) -> str:
-    """Root folder of a :func:`materialize` result."""
-    files = staged.inputFiles()
-    return files[0].rsplit("/", 1)[0] if files else ""
+    df.write.parquet(path)
+    return read_table(spark, path, schema=df.schema), path
 
 
 def assert_unique(df: DataFrame, keys: Iterable[str], null_safe: bool = False) -> None:
@@ -178,11 +172,9 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
     if outside:
         raise ValueError(f"partition columns {outside} must be part of the upsert key")
     if stage_source:
-        stage = scratch_path(spark, "upsert-source")
-        df.write.parquet(stage)
+        staged, stage = materialize(spark, df, "upsert-source")
         try:
-            upsert(spark, read_table(spark, stage, schema=df.schema), path, keys, pb, null_safe,
-                   check_duplicates, stage_source=False)
+            upsert(spark, staged, path, keys, pb, null_safe, check_duplicates, stage_source=False)
         finally:
             remove_path(spark, stage)
         return
@@ -208,10 +200,11 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
     if pb:
         replace_partitions(result, path, pb)
     else:
-        stage = scratch_path(spark, "upsert-stage")
-        result.write.mode("overwrite").parquet(stage)
-        overwrite(read_table(spark, stage, schema=result.schema), path)
-        remove_path(spark, stage)
+        staged, stage = materialize(spark, result, "upsert-result")
+        try:
+            overwrite(staged, path)
+        finally:
+            remove_path(spark, stage)
 
 
 def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Iterable[str],

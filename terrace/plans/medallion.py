@@ -61,6 +61,7 @@ from terrace.operators.quality import (
 )
 from terrace.operators.sinks import (
     append,
+    materialize,
     overwrite,
     replace_partitions,
     replace_prefix,
@@ -68,7 +69,7 @@ from terrace.operators.sinks import (
     upsert,
 )
 from terrace.operators.temporal import point_in_time_join
-from terrace.session import remove_path, scratch_path
+from terrace.session import remove_path
 from terrace.sources.files import MissingTableError, read_source, read_table, require_table, table_exists
 
 AUDIT_FIELDS = [
@@ -291,15 +292,15 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
     rules = cfg.effective_rules()
     evaluated, cond = silver_evaluate(bronze, dim, rules)
 
-    stage_dir, summary_dir = scratch_path(spark, "silver-evaluated"), scratch_path(spark, "silver-summary")
+    staged, stage_dir = materialize(spark, evaluated, "silver-evaluated")
+    stages = [stage_dir]
     try:
-        evaluated.write.parquet(stage_dir)
-        staged = read_table(spark, stage_dir, schema=evaluated.schema)
         # One aggregation yields the log, the outcome counts and the breaker
         # input; it is tiny (one row per tenant) and staged for both consumers.
-        summary_df = rule_summary(staged, rules, discard_rules=cfg.discard_rules, unknown=cfg.unknown)
-        summary_df.write.parquet(summary_dir)
-        summary = read_table(spark, summary_dir, schema=summary_df.schema)
+        summary, summary_dir = materialize(
+            spark, rule_summary(staged, rules, discard_rules=cfg.discard_rules, unknown=cfg.unknown),
+            "silver-summary")
+        stages.append(summary_dir)
         append(log_from_summary(summary, rules, run_id), layout.quality_log, cfg.log_partition_by)
         counts = {r["tenant"]: {k: int(v or 0) for k, v in r.asDict().items() if k != "tenant"}
                   for r in counts_from_summary(summary).join(
@@ -311,7 +312,7 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
         replace_partitions(quarantine_frame(quarantine, rules, cfg.discard_rules, cfg.unknown),
                            layout.quarantine, cfg.partition_by)
     finally:
-        for p in (stage_dir, summary_dir):
+        for p in stages:
             remove_path(spark, p)
     return StageResult("silver_fact_deliveries", "ok",
                        {t: c["good"] for t, c in counts.items()},

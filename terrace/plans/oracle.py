@@ -82,8 +82,6 @@ evaluated_v AS (
 
 COND = ("(_rule_cantidad_valida AND _rule_precio_valido AND _rule_fecha_valida "
         "AND _rule_tipo_entrega_valido AND _rule_material_existe)")
-NON_DISCARD = ("(_rule_cantidad_valida AND _rule_precio_valido AND _rule_fecha_valida "
-               "AND _rule_material_existe)")
 
 REASON = """concat_ws(', ',
     CASE WHEN NOT _rule_cantidad_valida OR _rule_cantidad_valida IS NULL THEN 'cantidad_valida' END,
