@@ -66,6 +66,11 @@ def evaluate_rules(df: DataFrame, rules) -> tuple[DataFrame, Column]:
     return df, rule_condition(rules)
 
 
+def _sql_string(text: str) -> str:
+    """Escape a value for a single-quoted Spark SQL string literal."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def rules_for_tenants(base, overrides: Mapping[str, Mapping[str, str]],
                       tenant_column: str = "_tenant_id") -> list[Rule]:
     """Per-tenant rule overrides as one ``CASE`` per rule, so all tenants stay in one job.
@@ -84,7 +89,7 @@ def rules_for_tenants(base, overrides: Mapping[str, Mapping[str, str]],
         if not branches:
             out.append(r)
             continue
-        case = " ".join(f"WHEN {tenant_column} = '{t.lower()}' THEN ({e})" for t, e in branches)
+        case = " ".join(f"WHEN `{tenant_column}` = '{_sql_string(t.lower())}' THEN ({e})" for t, e in branches)
         out.append(Rule(r.name, f"CASE {case} ELSE ({r.expr}) END", r.severity))
     return out
 

@@ -40,7 +40,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int | None = Non
         "spark.driver.memory": os.environ.get("TERRACE_DRIVER_MEMORY", "16g"),
         "spark.sql.shuffle.partitions": str(shuffle_partitions or 16),
         # Local tuning only: lets AQE keep several write tasks for small batches.
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
     })
     conf.update(extra or {})
     for k, v in conf.items():

@@ -110,3 +110,10 @@ def test_tenant_overrides_single_job(spark):
     assert all(r["_rule_precio_valido"] for r in rows if r["_tenant_id"] == "b")
     assert all(r["_rule_extra"] for r in rows if r["_tenant_id"] == "b")
     assert sum(1 for r in rows if r["_tenant_id"] == "a" and r["_rule_extra"]) == 1
+
+
+def test_tenant_override_quotes_tenant_names(spark):
+    df = spark.createDataFrame([("o'hara", -1.0), ("x", -1.0)], "_tenant_id string, cantidad double")
+    rules = rules_for_tenants([Rule("c", "cantidad > 0")], {"O'Hara": {"c": "TRUE"}})
+    out, _ = evaluate_rules(df, rules)
+    assert {r["_tenant_id"]: r["_rule_c"] for r in out.collect()} == {"o'hara": True, "x": False}
