@@ -126,3 +126,23 @@ def test_read_source_with_inference(spark):
     assert dict(inferred.dtypes)["fecha_proceso"] == "int"
     declared = read_source(spark, path, "csv", schema=DELIVERIES.schema)
     assert declared.count() == 6000
+
+
+def test_command_line_run_over_raw_csv(spark):
+    import subprocess
+    import sys as _sys
+    deliveries_csv = reg._raw_files(spark, SF_SMALL, "csv")
+    materials_csv = scratch_path(spark, "raw-materials")
+    fixtures.materials_raw(spark, SF_SMALL).write.option("header", "true").csv(materials_csv)
+    root = scratch_path(spark, "lake")
+    out = subprocess.run(
+        [_sys.executable, "-m", "terrace", "--deliveries", deliveries_csv, "--materials", materials_csv,
+         "--root", root, "--tenants", "Asia,europe", "--month-partitions", "--start", "1996-01-01"],
+        cwd=reg.__file__.rsplit("/terrace/", 1)[0], capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    lines = [line.split() for line in out.stdout.splitlines()]
+    gold = {line[0]: line for line in lines if len(line) > 2 and line[1] == "gold_daily_metrics"}
+    assert set(gold) == {"asia", "europe"} and all(v[2] == "ok" for v in gold.values())
+    silver = read_table(spark, m.Layout(root).fact)
+    assert silver.filter(F.col("fecha_proceso") < 19960101).count() == 0
+    assert sorted(r[0] for r in silver.select("_tenant_id").distinct().collect()) == ["asia", "europe"]
