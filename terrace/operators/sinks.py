@@ -200,11 +200,14 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
     if pb:
         replace_partitions(result, path, pb)
     else:
+        # The stage is the only complete copy of the merged table while the
+        # target is being overwritten: it is removed only after success.
         staged, stage = materialize(spark, result, "upsert-result")
         try:
             overwrite(staged, path)
-        finally:
-            remove_path(spark, stage)
+        except Exception as exc:
+            raise RuntimeError(f"overwrite of {path} failed; the merged table is kept at {stage}") from exc
+        remove_path(spark, stage)
 
 
 def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Iterable[str],
