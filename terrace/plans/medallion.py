@@ -246,7 +246,8 @@ def build_dimension(spark: SparkSession, layout: Layout) -> StageResult:
     dim = conform_dimension(src)
     obs = Observation("dim")
     dim = dim.observe(obs, F.count(F.lit(1)).alias("rows"))
-    upsert(spark, dim, layout.dimension, DIMENSION_KEYS)
+    # The source is a plain scan of the bronze catalog: re-reading it is cheaper than staging it.
+    upsert(spark, dim, layout.dimension, DIMENSION_KEYS, stage_source=False)
     return StageResult("silver_dim_materials", "ok", {"global": int(obs.get.get("rows", 0))})
 
 
