@@ -31,6 +31,13 @@ RECOMMENDED_CONF = {
 }
 
 
+def apply_conf(spark: SparkSession, conf: dict | None = None) -> None:
+    """Apply the library's SQL settings to an existing session (all runtime-settable)."""
+    for k, v in (conf or RECOMMENDED_CONF).items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int | None = None,
                   app_name: str = "terrace", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
