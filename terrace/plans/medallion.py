@@ -270,13 +270,14 @@ def silver_rows(good: DataFrame, keys: Iterable[str] = FACT_KEYS, timestamp: boo
 
 
 def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
-               run_id: str | None = None) -> StageResult:
+               run_id: str | None = None, stage: bool = True) -> StageResult:
     """Silver fact for all requested tenants.
 
     The evaluated rows are staged once in the shared folder; the quality log,
     the upsert of good rows, the quarantine write and the outcome counts all
     read that stage (each with its own column pruning) instead of recomputing
-    the dedup and join per consumer.
+    the dedup and join per consumer.  ``stage=False`` lets every consumer
+    recompute the plan (kept for measurement).
     """
     run_id = run_id or str(uuid.uuid4())
     require_table(spark, layout.dimension, "dim_materials")
@@ -293,8 +294,11 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
     rules = cfg.effective_rules()
     evaluated, cond = silver_evaluate(bronze, dim, rules)
 
-    staged, stage_dir = materialize(spark, evaluated, "silver-evaluated")
-    stages = [stage_dir]
+    if stage:
+        staged, stage_dir = materialize(spark, evaluated, "silver-evaluated")
+        stages = [stage_dir]
+    else:
+        staged, stages = evaluated, []
     try:
         # One aggregation yields the log, the outcome counts and the breaker
         # input; it is tiny (one row per tenant) and staged for both consumers.
