@@ -55,14 +55,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable parquet table (metadata only, no job)."""
-    if not path_exists(spark, path):
+    """True when ``path`` holds a table: a data file, or a directory with at least
+    one visible entry (a data file or a partition directory).
+
+    One non-recursive listing of the table root, no Spark job.  Resolving the
+    relation instead would list every partition directory and read a footer:
+    on a table with tens of thousands of partitions that is a distributed
+    listing job per check.  As in Spark's own file index, names starting with
+    ``.`` and names starting with ``_`` without an ``=`` (``_SUCCESS``,
+    staging folders, but not a partition ``_tenant_id=x``) are hidden, so the
+    root left by an empty partitioned write is not a table.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
         return False
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the relation only
+    if fs.getFileStatus(p).isFile():
         return True
-    except AnalysisException:
-        return False
+
+    def visible(name: str) -> bool:
+        return not (name.startswith(".") or (name.startswith("_") and "=" not in name))
+
+    return any(visible(s.getPath().getName()) for s in fs.listStatus(p))
 
 
 def require_table(spark: SparkSession, path: str, what: str = "table") -> None:

@@ -11,7 +11,7 @@ from terrace.plans import medallion as m
 from terrace.plans import registry as reg
 from terrace.session import scratch_path
 from terrace.sources import fixtures
-from terrace.sources.files import MissingTableError, read_table, try_read_table
+from terrace.sources.files import MissingTableError, read_table, table_exists, try_read_table
 
 from conftest import SF_SMALL
 
@@ -32,6 +32,18 @@ def test_ingest_contract_violation(spark):
         m.ingest(spark, bad, DELIVERIES, layout, on_violation="raise")
 
 
+def test_table_exists_lists_only_the_root(spark):
+    base = scratch_path(spark, "exists")
+    assert not table_exists(spark, base)
+    df = spark.createDataFrame([("a", 1, 1.0)], "_tenant_id string, mes int, x double")
+    df.write.partitionBy("_tenant_id", "mes").parquet(base + "/parted")   # root holds `_tenant_id=a`
+    assert table_exists(spark, base + "/parted")
+    df.limit(0).write.partitionBy("_tenant_id").parquet(base + "/empty")  # root holds only _SUCCESS
+    assert not table_exists(spark, base + "/empty")
+    df.write.parquet(base + "/flat")
+    assert table_exists(spark, base + "/flat")
+
+
 def test_missing_dimension_and_missing_source(spark):
     layout = m.Layout(scratch_path(spark, "lake"))
     with pytest.raises(MissingTableError):
