@@ -54,7 +54,9 @@ def table_schema(spark: SparkSession, path: str, like: T.StructType | None = Non
     footers of a large table); columns the caller brings in ``like`` are
     added, so an evolving table keeps working.
     """
-    found = spark.read.option("mergeSchema", str(merge).lower()).parquet(path).schema
+    found = None if merge or like is None else _schema_from_one_file(spark, path, like)
+    if found is None:
+        found = spark.read.option("mergeSchema", str(merge).lower()).parquet(path).schema
     if like is None:
         return found
     types = {f.name: f.dataType for f in like.fields}
@@ -64,6 +66,48 @@ def table_schema(spark: SparkSession, path: str, like: T.StructType | None = Non
     return T.StructType(fields)
 
 
+def _schema_from_one_file(spark: SparkSession, path: str, like: T.StructType) -> T.StructType | None:
+    """Unmerged schema of a table without listing all of it.
+
+    Without schema merging Spark takes the data columns from one file anyway;
+    this finds one by following the first visible entry down the partition
+    directories (one small listing per partition level, instead of a listing
+    of every partition).  The partition columns on that path must all be typed
+    by ``like``; otherwise (or on an unexpected layout) None is returned and
+    the caller resolves the whole table.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    types = {f.name: f.dataType for f in like.fields}
+    parts: list[str] = []
+    for _ in range(32):
+        if not fs.exists(p):
+            return None
+        if fs.getFileStatus(p).isFile():
+            break
+        entries = sorted((s for s in fs.listStatus(p)
+                          if not s.getPath().getName().startswith((".", "_"))
+                          or "=" in s.getPath().getName()),
+                         key=lambda s: (s.isDirectory(), s.getPath().getName()))
+        if not entries:
+            return None
+        first = entries[0]
+        if first.isDirectory():
+            name = first.getPath().getName()
+            if "=" not in name:
+                return None
+            parts.append(name.split("=", 1)[0])
+        p = first.getPath()
+    else:
+        return None
+    if any(c not in types for c in parts):
+        return None
+    data = spark.read.parquet(p.toString()).schema
+    fields = [f for f in data.fields if f.name not in parts]
+    return T.StructType(fields + [T.StructField(c, types[c], True) for c in parts])
+
+
 def overwrite(df: DataFrame, path: str, partition_by: Iterable[str] | None = None,
               keep_old_columns: bool = False) -> None:
     """Full load.  ``keep_old_columns`` keeps columns of the existing table that the

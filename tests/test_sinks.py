@@ -124,3 +124,20 @@ def test_upsert_prunes_target_partitions_statically(spark, tmp_table, capsys):
     assert sorted(r["k"] % 20 for r in touched.collect()) == [3] * 10
     unbounded = touched_partitions(target, source, ["d"], max_values=0)
     assert sorted(r["k"] % 20 for r in unbounded.collect()) == [3] * 10
+
+
+def test_table_schema_from_one_file_matches_full_resolution(spark, tmp_table):
+    from pyspark.sql import types as T
+
+    from terrace.operators.sinks import table_schema
+
+    df = spark.createDataFrame([("a", 202501, 1, 1.0), ("b", 202502, 2, 2.0)],
+                               "_tenant_id string, mes int, k int, x double")
+    df.write.partitionBy("_tenant_id", "mes").parquet(tmp_table)
+    like = T.StructType([T.StructField("_tenant_id", T.StringType()), T.StructField("mes", T.IntegerType())])
+    full = spark.read.parquet(tmp_table).schema
+    full = T.StructType([T.StructField(f.name, like[f.name].dataType if f.name in like.names else f.dataType)
+                         for f in full.fields])
+    assert table_schema(spark, tmp_table, like=like) == full
+    # a partition column the caller does not type: falls back to Spark's inference
+    assert table_schema(spark, tmp_table, like=T.StructType([like["mes"]])).names == full.names
