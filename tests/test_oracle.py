@@ -6,8 +6,8 @@ import __spark_entry__ as entry_mod
 from conftest import SF_SMALL
 from oracle_check import compare, duck
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+QUERIES = {name: fn for name, fn in entry_mod.queries().items() if name in entry_mod.QUERIES}
+ORACLE = {name: sql for name, sql in entry_mod.oracle_sql().items() if name in entry_mod.QUERIES}
 
 
 @pytest.fixture(scope="module")
