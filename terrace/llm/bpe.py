@@ -35,14 +35,23 @@ from pyspark.sql import types as T
 
 from terrace.llm.common import add_columns
 
-LEAF = 24
+LEAF = 6
 SCANNED = 32
-KEPT_CHUNKS = 250_000
-# The characters of the Unicode property White_Space.
-_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-# White space and words; a pre-token pattern that lets a match hold white space only
-# alone or as one leading space never crosses these boundaries.
-_CHUNKS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+KEPT = 300_000
+# Texts of these characters alone split alike in ``re`` with plain classes and, much slower, by Unicode property.
+_ODD = re.compile("[^ -~\\n\\r\\tÀ-ÖØ-öø-ÿ]")
+_CLASSES = {r"\p{L}": "A-Za-zÀ-ÖØ-öø-ÿ", r"\p{N}": "0-9"}
+
+
+def _plain(pattern: str) -> str:
+    """The pattern with Unicode properties written out for plain texts, inside brackets and alone."""
+    def put(found: re.Match) -> str:
+        out = found[0]
+        for unicode_class, plain in _CLASSES.items():
+            out = out.replace(unicode_class, plain)
+        return out if found[1] else f"[{out}]"
+
+    return re.sub(r"(\[[^\]]*\])|\\p\{[LN]\}", put, pattern)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -56,14 +65,16 @@ class TreeBPE:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.pattern = regex.compile(pattern)
+        self.split = regex.compile(pattern).findall
+        self.split_plain = re.compile(_plain(pattern)).findall
         self.none = max(ranks.values(), default=-1) + 1
         self.tokens = [b""] * self.none
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.stable = lru_cache(200_000)(self._stable)
-        self.kept: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.small = lru_cache(200_000)(self._small)
+        self.kept: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def merge(self, piece: bytes) -> list[bytes]:
         """Merge adjacent parts, lowest rank first and leftmost on ties, until none has a rank."""
@@ -112,48 +123,50 @@ class TreeBPE:
     def _stable(self, a: bytes, b: bytes) -> bool:
         return self.merge(a + b) == [a, b]
 
-    def join(self, left: list[bytes], right: list[bytes]) -> list[bytes]:
+    def _small(self, piece: bytes) -> tuple[bytes, ...]:
+        return tuple(self._scan(piece))
+
+    def join(self, left: tuple[bytes, ...], right: tuple[bytes, ...]) -> tuple[bytes, ...]:
         if not left or not right or self.stable(left[-1], right[0]):
             return left + right
         k = m = 1
         while True:
             k, m = min(k, len(left)), min(m, len(right))
-            window = self.merge(b"".join(left[-k:] + right[:m]))
+            middle = b"".join(left[-k:] + right[:m])
+            window = self.small(middle) if len(middle) <= SCANNED else tuple(self.merge(middle))
             left_ok = k == len(left) or self.stable(left[-k - 1], window[0])
             right_ok = m == len(right) or self.stable(window[-1], right[m])
             if left_ok and right_ok:
                 return left[:-k] + window + right[m:]
             k, m = k * (1 if left_ok else 2), m * (1 if right_ok else 2)
 
-    def parts(self, piece: bytes) -> list[bytes]:
+    def parts(self, piece: bytes) -> tuple[bytes, ...]:
         if len(piece) <= LEAF:
-            return self.merge(piece)
+            return self.small(piece)
         half = len(piece) // 2
         return self.join(self.parts(piece[:half]), self.parts(piece[half:]))
 
-    def piece_ids(self, piece: bytes) -> list[int]:
-        """Ids of one match; a match that is itself a token is that token."""
-        whole = self.ranks.get(piece)
-        return [whole] if whole is not None else [self.ranks[t] for t in self.parts(piece)]
+    def match_ids(self, match: str) -> tuple[int, ...]:
+        """Ids of one match, which are not among the newest results: an older one, or by the tree.
 
-    def _chunk_ids(self, chunk: str) -> list[int]:
-        """Ids of a chunk that is not among the newest results: an older one, or by the tree."""
-        out = self.older.get(chunk)
+        A match that is itself a token is that token.
+        """
+        out = self.older.get(match)
         if out is None:
-            out = []
-            for match in self.pattern.findall(chunk):
-                out += self.piece_ids(match.encode("utf-8"))
-        if len(chunk) <= 64:
-            if len(self.kept) >= KEPT_CHUNKS:
+            piece = match.encode("utf-8")
+            whole = self.ranks.get(piece)
+            out = (whole,) if whole is not None else tuple([self.ranks[t] for t in self.parts(piece)])
+        if len(match) <= 48:
+            if len(self.kept) >= KEPT:
                 self.kept, self.older = {}, self.kept
-            self.kept[chunk] = out
+            self.kept[match] = out
         return out
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        for chunk in _CHUNKS.findall(text):
-            ids = self.kept.get(chunk)
-            out += self._chunk_ids(chunk) if ids is None else ids
+        for match in (self.split if _ODD.search(text) else self.split_plain)(text):
+            ids = self.kept.get(match)
+            out += self.match_ids(match) if ids is None else ids
         return out
 
     def decode(self, ids: list[int]) -> bytes:
@@ -201,15 +214,19 @@ def decode(df: DataFrame, ranks: dict[bytes, int], pattern: str, ids: str = "ids
 
     def run(columns: list[pa.Array]) -> list[pa.Array]:
         codec = _codec(shared, key)
-        return [pa.array([codec.decode(x.as_py() or []) for x in columns[0]], pa.binary())]
+        rows = columns[0].fill_null([]) if columns[0].null_count else columns[0]
+        ends = rows.offsets.to_pylist()
+        numbers = rows.values.to_numpy(zero_copy_only=False)
+        return [pa.array([codec.decode(numbers[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.binary())]
 
     return add_columns(df, [ids], {decoded: T.BinaryType()}, run)
 
 
-def digest(df: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """doc_id, number of ids, SHA-256 of the comma-joined decimal ids and of the decoded bytes."""
+def digest(df: DataFrame, ids: str = "ids", decoded: str = "decoded", keep_ids: bool = False) -> DataFrame:
+    """doc_id, number of ids, SHA-256 of the comma-joined decimal ids and of the decoded bytes; the ids on demand."""
     return df.select(
         "doc_id",
+        *([ids] if keep_ids else []),
         F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col(ids).cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col(decoded), 256).alias("decoded_sha256"),
