@@ -7,7 +7,7 @@ ORC stores the ids with integer run-length encoding in stripes; tasks read the
 stripes of a file in parallel.  A reader that asks for some doc_ids skips
 files and stripes by their statistics and Bloom filters (``read_tokens``).
 
-Each row holds ``doc_id``, ``ids`` and ``offset``, the number of ids before it
+Each row holds ``doc_id``, ``ids``, their number ``n`` and ``offset``, the number of ids before it
 in its file; ``file_starts`` adds up the files, so a document's first position
 in the whole stream needs no global sort of rows.
 
@@ -29,18 +29,21 @@ from pyspark.sql import types as T
 
 from terrace.llm.common import narrow_batches
 
-KEPT_WORDS = 200_000
-SCHEMA = "doc_id long, ids array<int>, offset long"
-# A run of letters whose lower case and canonical form are its own letters one by one, then
-# marks that the tokenizer splits off.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-Þß-öø-ÿ]+)([.,!?|;:*#$%&]*)")
+KEPT = 250_000
+SCHEMA = "doc_id long, ids array<int>, offset long, n int"
+# In texts of these characters alone, lower-casing goes letter by letter and composes nothing, and
+# the tokenizer's split is the one below.
+_ODD = re.compile("[^ -~\\n\\r\\tÀ-ÖØ-Þß-öø-ÿ]|<\\|")
+_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
 
 
-class WordEncoder:
-    """Ids of a text from the ids of its space-separated words, which are kept.
+class TextEncoder:
+    """Ids of whole texts by the library, which drops white space and never lets a token span it.
 
-    Right for tokenizers that drop white space and never let a token span it.
-    Newest results are kept up to a fixed number, then one older generation.
+    Texts of plain letters are split here and each part is merged by the
+    library's model once while it is among the newest results; other words go
+    through the whole library one by one.  ``check`` holds the two ways
+    against each other when the encoder is made.
     """
 
     def __init__(self, json: str):
@@ -50,64 +53,62 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(json)
         self.model = self.tokenizer.model
-        self.words: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
-        self.stems: dict[str, list[int]] = {}
-        self.marks: dict[str, list[int]] = {}
+        self.numbers = list(range(self.tokenizer.get_vocab_size()))
+        self.kept: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         level = ByteLevel(add_prefix_space=False, use_regex=False)
-        letters = [c for c in map(chr, range(0x61, 0x100)) if _PLAIN.fullmatch(c)]
-        self.table = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
-        sample = "".join(letters)
-        self.plain = [t.id for t in self.model.tokenize(sample.translate(self.table))] == self.library(sample)
+        self.table = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0x21, 0x100)
+                      if not _ODD.search(chr(c))}
+        self.plain = self.check()
+
+    def check(self) -> bool:
+        sample = "".join(chr(c) + " " * (c % 3 == 0) for c in self.table) + "It's we'll ÀÉß1234 ,.!? don't"
+        return self._split(sample) == self.library(sample)
 
     def library(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _word(self, word: str) -> list[int]:
-        out = self.older.get(word)
+    def _keep(self, part: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        if len(part) <= 48:
+            if len(self.kept) >= KEPT:
+                self.kept, self.older = {}, self.kept
+            self.kept[part] = ids
+        return ids
+
+    def _part(self, part: str) -> tuple[int, ...]:
+        out = self.older.get(part)
         if out is None:
-            plain = _PLAIN.fullmatch(word) if self.plain else None
-            if plain is None:
-                out = self.library(word)
-            else:
-                stem = plain[1].lower()
-                out = self.stems.get(stem)
-                if out is None:
-                    # the library's merges, without its normaliser and splitter, which leave such a run as it is
-                    out = [t.id for t in self.model.tokenize(stem.translate(self.table))]
-                    if len(self.stems) >= KEPT_WORDS:
-                        self.stems.clear()
-                    self.stems[stem] = out
-                if plain[2]:
-                    end = self.marks.get(plain[2])
-                    if end is None:
-                        end = self.library(plain[2])
-                        if len(self.marks) >= 10_000:
-                            self.marks.clear()
-                        self.marks[plain[2]] = end
-                    out = out + end
-        if len(word) <= 64:
-            if len(self.words) >= KEPT_WORDS:
-                self.words, self.older = {}, self.words
-            self.words[word] = out
+            numbers = self.numbers
+            out = tuple([numbers[t.id] for t in self.model.tokenize(
+                part if part.isascii() else part.translate(self.table))])
+        return self._keep(part, out)
+
+    def _split(self, text: str) -> list[int]:
+        out: list[int] = []
+        for part in _SPLIT.findall(text.lower()):
+            ids = self.kept.get(part)
+            out += self._part(part) if ids is None else ids
         return out
 
     def encode(self, text: str) -> list[int]:
+        if not self.plain:
+            return self.library(text)
+        if not _ODD.search(text):
+            return self._split(text)
         out: list[int] = []
         for word in text.split(" "):
-            ids = self.words.get(word)
-            out += self._word(word) if ids is None else ids
+            out += self.library(word) if _ODD.search(word) else self._split(word)
         return out
 
 
-_encoders: dict[int, WordEncoder] = {}
+_encoders: dict[int, TextEncoder] = {}
 
 
-def _encoder(shared) -> WordEncoder:
+def _encoder(shared) -> TextEncoder:
     key = hash(shared.value)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = WordEncoder(shared.value)
+        _encoders[key] = TextEncoder(shared.value)
     return _encoders[key]
 
 
@@ -121,16 +122,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = _encoder(shared), 0
         for batch in batches:
-            ids, offsets = [], []
+            ids, offsets, sizes = [], [], []
             for t in batch.column(1):
                 row = encoder.encode(t.as_py() or "")
                 row.append(end_id)
                 ids.append(row)
                 offsets.append(before)
+                sizes.append(len(row))
                 before += len(row)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(offsets, pa.int64())],
-                names=["doc_id", "ids", "offset"])
+                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(offsets, pa.int64()),
+                 pa.array(sizes, pa.int32())], names=["doc_id", "ids", "offset", "n"])
 
     narrow_batches(docs.sparkSession)
     rows = docs.select("doc_id", F.col(text).alias("text"))
@@ -149,7 +151,7 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None
 
 def file_starts(tokens: DataFrame) -> DataFrame:
     """(file, first): ids in all files before it; one row a file, so the running sum is over metadata."""
-    totals = tokens.groupBy("file").agg(F.sum(F.size("ids").cast("long")).alias("n"))
+    totals = tokens.groupBy("file").agg(F.sum(F.col("n").cast("long")).alias("n"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     return totals.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("first"))
 
@@ -169,7 +171,7 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
 
     tokens = read_tokens(spark, path)
     starts = file_starts(tokens)
-    rows = tokens.mapInArrow(run, "doc_id long, offset long, file string, n_tokens long, ids_crc32 long")
+    rows = tokens.select("doc_id", "ids", "offset", "file").mapInArrow(run, "doc_id long, offset long, file string, n_tokens long, ids_crc32 long")
     # one short row a file: bounded by the number of files, which is that of the range partitions
     return rows.join(F.broadcast(starts), "file").select(
         "doc_id", (F.col("first") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
