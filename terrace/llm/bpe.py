@@ -37,7 +37,7 @@ from terrace.llm.common import add_columns
 
 LEAF = 6
 SCANNED = 32
-KEPT = 300_000
+KEPT = 150_000
 # Texts of these characters alone split alike in ``re`` with plain classes and, much slower, by Unicode property.
 _ODD = re.compile("[^ -~\\n\\r\\tÀ-ÖØ-öø-ÿ]")
 _CLASSES = {r"\p{L}": "A-Za-zÀ-ÖØ-öø-ÿ", r"\p{N}": "0-9"}
@@ -71,8 +71,8 @@ class TreeBPE:
         self.tokens = [b""] * self.none
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.stable = lru_cache(200_000)(self._stable)
-        self.small = lru_cache(200_000)(self._small)
+        self.stable = lru_cache(100_000)(self._stable)
+        self.small = lru_cache(100_000)(self._small)
         self.kept: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 

@@ -61,13 +61,20 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats:
         F.least(F.col("cap"), F.coalesce(F.col("final") * F.col("w"), F.col("cap"))).alias("target"))
 
 
+def marks(docs: DataFrame) -> list[Column]:
+    """Two hashes of all columns: rows with the same are taken to be equal."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return [F.xxhash64(*columns).alias("mark1"), F.xxhash64(F.lit(1), *columns).alias("mark2")]
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = 3, text: str = "text",
         rows_per_slice: int = 20_000, least_slices: int = 256) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken (= copies * size).
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken (= copies * size),
+    and ``mark1`` and ``mark2``, two hashes of the whole row.
 
     ``rows_per_slice`` bounds what one task sorts; it has no effect on the result.
     """
-    rows = stage(docs.select("doc_id", "source", word_count(F.col(text)).alias("size"),
+    rows = stage(docs.select("doc_id", "source", word_count(F.col(text)).alias("size"), *marks(docs),
                              F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("key")),
                  "mix-sizes")
     n = rows.count()
@@ -84,9 +91,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats: int
     firsts = firsts.join(goals, same).select(
         firsts["source"].alias("s"), F.col("slice").alias("k"), "first", "rank", "source_size", "target")
     joined = rows.join(firsts, rows["source"].eqNullSafe(firsts["s"]) & (rows["slice"] == firsts["k"]))
-    in_slice = Window.partitionBy("rank", "slice").orderBy("key", "doc_id", "size").rowsBetween(
+    in_slice = Window.partitionBy("rank", "slice").orderBy("key", "doc_id", "size", "mark1").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    queued = stage(joined.select("doc_id", "source", "size", "source_size", "target", "rank",
+    queued = stage(joined.select("doc_id", "source", "size", "source_size", "target", "rank", "mark1", "mark2",
                                  (F.col("first") + F.sum("size").over(in_slice)).alias("upto")), "mix-queue")
 
     # positions are whole numbers of words, so every copy's time is one division
@@ -120,5 +127,18 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats: int
                                      position(c).alias("at")) < end, 1).otherwise(0)
                      for c in range(max_repeats)), F.lit(0))
         taken = F.when(F.col("size") > 0, taken).otherwise(0)
-    return queued.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("copies")) \
-        .withColumn("taken", F.col("copies") * F.col("size"))
+    return queued.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("copies"), (
+        taken * F.col("size")).cast("long").alias("taken"), "mark1", "mark2")
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = 3,
+                    text: str = "text") -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, with its columns."""
+    taken = mix(docs, weights, max_repeats, text).where("copies > 0").groupBy("mark1", "mark2").agg(
+        F.sum("copies").alias("__llm_copies"))
+    taken = taken.select(F.col("mark1").alias("__llm_mark1"), F.col("mark2").alias("__llm_mark2"), "__llm_copies")
+    first, second = marks(docs)
+    rows = docs.select("*", first.alias("__llm_mark1"), second.alias("__llm_mark2")).join(
+        taken, ["__llm_mark1", "__llm_mark2"]).dropDuplicates(["__llm_mark1", "__llm_mark2"])
+    repeated = rows.withColumn("__llm_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__llm_copies"))))
+    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
