@@ -205,10 +205,12 @@ def near_vectors(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
     roots = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")), "vector-components")
     ids = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least_id"))
     of_node = nodes.select("node", "weight").join(ids, "node").join(counts, "node", "left").join(roots, "node", "left")
-    of_root = of_node.where("root is not null").groupBy("root").agg(F.min("least_id").alias("root_id"))
-    final = stage(of_node.join(of_root, "root", "left").select(
+    # a node without links is its own root: no null keys that would meet in one task
+    of_node = of_node.withColumn("root", F.coalesce("root", "node"))
+    of_root = of_node.groupBy("root").agg(F.min("least_id").alias("root_id"))
+    final = stage(of_node.join(of_root, "root").select(
         "node", (F.coalesce("links", zero) + F.col("weight") - 1).alias("n_links"),
-        F.coalesce("root_id", "least_id").alias("component")), "vector-found")
+        F.col("root_id").alias("component")), "vector-found")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component"))
     return rows.select("id", "node").join(final, "node", "left").select(
         F.col("id").alias("vec_id"), F.coalesce("n_links", zero).alias("n_links"), component.alias("component_id"),

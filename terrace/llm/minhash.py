@@ -313,12 +313,13 @@ def duplicates(docs: DataFrame, p: Params = Params(), text: str = "text") -> Dat
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")),
         "minhash-nodes")
     links = _links(docs, nodes, p, text)
-    joined = nodes.select("node", "rep").join(components(links, "minhash-components"), "node", "left")
-    least = joined.where("root is not null").groupBy("root").agg(
+    # a node without links is its own root: no null keys that would meet in one task
+    joined = nodes.select("node", "rep").join(components(links, "minhash-components"), "node", "left").withColumn(
+        "root", F.coalesce("root", "node"))
+    least = joined.groupBy("root").agg(
         F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "node")).alias("least"))
-    found = stage(joined.join(least, "root", "left").select(
-        "node", F.coalesce(F.col("least.rep"), F.col("rep")).alias("component"),
-        F.coalesce(F.col("least.node"), F.col("node")).alias("first")), "minhash-found")
+    found = stage(joined.join(least, "root").select(
+        "node", F.col("least.rep").alias("component"), F.col("least.node").alias("first")), "minhash-found")
     return rows.select("doc_id", "n_shingles", "node").join(found, "node", "left").select(
         "doc_id", "n_shingles", "node",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
