@@ -1,10 +1,16 @@
-"""Idempotent table writes on plain parquet: full load, partition replace, prefix
-replace, append, upsert, and a staged (lineage-cutting) materialization.
+"""Idempotent table writes on plain parquet: full load, partition replace, slice
+replace, prefix replace, append, upsert, and a staged (lineage-cutting) materialization.
 
-Parquet has no transaction log, so a write is not atomic: a job that fails
-while committing can leave a partition half replaced, and rerunning the same
-write repairs it (every operation here is idempotent).  These functions are
-the seam where a table format with ACID commits can be swapped in.
+Parquet has no transaction log, so a write is not atomic.  Writes that merge
+old rows into new files (``upsert``, ``replace_slices``) first stage the whole
+merged partitions beside the table and remove the stage only after the commit:
+if a commit breaks, :func:`recover` (or the next such write) replays it, and no
+row is lost.  The other writes are repaired by running them again.  These
+functions are the seam where a table format with ACID commits can be swapped in.
+
+Every table carries its columns in a hidden file (the union over all writes),
+so a later write never has to guess them from some data file, and columns that
+only some files have survive a rewrite.
 
 Every partitioned write goes through a ``REBALANCE`` on the partition
 columns: AQE then sizes the write tasks (splitting a hot partition value over
@@ -14,14 +20,18 @@ or one file per task and value.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.session import remove_path, scratch_path
-from terrace.sources.files import read_table, table_exists
+from terrace.sources.files import path_exists, read_table, table_exists
+
+SCHEMA_FILE = "_table_schema.json"   # hidden from readers, as all names with a leading "_"
+DUPLICATE = "duplicate upsert key "
 
 
 class DuplicateKeyError(ValueError):
@@ -44,79 +54,83 @@ def _write(df: DataFrame, path: str, mode: str, partition_by: Iterable[str] | No
     w.parquet(path)
 
 
-def table_schema(spark: SparkSession, path: str, like: T.StructType | None = None,
-                 merge: bool = False) -> T.StructType:
-    """Schema of an existing table, with the columns of ``like`` added and typed like ``like``.
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    Partition columns take ``like``'s types (inference would turn a string
-    ``'20250101'`` into an int).  ``merge=False`` reads the schema from the
-    table's files without merging every footer (that costs a pass over all
-    footers of a large table); columns the caller brings in ``like`` are
-    added, so an evolving table keeps working.
-    """
-    found = None if merge or like is None else _schema_from_one_file(spark, path, like)
-    if found is None:
-        found = spark.read.option("mergeSchema", str(merge).lower()).parquet(path).schema
-    if like is None:
-        return found
-    types = {f.name: f.dataType for f in like.fields}
-    fields = [T.StructField(f.name, types.get(f.name, f.dataType), True) for f in found.fields]
-    names = {f.name for f in fields}
-    fields += [T.StructField(f.name, f.dataType, True) for f in like.fields if f.name not in names]
-    return T.StructType(fields)
-
-
-def _schema_from_one_file(spark: SparkSession, path: str, like: T.StructType) -> T.StructType | None:
-    """Unmerged schema of a table without listing all of it.
-
-    Without schema merging Spark takes the data columns from one file anyway;
-    this finds one by following the first visible entry down the partition
-    directories (one small listing per partition level, instead of a listing
-    of every partition).  The partition columns on that path must all be typed
-    by ``like``; otherwise (or on an unexpected layout) None is returned and
-    the caller resolves the whole table.
-    """
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    types = {f.name: f.dataType for f in like.fields}
-    parts: list[str] = []
-    for _ in range(32):
-        if not fs.exists(p):
-            return None
-        if fs.getFileStatus(p).isFile():
-            break
-        entries = sorted((s for s in fs.listStatus(p)
-                          if not s.getPath().getName().startswith((".", "_"))
-                          or "=" in s.getPath().getName()),
-                         key=lambda s: (s.isDirectory(), s.getPath().getName()))
-        if not entries:
-            return None
-        first = entries[0]
-        if first.isDirectory():
-            name = first.getPath().getName()
-            if "=" not in name:
-                return None
-            parts.append(name.split("=", 1)[0])
-        p = first.getPath()
-    else:
-        return None
-    if any(c not in types for c in parts):
+
+def write_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Note a table's columns beside its files (written aside, then renamed)."""
+    fs, target = _hadoop(spark, f"{path}/{SCHEMA_FILE}")
+    _, part = _hadoop(spark, f"{path}/{SCHEMA_FILE}.new")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(schema.json().encode("utf-8")))
+    finally:
+        out.close()
+    fs.delete(target, False)
+    if not fs.rename(part, target):
+        raise OSError(f"cannot write {target}")
+
+
+def read_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The noted columns of a table; None if it was not written by this module."""
+    fs, p = _hadoop(spark, f"{path}/{SCHEMA_FILE}")
+    if not fs.exists(p):
         return None
-    data = spark.read.parquet(p.toString()).schema
-    fields = [f for f in data.fields if f.name not in parts]
-    return T.StructType(fields + [T.StructField(c, types[c], True) for c in parts])
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
+def _union(old: T.StructType | None, new: T.StructType) -> T.StructType:
+    """Columns of both; a column of both has the new type."""
+    types = {f.name.lower(): f.dataType for f in new.fields}
+    fields = [T.StructField(f.name, types.get(f.name.lower(), f.dataType)) for f in (old.fields if old else [])]
+    names = {f.name.lower() for f in fields}
+    return T.StructType(fields + [T.StructField(f.name, f.dataType) for f in new.fields if f.name.lower() not in names])
+
+
+def table_schema(spark: SparkSession, path: str, like: T.StructType | None = None) -> T.StructType:
+    """All columns of an existing table, with the columns of ``like`` added and typed like ``like``.
+
+    They come from the table's own note.  A table that other tools wrote has
+    none: its files' schemas are then merged, which reads every footer once.
+    """
+    found = read_schema(spark, path) or spark.read.option("mergeSchema", "true").parquet(path).schema
+    return found if like is None else _union(found, like)
+
+
+def _note(spark: SparkSession, path: str, old: T.StructType | None, new: T.StructType) -> None:
+    schema = _union(old, new)
+    if old != schema or read_schema(spark, path) != schema:
+        write_schema(spark, path, schema)
+
+
+def _known(spark: SparkSession, path: str) -> T.StructType | None:
+    return table_schema(spark, path) if table_exists(spark, path) else None
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Iterable[str] | None = None,
               keep_old_columns: bool = False) -> None:
     """Full load.  ``keep_old_columns`` keeps columns of the existing table that the
     new data lacks, as NULLs (what a table format with schema merge does)."""
+    if path_exists(df.sparkSession, _pending(path)):
+        remove_path(df.sparkSession, _pending(path))   # superseded: the whole table is replaced
     if keep_old_columns and table_exists(df.sparkSession, path):
-        old = table_schema(df.sparkSession, path, like=df.schema, merge=True)
-        extra = [f for f in old.fields if f.name not in df.columns]
+        old = table_schema(df.sparkSession, path, like=df.schema)
+        have = {c.lower() for c in df.columns}
+        extra = [f for f in old.fields if f.name.lower() not in have]
         df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in extra})
+    _overwrite(df, path, partition_by)
+
+
+def _overwrite(df: DataFrame, path: str, partition_by: Iterable[str] | None = None) -> None:
     _write(df, path, "overwrite", partition_by)
+    _note(df.sparkSession, path, None, df.schema)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Iterable[str]) -> None:
@@ -129,7 +143,14 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Iterable[str]) ->
     pb = list(partition_by)
     if not pb:
         raise ValueError("replace_partitions needs partition columns")
+    recover(df.sparkSession, path, pb)
+    _replace_partitions(df, path, pb)
+
+
+def _replace_partitions(df: DataFrame, path: str, pb: list[str]) -> None:
+    old = _known(df.sparkSession, path)
     _write(df, path, "overwrite", pb, dynamic=True)
+    _note(df.sparkSession, path, old, df.schema)
 
 
 _ESCAPE = set('"#%\'*/:=?\\\x7f{[]^') | {chr(i) for i in range(1, 32)}
@@ -137,7 +158,7 @@ _ESCAPE = set('"#%\'*/:=?\\\x7f{[]^') | {chr(i) for i in range(1, 32)}
 
 def partition_dir(column: str, value) -> str:
     """Hive-style directory name of one partition value."""
-    if value is None:
+    if value is None or value == "":   # Spark stores both in the default partition
         return f"{column}=__HIVE_DEFAULT_PARTITION__"
     text = str(value)
     return f"{column}=" + "".join(f"%{ord(ch):02X}" if ch in _ESCAPE else ch for ch in text)
@@ -147,22 +168,38 @@ def replace_prefix(df: DataFrame, path: str, prefix: Mapping[str, object],
                    partition_by: Iterable[str]) -> None:
     """Replace everything under a leading partition prefix, e.g. ``pais='X'``,
     including partitions the batch does not contain (a static partition
-    overwrite).  ``prefix`` must be the leading columns of ``partition_by``."""
+    overwrite).  ``prefix`` must be the leading columns of ``partition_by``.
+    A row outside the prefix raises, before anything is replaced."""
     pb = list(partition_by)
     keys = list(prefix)
     if pb[:len(keys)] != keys:
         raise ValueError(f"prefix {keys} must lead the partition columns {pb}")
     sub = path.rstrip("/") + "/" + "/".join(partition_dir(c, prefix[c]) for c in keys)
-    batch = df
+    spark = df.sparkSession
+    inside = F.lit(True)
     for c in keys:
         v = prefix[c]
-        batch = batch.filter(F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
-    _write(batch.drop(*keys), sub, "overwrite", pb[len(keys):])
+        inside = inside & (F.col(c).isNull() if v is None else F.col(c).eqNullSafe(F.lit(v)))
+    outside = F.raise_error(F.concat(F.lit(f"a row is outside the prefix {dict(prefix)}: "),
+                                     F.to_json(F.struct(*keys)))).cast("boolean")
+    recover(spark, path, pb)
+    # Staged first: an overwrite deletes before it writes, so a row outside must be met before that.
+    staged, stage = materialize(spark, df.filter(F.when(inside, F.lit(True)).otherwise(outside)), "prefix-batch")
+    old = _known(spark, path)
+    try:
+        _write(staged.drop(*keys), sub, "overwrite", pb[len(keys):])
+    except Exception as exc:
+        raise RuntimeError(f"overwrite of {sub} failed; the batch is kept at {stage}") from exc
+    _note(spark, path, old, df.schema)
+    remove_path(spark, stage)
 
 
 def append(df: DataFrame, path: str, partition_by: Iterable[str] | None = None) -> None:
     """Append.  New columns are allowed: read with ``merge_schema=True`` to see them."""
+    recover(df.sparkSession, path, partition_by)
+    old = _known(df.sparkSession, path)
     _write(df, path, "append", partition_by)
+    _note(df.sparkSession, path, old, df.schema)
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
@@ -178,14 +215,64 @@ def materialize(spark: SparkSession, df: DataFrame, name: str = "stage") -> tupl
     return read_table(spark, path, schema=df.schema), path
 
 
-def assert_unique(df: DataFrame, keys: Iterable[str], null_safe: bool = False) -> None:
-    """Raise :class:`DuplicateKeyError` if two rows share a key (NULL keys only
-    count when matching is null-safe, since plain ``=`` never matches them)."""
+def duplicate_keys(df: DataFrame, keys: Iterable[str], null_safe: bool = False) -> DataFrame:
+    """Keys that several rows share, with their number in ``rows`` (NULL keys only count when
+    matching is null-safe, since plain ``=`` never matches them)."""
     keys = list(keys)
     src = df if null_safe else df.dropna(subset=keys)
-    dup = src.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
+    return src.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
+
+
+def assert_unique(df: DataFrame, keys: Iterable[str], null_safe: bool = False) -> None:
+    """Raise :class:`DuplicateKeyError` if two rows share a key."""
+    dup = duplicate_keys(df, keys, null_safe).limit(1).collect()
     if dup:
-        raise DuplicateKeyError(f"duplicate upsert key {dup[0].asDict()}")
+        raise DuplicateKeyError(f"{DUPLICATE}{dup[0].asDict()}")
+
+
+def _pending(path: str) -> str:
+    """Where the merged partitions of a write wait for their commit: beside the table, hidden."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_pending-{name}"
+
+
+def recover(spark: SparkSession, path: str, partition_by: Iterable[str] | None = None) -> bool:
+    """Replay a merge whose commit did not finish; True if there was one.
+
+    Every write calls this first (a full load drops the stage instead).  A stage without its schema note was not
+    complete, so its commit had not begun: it is removed.
+    """
+    pending = _pending(path)
+    if not path_exists(spark, pending):
+        return False
+    schema = read_schema(spark, pending)
+    if schema is not None:
+        staged = read_table(spark, pending, schema=schema)
+        if partition_by:
+            _replace_partitions(staged, path, list(partition_by))
+        else:
+            _overwrite(staged, path)
+    remove_path(spark, pending)
+    return schema is not None
+
+
+def _commit(spark: SparkSession, result: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Stage the merged rows, then put them in place; the stage outlives a broken commit."""
+    pending = _pending(path)
+    result.write.mode("overwrite").parquet(pending)
+    write_schema(spark, pending, result.schema)
+    try:
+        recover(spark, path, partition_by)
+    except Exception as exc:
+        raise RuntimeError(f"commit to {path} failed; recover() replays it from {pending}") from exc
+
+
+def _match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> Column:
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        r = right[f"__k_{i}"]
+        cond = cond & (left[k].eqNullSafe(r) if null_safe else left[k] == r)
+    return cond
 
 
 def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
@@ -194,37 +281,63 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
     """Update rows whose key matches, insert the others; create the table if absent.
 
     Partitioned target: only partitions that the source touches are read and
-    rewritten (:func:`touched_partitions` prunes the scan statically),
-    ``kept = touched ▷ source`` on the key, and ``kept ∪ source`` replaces
-    those partitions.
+    rewritten (:func:`touched_partitions` prunes the scan statically).  Their
+    merged rows, ``touched ▷ source`` on the key and the source, are staged
+    beside the table and then replace those partitions; an unpartitioned table
+    is staged and replaced whole.  A commit that breaks is replayed from the
+    stage by :func:`recover` or the next upsert.
 
-    Unpartitioned target: the result is staged in the shared folder first
-    and the table is overwritten from the stage (an overwrite cannot read its
-    own output path).
+    Columns: the table keeps all it has.  Columns that only the source has are
+    added; in a matched row, columns that the source lacks keep their values.
 
     Matching uses ``=`` (a NULL key never matches, parity with MERGE) unless
     ``null_safe``.  Partition columns must be part of the key, otherwise an
-    update could not move a row between partitions.
+    update could not move a row between partitions.  Two source rows with one
+    key raise :class:`DuplicateKeyError` before anything is written; the keys
+    are grouped once, for this check and as the anti join's right side.
 
-    The source is consumed several times (key check, touched partitions,
-    anti join, union); ``stage_source`` writes it once to the shared folder so
-    its upstream plan is not recomputed for each (pass False when the source
-    is already a plain scan of staged data).
+    The source is consumed several times; ``stage_source`` writes it once to
+    the shared folder so its upstream plan is not recomputed for each (pass
+    False when the source is already a plain scan of staged data).
     """
     keys, pb = list(keys), list(partition_by or [])
     outside = [c for c in pb if c not in keys]
     if outside:
         raise ValueError(f"partition columns {outside} must be part of the upsert key")
+    _merge(spark, df, path, keys, pb, null_safe, check_duplicates, stage_source, fill=True)
+
+
+def replace_slices(spark: SparkSession, df: DataFrame, path: str, slices: Iterable[str],
+                   partition_by: Iterable[str], stage_source: bool = True) -> None:
+    """Replace the rows whose ``slices`` values occur in ``df``, in a table whose partitions may be coarser.
+
+    ``slices`` must hold the partition columns.  In the partitions that the
+    batch touches, rows of other slices stay.  With slices as fine as the
+    partitions this is :func:`replace_partitions`.  An empty ``df`` changes nothing.
+    """
+    slices, pb = list(slices), list(partition_by)
+    if not pb or any(c not in slices for c in pb):
+        raise ValueError(f"slices {slices} must hold the partition columns {pb}")
+    if set(slices) == set(pb):
+        replace_partitions(df, path, pb)
+    else:
+        _merge(spark, df, path, slices, pb, True, False, stage_source, fill=False)
+
+
+def _merge(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: list[str], null_safe: bool,
+           unique: bool, stage_source: bool, fill: bool) -> None:
+    """``(touched ▷ source) ∪ source`` over the touched partitions, staged and committed."""
     if stage_source:
-        staged, stage = materialize(spark, df, "upsert-source")
+        staged, stage = materialize(spark, df, "merge-source")
         try:
-            upsert(spark, staged, path, keys, pb, null_safe, check_duplicates, stage_source=False)
+            _merge(spark, staged, path, keys, pb, null_safe, unique, False, fill)
         finally:
             remove_path(spark, stage)
         return
-    if check_duplicates:
-        assert_unique(df, keys, null_safe)
+    recover(spark, path, pb)
     if not table_exists(spark, path):
+        if unique:
+            assert_unique(df, keys, null_safe)
         if pb:
             replace_partitions(df, path, pb)
         else:
@@ -234,51 +347,66 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
     target = read_table(spark, path, schema=table_schema(spark, path, like=df.schema))
     if pb:
         target = touched_partitions(target, df, pb)
-    src_keys = df.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)])
-    match = None
-    for i, k in enumerate(keys):
-        e = target[k].eqNullSafe(src_keys[f"__k_{i}"]) if null_safe else target[k] == src_keys[f"__k_{i}"]
-        match = e if match is None else match & e
-    kept = target.join(src_keys, match, "left_anti")
-    result = kept.unionByName(df, allowMissingColumns=True)
-    if pb:
-        replace_partitions(result, path, pb)
+    named = df.groupBy(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)]).agg(
+        F.count(F.lit(1)).alias("__rows"))
+    kept = target.join(named, _match(target, named, keys, null_safe), "left_anti")
+    have = {c.lower() for c in df.columns}
+    lacking = [c for c in target.columns if c.lower() not in have]
+    if fill and lacking:
+        old = target.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)], *lacking)
+        source = df.join(old, _match(df, old, keys, null_safe), "left").select(*[df[c] for c in df.columns], *lacking)
     else:
-        # The stage is the only complete copy of the merged table while the
-        # target is being overwritten: it is removed only after success.
-        staged, stage = materialize(spark, result, "upsert-result")
-        try:
-            overwrite(staged, path)
-        except Exception as exc:
-            raise RuntimeError(f"overwrite of {path} failed; the merged table is kept at {stage}") from exc
-        remove_path(spark, stage)
-
-
-def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Iterable[str],
-                       max_values: int = 10000) -> DataFrame:
+        source = df
+    result = kept.unionByName(source, allowMissingColumns=True)
+    if unique:
+        # A branch without rows, or an error; it reads the same exchange as the anti join.
+        twice = F.col("__rows") > 1
+        if not null_safe:
+            for i in range(len(keys)):
+                twice = twice & F.col(f"__k_{i}").isNotNull()
+        message = F.raise_error(F.concat(F.lit(DUPLICATE), F.to_json(F.struct(
+            *[F.col(f"__k_{i}").alias(k) for i, k in enumerate(keys)]))))
+        first, *rest = result.schema.fields
+        result = result.unionByName(named.filter(twice).select(
+            message.cast(first.dataType).alias(first.name), *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]))
+    try:
+        _commit(spark, result, path, pb)
+    except Exception as exc:
+        if DUPLICATE in str(exc):
+            text = str(exc)
+            raise DuplicateKeyError(text[text.index(DUPLICATE):].split("\n")[0]) from None
+        raise
+
+
+def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Iterable[str]) -> DataFrame:
     """Rows of ``target`` in the partitions that ``source`` touches (NULL partitions included).
 
-    The distinct partition values of the source — metadata, bounded by the
-    table's partition count, not by its rows — become a static partition
-    filter, so the target scan is pruned at planning time whatever the
-    source's plan looks like.  Per column ``IN`` lists select a superset (the
-    product of the values); the null-safe semi join then keeps exactly the
-    touched tuples.  Above ``max_values`` tuples the static filter is
-    skipped and the semi join alone gives the same rows (it may then scan
-    more of the target).
+    Per value of the leading partition column the source's smallest and
+    largest value of each further one become a static filter, so the target
+    scan is pruned at planning time whatever the source's plan looks like.
+    That is one row per leading value, whatever the number of partitions.  The
+    filter keeps a superset; the null-safe semi join then keeps exactly the
+    touched partitions.
     """
-    pb = list(partition_by)
-    parts = source.select(*pb).distinct()
-    values = parts.limit(max_values + 1).collect()
-    if len(values) <= max_values:
-        for i, c in enumerate(pb):
-            seen = {r[i] for r in values}
-            cond = F.col(c).isin(sorted(v for v in seen if v is not None))
-            if None in seen:
-                cond = cond | F.col(c).isNull()
-            target = target.filter(cond)
-    cond = None
-    for c in pb:
-        e = target[c].eqNullSafe(parts[c])
-        cond = e if cond is None else cond & e
-    return target.join(F.broadcast(parts) if len(values) <= max_values else parts, cond, "left_semi")
+    lead, *rest = list(partition_by)
+    aggs = [x for i, c in enumerate(rest) for x in (F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"),
+                                                    F.count_if(F.col(c).isNull()).alias(f"nulls{i}"))]
+    ranges = source.groupBy(lead).agg(F.count(F.lit(1)).alias("rows"), *aggs).collect()
+    pruned, plain, exact = F.lit(False), [], True
+    for r in ranges:
+        here = F.col(lead).isNull() if r[lead] is None else F.col(lead) == F.lit(r[lead])
+        if not rest and r[lead] is not None:
+            plain.append(r[lead])
+            continue
+        for i, c in enumerate(rest):
+            lo, hi, nulls = r[f"lo{i}"], r[f"hi{i}"], r[f"nulls{i}"]
+            within = F.lit(False) if lo is None else F.col(c).between(F.lit(lo), F.lit(hi))
+            here = here & (within | F.col(c).isNull() if nulls else within)
+            exact = exact and (lo is None or lo == hi and not nulls)
+        pruned = pruned | here
+    target = target.filter(pruned | F.col(lead).isin(plain) if plain else pruned)
+    if exact:
+        return target
+    pb = [lead, *rest]
+    parts = source.select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate(pb)]).distinct()
+    return target.join(parts, _match(target, parts, pb, True), "left_semi")

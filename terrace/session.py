@@ -25,6 +25,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # An aggregate never takes over a coarser partitioning of its input (say, a join's on one of the
+    # grouping columns), where a hot value would hold its rows in one task that nothing can split.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.mergeSchema": "false",
@@ -61,9 +64,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int | None = Non
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this is set by the operator to a shared file system.  Only
-    when it is unset (local tests) do we create one, registered with the
-    SparkContext so ``DataFrame.checkpoint`` uses the same place.
+    On a cluster it must be set: a folder of one machine would scatter staged
+    tables over the executors' own disks.  Only a local master gets a folder
+    made, registered with the SparkContext so that ``DataFrame.checkpoint``
+    uses the same place.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -72,16 +76,15 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(path)
         return path.rstrip("/")
     if not sc.getCheckpointDir():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="terrace-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return f"{base}/terrace/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared folder, on its own file system."""
+    return f"{shared_dir(spark)}/terrace/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

@@ -11,24 +11,41 @@ class MissingTableError(RuntimeError):
     """A required upstream table does not exist (dependency guard)."""
 
 
+def csv_columns(spark: SparkSession, path: str | list[str], **options) -> list[str]:
+    """Column names of a CSV header (the first line, without type inference)."""
+    return spark.read.options(**{**options, "header": "true"}).csv(path).columns
+
+
+def header_schema(columns: list[str], declared: T.StructType) -> T.StructType:
+    """The declared types in the order of a file's header; names match whatever their case,
+    columns that are not declared are strings."""
+    known = {f.name.lower(): f for f in declared.fields}
+    return T.StructType([T.StructField(known[c.lower()].name, known[c.lower()].dataType) if c.lower() in known
+                         else T.StructField(c, T.StringType()) for c in columns])
+
+
 def read_source(spark: SparkSession, path: str | list[str], fmt: str = "csv",
-                schema: T.StructType | str | None = None, infer: bool = False,
+                schema: T.StructType | None = None, infer: bool = False,
                 **options) -> DataFrame:
     """Scan raw files.
 
-    A declared ``schema`` is the default: inference costs an extra pass over the
-    data and one dirty value silently turns a column into a string.  ``infer``
-    reproduces ``header=True, inferSchema=True`` CSV reading.
+    CSV columns are taken by the names in the header: a declared ``schema``
+    gives their types, whatever their order; columns that it does not name are
+    kept as strings, columns that the file lacks are not made up.  Every file
+    must have the header of the first one, else the scan raises.  ``infer``
+    reproduces ``header=True, inferSchema=True`` reading, at the price of a
+    pass over the data.  Self-describing formats keep their own columns.
     """
-    reader = spark.read.format(fmt)
+    reader = spark.read.format(fmt).options(**options)
     if fmt == "csv":
         reader = reader.option("header", "true")
-        if schema is None and infer:
+        if schema is not None:
+            reader = reader.option("enforceSchema", "false").schema(
+                header_schema(csv_columns(spark, path, **options), schema))
+        elif infer:
             reader = reader.option("inferSchema", "true")
-    if schema is not None:
+    elif schema is not None and fmt not in ("parquet", "orc"):
         reader = reader.schema(schema)
-    for k, v in options.items():
-        reader = reader.option(k, v)
     return reader.load(path)
 
 
@@ -96,3 +113,17 @@ def try_read_table(spark: SparkSession, path: str, schema: T.StructType | None =
         return df, None
     except AnalysisException as exc:
         return None, f"cannot read {path}: {exc.getCondition() or type(exc).__name__}"
+
+
+def file_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files that ``df`` scans; None if it scans none, so that its size is unknown."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    files = df.inputFiles()
+    if not files:
+        return None
+    total = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from terrace.operators import sinks
 from terrace.operators.sinks import (
     DuplicateKeyError,
     append,
@@ -109,35 +110,102 @@ def test_overwrite_keeps_old_columns_when_asked(spark, tmp_table):
     assert read_table(spark, tmp_table).columns == ["a"]
 
 
-def test_upsert_prunes_target_partitions_statically(spark, tmp_table, capsys):
-    """Only the touched partitions of the target are scanned, whatever the source plan."""
-    from terrace.operators.sinks import touched_partitions
-    base = spark.range(0, 200).select((F.col("id") % 20).cast("int").alias("d"), F.col("id").alias("k"))
-    replace_partitions(base, tmp_table, ["d"])
-    target = read_table(spark, tmp_table, schema=base.schema)
-    source = spark.createDataFrame([(3, 1), (None, 2)], "d int, k long")
-    touched = touched_partitions(target, source, ["d"])
-    touched.explain()
-    text = capsys.readouterr().out
-    scan = [line for line in text.splitlines() if "FileScan parquet" in line and "k#" in line][0]
-    assert "PartitionFilters: [((d#" in scan and " = 3)" in scan and "isnull(d" in scan
-    assert sorted(r["k"] % 20 for r in touched.collect()) == [3] * 10
-    unbounded = touched_partitions(target, source, ["d"], max_values=0)
-    assert sorted(r["k"] % 20 for r in unbounded.collect()) == [3] * 10
-
+def _scan(capsys, df):
+    df.explain()
+    return [line for line in capsys.readouterr().out.splitlines() if "FileScan parquet" in line and "k#" in line][0]
 
-def test_table_schema_from_one_file_matches_full_resolution(spark, tmp_table):
-    from pyspark.sql import types as T
 
+def test_touched_partitions_prune_statically(spark, tmp_table, capsys):
+    """Only the touched partitions of the target are scanned, whatever the source plan and their number."""
+    from terrace.operators.sinks import touched_partitions
+    base = spark.range(0, 200).select((F.col("id") % 20).cast("int").alias("d"), (F.col("id") % 2).cast("int").alias("e"),
+                                      F.col("id").alias("k"))
+    replace_partitions(base, tmp_table, ["d", "e"])
+    target = read_table(spark, tmp_table, schema=base.schema)
+    one = touched_partitions(target, spark.createDataFrame([(3, 1, 1), (None, 1, 2)], "d int, e int, k long"), ["d", "e"])
+    scan = _scan(capsys, one)
+    assert "PartitionFilters: [" in scan and "= 3)" in scan and "isnull(d" in scan
+    assert sorted(r["k"] % 20 for r in one.collect()) == [3] * 10
+    wide = spark.range(0, 20).select((F.col("id") + 0).cast("int").alias("d"), (F.col("id") % 2).cast("int").alias("e"))
+    assert touched_partitions(target, wide, ["d", "e"]).count() == 200
+    gap = spark.createDataFrame([(4, 0), (4, 2)], "d int, e int")   # between 0 and 2, but not 1
+    assert sorted(r["k"] % 20 for r in touched_partitions(target, gap, ["d", "e"]).collect()) == [4] * 10
+    assert touched_partitions(target, wide.limit(0), ["d", "e"]).count() == 0
+
+
+def test_columns_are_noted_and_foreign_tables_merged(spark, tmp_table):
     from terrace.operators.sinks import table_schema
+    spark.createDataFrame([("a", 1)], "t string, k int").write.partitionBy("t").parquet(tmp_table)
+    spark.createDataFrame([("b", 2, 1.5)], "t string, k int, x double").write.mode("append").partitionBy("t").parquet(tmp_table)
+    assert set(table_schema(spark, tmp_table).names) == {"t", "k", "x"}          # written by other means
+    replace_partitions(spark.createDataFrame([("c", 3, True)], "t string, k int, y boolean"), tmp_table, ["t"])
+    assert set(table_schema(spark, tmp_table).names) == {"t", "k", "x", "y"}     # noted from now on
+    rows = read_table(spark, tmp_table, schema=table_schema(spark, tmp_table)).collect()
+    assert {(r["t"], r["k"], r["x"], r["y"]) for r in rows} == {("a", 1, None, None), ("b", 2, 1.5, None), ("c", 3, None, True)}
+
+
+@pytest.mark.parametrize("layout", [["t"], []])
+def test_upsert_keeps_columns_that_the_source_lacks(spark, tmp_table, layout):
+    keys = ["t", "k"]
+    upsert(spark, spark.createDataFrame([("a", 1, 1.0)], "t string, k int, v double"), tmp_table, keys, layout)
+    upsert(spark, spark.createDataFrame([("b", 1, 2.0, "x"), ("b", 2, 3.0, "y")], "t string, k int, v double, note string"),
+           tmp_table, keys, layout)
+    upsert(spark, spark.createDataFrame([("b", 1, 9.0), ("b", 3, 4.0)], "t string, k int, v double"), tmp_table, keys, layout)
+    upsert(spark, spark.createDataFrame([("b", 2, "z")], "t string, k int, note string"), tmp_table, keys, layout)
+    got = sorted((r["t"], r["k"], r["v"], r["note"] or "") for r in read_table(
+        spark, tmp_table, schema=sinks.table_schema(spark, tmp_table)).collect())
+    assert got == [("a", 1, 1.0, ""), ("b", 1, 9.0, "x"), ("b", 2, 3.0, "z"), ("b", 3, 4.0, "")]
+
+
+@pytest.mark.parametrize("layout", [["t"], []])
+def test_broken_commit_is_replayed(spark, tmp_table, monkeypatch, layout):
+    """The commit deletes what it is about to replace and dies: nothing is lost."""
+    keys = ["t", "k"]
+    rows = [("a", i, float(i)) for i in range(20)] + [("b", 1, 1.0)]
+    upsert(spark, spark.createDataFrame(rows, "t string, k int, v double"), tmp_table, keys, layout)
+
+    def broken(df, path, *rest):
+        from terrace.session import remove_path
+        remove_path(spark, path + ("/t=a" if layout else ""))
+        raise OSError("lost in the commit")
+    source = spark.createDataFrame([("a", 3, 33.0)], "t string, k int, v double")
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_replace_partitions" if layout else "_overwrite", broken)
+        with pytest.raises(RuntimeError, match="recover"):
+            upsert(spark, source, tmp_table, keys, layout)
+    assert sinks.recover(spark, tmp_table, layout) and not sinks.recover(spark, tmp_table, layout)
+    want = {(t, k): v for t, k, v in rows} | {("a", 3): 33.0}
+    table = read_table(spark, tmp_table, schema=sinks.table_schema(spark, tmp_table))
+    assert {(r["t"], r["k"]): r["v"] for r in table.collect()} == want and table.count() == len(want)
+
+
+def test_duplicate_source_keys_stop_before_any_write(spark, tmp_table):
+    base = spark.createDataFrame([("a", 1, 1, 1.0)], SCHEMA)
+    upsert(spark, base, tmp_table, ["t", "d", "k"], ["t", "d"])
+    for t in ("a", "new"):          # also where the touched partition does not exist yet
+        dup = spark.createDataFrame([(t, 1, 1, 5.0), (t, 1, 1, 6.0)], SCHEMA)
+        with pytest.raises(DuplicateKeyError, match='"k":1'):
+            upsert(spark, dup, tmp_table, ["t", "d", "k"], ["t", "d"])
+    assert _rows(read_table(spark, tmp_table, schema=base.schema)) == [("a", 1, 1, 1.0)]
+
+
+def test_replace_slices_below_the_partitions(spark, tmp_table):
+    base = spark.createDataFrame([("a", d, k, 1.0) for d in (1, 2, 3) for k in (1, 2)] + [("b", 1, 1, 1.0), ("a", None, 7, 1.0)], SCHEMA)
+    sinks.replace_slices(spark, base, tmp_table, ["t", "d"], ["t"])
+    batch = spark.createDataFrame([("a", 2, 9, 9.0), ("c", 5, 5, 5.0), ("a", None, 8, 8.0)], SCHEMA)
+    for _ in range(2):
+        sinks.replace_slices(spark, batch, tmp_table, ["t", "d"], ["t"])
+        want = [("a", d, k, 1.0) for d in (1, 3) for k in (1, 2)] + [("b", 1, 1, 1.0)]
+        want += [("a", 2, 9, 9.0), ("c", 5, 5, 5.0), ("a", None, 8, 8.0)]
+        assert _rows(read_table(spark, tmp_table, schema=base.schema)) == sorted(want, key=_key)
+    with pytest.raises(ValueError):
+        sinks.replace_slices(spark, batch, tmp_table, ["d"], ["t"])
 
-    df = spark.createDataFrame([("a", 202501, 1, 1.0), ("b", 202502, 2, 2.0)],
-                               "_tenant_id string, mes int, k int, x double")
-    df.write.partitionBy("_tenant_id", "mes").parquet(tmp_table)
-    like = T.StructType([T.StructField("_tenant_id", T.StringType()), T.StructField("mes", T.IntegerType())])
-    full = spark.read.parquet(tmp_table).schema
-    full = T.StructType([T.StructField(f.name, like[f.name].dataType if f.name in like.names else f.dataType)
-                         for f in full.fields])
-    assert table_schema(spark, tmp_table, like=like) == full
-    # a partition column the caller does not type: falls back to Spark's inference
-    assert table_schema(spark, tmp_table, like=T.StructType([like["mes"]])).names == full.names
+
+def test_replace_prefix_refuses_rows_outside(spark, tmp_table):
+    base = spark.createDataFrame([("X", 1, 1, 1.0), ("Y", 1, 3, 3.0)], SCHEMA)
+    overwrite(base, tmp_table, ["t", "d"])
+    with pytest.raises(Exception, match="outside the prefix"):
+        replace_prefix(spark.createDataFrame([("X", 3, 4, 4.0), ("Y", 9, 9, 9.0)], SCHEMA), tmp_table, {"t": "X"}, ["t", "d"])
+    assert _rows(read_table(spark, tmp_table, schema=base.schema)) == [("X", 1, 1, 1.0), ("Y", 1, 3, 3.0)]
+    assert partition_dir("p", "") == partition_dir("p", None)
