@@ -5,11 +5,9 @@ from terrace.functions.columns import (  # noqa: F401
     bound_key,
     date_key,
     factor_case,
-    in_values,
     is_false,
-    is_not_true,
     lower_in,
     money,
-    month_key,
     parse_date_key,
+    rounded,
 )

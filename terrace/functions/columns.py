@@ -18,11 +18,6 @@ def date_key(c: str | Column) -> Column:
     return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("int")
 
 
-def month_key(date_key_col: str | Column) -> Column:
-    """``yyyyMM`` from a ``yyyyMMdd`` integer key."""
-    return F.floor(col(date_key_col) / 100).cast("int")
-
-
 def parse_date_key(c: str | Column, fmt: str = "yyyyMMdd") -> Column:
     """Parse a ``yyyyMMdd`` value (int or string) into a date; NULL when not a valid date.
 
@@ -52,10 +47,6 @@ def factor_case(unit: str | Column, qty: str | Column, factors: Mapping[str, flo
     return qty if expr is None else expr.otherwise(qty)
 
 
-def in_values(c: str | Column, values: Iterable) -> Column:
-    return col(c).isin(list(values))
-
-
 def lower_in(c: str | Column, values: Iterable[str]) -> Column:
     return F.lower(col(c)).isin(sorted({v.lower() for v in values}))
 
@@ -73,15 +64,20 @@ def is_false(c: Column) -> Column:
     return F.coalesce(~c, F.lit(False))
 
 
-def is_not_true(c: Column) -> Column:
-    """TRUE when ``c`` is FALSE or NULL."""
-    return ~F.coalesce(c, F.lit(False))
+MONEY = "decimal(18,6)"
+
 
+def money(c: str | Column, dtype: str = MONEY) -> Column:
+    """Cast an operand to a fixed decimal so that sums do not depend on task order.
 
-def money(c: str | Column, dtype: str = "decimal(18,2)") -> Column:
-    """Cast a money operand to a fixed decimal so sums do not depend on task order."""
+    A value beyond the type's range raises (ANSI cast); one with more decimals
+    is rounded, see :func:`rounded`.
+    """
     return col(c).cast(dtype)
 
 
-def null_safe_equal(left: Column, right: Column) -> Column:
-    return left.eqNullSafe(right)
+def rounded(c: str | Column, dtype: str = MONEY) -> Column:
+    """TRUE where :func:`money` changes a value by more than the noise of a double."""
+    value = col(c).cast("double")
+    return F.coalesce(F.abs(value - col(c).try_cast(dtype).cast("double"))
+                      > F.lit(1e-12) * F.greatest(F.abs(value), F.lit(1.0)), value.isNotNull())

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.functions.columns import money
+from terrace.functions.columns import MONEY, money, rounded
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ DAILY_MEASURES = (
 )
 
 
-def measure_column(m: Measure, exact: bool = True, money_type: str = "decimal(18,2)",
+def measure_column(m: Measure, exact: bool = True, money_type: str = MONEY,
                    rsd: float = 0.05) -> Column:
     """Aggregate expression of one measure.
 
@@ -63,9 +63,19 @@ def measure_column(m: Measure, exact: bool = True, money_type: str = "decimal(18
     raise ValueError(f"unknown measure kind {m.kind!r}")
 
 
+def rounded_operands(measures: Iterable[Measure] = DAILY_MEASURES, money_type: str = MONEY) -> Column:
+    """TRUE for rows with an operand of a sum that ``money_type`` cannot hold without rounding."""
+    out = F.lit(False)
+    for m in measures:
+        if m.kind in ("sum", "sum_product"):
+            for c in m.columns:
+                out = out | rounded(c, money_type)
+    return out
+
+
 def daily_metrics(df: DataFrame, keys: Iterable[str] = DAILY_KEYS,
                   measures: Iterable[Measure] = DAILY_MEASURES, exact: bool = True,
-                  approx: bool = False, money_type: str = "decimal(18,2)") -> DataFrame:
+                  approx: bool = False, money_type: str = MONEY) -> DataFrame:
     """Group by ``keys`` and compute the measures in one aggregation.
 
     Exact distinct counts are planned by Spark as an ``Expand`` + two-level
@@ -81,6 +91,9 @@ def daily_metrics(df: DataFrame, keys: Iterable[str] = DAILY_KEYS,
 
 def dedup(df: DataFrame, subset: Iterable[str] | None = None) -> DataFrame:
     """Drop duplicate rows (full row by default).  Copies collapse in the map-side
-    partial aggregation, so a hot group of copies never reaches one reducer whole."""
+    partial aggregation, so a hot group of copies never reaches one reducer whole;
+    what is left is distributed by all its columns
+    (``spark.sql.requireAllClusterKeysForDistribution``), not by those of an
+    earlier join, so a hot join key does not stay in one task."""
     subset = list(subset) if subset else None
     return df.dropDuplicates(subset) if subset else df.dropDuplicates()

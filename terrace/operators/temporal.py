@@ -7,26 +7,43 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.sources.files import file_bytes
 
-def close_overlaps(dim: DataFrame, keys: Iterable[str], valid_from: str = "valid_from",
-                   valid_to: str = "valid_to") -> DataFrame:
-    """Make versions of one key non-overlapping: a version ends the day before the next starts.
 
-    A window over the *dimension* only (partitioned by the business key,
-    streaming ``lead`` over the sorted versions); the fact side is untouched.
+BROADCAST_FILE_BYTES = 8 << 20   # parquet file bytes of a dimension that may be sent to every executor
+
+
+def newest_versions(dim: DataFrame, keys: Iterable[str], valid_from: str = "valid_from",
+                    valid_to: str = "valid_to") -> DataFrame:
+    """Make the versions of one key non-overlapping: on every day the newest valid version wins.
+
+    Versions with a NULL start or end never match and are dropped.  The starts
+    and ends of a key cut time into elementary intervals; each keeps the
+    version that covers it with the latest ``valid_from`` (on ties the latest
+    ``valid_to``, then the largest values of the other columns).  A version
+    that a shorter, newer one interrupts therefore continues after it.  All
+    work is of the dimension's size; the fact side is untouched.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(valid_from))
-    nxt = F.lead(valid_from).over(w)
-    return dim.withColumn(
-        valid_to,
-        F.when(nxt.isNull(), F.col(valid_to))
-         .otherwise(F.least(F.col(valid_to), F.date_sub(nxt, 1))))
+    keys = list(keys)
+    dim = dim.filter(F.col(valid_from).isNotNull() & F.col(valid_to).isNotNull() & (F.col(valid_from) <= F.col(valid_to)))
+    others = [c for c in dim.columns if c not in (*keys, valid_from, valid_to)]
+    cuts = dim.select(*keys, F.explode(F.array(F.col(valid_from), F.date_add(valid_to, 1))).alias("__start")).distinct()
+    following = F.lead("__start").over(Window.partitionBy(*keys).orderBy("__start"))
+    spans = cuts.select(*keys, "__start", F.date_sub(following, 1).alias("__end")).filter(F.col("__end").isNotNull())
+    spans = spans.select(*[F.col(k).alias(f"__s_{i}") for i, k in enumerate(keys)], "__start", "__end")
+    cond = F.col("__start").between(F.col(valid_from), F.col(valid_to))
+    for i, k in enumerate(keys):
+        cond = cond & (F.col(f"__s_{i}") == F.col(k))
+    version = F.struct(F.col(valid_from).alias("__f"), F.col(valid_to).alias("__t"), *[F.col(c) for c in others])
+    newest = spans.join(dim, cond).groupBy(*keys, "__start", "__end").agg(F.max(version).alias("__v"))
+    return newest.select(*keys, F.col("__start").alias(valid_from), F.col("__end").alias(valid_to),
+                         *[F.col(f"__v.{c}").alias(c) for c in others]).select(*dim.columns)
 
 
 def point_in_time_join(fact: DataFrame, dim: DataFrame, keys: Iterable[str] | Mapping[str, str],
                        at: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
                        columns: Mapping[str, str] | None = None, how: str = "left",
-                       on_overlap: str = "fanout", broadcast: bool = False,
+                       on_overlap: str = "fanout", broadcast_bytes: int = BROADCAST_FILE_BYTES,
                        salt: int = 0) -> DataFrame:
     """Attach the dimension version valid at ``fact[at]``: equal keys and
     ``valid_from <= at <= valid_to`` (both ends inclusive).
@@ -34,14 +51,15 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, keys: Iterable[str] | Ma
     * no matching version -> NULL dimension columns (``how='left'``);
     * ``valid_to`` NULL never matches (use an open-end date such as 9999-12-31);
     * overlapping versions: ``on_overlap='fanout'`` returns one row per match,
-      ``'latest'`` first closes overlaps so the newest version wins.
+      ``'latest'`` keeps the newest version that is valid on the day
+      (:func:`newest_versions`).
 
     Plan: an equi-join on the business key with the range as a residual
-    condition.  Spark shuffles both sides on the key (sort-merge) or, when AQE
-    measures the dimension below the broadcast threshold, switches to a
-    broadcast hash join at runtime; hot keys on the fact side are split by
-    AQE's skew-join handling.  ``broadcast=True`` forces the broadcast for a
-    dimension whose size the caller has bounded.
+    condition.  A dimension whose files hold at most ``broadcast_bytes`` (8 MB
+    by default, which leaves room for decompression and for ``salt``; 0: never)
+    is broadcast, so the facts are not shuffled.  Otherwise both sides are
+    shuffled on the key, and hot keys on the fact side are split by AQE's
+    skew-join handling.
 
     ``salt > 1`` splits every key over ``salt`` join partitions explicitly:
     each fact row gets a deterministic salt (a hash of the whole row, so a
@@ -60,7 +78,7 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, keys: Iterable[str] | Ma
         skip = set(pairs.values()) | {valid_from, valid_to}
         columns = {c: c for c in dim.columns if c not in skip}
     if on_overlap == "latest":
-        dim = close_overlaps(dim, list(pairs.values()), valid_from, valid_to)
+        dim = newest_versions(dim, list(pairs.values()), valid_from, valid_to)
     elif on_overlap != "fanout":
         raise ValueError("on_overlap must be 'fanout' or 'latest'")
 
@@ -73,7 +91,8 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, keys: Iterable[str] | Ma
     if salt > 1:
         fact = fact.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in out_cols]), F.lit(salt)))
         d = d.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
-    if broadcast:
+    size = file_bytes(dim) if broadcast_bytes else None
+    if size is not None and size * max(1, salt) <= broadcast_bytes:
         d = F.broadcast(d)
     cond = None
     for i, fc in enumerate(pairs):
