@@ -24,6 +24,11 @@ class Rule:
     name: str
     expr: str
     severity: str = "info"
+    tenant_severity: tuple[tuple[str, str], ...] = ()   # (tenant, severity) where it differs
+    only: tuple[str, ...] = ()                          # tenants that have the rule; empty: all
+
+    def severities(self) -> set[str]:
+        return {(s or DEFAULT_SEVERITY).lower() for s in (self.severity, *(s for _, s in self.tenant_severity))}
 
     @property
     def column(self) -> str:
@@ -62,13 +67,14 @@ LOG_TABLE = "fact_deliveries"
 # --------------------------------------------------------------------------
 
 
+# Identifiers are text: "SKU1", "007" and "R-12" are all valid.
 DELIVERIES_SCHEMA = T.StructType([
     T.StructField("pais", T.StringType()),
     T.StructField("fecha_proceso", T.IntegerType()),
-    T.StructField("transporte", T.LongType()),
-    T.StructField("ruta", T.LongType()),
+    T.StructField("transporte", T.StringType()),
+    T.StructField("ruta", T.StringType()),
     T.StructField("tipo_entrega", T.StringType()),
-    T.StructField("material", T.LongType()),
+    T.StructField("material", T.StringType()),
     T.StructField("precio", T.DoubleType()),
     T.StructField("cantidad", T.DoubleType()),
     T.StructField("unidad", T.StringType()),
@@ -76,7 +82,7 @@ DELIVERIES_SCHEMA = T.StructType([
 
 # The catalog arrives untyped; the dimension build conforms it.
 MATERIALS_RAW_SCHEMA = T.StructType([
-    T.StructField("material", T.LongType()),
+    T.StructField("material", T.StringType()),
     T.StructField("precio_base", T.StringType()),
     T.StructField("valid_from", T.StringType()),
     T.StructField("valid_to", T.StringType()),
@@ -100,7 +106,8 @@ class EntitySpec:
     ``tenant_column`` None: a catalog shared by all tenants (``_tenant_id='global'``).
     ``date_column`` is the ``yyyyMMdd`` process-date column used for range filters.
     ``partition_by`` is the physical layout of the bronze table; ``derived`` adds
-    columns (name, SQL expression) before the write, e.g. a month key.
+    columns (name, SQL expression) before the write, e.g. a month key.  A batch
+    replaces the (tenant, date) slices it holds, however coarse the layout.
     """
 
     name: str
@@ -113,6 +120,12 @@ class EntitySpec:
     derived: tuple[tuple[str, str], ...] = ()
     options: dict = field(default_factory=dict)
 
+    @property
+    def slices(self) -> tuple[str, ...]:
+        """The columns whose values a batch replaces: layout, tenant and date."""
+        more = [c for c in ("_tenant_id", self.date_column) if c and c not in self.partition_by]
+        return (*self.partition_by, *more)
+
 
 DELIVERIES = EntitySpec(
     name="deliveries",

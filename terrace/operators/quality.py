@@ -71,26 +71,42 @@ def _sql_string(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def rules_for_tenants(base, overrides: Mapping[str, Mapping[str, str]],
+def rules_for_tenants(base, overrides: Mapping[str, Mapping[str, str | Mapping[str, str]]],
                       tenant_column: str = "_tenant_id") -> list[Rule]:
     """Per-tenant rule overrides as one ``CASE`` per rule, so all tenants stay in one job.
 
-    ``overrides = {tenant: {rule_name: expr}}``.  A rule name not in ``base``
-    becomes a new rule (severity ``info``) that is TRUE for the other tenants.
+    ``overrides = {tenant: {rule_name: expr}}`` or, to set a severity as well,
+    ``{tenant: {rule_name: {"expr": ..., "severity": ...}}}`` (either may be
+    left out for a rule of ``base``).  A rule name not in ``base`` becomes a
+    new rule of the tenants that name it: TRUE for the others, and in no log
+    of theirs.  Its severity is the tenant's, ``info`` if none is given.
     """
+    def parts(value) -> dict[str, str]:
+        return {"expr": value} if isinstance(value, str) else dict(value)
+
+    by_tenant = {t.lower(): {n: parts(v) for n, v in o.items()} for t, o in overrides.items()}
     base = as_rules(base)
     names = [r.name for r in base]
-    extra = [n for t in overrides.values() for n in t if n not in names]
-    for n in dict.fromkeys(extra):
-        base.append(Rule(n, "TRUE", DEFAULT_SEVERITY))
+    extra = dict.fromkeys(n for o in by_tenant.values() for n in o if n not in names)
     out = []
-    for r in base:
-        branches = [(t, exprs[r.name]) for t, exprs in overrides.items() if r.name in exprs]
-        if not branches:
+    for r in [*base, *(Rule(n, "TRUE", DEFAULT_SEVERITY) for n in extra)]:
+        mine = {t: o[r.name] for t, o in by_tenant.items() if r.name in o}
+        if not mine:
             out.append(r)
             continue
-        case = " ".join(f"WHEN `{tenant_column}` = '{_sql_string(t.lower())}' THEN ({e})" for t, e in branches)
-        out.append(Rule(r.name, f"CASE {case} ELSE ({r.expr}) END", r.severity))
+        cases = " ".join(f"WHEN `{tenant_column}` = '{_sql_string(t)}' THEN ({o['expr']})"
+                         for t, o in mine.items() if "expr" in o)
+        out.append(Rule(r.name, f"CASE {cases} ELSE ({r.expr}) END" if cases else r.expr, r.severity,
+                        tuple((t, o["severity"]) for t, o in mine.items() if "severity" in o),
+                        tuple(sorted(mine)) if r.name in extra else ()))
+    return out
+
+
+def severity_of(rule: Rule, tenant: Column) -> Column:
+    """A rule's severity for the tenant of a row, in lower case."""
+    out = F.lit((rule.severity or DEFAULT_SEVERITY).lower())
+    for t, severity in rule.tenant_severity:
+        out = F.when(F.lower(tenant) == t.lower(), F.lit((severity or DEFAULT_SEVERITY).lower())).otherwise(out)
     return out
 
 
@@ -122,8 +138,8 @@ def rule_summary(df: DataFrame, rules, tenant_column: str = "_tenant_id",
         raise ValueError("unknown must be 'drop' or 'quarantine'")
     crit = F.lit(False)
     for r in rules:
-        if (r.severity or "").lower() == "critical":
-            crit = crit | is_false(F.col(r.column))
+        if "critical" in r.severities():
+            crit = crit | ((severity_of(r, F.col(tenant_column)) == "critical") & is_false(F.col(r.column)))
     aggs = [F.count(F.lit(1)).alias("records_checked")]
     for i, r in enumerate(rules):
         c = F.col(r.column)
@@ -144,12 +160,13 @@ def log_from_summary(summary: DataFrame, rules, run_id: str | None = None,
     rules = as_rules(rules)
     entries = F.array(*[
         F.struct(F.lit(r.name).alias("check_name"),
-                 F.lit(r.severity or DEFAULT_SEVERITY).alias("check_severity"),
+                 severity_of(r, F.col("tenant")).alias("check_severity"),
+                 (F.col("tenant").isin(list(r.only)) if r.only else F.lit(True)).alias("applies"),
                  F.col(f"__f{i}").alias("records_failed"),
                  F.col(f"__u{i}").alias("records_unknown"))
         for i, r in enumerate(rules)])
     long = summary.select(F.col("tenant").alias("tenant_id"), "records_checked", "_batch_id",
-                          F.inline(entries))
+                          F.inline(entries)).filter("applies")
     return long.select(
         F.lit(run_id).cast("string").alias("_run_id"), "_batch_id", "tenant_id",
         F.lit(layer).alias("layer"), F.lit(table_name).alias("table_name"),
@@ -229,7 +246,8 @@ def route_bad(bad: DataFrame, rules, discard_rules: Iterable[str] = DISCARD_RULE
     raise ValueError("unknown must be 'drop' or 'quarantine'")
 
 
-def failure_reasons(rules, discard_rules: Iterable[str] = (), name_null_discards: bool = False) -> Column:
+def failure_reasons(rules, discard_rules: Iterable[str] = (), name_null_discards: bool = False,
+                    tenant_column: str = "_tenant_id") -> Column:
     """Comma-separated names, in rule order, of the non-``info`` rules that are FALSE or NULL.
 
     ``'unknown'`` when every rule is ``info``.  ``name_null_discards`` also
@@ -240,8 +258,11 @@ def failure_reasons(rules, discard_rules: Iterable[str] = (), name_null_discards
     parts = []
     for r in rules:
         c = F.col(r.column)
-        if (r.severity or DEFAULT_SEVERITY) != "info":
-            parts.append(F.when(~c | c.isNull(), F.lit(r.name)))
+        if r.severities() != {"info"}:
+            named = ~c | c.isNull()
+            if "info" in r.severities():
+                named = named & (severity_of(r, F.col(tenant_column)) != "info")
+            parts.append(F.when(named, F.lit(r.name)))
         elif name_null_discards and r.name in discard:
             parts.append(F.when(c.isNull(), F.lit(r.name)))
     if not parts:
@@ -262,6 +283,17 @@ def quarantine_frame(df: DataFrame, rules, discard_rules: Iterable[str] = DISCAR
     return out
 
 
+def action_frame(df: DataFrame, cond: Column, rules, discard_rules: Iterable[str] = DISCARD_RULES,
+                 timestamp: bool = True) -> DataFrame:
+    """Every row that is not good (NULL included) with its reason and ``_action``: ``discard`` if a
+    discard rule is FALSE, else ``quarantine``.  Nothing is lost or only counted."""
+    rules = as_rules(rules)
+    _, bad = split_by_quality(df, cond, "quarantine")
+    keep = _discard_condition(rules, discard_rules)
+    action = F.lit("quarantine") if keep is None else F.when(is_false(keep), F.lit("discard")).otherwise("quarantine")
+    return quarantine_frame(bad.withColumn("_action", action), rules, discard_rules, "quarantine", timestamp=timestamp)
+
+
 def outcome_counts(df: DataFrame, rules, discard_rules: Iterable[str] = DISCARD_RULES,
                    unknown: str = "drop", tenant_column: str = "_tenant_id") -> DataFrame:
     """Per tenant: rows in, good, bad, quarantined, discarded and lost — one aggregation."""
