@@ -55,10 +55,10 @@ def main() -> None:
     cols = {"precio_base": "precio_catalogo_unitario"}
     pit = {}
     variants = {
-        "adaptive": ({}, {}),
-        "broadcast_hint": ({"broadcast": True}, {}),
-        "sort_merge": ({}, {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}),
-        "salted_8_sort_merge": ({"salt": 8}, {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}),
+        "broadcast_by_file_size": ({}, {}),
+        "adaptive": ({"broadcast_bytes": 0}, {}),
+        "sort_merge": ({"broadcast_bytes": 0}, {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}),
+        "salted_8_sort_merge": ({"salt": 8, "broadcast_bytes": 0}, {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}),
     }
     for name, (kw, conf) in variants.items():
         old = {k: spark.conf.get(k) for k in conf}
@@ -77,9 +77,9 @@ def main() -> None:
     facts = {}
     for stage in (True, False):
         layout = m.Layout(scratch_path(spark, "measure-lake"))
-        m.ingest(spark, mat, m.MATERIALS, layout)
-        m.build_dimension(spark, layout)
-        spec = dataclasses.replace(m.DELIVERIES, partition_by=cfg.partition_by, derived=cfg.derived)
+        m.ingest(spark, mat, cfg.materials, layout)
+        m.build_dimension(spark, layout, cfg.materials)
+        spec = dataclasses.replace(cfg.deliveries, partition_by=cfg.partition_by, derived=cfg.derived)
         m.ingest(spark, d, spec, layout, cfg.tenants)
         facts["staged" if stage else "recomputed"] = timed(lambda: m.build_fact(spark, layout, cfg, stage=stage))
     out["build_fact"] = facts

@@ -29,8 +29,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--tenants", default="all", help="comma-separated tenant codes, or 'all'")
     p.add_argument("--start", help="first process date, yyyy-MM-dd or yyyyMMdd")
     p.add_argument("--end", help="last process date, yyyy-MM-dd or yyyyMMdd")
-    p.add_argument("--fail-on-critical", action="store_true", help="block gold for tenants with critical failures")
-    p.add_argument("--fail-fast", action="store_true", help="raise on the first failing stage")
+    p.add_argument("--fail-on-critical", action="store_true", help="stop tenants with critical failures before gold")
+    p.add_argument("--fail-fast", action="store_true", help="raise on the first failing stage or tripped breaker")
     p.add_argument("--unknown", choices=("drop", "quarantine"), default="drop",
                    help="rows whose rules are NULL: dropped (parity) or quarantined")
     p.add_argument("--month-partitions", action="store_true", help="partition tables by month, not by day")
@@ -50,7 +50,7 @@ def main(argv: list[str] | None = None) -> int:
     rows = status.orderBy("tenant", "stage").collect()
     for r in rows:
         print(f"{r.tenant:14s} {r.stage:24s} {r.status:8s} {r.rows:>10d}  {r.reason or ''}")
-    return 1 if any(r.status == "failed" for r in rows) else 0
+    return 1 if any(r.status in ("failed", "blocked") for r in rows) else 0
 
 
 if __name__ == "__main__":

@@ -42,4 +42,4 @@ from terrace.operators.sinks import (  # noqa: F401
     replace_prefix,
     upsert,
 )
-from terrace.operators.temporal import close_overlaps, point_in_time_join  # noqa: F401
+from terrace.operators.temporal import newest_versions, point_in_time_join  # noqa: F401

@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import dataclasses
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -38,7 +39,7 @@ from terrace.config import (
     EntitySpec,
     Rule,
 )
-from terrace.functions.columns import bound_key, factor_case
+from terrace.functions.columns import MONEY, bound_key, factor_case
 from terrace.operators.contract import (
     enforce_contract,
     entity_spec,
@@ -46,9 +47,10 @@ from terrace.operators.contract import (
     stamp_global,
     stamp_lineage,
 )
-from terrace.operators.metrics import DAILY_KEYS, DAILY_MEASURES, daily_metrics, dedup
+from terrace.operators.metrics import DAILY_KEYS, DAILY_MEASURES, daily_metrics, dedup, rounded_operands
 from terrace.operators.normalize import conform_types, date_range, normalize_deliveries, order_columns
 from terrace.operators.quality import (
+    CriticalQualityError,
     as_rules,
     counts_from_summary,
     evaluate_rules,
@@ -60,12 +62,16 @@ from terrace.operators.quality import (
     split_by_quality,
 )
 from terrace.operators.sinks import (
+    DuplicateKeyError,
     append,
+    duplicate_keys,
     materialize,
     overwrite,
     replace_partitions,
     replace_prefix,
+    replace_slices,
     table_schema,
+    touched_partitions,
     upsert,
 )
 from terrace.operators.temporal import point_in_time_join
@@ -124,15 +130,28 @@ class RunConfig:
     start: str | None = None
     end: str | None = None
     rules: tuple[Rule, ...] = DEFAULT_RULES
-    overrides: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    overrides: Mapping[str, Mapping] = field(default_factory=dict)
     discard_rules: tuple[str, ...] = DISCARD_RULES
     unknown: str = "drop"
-    fail_on_critical: bool = False
+    fail_on_critical: bool | tuple[str, ...] = False    # the breaker: on for all tenants, or for these
     fail_fast: bool = False
     on_violation: str = "skip"
     partition_by: tuple[str, ...] = ("_tenant_id", "fecha_proceso")
     derived: tuple[tuple[str, str], ...] = ()
     log_partition_by: tuple[str, ...] = ()      # e.g. ("tenant_id",): one log folder per tenant
+    deliveries: EntitySpec = DELIVERIES
+    materials: EntitySpec = MATERIALS
+    money_type: str = MONEY                     # operands of gold's sums
+
+    @property
+    def slices(self) -> tuple[str, ...]:
+        """What a batch replaces: (tenant, date), below the layout's partitions."""
+        return (*self.partition_by, *(c for c in ("_tenant_id", "fecha_proceso") if c not in self.partition_by))
+
+    def breaks(self, tenant: str) -> bool:
+        """Whether critical failures stop this tenant."""
+        on = self.fail_on_critical
+        return on if isinstance(on, bool) else tenant in {t.lower() for t in on}
 
     def effective_rules(self) -> list[Rule]:
         rules = as_rules(self.rules)
@@ -157,6 +176,20 @@ class RunConfig:
         return df
 
 
+    def select_partitions(self, df: DataFrame) -> DataFrame:
+        """All rows of the partitions that hold a day of the run's range (gold is recomputed by whole partitions)."""
+        if set(self.partition_by) <= {"_tenant_id", "fecha_proceso"} or self.start is None and self.end is None:
+            return self.select_dates(df)
+        if MONTH_KEY in self.derived and MONTH_KEY[0] in self.partition_by:
+            lo, hi = bound_key(self.start), bound_key(self.end)
+            if lo is not None:
+                df = df.filter(F.col(MONTH_KEY[0]) >= lo // 100)
+            if hi is not None:
+                df = df.filter(F.col(MONTH_KEY[0]) <= hi // 100)
+            return df
+        return touched_partitions(df, self.select_dates(df), self.partition_by)
+
+
 @dataclass
 class StageResult:
     stage: str
@@ -164,6 +197,7 @@ class StageResult:
     rows: dict[str, int] = field(default_factory=dict)   # per tenant
     reason: str | None = None
     extra: dict = field(default_factory=dict)
+    failed: dict[str, str] = field(default_factory=dict)  # tenants that failed although the stage went on
 
 
 def _tenant_counts(obs: Observation, tenants: list[str] | None) -> dict[str, int]:
@@ -182,47 +216,86 @@ def _observe(df: DataFrame, tenants: list[str] | None, name: str,
     return df.observe(obs, *aggs), obs
 
 
+def bronze_rows(raw: DataFrame, spec: EntitySpec, tenants: Iterable[str] | None = None,
+                start: str | None = None, end: str | None = None) -> DataFrame:
+    """Date range, tenants and derived columns of one entity's raw rows."""
+    df = date_range(raw, spec.date_column, start, end) if spec.date_column else raw
+    df = isolate_tenants(df, spec.tenant_column, tenants) if spec.tenant_column else stamp_global(df)
+    return df.withColumns({name: F.expr(sql) for name, sql in spec.derived}) if spec.derived else df
+
+
+def _conform(raw: DataFrame, spec: EntitySpec, observed: list[Observation] | None) -> DataFrame:
+    """Declared types for the columns that have others, NULLs for declared columns that the source
+    lacks; undeclared columns stay.  An observation added to ``observed`` counts, per column, the
+    values that do not convert."""
+    if spec.schema is None:
+        return raw
+    have = {f.name.lower(): f for f in raw.schema.fields}
+    casts, bad = {}, []
+    for f in spec.schema.fields:
+        old = have.get(f.name.lower())
+        if old is None:
+            casts[f.name] = F.lit(None).cast(f.dataType)
+        elif old.dataType != f.dataType:
+            casts[old.name] = F.col(old.name).try_cast(f.dataType)
+            bad.append(F.count_if(F.col(old.name).isNotNull() & casts[old.name].isNull()).alias(f.name))
+    if observed is not None and bad:
+        observed.append(Observation(f"{spec.name}-parsed"))
+        raw = raw.observe(observed[-1], *bad)
+    return raw.withColumns(casts) if casts else raw
+
+
 def bronze_frame(spark: SparkSession, source: DataFrame | str | list[str], spec: EntitySpec | str,
                  tenants: Iterable[str] | None = None, start: str | None = None,
                  end: str | None = None, batch_id: str | None = None,
-                 on_violation: str = "raise", lineage: bool = True) -> DataFrame | None:
-    """The bronze frame of one entity (lazy).  None when the contract check skips it."""
+                 on_violation: str = "raise", lineage: bool = True,
+                 observed: list[Observation] | None = None) -> DataFrame | None:
+    """The bronze frame of one entity (lazy).  None when the contract check skips it.
+
+    The contract is checked on the columns that the source really has (for
+    CSV, its header).  CSV values are read as text and converted here, so that
+    an observation (added to ``observed``) can count what does not convert.
+    """
     spec = entity_spec(spec)
-    raw = source if isinstance(source, DataFrame) else read_source(
-        spark, source, spec.fmt, spec.schema, **spec.options)
+    if isinstance(source, DataFrame):
+        raw = source
+    else:
+        schema = spec.schema
+        if spec.fmt == "csv" and schema is not None:
+            schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        raw = read_source(spark, source, spec.fmt, schema, **spec.options)
     if enforce_contract(raw, spec.required_columns, spec.name, on_violation) is None:
         return None
-    df = stamp_lineage(raw, batch_id, from_files=not isinstance(source, DataFrame)) if lineage else raw
-    if spec.date_column:
-        df = date_range(df, spec.date_column, start, end)
-    df = isolate_tenants(df, spec.tenant_column, tenants) if spec.tenant_column else stamp_global(df)
-    if spec.derived:
-        df = df.withColumns({name: F.expr(sql) for name, sql in spec.derived})
-    return df
+    if lineage:
+        raw = stamp_lineage(raw, batch_id, from_files=not isinstance(source, DataFrame))
+    return bronze_rows(_conform(raw, spec, observed), spec, tenants, start, end)
 
 
 def ingest(spark: SparkSession, source, spec: EntitySpec | str, layout: Layout,
            tenants: Iterable[str] | None = None, start: str | None = None, end: str | None = None,
            batch_id: str | None = None, on_violation: str = "raise") -> StageResult:
     """Land one entity in bronze.  Transactional entities replace the (tenant,
-    date) partitions of the batch; catalogs are a full load."""
+    date) slices of the batch, whatever the layout; catalogs are a full load."""
     spec = entity_spec(spec)
     stage = f"bronze_{spec.name}"
-    df = bronze_frame(spark, source, spec, tenants, start, end, batch_id, on_violation)
+    parsed: list[Observation] = []
+    df = bronze_frame(spark, source, spec, tenants, start, end, batch_id, on_violation, observed=parsed)
     if df is None:
-        raw = source if isinstance(source, DataFrame) else read_source(spark, source, spec.fmt, spec.schema)
+        raw = source if isinstance(source, DataFrame) else read_source(spark, source, spec.fmt, spec.schema, **spec.options)
         missing = [c for c in spec.required_columns if c.lower() not in {x.lower() for x in raw.columns}]
         return StageResult(stage, "skipped", reason=f"missing required columns {missing}")
     tl = None if tenants is None or not spec.tenant_column else sorted({t.lower() for t in tenants})
     df, obs = _observe(df, tl, stage)
     if spec.partition_by:
-        replace_partitions(df, layout.bronze(spec.name), spec.partition_by)
+        replace_slices(spark, df, layout.bronze(spec.name), spec.slices, spec.partition_by)
     else:
         overwrite(df, layout.bronze(spec.name), keep_old_columns=True)
     rows = _tenant_counts(obs, tl)
     if not spec.tenant_column:
         rows = {GLOBAL_TENANT: rows["*"]}
-    return StageResult(stage, "ok", rows)
+    bad = {c: n for o in parsed for c, n in o.get.items() if n}
+    reason = f"unparsable values: {', '.join(f'{c} {n}' for c, n in sorted(bad.items()))}" if bad else None
+    return StageResult(stage, "ok", rows, reason)
 
 
 def bronze_schema(spec: EntitySpec, derived_types: Mapping[str, T.DataType] | None = None) -> T.StructType:
@@ -237,17 +310,23 @@ def conform_dimension(bronze_materials: DataFrame) -> DataFrame:
     return conform_types(bronze_materials, MATERIALS_CONFORM)
 
 
-def build_dimension(spark: SparkSession, layout: Layout) -> StageResult:
-    """Conform the bronze catalog and upsert it on (material, valid_from)."""
-    path = layout.bronze(MATERIALS.name)
+DIMENSION_BUCKETS = ("_bucket", "CAST(pmod(xxhash64(CAST(material AS STRING)), 16) AS INT)")
+
+
+def build_dimension(spark: SparkSession, layout: Layout, materials: EntitySpec = MATERIALS) -> StageResult:
+    """Conform the bronze catalog and upsert it on (material, valid_from).
+
+    The table is partitioned by a hash of the material, so an update rewrites
+    the buckets it touches and the others stay in place for readers.
+    """
+    path = layout.bronze(materials.name)
     if not table_exists(spark, path):
         return StageResult("silver_dim_materials", "skipped", reason=f"no bronze catalog at {path}")
-    src = read_table(spark, path, schema=bronze_schema(MATERIALS))
-    dim = conform_dimension(src)
+    src = read_table(spark, path, schema=table_schema(spark, path, like=bronze_schema(materials)))
+    dim = conform_dimension(src).withColumn(DIMENSION_BUCKETS[0], F.expr(DIMENSION_BUCKETS[1]))
     obs = Observation("dim")
     dim = dim.observe(obs, F.count(F.lit(1)).alias("rows"))
-    # The source is a plain scan of the bronze catalog: re-reading it is cheaper than staging it.
-    upsert(spark, dim, layout.dimension, DIMENSION_KEYS, stage_source=False)
+    upsert(spark, dim, layout.dimension, (*DIMENSION_KEYS, DIMENSION_BUCKETS[0]), (DIMENSION_BUCKETS[0],))
     return StageResult("silver_dim_materials", "ok", {"global": int(obs.get.get("rows", 0))})
 
 
@@ -281,16 +360,17 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
     """
     run_id = run_id or str(uuid.uuid4())
     require_table(spark, layout.dimension, "dim_materials")
-    bronze_path = layout.bronze(DELIVERIES.name)
+    bronze_path = layout.bronze(cfg.deliveries.name)
     if not table_exists(spark, bronze_path):
         return StageResult("silver_fact_deliveries", "skipped", reason=f"no bronze deliveries at {bronze_path}")
     derived_types = {name: T.IntegerType() for name, _ in cfg.derived}
-    bronze = read_table(spark, bronze_path, schema=bronze_schema(DELIVERIES, derived_types))
+    bronze = read_table(spark, bronze_path, schema=table_schema(
+        spark, bronze_path, like=bronze_schema(cfg.deliveries, derived_types)))
     tenants = cfg.tenant_list()
     if tenants is not None:
         bronze = bronze.filter(F.col("_tenant_id").isin(tenants))
     bronze = cfg.select_dates(bronze)
-    dim = read_table(spark, layout.dimension)
+    dim = read_table(spark, layout.dimension, schema=table_schema(spark, layout.dimension))
     rules = cfg.effective_rules()
     evaluated, cond = silver_evaluate(bronze, dim, rules)
 
@@ -311,17 +391,34 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
                   for r in counts_from_summary(summary).join(
                       summary.select("tenant", "critical_failed"), "tenant").collect()}
         good, bad = split_by_quality(staged, cond, cfg.unknown)
-        upsert(spark, silver_rows(good, FACT_KEYS), layout.fact, cfg.fact_keys(), cfg.partition_by,
-               stage_source=False)
+        # A tenant with two rows of one key fails alone; at most one row per tenant reaches the driver.
+        keys = cfg.fact_keys()
+        twice = duplicate_keys(good, keys).groupBy("_tenant_id").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.to_json(F.struct(*keys))).alias("key")).collect()
+        failed = {r["_tenant_id"]: f"DuplicateKeyError: {r['n']} upsert keys occur more than once, e.g. {r['key']}"
+                  for r in twice}
+        if failed:
+            if cfg.fail_fast:
+                raise DuplicateKeyError("; ".join(f"{t}: {why}" for t, why in sorted(failed.items())))
+            good, bad = (x.filter(~F.col("_tenant_id").isin(sorted(failed))) for x in (good, bad))
+            counts = {t: c for t, c in counts.items() if t not in failed}
         quarantine, _ = route_bad(bad, rules, cfg.discard_rules, cfg.unknown)
-        replace_partitions(quarantine_frame(quarantine, rules, cfg.discard_rules, cfg.unknown),
-                           layout.quarantine, cfg.partition_by)
+        quarantine = quarantine_frame(quarantine, rules, cfg.discard_rules, cfg.unknown)
+        # Independent tables: both writes are submitted at once.
+        with ThreadPoolExecutor(2) as pool:
+            writes = [
+                pool.submit(upsert, spark, silver_rows(good, FACT_KEYS), layout.fact, keys, cfg.partition_by,
+                            check_duplicates=False, stage_source=False),
+                pool.submit(replace_slices, spark, quarantine, layout.quarantine, cfg.slices, cfg.partition_by,
+                            stage_source=False)]
+            for w in writes:
+                w.result()
     finally:
         for p in stages:
             remove_path(spark, p)
     return StageResult("silver_fact_deliveries", "ok",
                        {t: c["good"] for t, c in counts.items()},
-                       extra={"counts": counts, "run_id": run_id})
+                       extra={"counts": counts, "run_id": run_id}, failed=failed)
 
 
 def partition_types(cfg: RunConfig) -> T.StructType:
@@ -330,14 +427,18 @@ def partition_types(cfg: RunConfig) -> T.StructType:
                          for c in cfg.partition_by])
 
 
-def gold_frame(silver: DataFrame, partition_by: Iterable[str] = ("_tenant_id", "fecha_proceso")) -> DataFrame:
+def gold_frame(silver: DataFrame, partition_by: Iterable[str] = ("_tenant_id", "fecha_proceso"),
+               money_type: str = MONEY) -> DataFrame:
     keys = list(DAILY_KEYS) + [c for c in partition_by if c not in DAILY_KEYS]
-    return daily_metrics(silver, keys, DAILY_MEASURES)
+    return daily_metrics(silver, keys, DAILY_MEASURES, money_type=money_type)
 
 
 def build_metrics(spark: SparkSession, layout: Layout, cfg: RunConfig,
                   blocked: Iterable[str] = ()) -> StageResult:
-    """Gold: recompute the daily metrics of the selected dates and replace those partitions."""
+    """Gold: recompute the daily metrics of the partitions that hold the selected dates and replace them.
+
+    The result's reason counts operands that ``cfg.money_type`` rounds.
+    """
     if not table_exists(spark, layout.fact):
         return StageResult("gold_daily_metrics", "skipped", reason=f"no silver fact at {layout.fact}")
     silver = read_table(spark, layout.fact,
@@ -349,10 +450,14 @@ def build_metrics(spark: SparkSession, layout: Layout, cfg: RunConfig,
         silver = silver.filter(F.col("_tenant_id").isin(tenants))
     elif blocked:
         silver = silver.filter(~F.col("_tenant_id").isin(blocked))
-    silver = cfg.select_dates(silver)
-    gold, obs = _observe(gold_frame(silver, cfg.partition_by), tenants, "gold")
+    silver = cfg.select_partitions(silver)
+    misfits = Observation("gold-operands")
+    silver = silver.observe(misfits, F.count_if(rounded_operands(DAILY_MEASURES, cfg.money_type)).alias("n"))
+    gold, obs = _observe(gold_frame(silver, cfg.partition_by, cfg.money_type), tenants, "gold")
     replace_partitions(gold, layout.gold, cfg.partition_by)
-    return StageResult("gold_daily_metrics", "ok", _tenant_counts(obs, tenants))
+    n = int(misfits.get.get("n", 0) or 0)
+    reason = f"{n} rows with operands that {cfg.money_type} rounds" if n else None
+    return StageResult("gold_daily_metrics", "ok", _tenant_counts(obs, tenants), reason)
 
 
 STATUS_SCHEMA = T.StructType([
@@ -368,67 +473,90 @@ def run(spark: SparkSession, deliveries_source, materials_source, layout: Layout
         cfg: RunConfig = RunConfig(), batch_id: str | None = None) -> DataFrame:
     """Whole run: catalog (bronze + dimension), then bronze, silver and gold
     deliveries for all tenants at once.  Returns a status table
-    ``(tenant, stage, status, rows, reason)``; with ``fail_fast`` the first
-    failure is raised instead.  A tenant whose critical rules failed is
-    ``blocked`` from gold when ``fail_on_critical`` is set.
+    ``(tenant, stage, status, rows, reason)``.
+
+    A tenant's failure is its own: tenants with duplicate keys are ``failed``
+    and the others go on; a stage that breaks otherwise is run again tenant by
+    tenant.  Later stages are skipped for a failed tenant only.  A tenant whose
+    critical rules failed is ``blocked`` from gold when its breaker
+    (``fail_on_critical``) is on.  With ``fail_fast`` the first failure, and a
+    breaker that trips, is raised instead.
     """
-    tenants = cfg.tenant_list()
     status: list[tuple] = []
-
-    def record(res: StageResult, tenant_list: list[str]):
-        for t in tenant_list:
-            n = res.rows.get(t, 0)
-            st, why = res.status, res.reason
-            if st == "ok" and n == 0:
-                st, why = "skipped", "no rows for tenant"
-            status.append((t, res.stage, st, int(n), why))
-
-    def guarded(stage: str, fn, tenant_list):
-        try:
-            res = fn()
-        except Exception as exc:  # noqa: BLE001 - isolate the failure in the status table
-            if cfg.fail_fast:
-                raise
-            res = StageResult(stage, "failed", reason=f"{type(exc).__name__}: {exc}"[:500])
-        record(res, tenant_list)
+    if cfg.tenants is None:                   # "all": the configured active tenants
+        cfg = dataclasses.replace(cfg, tenants=ACTIVE_TENANTS)
+    everyone = cfg.tenant_list()
+
+    def record(res: StageResult, tenants: Iterable[str]) -> None:
+        for t in tenants:
+            if t in res.failed:
+                status.append((t, res.stage, "failed", 0, res.failed[t]))
+                continue
+            n = int(res.rows.get(t, 0))
+            st, why = (res.status, res.reason) if res.status != "ok" or n else ("skipped", "no rows for tenant")
+            status.append((t, res.stage, st, n, why))
+
+    def guarded(stage: str, fn: Callable[[RunConfig], StageResult], tenants: list[str]) -> StageResult:
+        """Run a stage for all tenants, on an error for each alone; never raises unless fail_fast."""
+        def attempt(some: list[str]) -> StageResult:
+            try:
+                return fn(cfg if some == ["global"] else dataclasses.replace(cfg, tenants=tuple(some)))
+            except Exception as exc:  # noqa: BLE001 - isolate the failure in the status table
+                if cfg.fail_fast:
+                    raise
+                return StageResult(stage, "failed", reason=f"{type(exc).__name__}: {exc}")
+
+        res = attempt(tenants)
+        if res.status == "failed" and len(tenants) > 1:
+            each = {t: attempt([t]) for t in tenants}
+            if any(r.status != "failed" for r in each.values()):
+                done = [r for r in each.values() if r.status != "failed"]
+                res = StageResult(stage, "ok", {t: r.rows.get(t, 0) for t, r in each.items()},
+                                  next((r.reason for r in done if r.reason), None),
+                                  {"counts": {t: c for r in done for t, c in r.extra.get("counts", {}).items()}},
+                                  {t: r.failed.get(t, r.reason) for t, r in each.items()
+                                   if r.status == "failed" or t in r.failed})
+        if res.status == "failed":
+            res.failed = {t: res.failed.get(t, res.reason) for t in tenants}
+        record(res, tenants)
         return res
 
-    guarded("bronze_materials",
-            lambda: ingest(spark, materials_source, MATERIALS, layout, batch_id=batch_id,
-                           on_violation=cfg.on_violation), ["global"])
-    guarded("silver_dim_materials", lambda: build_dimension(spark, layout), ["global"])
-
-    spec = dataclasses.replace(DELIVERIES, partition_by=cfg.partition_by, derived=cfg.derived)
-    if tenants is None:                   # "all": the configured active tenants
-        tenants = sorted(ACTIVE_TENANTS)
-        cfg = dataclasses.replace(cfg, tenants=tuple(tenants))
-    bronze = guarded("bronze_deliveries",
-                     lambda: ingest(spark, deliveries_source, spec, layout, tenants, cfg.start, cfg.end,
-                                    batch_id=batch_id, on_violation=cfg.on_violation), tenants)
-    if bronze.status != "ok":
-        for stage in ("silver_fact_deliveries", "silver_quarantine", "silver_discarded", "silver_lost",
-                      "gold_daily_metrics"):
-            record(StageResult(stage, "skipped", reason=f"bronze_deliveries {bronze.status}"), tenants)
+    def skip(stages: Iterable[str], cause: StageResult, tenants: Iterable[str]) -> None:
+        for stage in stages:
+            for t in tenants:
+                why = "failed" if t in cause.failed else cause.status
+                status.append((t, stage, "skipped", 0, f"{cause.stage} {why}"))
+
+    guarded(f"bronze_{cfg.materials.name}",
+            lambda c: ingest(spark, materials_source, c.materials, layout, batch_id=batch_id,
+                             on_violation=c.on_violation), ["global"])
+    guarded("silver_dim_materials", lambda c: build_dimension(spark, layout, c.materials), ["global"])
+
+    spec = dataclasses.replace(cfg.deliveries, partition_by=cfg.partition_by, derived=cfg.derived)
+    bronze = guarded(f"bronze_{spec.name}",
+                     lambda c: ingest(spark, deliveries_source, spec, layout, c.tenants, c.start, c.end,
+                                      batch_id=batch_id, on_violation=c.on_violation), everyone)
+    parts = (("silver_quarantine", "quarantined"), ("silver_discarded", "discarded"), ("silver_lost", "lost"))
+    later = ("silver_fact_deliveries", *(stage for stage, _ in parts), "gold_daily_metrics")
+    landed = [t for t in everyone if bronze.status == "ok" and t not in bronze.failed]
+    skip(later, bronze, [t for t in everyone if t not in landed])
+    if not landed:
         return spark.createDataFrame(status, STATUS_SCHEMA)
 
-    fact = guarded("silver_fact_deliveries", lambda: build_fact(spark, layout, cfg), tenants)
+    fact = guarded("silver_fact_deliveries", lambda c: build_fact(spark, layout, c), landed)
     counts = fact.extra.get("counts", {})
-    for stage, key in (("silver_quarantine", "quarantined"), ("silver_discarded", "discarded"),
-                       ("silver_lost", "lost")):
-        if fact.status == "ok":
-            record(StageResult(stage, "ok", {t: counts.get(t, {}).get(key, 0) for t in tenants}), tenants)
-        else:
-            record(StageResult(stage, "skipped", reason=f"silver_fact_deliveries {fact.status}"), tenants)
-    blocked = sorted(t for t, c in counts.items() if c.get("critical_failed", 0) > 0) \
-        if cfg.fail_on_critical else []
-    if fact.status == "ok":
-        guarded("gold_daily_metrics", lambda: build_metrics(spark, layout, cfg, blocked),
-                [t for t in tenants if t not in blocked])
-        for t in blocked:
-            status.append((t, "gold_daily_metrics", "blocked", 0, "critical quality failures"))
-    else:
-        record(StageResult("gold_daily_metrics", "skipped", reason=f"silver_fact_deliveries {fact.status}"),
-               tenants)
+    built = [t for t in landed if fact.status == "ok" and t not in fact.failed]
+    for stage, key in parts:
+        record(StageResult(stage, "ok", {t: counts.get(t, {}).get(key, 0) for t in built}), built)
+    skip(later[1:], fact, [t for t in landed if t not in built])
+    blocked = sorted(t for t in built if cfg.breaks(t) and counts.get(t, {}).get("critical_failed", 0) > 0)
+    if blocked and cfg.fail_fast:
+        raise CriticalQualityError(blocked)
+    clear = [t for t in built if t not in blocked]
+    if clear:
+        guarded("gold_daily_metrics", lambda c: build_metrics(spark, layout, c), clear)
+    for t in blocked:
+        status.append((t, "gold_daily_metrics", "blocked", 0, "critical quality failures"))
     return spark.createDataFrame(status, STATUS_SCHEMA)
 
 

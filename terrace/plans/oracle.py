@@ -104,8 +104,8 @@ RULE_COLS = ("_rule_cantidad_valida, _rule_precio_valido, _rule_fecha_valida, "
              "_rule_tipo_entrega_valido, _rule_material_existe")
 
 GOLD_AGGS = """
-       CAST(SUM(CAST(cantidad_normalizada_st AS DECIMAL(18,2))) AS DOUBLE) AS total_units,
-       CAST(SUM(CAST(cantidad_normalizada_st AS DECIMAL(18,2)) * CAST(precio AS DECIMAL(18,2))) AS DOUBLE)
+       CAST(SUM(CAST(cantidad_normalizada_st AS DECIMAL(18,6))) AS DOUBLE) AS total_units,
+       CAST(SUM(CAST(cantidad_normalizada_st AS DECIMAL(36,6)) * CAST(precio AS DECIMAL(18,6))) AS DOUBLE)
          AS total_revenue,
        COUNT(DISTINCT ruta) AS active_routes,
        COUNT(DISTINCT transporte) AS active_transports"""
@@ -243,6 +243,109 @@ UNION ALL SELECT 'global', 'bronze_materials', 'ok', n, NULL FROM catalog
 UNION ALL SELECT 'global', 'silver_dim_materials', 'ok', n, NULL FROM catalog"""
 
 
+IN_RERUN = "fecha_proceso BETWEEN 19960110 AND 19960320"
+RERUN_PRICE = f"CASE WHEN {IN_RERUN} THEN precio + 1 ELSE precio END"
+KEYS = "_tenant_id, fecha_proceso, transporte, ruta, material, tipo_entrega"
+LATER = ("silver_fact_deliveries", "silver_quarantine", "silver_discarded", "silver_lost", "gold_daily_metrics")
+
+
+def _values(*rows: str) -> str:
+    return ", ".join(f"('{r}')" for r in rows)
+
+
+def _status_bad_tenant() -> str:
+    """The status of a run in which Asia's rows come twice: its bronze doubles, it fails in silver."""
+    return f"""
+WITH plain AS ({_status_sql()}),
+good AS ({SILVER} SELECT COUNT(*) AS n FROM evaluated_v WHERE {COND} AND _tenant_id = 'asia')
+SELECT tenant, stage,
+       CASE WHEN tenant <> 'asia' OR stage = 'bronze_deliveries' THEN status
+            WHEN stage = 'silver_fact_deliveries' THEN 'failed' ELSE 'skipped' END AS status,
+       CASE WHEN tenant <> 'asia' THEN rows WHEN stage = 'bronze_deliveries' THEN 2 * rows ELSE 0 END AS rows,
+       CASE WHEN tenant <> 'asia' OR stage = 'bronze_deliveries' THEN reason
+            WHEN stage = 'silver_fact_deliveries'
+            THEN 'DuplicateKeyError: ' || (SELECT n FROM good) || ' upsert keys occur more than once'
+            ELSE 'silver_fact_deliveries failed' END AS reason
+FROM plain"""
+
+
+def _status_missing_catalog() -> str:
+    return with_(DELIVERIES_V, BRONZE_V) + f""",
+t(tenant) AS (VALUES {_values(*RUN_TENANTS)}),
+n AS (SELECT _tenant_id AS tenant, COUNT(*) AS n FROM bronze_v GROUP BY 1)
+SELECT t.tenant, 'bronze_deliveries' AS stage, CASE WHEN n.n > 0 THEN 'ok' ELSE 'skipped' END AS status,
+       CAST(COALESCE(n.n, 0) AS BIGINT) AS rows,
+       CASE WHEN n.n > 0 THEN NULL ELSE 'no rows for tenant' END AS reason
+FROM t LEFT JOIN n USING (tenant)
+UNION ALL
+SELECT tenant, stage, CASE WHEN stage = 'silver_fact_deliveries' THEN 'failed' ELSE 'skipped' END, 0,
+       CASE WHEN stage = 'silver_fact_deliveries'
+            THEN 'MissingTableError: dependency not met: dim_materials does not exist'
+            ELSE 'silver_fact_deliveries failed' END
+FROM t, (VALUES {_values(*LATER)}) s(stage)
+UNION ALL SELECT 'global', 'bronze_materials', 'skipped', 0, 'missing required columns [''precio_base'']'
+UNION ALL SELECT 'global', 'silver_dim_materials', 'skipped', 0, 'no bronze catalog'"""
+
+
+def _status_contract() -> str:
+    return with_(MATERIALS_V) + f""",
+t(tenant) AS (VALUES {_values(*RUN_TENANTS)}),
+m("mode") AS (VALUES ('raise'), ('skip')),
+n AS (SELECT COUNT(*) AS n FROM materials_v)
+SELECT tenant, 'bronze_deliveries' AS stage, CASE WHEN "mode" = 'raise' THEN 'failed' ELSE 'skipped' END AS status,
+       CAST(0 AS BIGINT) AS rows,
+       CASE WHEN "mode" = 'raise' THEN 'ContractViolation: deliveries: ' ELSE '' END
+         || 'missing required columns [''pais'']' AS reason, "mode"
+FROM t, m
+UNION ALL
+SELECT tenant, stage, 'skipped', 0,
+       CASE WHEN "mode" = 'raise' THEN 'bronze_deliveries failed' ELSE 'bronze_deliveries skipped' END, "mode"
+FROM t, m, (VALUES {_values(*LATER)}) s(stage)
+UNION ALL
+SELECT 'global', stage, 'ok', n, NULL, "mode" FROM m, n, (VALUES ('bronze_materials'), ('silver_dim_materials')) s(stage)"""
+
+
+SEVERITY_EVALUATED = with_(DELIVERIES_V, BRONZE_V, MATERIALS_V, NORMALIZED_V, JOINED_V) + """,
+evaluated_v AS (
+  SELECT *,
+         CASE WHEN _tenant_id = 'asia' THEN (cantidad >= 10 AND cantidad IS NOT NULL)
+              ELSE (cantidad > 0 AND cantidad IS NOT NULL) END AS r_cantidad_valida,
+         (precio >= 0 AND precio IS NOT NULL) AS r_precio_valido,
+         (fecha_proceso_dt IS NOT NULL) AS r_fecha_valida,
+         (tipo_entrega IN ('ZPRE', 'ZVE1', 'Z04', 'Z05')) AS r_tipo_entrega_valido,
+         (precio_catalogo_unitario IS NOT NULL) AS r_material_existe,
+         CASE WHEN _tenant_id = 'europe' THEN (ruta IS NOT NULL AND ruta % 7 <> 0) ELSE TRUE END AS r_ruta_conocida
+  FROM joined_v
+)"""
+
+
+def _severity_log() -> str:
+    rules = [("cantidad_valida", "CASE WHEN _tenant_id = 'asia' THEN 'info' ELSE 'warning' END", ""),
+             ("precio_valido", "CASE WHEN _tenant_id = 'europe' THEN 'warning' ELSE 'critical' END", ""),
+             ("fecha_valida", "'critical'", ""), ("tipo_entrega_valido", "'info'", ""),
+             ("material_existe", "'warning'", ""),
+             ("ruta_conocida", "'critical'", "WHERE _tenant_id = 'europe'")]
+    return SEVERITY_EVALUATED + "\nUNION ALL\n".join(f"""
+SELECT _tenant_id AS tenant_id, 'silver' AS layer, 'fact_deliveries' AS table_name,
+       '{name}' AS check_name, {sev} AS check_severity, COUNT(*) AS records_checked,
+       COUNT(*) FILTER (WHERE NOT r_{name}) AS records_failed,
+       COUNT(*) FILTER (WHERE NOT r_{name}) = 0 AS check_passed,
+       COUNT(*) FILTER (WHERE r_{name} IS NULL) AS records_unknown
+FROM evaluated_v {where} GROUP BY 1""" for name, sev, where in rules)
+
+
+SEVERITY_REASONS = SEVERITY_EVALUATED + f"""
+SELECT {KEYS}, concat_ws(', ',
+    CASE WHEN r_cantidad_valida IS NOT TRUE AND _tenant_id <> 'asia' THEN 'cantidad_valida' END,
+    CASE WHEN r_precio_valido IS NOT TRUE THEN 'precio_valido' END,
+    CASE WHEN r_fecha_valida IS NOT TRUE THEN 'fecha_valida' END,
+    CASE WHEN r_material_existe IS NOT TRUE THEN 'material_existe' END,
+    CASE WHEN r_ruta_conocida IS NOT TRUE THEN 'ruta_conocida' END) AS _quarantine_reason
+FROM evaluated_v
+WHERE NOT (r_cantidad_valida AND r_precio_valido AND r_fecha_valida AND r_tipo_entrega_valido
+           AND r_material_existe AND r_ruta_conocida) AND r_tipo_entrega_valido"""
+
+
 ORACLE: dict[str, str] = {
     "tenant_isolation": with_(DELIVERIES_V) + """
 SELECT *, lower(pais) AS _tenant_id FROM deliveries_v
@@ -278,19 +381,23 @@ FROM bronze_v""",
     + "SELECT * FROM joined_v",
 
     "point_in_time_join_latest": with_(DELIVERIES_V, BRONZE_V, MATERIALS_V, NORMALIZED_V) + """,
+newer AS (SELECT * FROM materials_v WHERE valid_from = DATE '1998-07-01'),
 dim AS (
   SELECT material, valid_from, valid_to, precio_base FROM materials_v
   UNION ALL
-  SELECT material, DATE '1998-01-01', DATE '9999-12-31', precio_base * CAST(1.05 AS DOUBLE)
-  FROM materials_v WHERE valid_from = DATE '1998-07-01'),
-closed AS (
-  SELECT material, valid_from, precio_base,
-         CASE WHEN lead(valid_from) OVER w IS NULL THEN valid_to
-              ELSE least(valid_to, CAST(lead(valid_from) OVER w - INTERVAL 1 DAY AS DATE)) END AS valid_to
-  FROM dim WINDOW w AS (PARTITION BY material ORDER BY valid_from))
-SELECT n.*, c.precio_base AS precio_catalogo_unitario
-FROM normalized_v n LEFT JOIN closed c
-  ON n.material = c.material AND n.fecha_proceso_dt BETWEEN c.valid_from AND c.valid_to""",
+  SELECT material, DATE '1996-03-01', DATE '1996-03-31', precio_base * CAST(0.5 AS DOUBLE) FROM newer
+  UNION ALL
+  SELECT material, DATE '1998-07-01', DATE '1998-08-15', precio_base * CAST(0.75 AS DOUBLE) FROM newer
+  WHERE material % 3 = 0
+  UNION ALL
+  SELECT material, DATE '1997-01-01', NULL, precio_base * CAST(0.25 AS DOUBLE) FROM newer WHERE material % 2 = 0),
+facts AS (SELECT *, row_number() OVER () AS rid FROM normalized_v),
+ranked AS (
+  SELECT f.rid, d.precio_base,
+         row_number() OVER (PARTITION BY f.rid ORDER BY d.valid_from DESC, d.valid_to DESC, d.precio_base DESC) AS k
+  FROM facts f JOIN dim d ON f.material = d.material AND f.fecha_proceso_dt BETWEEN d.valid_from AND d.valid_to)
+SELECT f.* EXCLUDE (rid), r.precio_base AS precio_catalogo_unitario
+FROM facts f LEFT JOIN ranked r ON r.rid = f.rid AND r.k = 1""",
 
     "rule_flags": SILVER + "SELECT * FROM evaluated_v",
 
@@ -322,7 +429,7 @@ FROM evaluated_v WHERE {COND} GROUP BY 1, 2, 3""",
 
     "replace_partitions_state": with_(DELIVERIES_V, BRONZE_V) + f""",
 b AS (SELECT *, {MONTH} AS mes FROM bronze_v),
-base AS (SELECT * FROM b WHERE fecha_proceso < 19980101),
+base AS (SELECT * FROM b),
 batch AS (SELECT * REPLACE (precio + 1 AS precio) FROM b WHERE fecha_proceso BETWEEN 19970601 AND 19980630)
 SELECT * FROM base
 WHERE NOT EXISTS (SELECT 1 FROM batch WHERE batch._tenant_id = base._tenant_id AND batch.mes = base.mes)
@@ -335,8 +442,10 @@ SELECT * FROM ext WHERE pais <> 'EUROPE'
 UNION ALL SELECT * FROM batch""",
 
     "upsert_fact_state": GOOD_MONTHLY + """,
-target AS (SELECT * FROM good_m WHERE fecha_proceso < 19980701),
-source AS (SELECT * REPLACE (precio + 1 AS precio) FROM good_m WHERE mes IN (199806, 199807))
+target AS (SELECT * FROM good_m),
+source AS (
+  SELECT * REPLACE (precio + 1 AS precio) FROM good_m WHERE mes IN (199806, 199807)
+  UNION ALL SELECT * REPLACE (-transporte - 1 AS transporte) FROM good_m WHERE mes IN (199806, 199807))
 SELECT * FROM target t WHERE NOT EXISTS (
   SELECT 1 FROM source s WHERE s._tenant_id = t._tenant_id AND s.fecha_proceso = t.fecha_proceso
     AND s.transporte = t.transporte AND s.ruta = t.ruta AND s.material = t.material
@@ -361,7 +470,7 @@ SELECT *, CASE WHEN unidad = 'CS' THEN cantidad * 20 ELSE cantidad END AS cantid
 FROM bronze_v WHERE fecha_proceso >= 19970101""",
 
     "full_overwrite_state": with_(DELIVERIES_V, BRONZE_V) + """
-SELECT * REPLACE (CAST(NULL AS VARCHAR) AS unidad) FROM bronze_v WHERE fecha_proceso >= 19980101""",
+SELECT * REPLACE (CAST(NULL AS VARCHAR) AS unidad) FROM bronze_v""",
 
     "quarantine_state": QUARANTINE.replace(
         "AS _quarantine_reason\n", f"AS _quarantine_reason, {MONTH} AS mes\n"),
@@ -378,7 +487,9 @@ SELECT _tenant_id, COUNT(*) AS rows, CAST(1 AS BIGINT) AS batches,
        COUNT(*) AS rows_with_file, COUNT(*) AS rows_with_time
 FROM bronze_v GROUP BY 1""",
 
-    "stream_ingest_state": with_(DELIVERIES_V, BRONZE_V) + "SELECT * FROM bronze_v",
+    "stream_ingest_state": with_(DELIVERIES_V, BRONZE_V) + f"""
+SELECT * REPLACE (CASE WHEN fecha_proceso BETWEEN 19970301 AND 19970331 THEN precio + 1 ELSE precio END AS precio),
+       {MONTH} AS mes FROM bronze_v""",
 
     "rerun_idempotence": SILVER + f"""
 SELECT _tenant_id, fecha_proceso, tipo_entrega, {MONTH} AS mes,{GOLD_AGGS}
@@ -390,4 +501,81 @@ FROM evaluated_v WHERE {COND} GROUP BY 1, 2, 3, 4""",
         blocked_expr="critical",
         overrides={"africa": {"precio_valido": "TRUE"},
                    "america": {"precio_valido": "TRUE", "fecha_valida": "TRUE"}}),
+
+    "run_status_bad_tenant": _status_bad_tenant(),
+
+    "missing_inputs_status": _status_missing_catalog(),
+
+    "contract_violation_status": _status_contract(),
+
+    "range_rerun_bronze_state": with_(DELIVERIES_V, BRONZE_V) + f"""
+SELECT * REPLACE ({RERUN_PRICE} AS precio), {MONTH} AS mes FROM bronze_v""",
+
+    "range_rerun_quarantine_state": SILVER + f"""
+SELECT {KEYS}, {RERUN_PRICE} AS precio, cantidad, {MONTH} AS mes, {REASON} AS _quarantine_reason
+FROM evaluated_v WHERE NOT {COND} AND _rule_tipo_entrega_valido""",
+
+    "range_rerun_gold_state": SILVER + f"""
+SELECT _tenant_id, fecha_proceso, tipo_entrega, {MONTH} AS mes,{GOLD_AGGS}
+FROM (SELECT * REPLACE ({RERUN_PRICE} AS precio) FROM evaluated_v WHERE {COND}) GROUP BY 1, 2, 3, 4""",
+
+    "csv_reordered_columns": with_(DELIVERIES_V, BRONZE_V) + f"SELECT *, {MONTH} AS mes FROM bronze_v",
+
+    "csv_extra_column_to_silver": SILVER + f"""
+SELECT _tenant_id, fecha_proceso, CAST(transporte AS VARCHAR) AS transporte, CAST(ruta AS VARCHAR) AS ruta,
+       'SKU' || material AS material, tipo_entrega, cantidad_normalizada_st, precio, precio_catalogo_unitario,
+       'c' || unidad AS canal
+FROM evaluated_v WHERE {COND}""",
+
+    "unparsable_values_status": with_(DELIVERIES_V, BRONZE_V) + """,
+bad AS (SELECT COUNT(*) FILTER (WHERE transporte % 5 = 0) AS c, COUNT(*) FILTER (WHERE transporte % 7 = 0) AS p
+        FROM bronze_v)
+SELECT _tenant_id, COUNT(*) AS rows, COUNT(*) FILTER (WHERE transporte % 7 <> 0) AS with_price,
+       COUNT(cantidad) FILTER (WHERE transporte % 5 <> 0) AS with_quantity,
+       (SELECT 'unparsable values: cantidad ' || c || ', precio ' || p FROM bad) AS reason
+FROM bronze_v GROUP BY 1""",
+
+    "upsert_evolved_state": GOOD_MONTHLY + f""",
+merged AS (
+  SELECT {KEYS}, mes, cantidad,
+         CASE WHEN mes IN (199701, 199806) AND ruta % 2 = 0 THEN precio + 1 ELSE precio END AS precio, unidad,
+         CASE WHEN mes >= 199706 THEN 'n' || ruta END AS nota
+  FROM good_m)
+SELECT *, 'month' AS layout FROM merged UNION ALL SELECT *, 'none' FROM merged""",
+
+    "gold_fractional_metrics": SILVER + """
+SELECT _tenant_id, fecha_proceso, tipo_entrega,
+       CAST(SUM(CAST(cantidad_normalizada_st * CAST(0.125 AS DOUBLE) AS DECIMAL(18,6))) AS DOUBLE) AS total_units,
+       CAST(SUM(CAST(cantidad_normalizada_st * CAST(0.125 AS DOUBLE) AS DECIMAL(36,6))
+                * CAST(precio / CAST(1000 AS DOUBLE) AS DECIMAL(18,6))) AS DOUBLE) AS total_revenue,
+       COUNT(DISTINCT ruta) AS active_routes, COUNT(DISTINCT transporte) AS active_transports
+FROM evaluated_v WHERE """ + COND + " GROUP BY 1, 2, 3",
+
+    "gold_approx_distinct_error": SILVER + f"""
+SELECT _tenant_id, COUNT(DISTINCT ruta) AS active_routes, COUNT(DISTINCT transporte) AS active_transports,
+       true AS routes_within, true AS transports_within
+FROM evaluated_v WHERE {COND} GROUP BY 1""",
+
+    "tenant_rule_severity": _severity_log(),
+
+    "tenant_severity_reasons": SEVERITY_REASONS,
+
+    "quarantine_actions": SILVER + f"""
+SELECT * EXCLUDE ({RULE_COLS}, fecha_proceso_dt),
+       CASE WHEN NOT _rule_tipo_entrega_valido THEN 'discard' ELSE 'quarantine' END AS _action,
+       {REASON_NULL_SAFE} AS _quarantine_reason
+FROM evaluated_v WHERE {COND} IS NOT TRUE""",
+
+    "layer_stamps": SILVER + f"""
+SELECT _tenant_id, COUNT(*) AS rows, COUNT(*) AS stamped, COUNT(*) AS with_batch, 'bronze' AS layer
+FROM bronze_v GROUP BY 1
+UNION ALL SELECT _tenant_id, COUNT(*), COUNT(*), COUNT(*), 'silver' FROM evaluated_v WHERE {COND} GROUP BY 1
+UNION ALL SELECT _tenant_id, COUNT(*), COUNT(*), COUNT(*), 'quarantine' FROM evaluated_v
+WHERE NOT {COND} AND _rule_tipo_entrega_valido GROUP BY 1""",
+
+    "quality_log_runs": f"""
+WITH log AS ({_quality_log()})
+SELECT tenant_id, b._batch_id, check_name, CAST(1 AS BIGINT) AS runs, CAST(1 AS BIGINT) AS with_time,
+       records_checked, records_failed
+FROM log, (VALUES ('batch-1'), ('batch-2')) b(_batch_id)""",
 }

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.config import DEFAULT_RULES, DELIVERIES, DIMENSION_KEYS, FACT_KEYS, MONTH_KEY
+from terrace.config import DEFAULT_RULES, DIMENSION_KEYS, FACT_KEYS, MONTH_KEY
 from terrace.operators.contract import isolate_tenants, stamp_global
-from terrace.operators.metrics import dedup
+from terrace.operators.metrics import daily_metrics, dedup
 from terrace.operators.normalize import (
     DELIVERY_FLAGS,
     class_flags,
@@ -28,6 +28,7 @@ from terrace.operators.normalize import (
     parse_process_date,
 )
 from terrace.operators.quality import (
+    action_frame,
     outcome_counts,
     quality_log,
     quarantine_frame,
@@ -35,7 +36,7 @@ from terrace.operators.quality import (
     rules_for_tenants,
     split_by_quality,
 )
-from terrace.operators.sinks import append, overwrite, replace_partitions, replace_prefix, upsert
+from terrace.operators.sinks import append, overwrite, replace_partitions, replace_prefix, table_schema, upsert
 from terrace.operators.temporal import point_in_time_join
 from terrace.plans.medallion import (
     Layout,
@@ -52,6 +53,7 @@ from terrace.plans.medallion import (
 from terrace.session import scratch_path
 from terrace.sources import fixtures
 from terrace.sources.files import read_table
+from terrace.sources.fixtures import FIXTURE_DELIVERIES, FIXTURE_MATERIALS
 from terrace.streaming.ingest import stream_ingest
 
 # Fixed values of the query scenarios.
@@ -142,15 +144,22 @@ def point_in_time_join_salted(spark, sf):
 
 
 def point_in_time_join_latest(spark, sf):
-    """Overlapping versions: a third version from 1998-01-01 overlaps both others;
-    ``on_overlap='latest'`` keeps one row per fact, the newest version."""
+    """Overlapping versions: besides the two of the catalog a one-month promotion inside an open
+    version, a second version with an equal start that ends earlier, and versions with a NULL end.
+    ``on_overlap='latest'`` keeps one row per fact: the newest version valid on its day."""
     dim = dimension(spark, sf).select("material", "valid_from", "valid_to", "precio_base")
-    extra = (dim.filter(F.col("valid_from") == F.lit("1998-07-01").cast("date"))
-             .select("material", F.lit("1998-01-01").cast("date").alias("valid_from"),
-                     F.lit("9999-12-31").cast("date").alias("valid_to"),
-                     (F.col("precio_base") * F.lit(1.05)).alias("precio_base")))
+    newer = dim.filter(F.col("valid_from") == F.lit("1998-07-01").cast("date"))
+
+    def version(start, end, factor, every):
+        return newer.filter(F.col("material") % every == 0).select(
+            "material", F.lit(start).cast("date").alias("valid_from"), F.lit(end).cast("date").alias("valid_to"),
+            (F.col("precio_base") * F.lit(factor)).alias("precio_base"))
+
+    dim = (dim.unionByName(version("1996-03-01", "1996-03-31", 0.5, 1))
+           .unionByName(version("1998-07-01", "1998-08-15", 0.75, 3))
+           .unionByName(version("1997-01-01", None, 0.25, 2)))
     fact = normalize_deliveries(bronze(spark, sf))
-    return point_in_time_join(fact, dim.unionByName(extra), ["material"], at="fecha_proceso_dt",
+    return point_in_time_join(fact, dim, ["material"], at="fecha_proceso_dt",
                               columns={"precio_base": "precio_catalogo_unitario"}, on_overlap="latest")
 
 
@@ -208,6 +217,32 @@ def tenant_rule_override(spark, sf):
                      cond.alias("passed"))
 
 
+SEVERITIES = {
+    "europe": {"precio_valido": {"severity": "warning"},
+               "ruta_conocida": {"expr": "ruta IS NOT NULL AND ruta % 7 <> 0", "severity": "critical"}},
+    "asia": {"cantidad_valida": {"expr": "cantidad >= 10 AND cantidad IS NOT NULL", "severity": "info"}},
+}
+
+
+def tenant_rule_severity(spark, sf):
+    """The log under per-tenant severities; a new rule is logged for its tenant only."""
+    rules = rules_for_tenants(DEFAULT_RULES, SEVERITIES)
+    df, _ = evaluated(spark, sf, rules)
+    return quality_log(df, rules).drop("_run_id", "_batch_id", "executed_at")
+
+
+def tenant_severity_reasons(spark, sf):
+    rules = rules_for_tenants(DEFAULT_RULES, SEVERITIES)
+    df, cond = evaluated(spark, sf, rules)
+    quarantine, _ = route_bad(split_by_quality(df, cond)[1], rules)
+    return quarantine_frame(quarantine, rules, timestamp=False).select(*FACT_KEYS, "_quarantine_reason")
+
+
+def quarantine_actions(spark, sf):
+    df, cond = evaluated(spark, sf)
+    return action_frame(df, cond, DEFAULT_RULES, timestamp=False)
+
+
 # ---------------------------------------------------------------- aggregation
 def full_row_dedup(spark, sf):
     b = bronze(spark, sf)
@@ -219,11 +254,33 @@ def gold_daily_metrics(spark, sf):
     return gold_frame(df.filter(cond))
 
 
+def gold_fractional_metrics(spark, sf):
+    """Operands with three and five decimals: nothing is rounded to cents."""
+    df, cond = evaluated(spark, sf)
+    fine = df.filter(cond).withColumns({
+        "cantidad_normalizada_st": F.col("cantidad_normalizada_st") * F.lit(0.125),
+        "precio": F.col("precio") / F.lit(1000)})
+    return gold_frame(fine)
+
+
+def gold_approx_distinct_error(spark, sf):
+    """HyperLogLog distinct counts of whole tenants: are they within 15 % of the exact ones?"""
+    df, cond = evaluated(spark, sf)
+    good = df.filter(cond)
+    exact = daily_metrics(good, ["_tenant_id"])
+    near = daily_metrics(good, ["_tenant_id"], approx=True).select(
+        "_tenant_id", F.col("active_routes").alias("r"), F.col("active_transports").alias("t"))
+    return exact.join(near, "_tenant_id").select(
+        "_tenant_id", "active_routes", "active_transports",
+        (F.abs(F.col("r") / F.col("active_routes") - 1) <= 0.15).alias("routes_within"),
+        (F.abs(F.col("t") / F.col("active_transports") - 1) <= 0.15).alias("transports_within"))
+
+
 # ---------------------------------------------------------------- sinks
 def replace_partitions_state(spark, sf):
     path = scratch_path(spark, "replace-partitions")
     b = _with_month(bronze(spark, sf))
-    replace_partitions(b.filter(F.col("fecha_proceso") < 19980101), path, MONTH_LAYOUT)
+    replace_partitions(b, path, MONTH_LAYOUT)
     batch = (b.filter(F.col("fecha_proceso").between(19970601, 19980630))
              .withColumn("precio", F.col("precio") + 1))
     replace_partitions(batch, path, MONTH_LAYOUT)
@@ -256,12 +313,34 @@ def upsert_fact_state(spark, sf):
     path = scratch_path(spark, "upsert-fact")
     good = _good_monthly(spark, sf)
     keys = list(FACT_KEYS) + ["mes"]
-    upsert(spark, good.filter(F.col("fecha_proceso") < 19980701), path, keys, MONTH_LAYOUT)
-    source = good.filter(F.col("mes").isin(199806, 199807)).withColumn("precio", F.col("precio") + 1)
-    upsert(spark, source, path, keys, MONTH_LAYOUT)
+    upsert(spark, good, path, keys, MONTH_LAYOUT)
+    source = good.filter(F.col("mes").isin(199806, 199807))
+    updates = source.withColumn("precio", F.col("precio") + 1)
+    inserts = source.withColumn("transporte", -F.col("transporte") - 1)
+    upsert(spark, updates.unionByName(inserts), path, keys, MONTH_LAYOUT)
     return read_table(spark, path, schema=good.schema)
 
 
+def upsert_evolved_state(spark, sf):
+    """Tables whose later files have a column that the first file lacks, then an upsert whose source
+    lacks it too: matched rows keep its values.  Once partitioned, once not."""
+    good = _good_monthly(spark, sf)
+    keys = list(FACT_KEYS) + ["mes"]
+    old = good.filter(F.col("mes") < 199706)
+    new = good.filter(F.col("mes") >= 199706).withColumn("nota", F.concat(F.lit("n"), F.col("ruta").cast("string")))
+    source = good.filter(F.col("mes").isin(199701, 199806) & (F.col("ruta") % 2 == 0)).select(
+        *keys, "cantidad", (F.col("precio") + 1).alias("precio"))
+    out = None
+    for name, layout in (("month", MONTH_LAYOUT), ("none", ())):
+        path = scratch_path(spark, f"upsert-evolved-{name}")
+        for batch in (old, new, source):
+            upsert(spark, batch, path, keys, layout)
+        table = read_table(spark, path, schema=table_schema(spark, path)).select(
+            *keys, "cantidad", "precio", "unidad", "nota", F.lit(name).alias("layout"))
+        out = table if out is None else out.unionByName(table)
+    return out
+
+
 def upsert_dim_state(spark, sf):
     path = scratch_path(spark, "upsert-dim")
     dim = dimension(spark, sf)
@@ -288,7 +367,7 @@ def full_overwrite_state(spark, sf):
     path = scratch_path(spark, "overwrite")
     b = bronze(spark, sf)
     overwrite(b, path)
-    overwrite(b.filter(F.col("fecha_proceso") >= 19980101).drop("unidad"), path, keep_old_columns=True)
+    overwrite(b.drop("unidad"), path, keep_old_columns=True)
     return read_table(spark, path, schema=b.schema)
 
 
@@ -305,34 +384,83 @@ def routine_extract_q(spark, sf):
     return routine_extract(deliveries(spark, sf), ROUTINE_COUNTRIES)
 
 
-def _raw_files(spark, sf, fmt: str) -> str:
-    """The fixture deliveries as raw files (several per year) in the shared folder."""
-    path = scratch_path(spark, f"raw-{fmt}")
-    raw = deliveries(spark, sf).withColumn("__y", F.floor(F.col("fecha_proceso") / 10000))
-    (raw.repartition("__y").drop("__y").write.mode("overwrite")
-     .option("header", "true").format(fmt).save(path))
+def _write_raw(df: DataFrame, fmt: str, parts: int = 6) -> str:
+    """Rows as several raw files in the shared folder."""
+    path = scratch_path(df.sparkSession, f"raw-{fmt}")
+    df.repartition(parts).write.option("header", "true").format(fmt).save(path)
     return path
 
 
+def _raw_files(spark, sf, fmt: str) -> str:
+    return _write_raw(deliveries(spark, sf), fmt)
+
+
 BRONZE_CSV_TENANTS = ("Asia", "EUROPE")
 BRONZE_CSV_RANGE = ("1995-06-01", "1998-12-31")
 
 
+MONTHLY = dataclasses.replace(FIXTURE_DELIVERIES, partition_by=MONTH_LAYOUT, derived=(MONTH,))
+BRONZE_SCHEMA = T.StructType(list(FIXTURE_DELIVERIES.schema.fields) + [
+    T.StructField("_tenant_id", T.StringType()), T.StructField("mes", T.IntegerType())])
+
+
 def bronze_csv_ingest(spark, sf):
-    root = scratch_path(spark, "lake")
-    layout = Layout(root)
-    spec = dataclasses.replace(DELIVERIES, partition_by=MONTH_LAYOUT, derived=(MONTH,))
+    layout = Layout(scratch_path(spark, "lake"))
     raw = _raw_files(spark, sf, "csv")
-    ingest(spark, raw, spec, layout, BRONZE_CSV_TENANTS, *BRONZE_CSV_RANGE)
-    ingest(spark, raw, spec, layout, BRONZE_CSV_TENANTS, *BRONZE_CSV_RANGE)   # rerun: same state
-    schema = T.StructType(list(DELIVERIES.schema.fields) + [
-        T.StructField("_tenant_id", T.StringType()), T.StructField("mes", T.IntegerType())])
-    return read_table(spark, layout.bronze("deliveries"), schema=schema)
+    ingest(spark, raw, MONTHLY, layout, BRONZE_CSV_TENANTS, *BRONZE_CSV_RANGE)
+    ingest(spark, raw, MONTHLY, layout, BRONZE_CSV_TENANTS, *BRONZE_CSV_RANGE)   # rerun: same state
+    return read_table(spark, layout.bronze("deliveries"), schema=BRONZE_SCHEMA)
+
+
+def csv_reordered_columns(spark, sf):
+    """Columns are taken by their names in the header, whatever their order and case."""
+    layout = Layout(scratch_path(spark, "lake"))
+    raw = deliveries(spark, sf)
+    turned = raw.select(*[F.col(c).alias(c.upper()) for c in reversed(raw.columns)])
+    ingest(spark, _write_raw(turned, "csv"), MONTHLY, layout)
+    return read_table(spark, layout.bronze("deliveries"), schema=BRONZE_SCHEMA)
+
+
+def csv_extra_column_to_silver(spark, sf):
+    """A column that the spec does not declare reaches silver; identifiers are text by default."""
+    layout = Layout(scratch_path(spark, "lake"))
+    raw = deliveries(spark, sf).withColumns({
+        "canal": F.concat(F.lit("c"), F.col("unidad")), "material": F.concat(F.lit("SKU"), F.col("material"))})
+    catalog = fixtures.materials_raw(spark, sf).withColumn("material", F.concat(F.lit("SKU"), F.col("material")))
+    cfg = RunConfig(tenants=RUN_TENANTS, partition_by=MONTH_LAYOUT, derived=(MONTH,))
+    run(spark, _write_raw(raw, "csv"), _write_raw(catalog, "csv"), layout, cfg)
+    return read_table(spark, layout.fact, schema=table_schema(spark, layout.fact)).select(
+        *FACT_KEYS, "cantidad_normalizada_st", "precio", "precio_catalogo_unitario", "canal")
+
+
+def contract_violation_status(spark, sf):
+    """Files without a required column: the run fails (raise) or skips (skip) the entity."""
+    raw = _write_raw(deliveries(spark, sf).drop("pais"), "csv")
+    out = None
+    for mode in ("raise", "skip"):
+        layout = Layout(scratch_path(spark, "lake"))
+        status = run(spark, raw, fixtures.materials_raw(spark, sf), layout, _run_config(on_violation=mode))
+        status = status.withColumn("mode", F.lit(mode))
+        out = status if out is None else out.unionByName(status)
+    return out
+
+
+def unparsable_values_status(spark, sf):
+    """Values that do not convert to the declared type are NULL and counted in the status."""
+    raw = deliveries(spark, sf).withColumns({
+        "precio": F.when(F.col("transporte") % 7 == 0, "n/a").otherwise(F.col("precio").cast("string")),
+        "cantidad": F.when(F.col("transporte") % 5 == 0, "12 pieces").otherwise(F.col("cantidad").cast("string"))})
+    layout = Layout(scratch_path(spark, "lake"))
+    res = ingest(spark, _write_raw(raw, "csv"), MONTHLY, layout)
+    table = read_table(spark, layout.bronze("deliveries"), schema=BRONZE_SCHEMA)
+    return table.groupBy("_tenant_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("precio").alias("with_price"),
+        F.count("cantidad").alias("with_quantity")).withColumn("reason", F.lit(res.reason))
 
 
 def lineage_stamps(spark, sf):
     raw = _raw_files(spark, sf, "parquet")
-    spec = dataclasses.replace(DELIVERIES, fmt="parquet")
+    spec = dataclasses.replace(FIXTURE_DELIVERIES, fmt="parquet")
     b = bronze_frame(spark, raw, spec, batch_id="batch-1")
     return b.groupBy("_tenant_id").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -342,20 +470,28 @@ def lineage_stamps(spark, sf):
 
 
 def stream_ingest_state(spark, sf):
-    landing = _raw_files(spark, sf, "parquet")
-    sink = scratch_path(spark, "stream-bronze")
-    spec = dataclasses.replace(DELIVERIES, fmt="parquet", partition_by=("_tenant_id",))
-    ckpt = scratch_path(spark, "stream-ckpt")
-    stream_ingest(spark, landing, spec, sink, ckpt, max_files_per_trigger=2)
-    stream_ingest(spark, landing, spec, sink, ckpt)   # restart: nothing new, nothing twice
-    return read_table(spark, sink).drop("_ingestion_timestamp", "_source_file", "_batch_id")
+    """Stream the files, restart, deliver half of the rows again in other files, then load a
+    changed month in batch: one plain table that holds every row once."""
+    raw = deliveries(spark, sf)
+    landing = _write_raw(raw, "parquet")
+    layout = Layout(scratch_path(spark, "lake"))
+    sink, ckpt = layout.bronze("deliveries"), scratch_path(spark, "stream-ckpt")
+    spec = dataclasses.replace(MONTHLY, fmt="parquet")
+    stream_ingest(spark, landing, spec, sink, ckpt, max_files_per_trigger=3)
+    stream_ingest(spark, landing, spec, sink, ckpt)   # restart: nothing new
+    raw.filter(F.col("ruta") % 2 == 0).repartition(2).write.mode("append").parquet(landing)
+    stream_ingest(spark, landing, spec, sink, ckpt)   # delivered again: nothing twice
+    month = raw.filter(F.col("fecha_proceso").between(19970301, 19970331))
+    ingest(spark, month.withColumn("precio", F.col("precio") + 1), MONTHLY, layout)
+    return read_table(spark, sink, schema=BRONZE_SCHEMA)
 
 
 RUN_TENANTS = FIXTURE_TENANTS + ("ec",)
 
 
 def _run_config(**kw) -> RunConfig:
-    return RunConfig(tenants=RUN_TENANTS, partition_by=MONTH_LAYOUT, derived=(MONTH,), **kw)
+    return RunConfig(tenants=RUN_TENANTS, partition_by=MONTH_LAYOUT, derived=(MONTH,),
+                     deliveries=FIXTURE_DELIVERIES, materials=FIXTURE_MATERIALS, **kw)
 
 
 def rerun_idempotence(spark, sf):
@@ -384,6 +520,83 @@ def run_status_breaker(spark, sf):
                                                                         "fecha_valida": "TRUE"}}))
 
 
+RERUN_RANGE = ("1996-01-10", "1996-03-20")
+
+
+def _range_rerun(spark, sf) -> Layout:
+    """A full run by months, then a rerun of a range inside them with changed prices."""
+    layout = Layout(scratch_path(spark, "lake"))
+    raw, catalog = deliveries(spark, sf), fixtures.materials_raw(spark, sf)
+    run(spark, raw, catalog, layout, _run_config())
+    run(spark, raw.withColumn("precio", F.col("precio") + 1), catalog, layout,
+        _run_config(start=RERUN_RANGE[0], end=RERUN_RANGE[1]))
+    return layout
+
+
+def range_rerun_bronze_state(spark, sf):
+    layout = _range_rerun(spark, sf)
+    return read_table(spark, layout.bronze("deliveries"), schema=BRONZE_SCHEMA)
+
+
+def range_rerun_quarantine_state(spark, sf):
+    layout = _range_rerun(spark, sf)
+    return read_table(spark, layout.quarantine, schema=table_schema(spark, layout.quarantine)).select(
+        *FACT_KEYS, "precio", "cantidad", "mes", "_quarantine_reason")
+
+
+def range_rerun_gold_state(spark, sf):
+    layout = _range_rerun(spark, sf)
+    return read_table(spark, layout.gold, schema=table_schema(spark, layout.gold))
+
+
+def _plain_reason(status: DataFrame) -> DataFrame:
+    """Without the parts of a reason that name a path or an example."""
+    return status.withColumn("reason", F.regexp_replace("reason", "(, e\\.g\\. .*| at \\S+)$", ""))
+
+
+def run_status_bad_tenant(spark, sf):
+    """Asia has every row twice, with two prices: it fails alone."""
+    raw = deliveries(spark, sf)
+    twice = raw.unionByName(raw.filter("pais = 'ASIA'").withColumn("precio", F.col("precio") + 1))
+    layout = Layout(scratch_path(spark, "lake"))
+    return _plain_reason(run(spark, twice, fixtures.materials_raw(spark, sf), layout, _run_config()))
+
+
+def missing_inputs_status(spark, sf):
+    """No catalog at all: the dimension is skipped, facts fail on the missing dependency, gold is skipped."""
+    layout = Layout(scratch_path(spark, "lake"))
+    catalog = fixtures.materials_raw(spark, sf).drop("precio_base")
+    return _plain_reason(run(spark, deliveries(spark, sf), catalog, layout, _run_config()))
+
+
+def layer_stamps(spark, sf):
+    """Per tenant, rows of each layer with their own timestamp."""
+    layout = Layout(scratch_path(spark, "lake"))
+    run(spark, deliveries(spark, sf), fixtures.materials_raw(spark, sf), layout, _run_config())
+    out = None
+    for layer, path, stamp in (("bronze", layout.bronze("deliveries"), "_ingestion_timestamp"),
+                               ("silver", layout.fact, "_silver_timestamp"),
+                               ("quarantine", layout.quarantine, "_quarantine_timestamp")):
+        table = read_table(spark, path, schema=table_schema(spark, path))
+        rows = table.groupBy("_tenant_id").agg(F.count(F.lit(1)).alias("rows"), F.count(stamp).alias("stamped"),
+                                               F.count("_batch_id").alias("with_batch"))
+        rows = rows.withColumn("layer", F.lit(layer))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def quality_log_runs(spark, sf):
+    """The shared log, laid out per tenant, after two runs with a batch id each."""
+    layout = Layout(scratch_path(spark, "lake"))
+    for batch in ("batch-1", "batch-2"):
+        run(spark, deliveries(spark, sf), fixtures.materials_raw(spark, sf), layout,
+            _run_config(log_partition_by=("tenant_id",)), batch_id=batch)
+    log = read_table(spark, layout.quality_log, schema=table_schema(spark, layout.quality_log))
+    return log.groupBy("tenant_id", "_batch_id", "check_name").agg(
+        F.count_distinct("_run_id").alias("runs"), F.count("executed_at").alias("with_time"),
+        F.sum("records_checked").alias("records_checked"), F.sum("records_failed").alias("records_failed"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "tenant_isolation": tenant_isolation,
     "global_catalog_stamp": global_catalog_stamp,
@@ -422,4 +635,21 @@ QUERIES: dict[str, QueryFn] = {
     "rerun_idempotence": rerun_idempotence,
     "run_status": run_status,
     "run_status_breaker": run_status_breaker,
+    "run_status_bad_tenant": run_status_bad_tenant,
+    "range_rerun_bronze_state": range_rerun_bronze_state,
+    "range_rerun_quarantine_state": range_rerun_quarantine_state,
+    "range_rerun_gold_state": range_rerun_gold_state,
+    "csv_reordered_columns": csv_reordered_columns,
+    "csv_extra_column_to_silver": csv_extra_column_to_silver,
+    "contract_violation_status": contract_violation_status,
+    "unparsable_values_status": unparsable_values_status,
+    "missing_inputs_status": missing_inputs_status,
+    "upsert_evolved_state": upsert_evolved_state,
+    "gold_fractional_metrics": gold_fractional_metrics,
+    "gold_approx_distinct_error": gold_approx_distinct_error,
+    "tenant_rule_severity": tenant_rule_severity,
+    "tenant_severity_reasons": tenant_severity_reasons,
+    "quarantine_actions": quarantine_actions,
+    "layer_stamps": layer_stamps,
+    "quality_log_runs": quality_log_runs,
 }

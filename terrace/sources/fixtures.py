@@ -4,21 +4,25 @@ The driver's tables carry no deliveries, so two views map them onto the
 pipeline's input schemas; every case the pipeline must handle (bad dates,
 NULL types, negative quantities and prices, missing materials, open-ended
 versions) occurs in them.  The same expressions appear as CTEs in the oracle
-SQL (``terrace.oracle``).
+SQL (``terrace.plans.oracle``).
 
 Scale notes: ``lineitem`` is the only large input.  ``nation`` (25 rows) and
 ``region`` (5 rows) have a size fixed by the TPC-H definition, so broadcasting
-them is bounded; ``supplier`` grows with the scale factor and is left to the
-optimizer (AQE broadcasts it only when its measured size is under the
-threshold, otherwise the join shuffles).
+them is bounded; ``supplier`` grows with the scale factor: it is broadcast only
+while its files are small, otherwise the join shuffles.
 """
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from terrace.config import DELIVERIES, MATERIALS, EntitySpec
 from terrace.functions.columns import date_key
+from terrace.sources.files import file_bytes
 
 # Fixed values of the fixture mapping.
 BAD_DATE_KEY = 20250230
@@ -38,6 +42,19 @@ OLD_VERSION = ("1900-01-01", "1998-06-30", "false")
 NEW_VERSION = ("1998-07-01", "9999-12-31", "true")
 NEW_PRICE_FACTOR = 1.1
 
+SUPPLIER_FILE_BYTES = 8 << 20   # supplier files that may be sent to every executor
+
+
+def _numeric_ids(spec: EntitySpec) -> EntitySpec:
+    """The spec with the identifiers as the numbers that the driver's tables hold."""
+    fields = [T.StructField(f.name, T.LongType() if f.name in ("transporte", "ruta", "material") else f.dataType)
+              for f in spec.schema.fields]
+    return dataclasses.replace(spec, schema=T.StructType(fields))
+
+
+FIXTURE_DELIVERIES = _numeric_ids(DELIVERIES)
+FIXTURE_MATERIALS = _numeric_ids(MATERIALS)
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -61,7 +78,11 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
-    joined = li.join(supplier_regions(spark, sf_dir), li.l_suppkey == F.col("s_suppkey"))
+    regions = supplier_regions(spark, sf_dir)
+    size = file_bytes(table(spark, sf_dir, "supplier"))
+    if size is not None and size <= SUPPLIER_FILE_BYTES:
+        regions = F.broadcast(regions)
+    joined = li.join(regions, li.l_suppkey == F.col("s_suppkey"))
 
     tipo = None
     for flag, status, code in TYPE_BY_FLAGS:

@@ -1,59 +1,70 @@
 """Incremental bronze ingest with Structured Streaming.
 
-New raw files in a landing folder are picked up by a file-source stream,
-stamped (tenant, lineage) and appended to the bronze table by the parquet
-file sink.  The sink's commit log in the checkpoint makes each file land
-exactly once, also when the job is restarted after a failure;
-``trigger(availableNow=True)`` processes everything present and stops, so
-the same code serves scheduled batch runs and continuous runs.
+New raw files in a landing folder are picked up by a file-source stream; each
+micro-batch goes through the same steps and the same sink as the batch path
+(contract, date range, tenants, lineage, upsert), in ``foreachBatch``.  The
+bronze table stays a plain table: streams and batch loads can take turns on
+it, and a file that is delivered again, under whatever name, updates its rows
+instead of doubling them.  The checkpoint skips files that were processed; a
+batch that is replayed after a failure gives the same table, as the upsert is
+idempotent.  ``trigger(availableNow=True)`` processes everything present and
+stops, so the same code serves scheduled and continuous runs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.config import EntitySpec
-from terrace.operators.contract import entity_spec, isolate_tenants, stamp_global, stamp_lineage
-from terrace.operators.normalize import date_range
+from terrace.config import FACT_KEYS, EntitySpec
+from terrace.operators.contract import ContractViolation, check_contract, entity_spec
+from terrace.operators.sinks import upsert
+from terrace.plans.medallion import bronze_rows
 
 
 def stream_ingest(spark: SparkSession, landing: str, spec: EntitySpec | str, sink: str,
                   checkpoint: str, tenants: Iterable[str] | None = None, start: str | None = None,
                   end: str | None = None, max_files_per_trigger: int | None = None,
                   batch_id: str | None = None, available_now: bool = True,
-                  processing_time: str | None = None):
+                  processing_time: str | None = None, keys: Iterable[str] = FACT_KEYS):
     """Start the stream; with ``available_now`` block until the backlog is ingested.
 
+    ``keys`` identify a row (NULL equals NULL); a later delivery of a key
+    replaces the earlier one.  Rows of one micro-batch that agree in all data
+    columns are one row, two different ones with one key raise.  A stream
+    needs a declared schema: files that lack a required column, or whose CSV
+    header differs from it, raise.
+
     Returns the ``StreamingQuery`` (already stopped in ``available_now`` mode).
     """
     spec = entity_spec(spec)
-    reader = spark.readStream.format(spec.fmt).schema(spec.schema)
+    missing = check_contract(spark.createDataFrame([], spec.schema), spec.required_columns)
+    if missing:
+        raise ContractViolation(spec.name, missing)
+    reader = spark.readStream.format(spec.fmt).schema(spec.schema).options(**spec.options)
     if spec.fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = reader.option("header", "true").option("enforceSchema", "false")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    for k, v in spec.options.items():
-        reader = reader.option(k, v)
-    df = stamp_lineage(reader.load(landing), batch_id)
-    if spec.date_column:
-        df = date_range(df, spec.date_column, start, end)
-    df = isolate_tenants(df, spec.tenant_column, tenants) if spec.tenant_column else stamp_global(df)
-    if spec.derived:
-        df = df.withColumns({name: F.expr(sql) for name, sql in spec.derived})
-
-    writer = (df.writeStream.format("parquet")
-              .option("checkpointLocation", checkpoint)
-              .outputMode("append"))
-    if spec.partition_by:
-        writer = writer.partitionBy(*spec.partition_by)
+    keys = [*keys, *(c for c in spec.partition_by if c not in keys)]
+    tenants = None if tenants is None else list(tenants)
+    source = reader.load(landing).withColumn("_source_file", F.col("_metadata.file_path"))
+
+    def land(batch: DataFrame, number: int) -> None:
+        rows = bronze_rows(batch, spec, tenants, start, end)
+        data = [c for c in rows.columns if c != "_source_file"]
+        once = rows.groupBy(*data).agg(F.min("_source_file").alias("_source_file")).withColumns({"_ingestion_timestamp": F.current_timestamp(),
+                                 "_batch_id": F.lit(batch_id or f"{checkpoint}#{number}")})
+        upsert(batch.sparkSession, once, sink, keys, spec.partition_by, null_safe=True)
+
+    writer = source.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    query = writer.start(sink)
+    query = writer.start()
     if available_now:
         query.awaitTermination()
     return query

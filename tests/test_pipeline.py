@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from terrace.config import DELIVERIES
 from terrace.operators.contract import ContractViolation, check_contract, entity_spec
+from terrace.operators.quality import CriticalQualityError
+from terrace.operators.sinks import DuplicateKeyError
 from terrace.plans import medallion as m
 from terrace.plans import registry as reg
 from terrace.session import scratch_path
 from terrace.sources import fixtures
+from terrace.sources.fixtures import FIXTURE_DELIVERIES, FIXTURE_MATERIALS
 from terrace.sources.files import MissingTableError, read_table, table_exists, try_read_table
 
 from conftest import SF_SMALL
@@ -26,10 +29,10 @@ def test_contract_case_insensitive_and_unknown_entity(spark):
 def test_ingest_contract_violation(spark):
     layout = m.Layout(scratch_path(spark, "lake"))
     bad = fixtures.deliveries(spark, SF_SMALL).drop("fecha_proceso")
-    res = m.ingest(spark, bad, DELIVERIES, layout, on_violation="skip")
+    res = m.ingest(spark, bad, FIXTURE_DELIVERIES, layout, on_violation="skip")
     assert res.status == "skipped" and "fecha_proceso" in res.reason
     with pytest.raises(ContractViolation):
-        m.ingest(spark, bad, DELIVERIES, layout, on_violation="raise")
+        m.ingest(spark, bad, FIXTURE_DELIVERIES, layout, on_violation="raise")
 
 
 def test_table_exists_lists_only_the_root(spark):
@@ -52,7 +55,7 @@ def test_missing_dimension_and_missing_source(spark):
     assert df is None and "PATH_NOT_FOUND" in why
     status = {(r.tenant, r.stage): r for r in
               m.run(spark, fixtures.deliveries(spark, SF_SMALL).drop("pais"),
-                    fixtures.materials_raw(spark, SF_SMALL), layout, m.RunConfig(tenants=("asia",))).collect()}
+                    fixtures.materials_raw(spark, SF_SMALL), layout, m.RunConfig(tenants=("asia",), deliveries=FIXTURE_DELIVERIES, materials=FIXTURE_MATERIALS)).collect()}
     assert status[("asia", "bronze_deliveries")].status == "skipped"
     assert status[("asia", "gold_daily_metrics")].reason == "bronze_deliveries skipped"
 
@@ -100,15 +103,173 @@ def test_breaker_blocks_gold_per_tenant(spark):
     assert status[("ec", "bronze_deliveries")].status == "skipped"
 
 
-def test_stream_ingest_restart_is_exactly_once(spark):
+def test_stream_and_batch_take_turns_on_one_table(spark):
     df = reg.stream_ingest_state(spark, SF_SMALL)
     assert df.count() == 6000
     assert df.groupBy("_tenant_id").count().count() == 5
 
 
+def test_stream_checks_the_contract_and_the_header(spark):
+    from terrace.streaming.ingest import stream_ingest
+    lake, ckpt = scratch_path(spark, "lake"), scratch_path(spark, "ckpt")
+    spec = dataclasses.replace(DELIVERIES, required_columns=("pais", "planta"))
+    with pytest.raises(ContractViolation):
+        stream_ingest(spark, lake, spec, lake + "/t", ckpt)
+    landing = scratch_path(spark, "landing")
+    spark.createDataFrame([("EC", "20250101")], "pais string, planta string").write.option("header", "true").csv(landing)
+    with pytest.raises(Exception, match="(?i)header"):
+        stream_ingest(spark, landing, DELIVERIES, lake + "/t", ckpt)
+    assert not table_exists(spark, lake + "/t")
+
+
+def _csv(spark, text, folder=None):
+    folder = folder or scratch_path(spark, "csv")
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").option("lineSep", "\n").text(folder)
+    return folder
+
+
+HEADER = "pais,fecha_proceso,transporte,ruta,tipo_entrega,material,precio,cantidad,unidad"
+
+
+def test_csv_by_header_extra_columns_and_text_ids(spark):
+    raw = _csv(spark, "canal,cantidad,PRECIO,material,ruta,transporte,fecha_proceso,pais,tipo_entrega\n"
+                      "web,2,1.5,SKU1,R02,T01,20250110,EC,ZPRE\nshop,x,oops,MAT7,007,T02,20250111,EC,Z04")
+    layout = m.Layout(scratch_path(spark, "lake"))
+    res = m.ingest(spark, raw, DELIVERIES, layout, ["ec"])
+    assert res.status == "ok" and res.rows == {"ec": 2} and res.reason == "unparsable values: cantidad 1, precio 1"
+    rows = {r["material"]: r for r in read_table(spark, layout.bronze("deliveries")).collect()}
+    assert set(rows) == {"SKU1", "MAT7"}
+    r = rows["SKU1"]
+    assert (r["canal"], r["cantidad"], r["precio"], r["ruta"], r["transporte"], r["_tenant_id"], r["unidad"]) == (
+        "web", 2.0, 1.5, "R02", "T01", "ec", None)
+    assert rows["MAT7"]["ruta"] == "007" and rows["MAT7"]["precio"] is None
+
+
+def test_csv_without_a_required_column_and_mixed_headers(spark):
+    layout = m.Layout(scratch_path(spark, "lake"))
+    bad = _csv(spark, "fecha_proceso,material\n20250101,a")
+    with pytest.raises(ContractViolation, match="pais"):
+        m.ingest(spark, bad, DELIVERIES, layout, on_violation="raise")
+    assert m.ingest(spark, bad, DELIVERIES, layout, on_violation="skip").status == "skipped"
+    assert not table_exists(spark, layout.bronze("deliveries"))
+    mixed = _csv(spark, HEADER + "\nEC,20250101,1,1,ZPRE,a,1,1,ST")
+    _csv(spark, "fecha_proceso,pais,transporte,ruta,tipo_entrega,material,precio,cantidad,unidad\n20250101,EC,1,1,ZPRE,a,1,1,ST", mixed)
+    with pytest.raises(Exception, match="(?i)header"):
+        m.ingest(spark, mixed, DELIVERIES, layout)
+
+
+CATALOG = "material,precio_base,valid_from,valid_to,is_current\nSKU1,10,2024-01-01,9999-12-31,true\n"
+
+
+def _day_rows(days, price=5, tenant="EC", transport="t"):
+    return HEADER + "\n" + "\n".join(
+        f"{tenant},{d},{transport}{i},r,{k},SKU1,{price},{q},ST" for i, d in enumerate(days)
+        for k, q in (("ZPRE", 3), ("Z04", -1)))
+
+
+@pytest.mark.parametrize("layout_by", [("_tenant_id", "fecha_proceso"), ("_tenant_id", "mes")])
+def test_range_rerun_replaces_only_its_days(spark, layout_by):
+    days = [20250101, 20250115, 20250120, 20250131, 20250203]
+    cfg = m.RunConfig(tenants=("ec",), partition_by=layout_by, derived=(reg.MONTH,) if "mes" in layout_by else ())
+    layout = m.Layout(scratch_path(spark, "lake"))
+    catalog = _csv(spark, CATALOG)
+    m.run(spark, _csv(spark, _day_rows(days)), catalog, layout, cfg)
+    status = m.run(spark, _csv(spark, _day_rows(days, price=7)), catalog, layout,
+                   dataclasses.replace(cfg, start="2025-01-15", end="2025-01-20"))
+    assert {r["status"] for r in status.collect() if r["stage"] in ("bronze_deliveries", "gold_daily_metrics")} == {"ok"}
+    again = (20250115, 20250120)
+    for path, price, n in ((layout.bronze("deliveries"), "precio", 2), (layout.fact, "precio", 1), (layout.quarantine, "precio", 1)):
+        got = sorted((r["fecha_proceso"], r[price]) for r in read_table(spark, path).collect())
+        assert got == sorted((d, 7.0 if d in again else 5.0) for d in days for _ in range(n)), path
+    gold = {r["fecha_proceso"]: r["total_revenue"] for r in read_table(spark, layout.gold).collect()}
+    assert gold == {d: 21.0 if d in again else 15.0 for d in days}
+
+
+def _by(status):
+    return {(r["tenant"], r["stage"]): r for r in status.collect()}
+
+
+def test_a_tenant_with_duplicate_keys_fails_alone(spark):
+    rows = _day_rows([20250101], tenant="EC") + "\n" + _day_rows([20250101], tenant="HN").split("\n", 1)[1]
+    rows += "\nEC,20250101,t0,r,ZPRE,SKU1,9,3,ST"
+    cfg = m.RunConfig(tenants=("ec", "hn"))
+    layout = m.Layout(scratch_path(spark, "lake"))
+    got = _by(m.run(spark, _csv(spark, rows), _csv(spark, CATALOG), layout, cfg))
+    assert got[("ec", "silver_fact_deliveries")].status == "failed" and "t0" in got[("ec", "silver_fact_deliveries")].reason
+    assert got[("ec", "gold_daily_metrics")].status == "skipped"
+    assert got[("hn", "silver_fact_deliveries")].status == got[("hn", "gold_daily_metrics")].status == "ok"
+    assert [r["_tenant_id"] for r in read_table(spark, layout.gold).collect()] == ["hn"]
+    with pytest.raises(DuplicateKeyError):
+        m.run(spark, _csv(spark, rows), _csv(spark, CATALOG), m.Layout(scratch_path(spark, "lake")),
+              dataclasses.replace(cfg, fail_fast=True))
+
+
+def test_a_stage_that_breaks_is_run_tenant_by_tenant(spark, monkeypatch):
+    rows = _day_rows([20250101], tenant="EC") + "\n" + _day_rows([20250101], tenant="HN").split("\n", 1)[1]
+    build = m.build_metrics
+
+    def breaks(spark_, layout, cfg, blocked=()):
+        if "hn" in cfg.tenant_list():
+            raise OSError("x" * 700)
+        return build(spark_, layout, cfg, blocked)
+    monkeypatch.setattr(m, "build_metrics", breaks)
+    got = _by(m.run(spark, _csv(spark, rows), _csv(spark, CATALOG), m.Layout(scratch_path(spark, "lake")),
+                    m.RunConfig(tenants=("ec", "hn"))))
+    assert got[("ec", "gold_daily_metrics")].status == "ok"
+    assert got[("hn", "gold_daily_metrics")].status == "failed" and "x" * 700 in got[("hn", "gold_daily_metrics")].reason
+
+
+def test_breaker_raises_with_fail_fast_and_can_be_per_tenant(spark):
+    rows = _day_rows([20250101], tenant="EC", price=-1) + "\n" + _day_rows([20250101], tenant="HN", price=-1).split("\n", 1)[1]
+    rows += "\n" + "\n".join(x.replace(",t", ",u") for t in ("EC", "HN") for x in _day_rows([20250101], tenant=t).split("\n")[1:])
+    raw, catalog = _csv(spark, rows), _csv(spark, CATALOG)
+    cfg = m.RunConfig(tenants=("ec", "hn"), fail_on_critical=("HN",))
+    got = _by(m.run(spark, raw, catalog, m.Layout(scratch_path(spark, "lake")), cfg))
+    assert got[("hn", "gold_daily_metrics")].status == "blocked" and got[("ec", "gold_daily_metrics")].status == "ok"
+    with pytest.raises(CriticalQualityError, match="hn"):
+        m.run(spark, raw, catalog, m.Layout(scratch_path(spark, "lake")), dataclasses.replace(cfg, fail_fast=True))
+    from terrace.__main__ import main
+    from terrace.session import apply_conf
+    code = main(["--deliveries", raw, "--materials", catalog, "--root", scratch_path(spark, "lake"), "--tenants", "ec,hn",
+                 "--fail-on-critical"])
+    apply_conf(spark)
+    assert code == 1
+
+
+def test_gold_reports_operands_that_it_rounds(spark):
+    raw = _csv(spark, HEADER + "\nEC,20250101,t,r,ZPRE,SKU1,1.999,0.125,ST\nEC,20250101,u,r,ZPRE,SKU1,1000,0.004,ST")
+    layout = m.Layout(scratch_path(spark, "lake"))
+    cfg = m.RunConfig(tenants=("ec",))
+    got = _by(m.run(spark, raw, _csv(spark, CATALOG), layout, cfg))
+    gold = read_table(spark, layout.gold).first()
+    assert (gold["total_units"], gold["total_revenue"]) == (0.129, 4.249875)
+    assert got[("ec", "gold_daily_metrics")].reason is None
+    res = m.build_metrics(spark, layout, dataclasses.replace(cfg, money_type="decimal(18,2)"))
+    assert res.reason == "2 rows with operands that decimal(18,2) rounds"
+
+
+def test_approximate_distinct_counts_are_close(spark):
+    from terrace.operators.metrics import daily_metrics
+    df = spark.range(0, 60000).select(F.lit("a").alias("_tenant_id"), (F.col("id") % 20000).alias("ruta"),
+                                      F.col("id").alias("transporte"), F.lit(1.0).alias("cantidad_normalizada_st"),
+                                      F.lit(1.0).alias("precio"))
+    r = daily_metrics(df, ["_tenant_id"], approx=True).first()
+    assert abs(r["active_routes"] / 20000 - 1) < 0.15 and abs(r["active_transports"] / 60000 - 1) < 0.15
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from terrace.session import shared_dir
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(master="yarn", getConf=lambda: conf, getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
 def test_lineage_columns(spark):
     raw = reg._raw_files(spark, SF_SMALL, "parquet")
-    spec = dataclasses.replace(DELIVERIES, fmt="parquet")
+    spec = dataclasses.replace(FIXTURE_DELIVERIES, fmt="parquet")
     b = m.bronze_frame(spark, raw, spec, tenants=["ASIA"])
     row = b.select("_source_file", "_batch_id", "_ingestion_timestamp", "_tenant_id").first()
     assert row["_source_file"].endswith(".parquet") and row["_tenant_id"] == "asia"
