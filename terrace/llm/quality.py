@@ -64,7 +64,7 @@ def statistics(text: str | None) -> list[float]:
         _share(size - len(data.translate(None, _DIGIT)), letters, 100.0),
         _share(sum(map(eq, words, words[1:])), n + 20, 20.0),
         # the most frequent word beyond what chance gives a short text
-        _share(top - 1, n + 20, 20.0),
+        _share(max(0, top - 1), n + 20, 20.0),
         len(counts) / n ** 0.9 if n else 0.0,
         _share(sum(c for w, c in counts.items() if len(w) > 24), n, 100.0),
         math.log1p(n / len(lines)) if lines else 0.0,
