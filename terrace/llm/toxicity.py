@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import add_columns, held_out, stage
+from terrace.llm.common import add_columns, held_out, narrow_batches, stage
 
 # Words that are insults in most contexts, and phrases in which such words are not.
 BASE = ("idiot", "imbecile", "loser", "moron", "pathetic", "scum", "stupid", "worthless")
@@ -143,11 +143,14 @@ def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 0.0
 
 
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", max_train: int = 20_000, beginnings: tuple[int, ...] =
-          (4, 5, 6, 7, 8), least_toxic: int = 5, least_weight: float = 4.0, max_entries: int = 5_000) -> Lexicon:
+          (4, 5, 6, 7, 8), least_toxic: int = 5, least_share: float = 0.015,
+          least_weight: float = 4.0, max_entries: int = 5_000) -> Lexicon:
     """A lexicon and curve from about ``max_train`` labelled documents outside the held-out fold.
 
     ``max_train`` bounds the sample and ``max_entries`` the lexicon; both are
-    parameters of the fit only.
+    parameters of the fit only.  An entry must occur in ``least_toxic`` toxic
+    documents and in ``least_share`` of them, so that the rare words that
+    copies of one document share are not taken for toxic ones.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out()).select(
         "doc_id", F.col("toxic").cast("int").alias("y")).distinct()
@@ -175,9 +178,11 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", max_train: int
     entries = add_columns(sample, ["text"], {"entries": T.ArrayType(T.StringType())}, words).select(
         "y", F.explode("entries").alias("entry"))
     counts = entries.groupBy("entry").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("f")).where(
-        F.col("t") >= least_toxic)
+        F.col("t") >= max(least_toxic, math.ceil(least_share * toxic)))
     weight = (F.log((F.col("t") + 0.5) / (F.lit(toxic) - F.col("t") + 0.5))
               - F.log((F.col("f") + 0.5) / (F.lit(clean) - F.col("f") + 0.5)))
+    # a text becomes thousands of entries: few texts at a time
+    narrow_batches(sample.sparkSession, 100)
     found = counts.withColumn("w", weight).where(F.col("w") >= least_weight).orderBy(
         F.col("w").desc(), F.col("t").desc(), "entry").limit(max_entries).collect()
     chosen: dict[str, float] = {}

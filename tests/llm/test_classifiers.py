@@ -33,7 +33,7 @@ def test_lexicon_words_beginnings_and_exceptions():
     assert count(text) == naive
 
 
-def brute_entries(rows, least=5):
+def brute_entries(rows, least=5, share=0.015):
     """Weights of whole words and beginnings by counting documents."""
     seen, n = {}, [0, 0]
     for text, y in rows:
@@ -44,7 +44,7 @@ def brute_entries(rows, least=5):
             found |= {f" {w[:k]}" for k in (4, 5, 6, 7, 8) if len(w) >= k}
         for e in found:
             seen.setdefault(e, [0, 0])[y] += 1
-    return {e: math.log((t + .5) / (n[1] - t + .5)) - math.log((f + .5) / (n[0] - f + .5)) for e, (f, t) in seen.items() if t >= least}
+    return {e: math.log((t + .5) / (n[1] - t + .5)) - math.log((f + .5) / (n[0] - f + .5)) for e, (f, t) in seen.items() if t >= max(least, share * n[1])}
 
 
 def test_learned_weights_match_counts(spark):
