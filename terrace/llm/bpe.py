@@ -33,13 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import add_columns
+from terrace.llm.common import add_columns, is_plain
 
 LEAF = 6
 SCANNED = 32
 KEPT = 150_000
-# Texts of these characters alone split alike in ``re`` with plain classes and, much slower, by Unicode property.
-_ODD = re.compile("[^ -~\\n\\r\\tÀ-ÖØ-öø-ÿ]")
+# Plain texts split alike in ``re`` with plain classes and, much slower, by Unicode property.
 _CLASSES = {r"\p{L}": "A-Za-zÀ-ÖØ-öø-ÿ", r"\p{N}": "0-9"}
 
 
@@ -164,7 +163,7 @@ class TreeBPE:
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        for match in (self.split if _ODD.search(text) else self.split_plain)(text):
+        for match in (self.split_plain if is_plain(text) else self.split)(text):
             ids = self.kept.get(match)
             out += self.match_ids(match) if ids is None else ids
         return out

@@ -84,6 +84,18 @@ def bytes_of(df: DataFrame, *columns: str) -> int:
     return int(df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0])
 
 
+#: Printable ASCII, line breaks and tabs, and the letters of Latin-1, as Latin-1 bytes.
+PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *(b for b in range(0xC0, 0x100) if b not in (0xD7, 0xF7))])
+
+
+def is_plain(text: str) -> bool:
+    """Whether a text has plain characters alone, for which tokenizers' Unicode rules are simple."""
+    try:
+        return not text.encode("latin-1").translate(None, PLAIN)
+    except UnicodeEncodeError:
+        return False
+
+
 def held_out(doc_id: str | Column = "doc_id", folds: int = 5) -> Column:
     """True for the fold whose labels are never learned from; a null id counts as the empty text."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import narrow_batches
+from terrace.llm.common import is_plain, narrow_batches
 
 KEPT = 250_000
 SCHEMA = "doc_id long, ids array<int>, offset long, n int"
-# In texts of these characters alone, lower-casing goes letter by letter and composes nothing, and
-# the tokenizer's split is the one below.
-_ODD = re.compile("[^ -~\\n\\r\\tÀ-ÖØ-Þß-öø-ÿ]|<\\|")
+# In plain texts lower-casing goes letter by letter and composes nothing, and the tokenizer's split
+# is this one; the strings of its special tokens start with the mark below.
+_SPECIAL = "<|"
 _SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
 
 
@@ -58,7 +58,7 @@ class TextEncoder:
         self.older: dict[str, tuple[int, ...]] = {}
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.table = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0x21, 0x100)
-                      if not _ODD.search(chr(c))}
+                      if is_plain(chr(c))}
         self.plain = self.check()
 
     def check(self) -> bool:
@@ -93,11 +93,11 @@ class TextEncoder:
     def encode(self, text: str) -> list[int]:
         if not self.plain:
             return self.library(text)
-        if not _ODD.search(text):
+        if is_plain(text) and _SPECIAL not in text:
             return self._split(text)
         out: list[int] = []
         for word in text.split(" "):
-            out += self.library(word) if _ODD.search(word) else self._split(word)
+            out += self._split(word) if is_plain(word) and _SPECIAL not in word else self.library(word)
         return out
 
 
