@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,8 +76,30 @@ def add_columns(df: DataFrame, inputs: list[str], new: dict[str, T.DataType],
 
 
 def narrow_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Whole texts travel to Python in batches of at most ``rows`` rows."""
+    """Before Python runs in tasks: whole texts travel in batches of at most ``rows`` rows, and the
+    workers get this package's code, wherever they run and whatever their path."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    ship_code(spark)
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this subpackage's modules to the executors, once for an application."""
+    sc = spark.sparkContext
+    here = Path(__file__).resolve().parent
+    if sc.applicationId in _shipped or not here.is_dir():  # not a folder: it came with --py-files
+        return
+    package = here.parent
+    folder = tempfile.mkdtemp(prefix="terrace-code-")  # the driver serves it while the application runs
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = f"{folder}/{package.name}-{here.name}.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for f in [package / "__init__.py", *sorted(here.glob("*.py"))]:
+            out.write(f, f.relative_to(package.parent).as_posix())
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
 
 
 def bytes_of(df: DataFrame, *columns: str) -> int:
