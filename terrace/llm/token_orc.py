@@ -140,7 +140,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, t
     (rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, SCHEMA)
      .write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
      .option("orc.create.index", "true").option("orc.row.index.stride", str(stride))
-     .option("orc.stripe.size", str(stripe_mb << 20)).option("compression", "zstd").orc(path))
+     .option("orc.stripe.size", str(stripe_mb << 20)).option("compression", "snappy").orc(path))
 
 
 def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
