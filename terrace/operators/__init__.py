@@ -21,6 +21,7 @@ from terrace.operators.normalize import (  # noqa: F401
 )
 from terrace.operators.quality import (  # noqa: F401
     CriticalQualityError,
+    action_frame,
     critical_tenants,
     enforce_critical,
     evaluate_rules,
@@ -38,8 +39,10 @@ from terrace.operators.sinks import (  # noqa: F401
     append,
     materialize,
     overwrite,
+    recover,
     replace_partitions,
     replace_prefix,
+    replace_slices,
     upsert,
 )
 from terrace.operators.temporal import newest_versions, point_in_time_join  # noqa: F401
