@@ -37,11 +37,24 @@ def shared_folder(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of this application's own in the shared folder."""
+    return f"{shared_folder(spark)}/terrace-llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete all that this application staged.  Results are lazy and read staged tables: call it when
+    they have been written."""
+    folder = new_path(spark, "x").rpartition("/")[0]
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage ends
     in files that outlive any executor, and consumers do not recompute it."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/terrace-llm/{name}-{uuid.uuid4().hex[:12]}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import ann, bpe, embed_dedup, html_extract, minhash, mixing, quality, token_orc, toxicity, url_filter
-from terrace.llm.common import held_out, shared_folder
+from terrace.llm.common import held_out, new_path
 from terrace.llm.oracle import ORACLE  # noqa: F401
 from terrace.llm.url_filter import Rule
 
@@ -48,7 +47,7 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path = f"{shared_folder(spark)}/terrace-llm/tokens-{uuid.uuid4().hex[:12]}"
+    path = new_path(spark, "tokens")
     token_orc.write_tokens(_table(spark, sf_dir, "documents"), path,
                            public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_orc.digest(spark, path)

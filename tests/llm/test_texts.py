@@ -11,7 +11,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from terrace.llm import bpe, minhash, mixing, queries, token_orc
-from terrace.llm.common import components, shared_folder, stage
+from terrace.llm.common import clear_stages, components, new_path, stage
 
 P = pytest.importorskip("public_tokenizers")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -292,7 +292,7 @@ def test_text_encoder_equals_library(word_bpe):
 def test_token_files(spark, word_bpe):
     rows = [(i * 7 % 400 - 50, f"Text number {i}, with its words" * (i % 5), "s") for i in range(400)]
     rows += [(3, "again", "s")] * 2 + [(9000, None, "s"), (9001, "word " * 30000, "s"), (None, "no id", "s")]
-    path = f"{shared_folder(spark)}/terrace-llm/test-tokens-{random.random()}"
+    path = new_path(spark, "test-tokens")
     df = docs(spark, rows).withColumn("ids", F.lit("clash")).withColumn("offset", F.lit(1))
     token_orc.write_tokens(df, path, P.path("word_bpe_49k.json"), 2)
     got = token_orc.digest(spark, path).collect()
@@ -317,3 +317,11 @@ def test_token_files(spark, word_bpe):
 def test_staged_tables_keep_the_schema(spark):
     df = stage(docs(spark, [(1, "a", "s")]), "t")
     assert df.columns == ["doc_id", "text", "lang", "source", "n_chars"] and df.count() == 1
+
+
+def test_staged_tables_of_an_application_can_be_cleared(spark):
+    df = stage(docs(spark, [(1, "a", "s")]), "t")
+    assert df.inputFiles()
+    clear_stages(spark)
+    with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|not_found"):
+        df.collect()
