@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import bpe, minhash, mixing, quality, toxicity
-from terrace.llm.common import shared_folder
+from terrace.llm.common import new_path
 from terrace.llm.queries import QUALITY_LEAST, TOXIC_LEAST
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -61,7 +60,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each one's rows are written as Parquet and read by the next."""
-    folder = f"{shared_folder(spark)}/terrace-llm/pipeline-{uuid.uuid4().hex[:12]}"
+    folder = new_path(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
