@@ -37,7 +37,7 @@ from terrace.llm.common import add_columns, is_plain
 
 LEAF = 6
 SCANNED = 32
-KEPT = 150_000
+KEPT = 100_000
 # Plain texts split alike in ``re`` with plain classes and, much slower, by Unicode property.
 _CLASSES = {r"\p{L}": "A-Za-zÀ-ÖØ-öø-ÿ", r"\p{N}": "0-9"}
 
@@ -70,8 +70,8 @@ class TreeBPE:
         self.tokens = [b""] * self.none
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.stable = lru_cache(100_000)(self._stable)
-        self.small = lru_cache(100_000)(self._small)
+        self.stable = lru_cache(50_000)(self._stable)
+        self.small = lru_cache(50_000)(self._small)
         self.kept: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 
@@ -221,6 +221,19 @@ def decode(df: DataFrame, ranks: dict[bytes, int], pattern: str, ids: str = "ids
     return add_columns(df, [ids], {decoded: T.BinaryType()}, run)
 
 
+def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids",
+               decoded: str = "decoded") -> DataFrame:
+    """``decode(encode(df))`` in one pass: a task needs one worker, and one vocabulary, instead of two."""
+    shared, key = _share(df, ranks, pattern)
+
+    def run(columns: list[pa.Array]) -> list[pa.Array]:
+        codec = _codec(shared, key)
+        rows = [codec.encode(t.as_py() or "") for t in columns[0]]
+        return [pa.array(rows, pa.list_(pa.int32())), pa.array([codec.decode(x) for x in rows], pa.binary())]
+
+    return add_columns(df, [text], {ids: T.ArrayType(T.IntegerType()), decoded: T.BinaryType()}, run)
+
+
 def digest(df: DataFrame, ids: str = "ids", decoded: str = "decoded", keep_ids: bool = False) -> DataFrame:
     """doc_id, number of ids, SHA-256 of the comma-joined decimal ids and of the decoded bytes; the ids on demand."""
     return df.select(

@@ -31,8 +31,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
-    return bpe.digest(bpe.decode(encoded, ranks, public_tokenizers.PATTERN))
+    return bpe.digest(bpe.round_trip(docs, ranks, public_tokenizers.PATTERN))
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,6 +79,8 @@ def test_bpe_rows_nulls_and_clashing_columns(spark, ranks, library):
         want.append(Row(i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
                         hashlib.sha256((t or "").encode()).hexdigest()))
     assert sorted(map(tuple, out), key=str) == sorted(map(tuple, want), key=str)
+    once = bpe.digest(bpe.round_trip(df, ranks, P.PATTERN)).collect()
+    assert sorted(map(tuple, once), key=str) == sorted(map(tuple, want), key=str)
     empty = bpe.digest(bpe.decode(bpe.encode(df.limit(0), ranks, P.PATTERN), ranks, P.PATTERN))
     assert empty.count() == 0
 
