@@ -42,8 +42,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks, pattern = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
-    encoded = bpe.encode(docs.select("doc_id", "text"), ranks, pattern).drop("text")
-    return bpe.digest(bpe.decode(encoded, ranks, pattern), keep_ids=True)
+    return bpe.digest(bpe.round_trip(docs.select("doc_id", "text"), ranks, pattern), keep_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
