@@ -98,33 +98,60 @@ class Blocks:
         self._read(html or "")
 
     def _read(self, html: str) -> None:
-        # open elements: (tag, element number, path, left out); containers get numbers of their own
-        open_: list[tuple[str, int, str, bool]] = [("", 0, "", False)]
+        # open elements: (tag, element number, path, left out, the text before an inline one); containers get
+        # numbers of their own
+        open_: list[tuple[str, int, str, bool, tuple | None]] = [("", 0, "", False, None)]
         text: list[str] = []
-        linked, link, count, at, out = 0, 0, 0, 0, 0
+        inline: dict[str, int] = {}     # open inline elements by tag: the left-out ones and those of their tag inside
+        linked, link, count, at, out, begin = 0, 0, 0, 0, 0, 0
+        rows: list[list] = []           # [place, path, inside, text, linked, open left-out elements, in an inline one]
 
         def flush() -> None:
             nonlocal linked
             if text:
-                if not out:
-                    block = " ".join(unescape("".join(text)).split())
-                    if block:
-                        inside = tuple(dict.fromkeys(e[1] for e in open_))
-                        self.rows.append((open_[-1][2], "", inside, block, linked))
+                block = " ".join(unescape("".join(text)).split())
+                if block:
+                    inside = tuple(dict.fromkeys(e[1] for e in open_))
+                    rows.append([begin, open_[-1][2], inside, block, linked, [id(e) for e in open_ if e[3]] if out else [],
+                                 open_[-1][4] is not None])
                 text.clear()
             linked = 0
 
-        def close(upto: int) -> None:
-            nonlocal out
-            flush()
+        def close(upto: int, own: bool = False) -> None:
+            """Close the elements from ``upto`` on; ``own``: by the end tag of the first of them."""
+            nonlocal out, linked, begin
             while len(open_) > upto:
-                out -= open_.pop()[3]
+                flush()
+                top = open_.pop()
+                out -= top[3]
+                if top[4] is None:
+                    continue
+                inline[top[0]] -= 1
+                if not inline[top[0]]:
+                    del inline[top[0]]
+                if top[3]:
+                    mine = [r for r in rows[top[4][3]:] if id(top) in r[5]]
+                    # without an end tag it ends where its first block begins
+                    for k, r in enumerate(mine):
+                        r[5].remove(id(top))
+                        if k == 0 and r[6] or own and len(open_) == upto:
+                            r[5].append(0)
+                    text[:], linked, begin = list(top[4][0]), top[4][1], top[4][2]
+
+        def block_at() -> int:
+            """The innermost open element that is not an inline one."""
+            k = len(open_) - 1
+            while open_[k][4] is not None:
+                k -= 1
+            return k
 
         size = len(html)
         while at < size:
             found = _TAG.search(html, at)
             piece = html[at:found.start()] if found else html[at:]
             if piece:
+                if not text:
+                    begin = at
                 text.append(piece)
                 if link:
                     linked += len(piece)
@@ -137,16 +164,21 @@ class Blocks:
             if found[1]:
                 if tag == "a":
                     link = 0
-                elif tag in _ENDS_P or tag in _DROPPED:
+                if tag in _ENDS_P or tag in _DROPPED or tag in inline:
                     for k in range(len(open_) - 1, 0, -1):
                         if open_[k][0] == tag:
-                            close(k)
+                            close(k, own=True)
                             break
                     else:
                         flush()
                 continue
             if tag == "a":
                 link = 1
+                if "a" in inline and open_[block_at() + 1:]:    # links do not nest
+                    for k in range(len(open_) - 1, block_at(), -1):
+                        if open_[k][0] == "a":
+                            close(k, own=True)
+                            break
             elif tag == "br":
                 flush()
             if tag in _RAW or tag == "script":
@@ -161,26 +193,35 @@ class Blocks:
                     flush()
                 continue
             name, noise = _describe(tag, found[3])
-            if tag in _ENDS_P or noise:
+            if tag in _ENDS_P or tag in _DROPPED:
                 flush()
-                if open_[-1][0] == "p" and tag in _ENDS_P:
-                    close(len(open_) - 1)
+                if open_[block_at()][0] == "p" and tag in _ENDS_P:
+                    close(block_at())
                 same = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"),
                         "tr": ("tr", "td", "th")}.get(tag)
-                while same and open_[-1][0] in same:
-                    close(len(open_) - 1)
+                while same and open_[block_at()][0] in same:
+                    close(block_at())
                 top = open_[-1]
                 if tag in _CONTAINERS and not noise:
                     count += 1
                     path = f"{top[2]}>{name}"
                     self.paths[count] = path
-                    open_.append((tag, count, path, False))
+                    open_.append((tag, count, path, False, None))
                 else:
-                    open_.append((tag, top[1], top[2], noise))
+                    open_.append((tag, top[1], top[2], noise, None))
                     out += noise
-            # inline elements neither end a block nor hold others
+            elif noise or tag in inline:
+                # inline elements neither end a block nor hold others; left-out ones are kept to their end tag
+                top = open_[-1]
+                open_.append((tag, top[1], top[2], noise, (tuple(text), linked, begin, len(rows))))
+                inline[tag] = inline.get(tag, 0) + 1
+                out += noise
+                if noise:
+                    text.clear()
+                    linked = 0
         close(1)
         flush()
+        self.rows = [(r[1], "", r[2], r[3], r[4]) for r in sorted(rows, key=lambda r: r[0]) if not r[5]]
 
     def votes(self) -> dict[str, float]:
         """Score by path of the page's containers."""

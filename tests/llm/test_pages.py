@@ -125,3 +125,19 @@ def test_op10_query_gives_the_articles(spark):
         article = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S)[1]
         blocks = [" ".join(unescape(x).split()) for x in re.split(r"</?(?:p|h1|br)>", re.sub("</?b>", "", article))]
         assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+def main_of(html):
+    return Blocks(html).main(None)
+
+
+def test_left_out_inline_elements_end_at_their_end_tag():
+    assert main_of('<body><a class="skip-link" href="#c">Skip</a><main><p>The article.</p></main></body>') == "The article."
+    assert main_of('<p>A <span class="ad">x</span> B</p>') == "A B"
+    assert main_of('<p>A <span class="ad">x <span>y</span> z</span> B <span>C</span></p><p>D</p>') == "A B C\nD"
+    assert main_of('<div>A <a class="promo"><div>card</div></a> B</div>') == "A B"
+    # without an end tag: up to the end of its block, or the next one's begin
+    assert main_of('<p>A <span class="ad">x<p>B<ul><li>C <b class="ad">y<li>D</ul>') == "A\nB\nC\nD"
+    assert main_of('<body>A <a class="skip-link">Skip<main><p>The article.</p></main></body>') == "A\nThe article."
+    assert main_of('<p>A <a class="ad" href="x">x <a href="y">B</a> C') == "A B C"
+    assert main_of('<body><a class="ad"><p>B</p><p>C</p></body>') == "B\nC"
