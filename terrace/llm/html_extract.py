@@ -56,6 +56,8 @@ _ROLES = frozenset("alert banner complementary contentinfo dialog form menu menu
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
+_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in ("script", "style")}
+_EMPTY = re.compile(r"(?:^|[\s\"'])/$")   # not the slash that ends an unquoted value
 _NAMES = re.compile(r"\b(class|id|role)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
 _WORDS = re.compile(r"[^\W_]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
@@ -86,6 +88,20 @@ def _describe(tag: str, attributes: str) -> tuple[str, bool]:
     return "".join(name), noise
 
 
+def _ends(html: str, tag: str) -> dict[int, int]:
+    """Where the content of each element of a tag begins -> behind its end tag; unclosed ones are not in it."""
+    tags = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?){tag}(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+    begun: list[int] = []
+    out: dict[int, int] = {}
+    for found in tags.finditer(html):
+        if found[1]:
+            if begun:
+                out[begun.pop()] = found.end()
+        elif found[1] is not None and not _EMPTY.search(found[2]):
+            begun.append(found.end())
+    return out
+
+
 class Blocks:
     """The text blocks of a page with the containers that hold them.
 
@@ -103,6 +119,7 @@ class Blocks:
         open_: list[tuple[str, int, str, bool, tuple | None]] = [("", 0, "", False, None)]
         text: list[str] = []
         inline: dict[str, int] = {}     # open inline elements by tag: the left-out ones and those of their tag inside
+        ends: dict[str, dict[int, int]] = {}
         linked, link, count, at, out, begin = 0, 0, 0, 0, 0, 0
         rows: list[list] = []           # [place, path, inside, text, linked, open left-out elements, in an inline one]
 
@@ -181,13 +198,17 @@ class Blocks:
                             break
             elif tag == "br":
                 flush()
-            if tag in _RAW or tag == "script":
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
-                if tag in _DROPPED or tag in ("script", "style", "xmp"):
-                    at = end.end() if end else size
-                    if tag not in ("script", "style"):
-                        flush()
-                    continue
+            if tag in ("script", "style"):
+                end = _END[tag].search(html, at)
+                at = end.end() if end else size
+                continue
+            if tag in _RAW:
+                flush()
+                if not _EMPTY.search(found[3]):
+                    if tag not in ends:
+                        ends[tag] = _ends(html, tag)
+                    at = ends[tag].get(at, at)  # without an end tag: on behind the start tag
+                continue
             if tag in _VOID or found[3].endswith("/") and tag not in _BLOCKS:
                 if tag == "hr":
                     flush()
@@ -195,6 +216,8 @@ class Blocks:
             name, noise = _describe(tag, found[3])
             if tag in _ENDS_P or tag in _DROPPED:
                 flush()
+                if open_[-1][0] == "head" and tag in _BLOCKS:   # its end tag may be left out
+                    close(len(open_) - 1)
                 if open_[block_at()][0] == "p" and tag in _ENDS_P:
                     close(block_at())
                 same = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"),

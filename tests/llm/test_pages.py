@@ -141,3 +141,14 @@ def test_left_out_inline_elements_end_at_their_end_tag():
     assert main_of('<body>A <a class="skip-link">Skip<main><p>The article.</p></main></body>') == "A\nThe article."
     assert main_of('<p>A <a class="ad" href="x">x <a href="y">B</a> C') == "A B C"
     assert main_of('<body><a class="ad"><p>B</p><p>C</p></body>') == "B\nC"
+
+
+def test_raw_elements_without_an_end_tag_do_not_cut_the_page():
+    for tag in ("svg", "iframe", "noscript", "textarea", "title", "template", "noframes", "xmp"):
+        for start in (f"<{tag}/>", f'<{tag} class="icon"/>', f"<{tag} data-x=a />", f"<{tag}>", f"<{tag.upper()} x=http://a/>"):
+            assert main_of(f"<body>{start}<p>One</p>{start}<p>Two</p></body>") == "One\nTwo", start
+            assert main_of(f"<body>{start}<p>One</p><{tag}>left out</{tag}><p>Two</p></body>") == "One\nTwo", start
+        assert main_of(f"<p>One</p><{tag}>a <{tag}>b</{tag}> c</{tag}><p>Two</p>") == "One\nTwo"
+        assert main_of(f"<p>One</p><{tag} x=http://a/>a</{tag}><p>Two</p>") == "One\nTwo"
+    assert main_of("<p>One</p><script/><p>Two</p>") == "One"
+    assert main_of("<html><head><title>t</title><body><p>One</p></body></html>") == "One"
