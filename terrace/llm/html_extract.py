@@ -10,7 +10,9 @@ every element of a page at the winning path; a page that has none there falls
 back on its own best container.
 
 Inside the chosen elements menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments are left out.  Blocks end
+adverts, forms, scripts, styles and reader comments are left out, by tag, role
+and words of class and id, unless such an element turns out to hold most of
+the page's running text and so to be a wrapper of the article.  Blocks end
 at block-level tags and line breaks; character references are decoded, white
 space inside a block becomes one space, blocks are joined by one newline.
 
@@ -52,6 +54,16 @@ _NOISE = frozenset("""ad ads adbox adsense advert advertisement advertisements a
     sponsor sponsored subscribe tags toolbar topbar widget widgets""".split())
 _SMALL_NOISE = frozenset("ad ads advert advertisement comment comments promo promoted related reply sponsored".split())
 _QUALIFIERS = frozenset("has no with without".split())
+# Words of boxes that can hold more running text than a short article; parts of the page's layout, which as a part
+# of a longer word often name a wrapper of the article and its neighbours; tags that can be such a wrapper.
+_RIVALS = frozenset("comment commentlist comments disqus recommended related replies reply respond responses".split())
+_LAYOUT = frozenset("banner header masthead menu menus nav navbar navigation search sidebar toolbar topbar widget widgets".split())
+_WRAPPERS = frozenset("form header label object".split())
+# Grades of left-out elements, and the share of the running text from which one is taken for the article's wrapper.
+_WRAP, _BOX, _RIVAL = 1, 2, 3
+_SHARES = {_WRAP: 0.5, _BOX: 0.9, _RIVAL: 1.0}
+_RUNNING, _LEAST = 25, 200  # characters of a block of running text; of all in a box or rival that is kept
+_TITLES = frozenset("h1 h2 h3 h4 h5 h6 hgroup p li dt dd caption figcaption summary blockquote".split())
 _ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 
 _TAG = re.compile(
@@ -64,28 +76,49 @@ _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _NUMBER = re.compile(r"\d+")
 
 
-def _describe(tag: str, attributes: str) -> tuple[str, bool]:
-    """(generalised name of an element, whether it is no part of an article)."""
-    noise = tag in _DROPPED
+def _grade(word: str, listed: frozenset, whole: bool) -> int:
+    """How surely a class or id word names something that is no part of an article; 0: it does not.
+
+    A word names a role alone or as the part that others qualify: "ad", "site-footer", "comments-list";
+    "with-sidebar" and the like speak of the element's neighbours.  ``whole``: only alone.
+    """
+    parts = [x.lower() for x in _WORDS.findall(_CAMEL.sub(" ", word))]
+    if not parts or parts[0] in _QUALIFIERS or whole and len(parts) > 1:
+        return 0
+    noise = listed.intersection(parts)
+    if not noise:
+        return 0
+    return _RIVAL if noise & _RIVALS else _WRAP if len(parts) > 1 and noise <= _LAYOUT else _BOX
+
+
+def _describe(tag: str, attributes: str) -> tuple[str, int]:
+    """(generalised name of an element, its grade as no part of an article)."""
+    grade = (_WRAP if tag in _WRAPPERS else _RIVAL) if tag in _DROPPED else 0
     if not attributes or "=" not in attributes:
-        return tag, noise
+        return tag, grade
     name = [tag]
+    listed = _SMALL_NOISE if tag == "article" else _NOISE
+    ids: list[str] = []
+    section = tag == "section"
     for found in _NAMES.finditer(attributes):
         kind = found[1].lower()
         value = unescape(found[2] or found[3] or found[4] or "")
         if kind == "role":
-            noise = noise or value.strip().lower() in _ROLES
-        elif kind in ("class", "id"):
-            words = value.split()
-            name += sorted(("." if kind == "class" else "#") + _NUMBER.sub("0", w) for w in words)
-            # a word names a role alone or as the part that others qualify: "ad", "site-footer", "comments-list"
-            # "with-sidebar" and the like speak of the element's neighbours
-            parts = [[x.lower() for x in _WORDS.findall(_CAMEL.sub(" ", w))] for w in words]
-            listed = _SMALL_NOISE if tag == "article" else _NOISE
-            noise = noise or any(p and p[0] not in _QUALIFIERS and not listed.isdisjoint(p) for p in parts)
+            grade = max(grade, _BOX if value.strip().lower() in _ROLES else 0)
+            continue
+        words = value.split()
+        name += sorted(("." if kind == "class" else "#") + _NUMBER.sub("0", w) for w in words)
+        if kind == "class":
+            section = section or "section" in words
+            grade = max([grade, *(_grade(w, listed, False) for w in words)])
+        else:
+            ids += words
+    # ids of headings, paragraphs and sections are made of their titles: anchors
+    if tag not in _TITLES:
+        grade = max([grade, *(_grade(w, listed, section) for w in ids)])
     if tag in ("html", "body", "main"):
-        noise = False
-    return "".join(name), noise
+        grade = 0
+    return "".join(name), grade
 
 
 def _ends(html: str, tag: str) -> dict[int, int]:
@@ -114,9 +147,10 @@ class Blocks:
         self._read(html or "")
 
     def _read(self, html: str) -> None:
-        # open elements: (tag, element number, path, left out, the text before an inline one); containers get
-        # numbers of their own
-        open_: list[tuple[str, int, str, bool, tuple | None]] = [("", 0, "", False, None)]
+        # open elements: (tag, element number, path, its number as a left-out one or 0, the text before an inline
+        # one); containers get numbers of their own
+        open_: list[tuple[str, int, str, int, tuple | None]] = [("", 0, "", 0, None)]
+        grades = [0]                    # by the number of a left-out element
         text: list[str] = []
         inline: dict[str, int] = {}     # open inline elements by tag: the left-out ones and those of their tag inside
         ends: dict[str, dict[int, int]] = {}
@@ -129,7 +163,7 @@ class Blocks:
                 block = " ".join(unescape("".join(text)).split())
                 if block:
                     inside = tuple(dict.fromkeys(e[1] for e in open_))
-                    rows.append([begin, open_[-1][2], inside, block, linked, [id(e) for e in open_ if e[3]] if out else [],
+                    rows.append([begin, open_[-1][2], inside, block, linked, [e[3] for e in open_ if e[3]] if out else [],
                                  open_[-1][4] is not None])
                 text.clear()
             linked = 0
@@ -140,19 +174,18 @@ class Blocks:
             while len(open_) > upto:
                 flush()
                 top = open_.pop()
-                out -= top[3]
+                out -= top[3] > 0
                 if top[4] is None:
                     continue
                 inline[top[0]] -= 1
                 if not inline[top[0]]:
                     del inline[top[0]]
                 if top[3]:
-                    mine = [r for r in rows[top[4][3]:] if id(top) in r[5]]
+                    mine = [r for r in rows[top[4][3]:] if top[3] in r[5]]
                     # without an end tag it ends where its first block begins
-                    for k, r in enumerate(mine):
-                        r[5].remove(id(top))
-                        if k == 0 and r[6] or own and len(open_) == upto:
-                            r[5].append(0)
+                    if not (own and len(open_) == upto):
+                        for r in mine[1:] if mine and mine[0][6] else mine:
+                            r[5].remove(top[3])
                     text[:], linked, begin = list(top[4][0]), top[4][1], top[4][2]
 
         def block_at() -> int:
@@ -213,7 +246,12 @@ class Blocks:
                 if tag == "hr":
                     flush()
                 continue
-            name, noise = _describe(tag, found[3])
+            name, grade = _describe(tag, found[3])
+            left = 0
+            if grade:
+                left = len(grades)
+                grades.append(grade)
+                out += 1
             if tag in _ENDS_P or tag in _DROPPED:
                 flush()
                 if open_[-1][0] == "head" and tag in _BLOCKS:   # its end tag may be left out
@@ -225,26 +263,42 @@ class Blocks:
                 while same and open_[block_at()][0] in same:
                     close(block_at())
                 top = open_[-1]
-                if tag in _CONTAINERS and not noise:
+                if tag in _CONTAINERS:
                     count += 1
                     path = f"{top[2]}>{name}"
                     self.paths[count] = path
-                    open_.append((tag, count, path, False, None))
+                    open_.append((tag, count, path, left, None))
                 else:
-                    open_.append((tag, top[1], top[2], noise, None))
-                    out += noise
-            elif noise or tag in inline:
+                    open_.append((tag, top[1], top[2], left, None))
+            elif grade or tag in inline:
                 # inline elements neither end a block nor hold others; left-out ones are kept to their end tag
                 top = open_[-1]
-                open_.append((tag, top[1], top[2], noise, (tuple(text), linked, begin, len(rows))))
+                open_.append((tag, top[1], top[2], left, (tuple(text), linked, begin, len(rows))))
                 inline[tag] = inline.get(tag, 0) + 1
-                out += noise
-                if noise:
+                if grade:
                     text.clear()
                     linked = 0
         close(1)
         flush()
-        self.rows = [(r[1], "", r[2], r[3], r[4]) for r in sorted(rows, key=lambda r: r[0]) if not r[5]]
+        wrappers = self._wrappers(rows, grades) if len(grades) > 1 else set()
+        self.rows = [(r[1], "", r[2], r[3], r[4]) for r in sorted(rows, key=lambda r: r[0])
+                     if not r[5] or wrappers.issuperset(r[5])]
+
+    @staticmethod
+    def _wrappers(rows: list[list], grades: list[int]) -> set[int]:
+        """The left-out elements that hold the article: most of the running text, next to which that of more
+        surely left-out ones does not count."""
+        held = {g: [0] * len(grades) for g in _SHARES}
+        for _, _, _, block, linked, left, _ in rows:
+            worth = len(block) - 2 * linked
+            if worth >= _RUNNING:
+                for g in range(max((grades[m] for m in left), default=_WRAP), _RIVAL + 1):
+                    held[g][0] += worth     # of the page
+                    for m in left:
+                        held[g][m] += worth
+        return {m for m, g in enumerate(grades) if m and held[g][m] >= (1 if g == _WRAP else _LEAST)
+                and (held[g][m] > _SHARES[g] * held[g][0] or held[g][m] == held[g][0])}
+
 
     def votes(self) -> dict[str, float]:
         """Score by path of the page's containers."""

@@ -152,3 +152,23 @@ def test_raw_elements_without_an_end_tag_do_not_cut_the_page():
         assert main_of(f"<p>One</p><{tag} x=http://a/>a</{tag}><p>Two</p>") == "One\nTwo"
     assert main_of("<p>One</p><script/><p>Two</p>") == "One"
     assert main_of("<html><head><title>t</title><body><p>One</p></body></html>") == "One"
+
+
+def test_noise_words_in_anchors_and_wrappers_keep_the_article():
+    for element in ('h2 id="related-work"', 'section id="search-engines"', 'section id="legal-framework"', 'p id="social-impact"',
+                    'div class="section" id="related-work"', 'h2 id="search"'):
+        tag = element.split()[0]
+        assert main_of(f"<article><p>One</p><{element}>Two</{tag}><p>Three</p></article>") == "One\nTwo\nThree", element
+    assert main_of('<div><p>One</p><section id="comments"><p>no</p></section><div id="related-links">no</div></div>') == "One"
+    prose = "<h1>Title</h1>" + "<p>A paragraph of the article itself, long enough.</p>" * 5
+    want = "\n".join(["Title"] + ["A paragraph of the article itself, long enough."] * 5)
+    around = '<div class="comments"><p>' + "A thread of readers longer than the article. " * 30 + "</p></div>"
+    for wrapper in ('div class="content-sidebar-wrap"', 'div class="layout-sidebar"', 'div class="sidebar"', 'form id="aspnetForm"',
+                    'div class="content-sidebar-wrap"><div class="layout-sidebar"'):
+        tag = wrapper.split()[0]
+        html = f"<body><{wrapper}><main>{prose}</main><div class='sidebar'><p>Other stories of the day here</p></div></{tag}>{around}</body>"
+        assert main_of(html) == want, wrapper
+    # boxes that hold much text beside an article stay out
+    html = f'<body><div class="post">{prose}</div><div class="site-footer"><p>{"Legal text of the imprint. " * 30}</p></div>{around}</body>'
+    assert main_of(html) == want
+    assert main_of('<body><div class="cookie-notice"><p>We use cookies and more of them on this site.</p></div></body>') == ""
