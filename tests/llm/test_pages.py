@@ -172,3 +172,33 @@ def test_noise_words_in_anchors_and_wrappers_keep_the_article():
     html = f'<body><div class="post">{prose}</div><div class="site-footer"><p>{"Legal text of the imprint. " * 30}</p></div>{around}</body>'
     assert main_of(html) == want
     assert main_of('<body><div class="cookie-notice"><p>We use cookies and more of them on this site.</p></div></body>') == ""
+
+
+def words(n, word="word"):
+    return " ".join([word] * n)
+
+
+ARTICLES = {
+    "article class='long'": ["<h1>Title</h1>", f"<section><div class='x'><p>{words(1000)}</p></div></section>"],
+    "div class='long'": ["<h1>Title</h1>", f"<div class='x'><p>{words(1000)}</p></div>"],
+    "article": ["<h1>Title</h1>", f"<p>{words(20)}</p>", f"<section><h2>One</h2><p>{words(300)}</p></section>",
+                f"<section class='s'><p>{words(200)}</p></section>"],
+    "div class='post'": ["<h1>Title</h1>", f"<p>{words(30)}</p>", f"<section><div><p>{words(300)}</p></div></section>"],
+    "div class='story'": [f"<div class='lead'><p>{words(30)}</p></div>", f"<div class='body'><p>{words(70)}</p></div>"],
+    "div class='rows'": [f"<div class='lead'><p>{words(30)}</p></div>",
+                         f"<div class='row'><div class='col'><div class='body'><p>{words(70)}</p></div></div></div>"],
+    "div class='data'": [f"<p>{words(30)}</p>", f"<table><tbody><tr><td>{words(40)}</td><td>{words(30)}</td></tr></tbody></table>"],
+    "article class='data'": [f"<p>{words(10)}</p>", f"<table><tr><td>{words(40)}</td><td>{words(50)}</td></tr></table>"],
+}
+
+
+def test_articles_of_several_parts_are_whole(spark):
+    rows, want = [], {}
+    for k, (element, parts) in enumerate(ARTICLES.items()):
+        html = (f"<body><div class='top'>Site</div><div class='layout'><{element}>{''.join(parts)}</{element.split()[0]}></div>"
+                f"<div class='bottom'>Imprint</div></body>")
+        want[k] = [x for x in (" ".join(re.sub("<[^>]*>", " ", x).split()) for x in re.split("</?(?:p|td|h1|h2)>", "".join(parts))) if x]
+        assert main_of(html).split("\n") == want[k], element
+        rows += [(k, f"http://h{k}.org/{i}", html) for i in range(3)]
+    for r in html_extract.extract(spark.createDataFrame(rows, PAGES)).collect():
+        assert r.text.split("\n") == want[r.page_id]
