@@ -56,6 +56,37 @@ def test_mined_rules_decide_by_tokens(spark):
         assert abs(support - has.count(verdict) / len(rows)) < 1e-9
 
 
+def test_tokens_cover_the_whole_url():
+    url = "http://a.casino.b.example.com/2024/05/v1.2/12/the-slug.html?z=1&b=2&a=3&y=4&c=5"
+    tokens = set(url_filter.tokens_of("a.casino.b.example.com", "/2024/05/v1.2/12/the-slug.html", url))
+    assert {"label:casino", "label:b", "path4:the-slug", "path2:v0.0", "ending:html", *(f"key:{k}" for k in "abcyz")} <= tokens
+    assert not any(t.startswith("ending:") and t != "ending:html" for t in tokens)
+
+
+def test_verdicts_by_tokens_far_in_the_url(spark):
+    rules = [Rule("bad.org", "/", "block"), Rule("good.org", "/", "allow")]
+    far = ["http://x.casino.b.{}.org/", "http://{}.org/1/2/3/4/pills.html", "http://{}.org/q?a=1&b=1&c=1&win=1"]
+    rows = [(i, far[i % 3].format("bad"), "") for i in range(60)]
+    rows += [(100 + i, far[i % 3].format("good").replace("casino", "shop").replace("pills", "news").replace("win", "id"), "") for i in range(60)]
+    rows += [(1000 + i, far[i].format("other").replace(".org", ".net"), "") for i in range(3)] + [(1003, "http://z.casino.q.r.net/", "")]
+    out = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(rows, PAGES), rules).collect()}
+    assert [out[i] for i in range(1000, 1004)] == ["block"] * 4
+
+
+def test_long_urls_are_mined_within_bounds(spark):
+    import random
+    deal = random.Random(1)     # 40 keys, each in nine of ten urls: 2 ** 36 combinations
+    rows = [([f"key:{k}" for k in range(40) if deal.random() < 0.9] + [f"path9:{x}"], "block" if x == "bad" else "allow")
+            for x in ("bad", "good") for _ in range(200)]
+    rows += [(["path8:rare", "key:z", "key:y"], "block")] * 5
+    mined = url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.01, 0.9)
+    for token, verdict in (("path9:bad", "block"), ("path9:good", "allow"), ("path8:rare", "block"), ("key:y", "block")):
+        assert mined.verdict([token], mined.index()) == verdict
+    for tokens, verdict, confidence, support in mined.rules:
+        has = [v for t, v in rows if tokens <= set(t)]
+        assert abs(confidence - has.count(verdict) / len(has)) < 1e-9 and abs(support - has.count(verdict) / len(rows)) < 1e-9
+
+
 def test_op3_query_matches_brute_force(spark):
     out = queries.op3_url_filter(spark, SF).collect()
     urls = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
