@@ -143,14 +143,17 @@ def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 0.0
 
 
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", max_train: int = 20_000, beginnings: tuple[int, ...] =
-          (4, 5, 6, 7, 8), least_toxic: int = 5, least_share: float = 0.015,
+          (4, 5, 6, 7, 8), least_toxic: int = 5, most_chance: float = 1e-4,
           least_weight: float = 4.0, max_entries: int = 5_000) -> Lexicon:
     """A lexicon and curve from about ``max_train`` labelled documents outside the held-out fold.
 
     ``max_train`` bounds the sample and ``max_entries`` the lexicon; both are
-    parameters of the fit only.  An entry must occur in ``least_toxic`` toxic
-    documents and in ``least_share`` of them, so that the rare words that
-    copies of one document share are not taken for toxic ones.
+    parameters of the fit only.  An entry must occur in ``least_toxic`` distinct
+    toxic texts, copies of a text counting once, and have the log odds
+    ``least_weight`` or occur in no other text, where the smoothing alone bounds
+    them.  Its distinct texts must be so much more often toxic that chance would
+    have it with a probability below ``most_chance`` (by Chernoff's bound).
+    How many toxic texts are without it does not matter.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out()).select(
         "doc_id", F.col("toxic").cast("int").alias("y")).distinct()
@@ -158,8 +161,9 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", max_train: int
     share = min(1.0, max_train / max(1, n))
     if share < 1.0:
         known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1_000_000)) < int(share * 1_000_000))
-    # about max_train pairs of numbers by construction of the sample
-    sample = stage(docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(known), "doc_id"), "toxic-sample")
+    # one row for each text and label, with the number of its rows
+    sample = stage(docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(known), "doc_id").groupBy(
+        "text", "y").agg(F.count("*").alias("c")), "toxic-sample")
 
     def words(columns: list[pa.Array]) -> list[pa.Array]:
         out = []
@@ -171,19 +175,26 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", max_train: int
             out.append(sorted(found))
         return [pa.array(out, pa.list_(pa.string()))]
 
-    classes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}  # two rows
+    classes = {r["y"]: (float(r["n"]), float(r["texts"])) for r in sample.groupBy("y").agg(
+        F.sum("c").alias("n"), F.count("*").alias("texts")).collect()}  # two rows
     if len(classes) < 2:
         return base_lexicon()
-    clean, toxic = float(classes[0]), float(classes[1])
+    (clean, clean_texts), (toxic, toxic_texts) = classes[0], classes[1]
     entries = add_columns(sample, ["text"], {"entries": T.ArrayType(T.StringType())}, words).select(
-        "y", F.explode("entries").alias("entry"))
-    counts = entries.groupBy("entry").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("f")).where(
-        F.col("t") >= max(least_toxic, math.ceil(least_share * toxic)))
+        "y", "c", F.explode("entries").alias("entry"))
+    a, b, both = F.col("toxic_texts"), F.col("clean_texts"), clean_texts + toxic_texts
+    counts = entries.groupBy("entry").agg(
+        F.sum(F.col("y") * F.col("c")).alias("t"), F.sum((1 - F.col("y")) * F.col("c")).alias("f"),
+        F.sum("y").alias("toxic_texts"), F.sum(1 - F.col("y")).alias("clean_texts")).where(a >= least_toxic)
+    surprise = a * F.log(a * both / ((a + b) * toxic_texts)) + F.when(
+        b > 0, b * F.log(b * both / ((a + b) * clean_texts))).otherwise(0.0)
+    telling = (surprise >= -math.log(most_chance)) & (a * clean_texts > b * toxic_texts)
     weight = (F.log((F.col("t") + 0.5) / (F.lit(toxic) - F.col("t") + 0.5))
               - F.log((F.col("f") + 0.5) / (F.lit(clean) - F.col("f") + 0.5)))
     # a text becomes thousands of entries: few texts at a time
     narrow_batches(sample.sparkSession, 100)
-    found = counts.withColumn("w", weight).where(F.col("w") >= least_weight).orderBy(
+    found = counts.withColumn("w", weight).where(
+        telling & (F.col("w") > 0) & ((F.col("w") >= least_weight) | (F.col("f") == 0))).orderBy(
         F.col("w").desc(), F.col("t").desc(), "entry").limit(max_entries).collect()
     chosen: dict[str, float] = {}
     toxic_in: dict[str, int] = {}
@@ -202,9 +213,10 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", max_train: int
     def measure(columns: list[pa.Array]) -> list[pa.Array]:
         return [pa.array([shared.value.features(t.as_py()) for t in columns[0]], pa.list_(pa.float64()))]
 
-    rows = add_columns(sample, ["text"], {"x": T.ArrayType(T.DoubleType())}, measure).select("x", "y").collect()
+    rows = add_columns(sample, ["text"], {"x": T.ArrayType(T.DoubleType())}, measure).select("x", "y", "c").collect()
     x, y = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], dtype=float)
-    return Lexicon(chosen, curve=fit_curve(x, y))
+    c = [r["c"] for r in rows]
+    return Lexicon(chosen, curve=fit_curve(np.repeat(x, c, axis=0), np.repeat(y, c)))
 
 
 def score_texts(docs: DataFrame, lexicon: Lexicon, text: str = "text", out: str = "score") -> DataFrame:

@@ -56,6 +56,22 @@ def test_learned_weights_match_counts(spark):
     assert learned and all(w == pytest.approx(want[e]) for e, w in learned.items())
 
 
+def letters(i):
+    return "".join(chr(97 + i // 26 ** k % 26) for k in (2, 1, 0))
+
+
+def test_rare_toxic_words_are_learned_and_words_of_copies_are_not(spark):
+    # 100 words, each in 1 % of the toxic texts and in no other; a rare word of one text with many copies
+    rows = [(i, f"w{letters(i % 701)} plain words of text {letters(i)}x" + (f" q{letters(i // 2 % 100)}zz" if i % 2 else ""), i % 2)
+            for i in range(8000)]
+    rows += [(10_000 + i, "plain words of text with copyword", 1) for i in range(100)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    lexicon = toxicity.learn(docs, labels)
+    assert all(lexicon.features(f"q{letters(k)}zz")[0] > 0 for k in range(100))
+    assert lexicon.features("copyword plain words of text")[0] == 0
+
+
 @pytest.mark.parametrize("name,label,least,accuracy", [("op8_toxicity", "toxic", 0.5, 0.97), ("op9_quality", "quality", 0.3, 0.98)])
 def test_held_out_accuracy(spark, name, label, least, accuracy):
     out = queries.QUERIES[name](spark, LARGE).collect()
