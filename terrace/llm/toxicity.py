@@ -128,14 +128,16 @@ def base_lexicon() -> Lexicon:
     return Lexicon({f" {w} ": BASE_WEIGHT for w in BASE})
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 0.05) -> tuple[float, float, float]:
-    """Ridge-penalised logistic regression by Newton steps."""
+def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 0.05,
+              c: np.ndarray | None = None) -> tuple[float, float, float]:
+    """Ridge-penalised logistic regression by Newton steps; ``c``: how many rows each one stands for."""
+    c = np.ones(len(x)) if c is None else c
     x = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -500, 500)))
-        hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(hess, x.T @ (y - p) - ridge * w)
+        hess = (x * (c * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(hess, x.T @ (c * (y - p)) - ridge * w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
@@ -213,10 +215,10 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", max_train: int
     def measure(columns: list[pa.Array]) -> list[pa.Array]:
         return [pa.array([shared.value.features(t.as_py()) for t in columns[0]], pa.list_(pa.float64()))]
 
-    rows = add_columns(sample, ["text"], {"x": T.ArrayType(T.DoubleType())}, measure).select("x", "y", "c").collect()
+    # in one order, so that the sums of the fit are the same each time
+    rows = sorted(add_columns(sample, ["text"], {"x": T.ArrayType(T.DoubleType())}, measure).groupBy("x", "y").agg(F.sum("c").alias("c")).collect())
     x, y = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], dtype=float)
-    c = [r["c"] for r in rows]
-    return Lexicon(chosen, curve=fit_curve(np.repeat(x, c, axis=0), np.repeat(y, c)))
+    return Lexicon(chosen, curve=fit_curve(x, y, c=np.array([r["c"] for r in rows], dtype=float)))
 
 
 def score_texts(docs: DataFrame, lexicon: Lexicon, text: str = "text", out: str = "score") -> DataFrame:

@@ -72,6 +72,19 @@ def test_rare_toxic_words_are_learned_and_words_of_copies_are_not(spark):
     assert lexicon.features("copyword plain words of text")[0] == 0
 
 
+def test_repeated_rows_reach_the_driver_once(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x, y, c = rng.standard_normal((50, 2)), rng.integers(0, 2, 50).astype(float), rng.integers(1, 9, 50)
+    assert toxicity.fit_curve(x, y, c=c.astype(float)) == pytest.approx(toxicity.fit_curve(np.repeat(x, c, axis=0), np.repeat(y, c)))
+    seen = []
+    fit = toxicity.fit_curve
+    monkeypatch.setattr(toxicity, "fit_curve", lambda x, y, **k: seen.append((len(x), k["c"].sum())) or fit(x, y, **k))
+    docs, labels = odd_rows(spark)
+    toxicity.learn(docs.union(docs.where("doc_id in (4, 6)").crossJoin(spark.range(500)).drop("id")), labels)
+    (rows, weight), = seen
+    assert rows <= 4 and weight >= 1000
+
+
 @pytest.mark.parametrize("name,label,least,accuracy", [("op8_toxicity", "toxic", 0.5, 0.97), ("op9_quality", "quality", 0.3, 0.98)])
 def test_held_out_accuracy(spark, name, label, least, accuracy):
     out = queries.QUERIES[name](spark, LARGE).collect()
