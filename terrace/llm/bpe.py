@@ -169,7 +169,7 @@ class TreeBPE:
         return out
 
     def decode(self, ids: list[int]) -> bytes:
-        """Concatenate up the tree: ``join`` builds the same bytes as pairwise sums, without copies."""
+        """The ids' bytes in one flat join, no tree: the same bytes as pairwise sums, without their copies."""
         return b"".join([self.tokens[i] for i in ids])
 
 
