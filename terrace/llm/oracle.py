@@ -71,4 +71,42 @@ SELECT q.doc_id, q.size, q.source_size, q.target, (coalesce(k.copies, 0) * q.siz
 FROM q LEFT JOIN k USING (doc_id)
 """
 
-ORACLE = {"op1_minhash_dedup": OP1, "op4_embedding_dedup": OP4, "op6_mix_sources": OP6}
+#: CRC-32 by its table, over the UTF-8 bytes of a text.
+_TAB = """tab AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab)"""
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _crc(text: str) -> str:
+    octets = (f"list_transform(range(strlen({text})), "
+              f"lambda i: ('0x' || substring(hex(encode({text})), (2 * i + 1)::INT, 2))::BIGINT)")
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], {octets}), "
+            f"lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+_FEATURE = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+OP11 = rf"""
+WITH {_TAB},
+w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_FEATURE}') AS ws FROM documents),
+x AS (SELECT doc_id, unnest(ws) AS f FROM w),
+y AS (SELECT unnest(regexp_extract_all({_LOWER}, '{_FEATURE}')) AS f FROM benchmark),
+b AS (SELECT f, {_crc('f')} % 10000 AS b FROM (SELECT DISTINCT f FROM (SELECT f FROM x UNION ALL SELECT f FROM y)), tab),
+s AS (SELECT b, count(*) AS s FROM x JOIN b USING (f) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM y JOIN b USING (f) GROUP BY b),
+z AS (SELECT (SELECT count(*) FROM x)::DOUBLE AS s_all, (SELECT count(*) FROM y)::DOUBLE AS t_all),
+g AS (SELECT r.b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + 10000)
+                                  / ((coalesce(s, 0) + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain
+      FROM range(10000) r(b) LEFT JOIN s ON s.b = r.b LEFT JOIN t ON t.b = r.b, z),
+d AS (SELECT x.doc_id, count(*) AS n, floor(sum(gain)::DOUBLE / count(*)::DOUBLE)::BIGINT AS weight
+      FROM x JOIN b USING (f) JOIN g ON g.b = b.b GROUP BY x.doc_id),
+e AS (SELECT w.doc_id, len(ws)::BIGINT AS n_features, coalesce(d.weight, 0) AS weight,
+             ('0x' || substring(sha256('2024:' || w.doc_id::VARCHAR), 1, 8))::BIGINT AS h
+      FROM w LEFT JOIN d ON d.doc_id = w.doc_id),
+v AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM e),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM v WHERE n_features >= 20)
+SELECT v.doc_id, n_features, weight, score,
+       CASE WHEN rank <= (SELECT count(*) FROM r) * 10 // 100 THEN rank END AS rank
+FROM v LEFT JOIN r ON r.doc_id = v.doc_id
+"""
+
+ORACLE = {"op1_minhash_dedup": OP1, "op4_embedding_dedup": OP4, "op6_mix_sources": OP6, "op11_resample": OP11}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import ann, bpe, embed_dedup, html_extract, minhash, mixing, quality, token_orc, toxicity, url_filter
+from terrace.llm import ann, bpe, embed_dedup, html_extract, minhash, mixing, quality, resample, token_orc, toxicity, url_filter
 from terrace.llm.common import held_out, new_path
 from terrace.llm.oracle import ORACLE  # noqa: F401
 from terrace.llm.url_filter import Rule
@@ -83,8 +83,12 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_dedup, op2_byte_bpe, op3_url_filter, op4_embedding_dedup, op5_token_orc, op6_mix_sources,
-        op7_nearest, op8_toxicity, op9_quality, op10_html_extract)
+        op7_nearest, op8_toxicity, op9_quality, op10_html_extract, op11_resample)
 }
