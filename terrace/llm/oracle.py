@@ -109,4 +109,31 @@ SELECT v.doc_id, n_features, weight, score,
 FROM v LEFT JOIN r ON r.doc_id = v.doc_id
 """
 
-ORACLE = {"op1_minhash_dedup": OP1, "op4_embedding_dedup": OP4, "op6_mix_sources": OP6, "op11_resample": OP11}
+#: Near words: equal after one letter is taken from one of them, or from both at the same place.
+OP12 = rf"""
+WITH RECURSIVE {_TAB},
+r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents),
+c AS (SELECT doc_id, r, count(*) AS c, doc_id::VARCHAR || ':' || r AS name FROM r GROUP BY doc_id, r),
+h AS (SELECT r, c, {_crc('name')} AS h FROM c, tab),
+m AS (SELECT CASE WHEN h % 97 = 0 THEN substring(r, 1, (h % length(r))::INT) || substring(r, (h % length(r) + 2)::INT)
+             ELSE r END AS word, c FROM h),
+v AS (SELECT word, sum(c)::BIGINT AS n FROM m WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+x AS (SELECT word, n, i, substring(word, 1, (i - 1)::INT) || substring(word, (i + 1)::INT) AS cut
+      FROM v, unnest(range(1, length(word) + 1)) u(i)),
+p AS (SELECT a.word AS a, b.word AS b FROM x a JOIN x b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+      UNION SELECT x.word, v.word FROM x JOIN v ON x.cut = v.word
+      UNION SELECT v.word, x.word FROM x JOIN v ON x.cut = v.word),
+q AS (SELECT a AS word, count(*) AS n_near, max(v.n) AS top FROM p JOIN v ON v.word = p.b GROUP BY a),
+b AS (SELECT p.a AS word, min(p.b COLLATE "C") AS best FROM p JOIN v ON v.word = p.b JOIN q ON q.word = p.a AND q.top = v.n
+      GROUP BY p.a),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top >= 2 * v.n THEN best END AS form,
+             CASE WHEN top >= 2 * v.n THEN top END AS form_n
+      FROM v LEFT JOIN q ON q.word = v.word LEFT JOIN b ON b.word = v.word),
+w AS (SELECT word, word AS root, 0 AS k FROM f
+      UNION ALL SELECT w.word, f.form, k + 1 FROM w JOIN f ON f.word = w.root WHERE f.form IS NOT NULL),
+e AS (SELECT word, arg_max(root, k) AS root FROM w GROUP BY word)
+SELECT f.word, form, e.root, n, n_near, form_n FROM f JOIN e ON e.word = f.word
+"""
+
+ORACLE = {"op1_minhash_dedup": OP1, "op4_embedding_dedup": OP4, "op6_mix_sources": OP6, "op11_resample": OP11,
+          "op12_spelling_variants": OP12}
