@@ -135,5 +135,74 @@ e AS (SELECT word, arg_max(root, k) AS root FROM w GROUP BY word)
 SELECT f.word, form, e.root, n, n_near, form_n FROM f JOIN e ON e.word = f.word
 """
 
+
+def _matches(source: str, text: str, pattern: str, carry: str = "") -> str:
+    """Rows (doc_id, v, start, before, after) of a pattern's matches: starts from the lengths between them."""
+    return f"""SELECT doc_id, m[i] AS v, right(g[i], 40) AS before, left(g[i + 1], 40) AS after{carry},
+      (list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1],
+       lambda x: length(x))), 0))::BIGINT AS start
+    FROM (SELECT *, regexp_extract_all({text}, '{pattern}') AS m, string_split_regex({text}, '{pattern}') AS g FROM {source}),
+         unnest(range(1, len(m) + 1)) u(i)"""
+
+
+def _score(sure: float, words: str, more: float, minus: bool) -> str:
+    beside = "lower(before || ' ' || after)"
+    less = (f" - CASE WHEN regexp_matches({beside}, '(^|[^a-z])(order|invoice|isbn|tracking|serial|version|part no)([^a-z]|$)')"
+            " THEN 0.2 ELSE 0 END" if minus else "")
+    return f"round({sure} + CASE WHEN regexp_matches({beside}, '(^|[^a-z])({words})([^a-z]|$)') THEN {more} ELSE 0 END{less}, 2)"
+
+
+_DIGITS = "regexp_replace(v, '[^0-9]', '', 'g')"
+_LUHN = (f"length({_DIGITS}) BETWEEN 13 AND 19 AND list_sum(list_transform(range(length({_DIGITS})), lambda i: "
+         f"list_sum(list_transform(string_split(((ord(substring({_DIGITS}, (length({_DIGITS}) - i)::INT, 1)) - 48) "
+         "* (1 + i % 2))::VARCHAR, ''), lambda x: x::INT)))) % 10 = 0")
+_TURNED = "substring(replace(v, ' ', ''), 5) || left(replace(v, ' ', ''), 4)"
+_MOD97 = (f"list_reduce(list_concat([0], list_transform(string_split({_TURNED}, ''), "
+          "lambda c: CASE WHEN c <= '9' THEN ord(c) - 48 ELSE ord(c) - 55 END)), "
+          "lambda r, c: CASE WHEN c < 10 THEN (r * 10 + c) % 97 ELSE (r * 100 + c) % 97 END)")
+_OCTETS = "len(list_filter(string_split(v, '.'), lambda x: length(ltrim(x, '0')) > 3 OR ('0' || left(ltrim(x, '0'), 3))::INT > 255)) = 0"
+_IBAN = "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+OP13 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+email AS ({_matches("d", "t", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+")}),
+ip AS ({_matches("d", "t", "[0-9]+(?:[.][0-9]+)(?:[.][0-9]+)(?:[.][0-9]+)")}),
+chain AS (SELECT *, {_LUHN} AS ok FROM ({_matches("d", "t", "[0-9](?:[ -]?[0-9])+")})),
+plus AS (SELECT *, length({_DIGITS}) BETWEEN 9 AND 15 AS ok,
+                regexp_extract(v, '^[+][0-9]{{1,3}}[ .-]?[(]?[0-9]{{2,4}}[)]?[ .-][0-9]{{3,4}}[ .-][0-9]{{4}}') AS head
+         FROM ({_matches("d", "t", "[+][0-9][ ().0-9-]+[0-9]")})),
+inner_cards AS ({_matches("(SELECT doc_id, v AS c, start AS s0, before AS b0, after AS a0 FROM chain WHERE NOT ok)", "c",
+                          "[0-9]{13,}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}", ", s0, b0, a0")}),
+local AS ({_matches("d", "t", "[(]?[0-9]{3}[)]?[ .-][0-9]{3}[ .-][0-9]{4}")}),
+iban AS ({_matches("d", "t", _IBAN)}),
+ssn AS ({_matches("d", "t", "[0-9]{3}-[0-9]{2}-[0-9]{4}")}),
+a AS (
+  SELECT 1 AS k, 'email' AS kind, doc_id, start, v, TRUE AS base, 1.0 AS score FROM email
+  UNION ALL SELECT 2, 'ip', doc_id, start, v, TRUE, 1.0 FROM ip WHERE {_OCTETS}
+  UNION ALL SELECT 3, 'card', doc_id, start, v, TRUE, 1.0 FROM chain WHERE ok
+  UNION ALL SELECT 3, 'card', doc_id, s0 + start, v, FALSE, {_score(0.7, "card|visa|mastercard|amex|credit|debit|payment|cvv", 0.2, True)}
+    FROM (SELECT doc_id, v, start, s0, before AS b1, after AS a1, b0 AS before, a0 AS after FROM inner_cards)
+    WHERE {_LUHN} AND regexp_matches(v, '^[3-6]') AND NOT regexp_matches(b1, '[0-9]$') AND NOT regexp_matches(a1, '^[0-9]')
+  UNION ALL SELECT 4, 'phone', doc_id, start, v, TRUE, 1.0 FROM plus WHERE ok
+  UNION ALL SELECT 4, 'phone', doc_id, start, head, FALSE, {_score(0.7, "phone|telephone|tel|call|mobile|cell|fax|whatsapp", 0.2, True)}
+    FROM plus WHERE NOT ok AND head <> '' AND NOT regexp_matches(substring(v, length(head) + 1, 1), '[0-9]')
+  UNION ALL SELECT 4, 'phone', doc_id, start, v, FALSE, {_score(0.3, "phone|telephone|tel|call|mobile|cell|fax|whatsapp", 0.4, True)}
+    FROM local WHERE NOT regexp_matches(before, '[0-9-]$') AND NOT regexp_matches(after, '^[0-9-]')
+      AND NOT regexp_matches(before, '[+][0-9 ().-]*$')
+  UNION ALL SELECT 5, 'iban', doc_id, start, v, FALSE, {_score(0.9, "iban|account|bank|transfer|bic", 0.1, False)}
+    FROM iban WHERE NOT regexp_matches(before, '[A-Za-z0-9]$') AND NOT regexp_matches(after, '^[A-Za-z0-9]') AND {_MOD97} = 1
+  UNION ALL SELECT 6, 'ssn', doc_id, start, v, FALSE, {_score(0.3, "ssn|social security", 0.5, True)}
+    FROM ssn WHERE NOT regexp_matches(before, '[0-9-]$') AND NOT regexp_matches(after, '^[0-9-]')
+      AND NOT regexp_matches(v, '^(000|666|9)|-00-|-0000$')),
+z AS (SELECT *, kind || ':' || start || ':' || (start + length(v)) AS x FROM a WHERE base OR score >= 0.6),
+g AS (SELECT doc_id, count(*) FILTER (base AND k = 1) AS n_email, count(*) FILTER (base AND k = 2) AS n_ip,
+             count(*) FILTER (base AND k = 3) AS n_card, count(*) FILTER (base AND k = 4) AS n_phone,
+             string_agg(x, ',' ORDER BY k, start, start + length(v)) FILTER (base) AS b,
+             string_agg(x, ',' ORDER BY k, start, start + length(v)) AS spans
+      FROM z GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g ON g.doc_id = d.doc_id
+"""
+
 ORACLE = {"op1_minhash_dedup": OP1, "op4_embedding_dedup": OP4, "op6_mix_sources": OP6, "op11_resample": OP11,
-          "op12_spelling_variants": OP12}
+          "op12_spelling_variants": OP12, "op13_pii": OP13}

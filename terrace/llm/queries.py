@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import ann, bpe, embed_dedup, html_extract, minhash, mixing, quality, resample, spelling, token_orc, toxicity, url_filter
+from terrace.llm import (
+    ann, bpe, embed_dedup, html_extract, minhash, mixing, pii, quality, resample, spelling, token_orc, toxicity, url_filter)
 from terrace.llm.common import held_out, new_path
 from terrace.llm.oracle import ORACLE  # noqa: F401
 from terrace.llm.url_filter import Rule
@@ -91,9 +92,13 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_dedup, op2_byte_bpe, op3_url_filter, op4_embedding_dedup, op5_token_orc, op6_mix_sources,
         op7_nearest, op8_toxicity, op9_quality, op10_html_extract, op11_resample,
-        op12_spelling_variants)
+        op12_spelling_variants, op13_pii)
 }
