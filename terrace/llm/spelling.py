@@ -44,7 +44,6 @@ from pyspark.sql import functions as F
 
 from terrace.llm.common import narrow_batches, stage, unstage
 
-RUN = re.compile("[A-Za-zÀ-ÿ]+")
 NOT_RUN = re.compile("[^A-Za-zÀ-ÿ]")
 #: Letter groups in the order of the trie's levels; all others (rare letters) by their code, see ``group_table``.
 GROUPS = ("e", "a", "n", "i", "r", "t", "o", "s", "dl", "ch", "um", "gbp", "fvw", "kyzxjq")
@@ -61,7 +60,7 @@ class Params:
     #: one in so many distinct words of a document loses a letter; 0: none
     misspell: int = 97
     #: words a cell of the trie may hold before it is split; grows so that there are at most ``cells``
-    cell_words: int = 1_500
+    cell_words: int = 4_000
     cells: int = 2_048
 
 
@@ -71,21 +70,21 @@ def ascii_lower(text: str) -> str:
     return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
-def runs_of(text: str, piece: int = 1 << 20) -> Iterator[list[str]]:
-    """The maximal runs of letters, in lists of one piece of the text each; pieces are cut between runs."""
-    at = 0
+def runs_of(text: str, least: int = 1, piece: int = 1 << 20) -> Iterator[list[str]]:
+    """The maximal runs of at least so many letters, in lists of one piece of the text each; cuts are between runs."""
+    at, run = 0, re.compile(f"[A-Za-zÀ-ÿ]{{{max(1, least)},}}")
     while at < len(text):
         cut = NOT_RUN.search(text, min(len(text), at + piece))
         end = cut.start() if cut else len(text)
-        yield RUN.findall(text, at, end)
+        yield run.findall(text, at, end)
         at = max(end, at + 1)
 
 
-def words_of(doc_id: object, text: str | None, misspell: int) -> Counter:
-    """How often each word occurs in a text.  A run whose hash with the doc_id is divisible by ``misspell`` loses
+def words_of(doc_id: object, text: str | None, misspell: int, least: int = 1) -> Counter:
+    """How often each word occurs in a text; runs of fewer than ``least`` letters are left out.  A run whose hash with the doc_id is divisible by ``misspell`` loses
     the letter at the hash modulo its length."""
     runs: Counter = Counter()
-    for found in runs_of(ascii_lower(text or "")):
+    for found in runs_of(ascii_lower(text or ""), least):
         runs.update(found)
     if not misspell:
         return runs
@@ -109,7 +108,7 @@ def count_words(docs: DataFrame, p: Params = Params(), text: str = "text", most_
         size = 0
         for batch in batches:
             for doc_id, t in zip(batch.column(0), batch.column(1)):
-                for word, n in words_of(doc_id.as_py(), t.as_py(), p.misspell).items():
+                for word, n in words_of(doc_id.as_py(), t.as_py(), p.misspell, p.least_length).items():
                     if len(word) >= p.least_length:
                         if word not in held:
                             size += len(word)
@@ -150,6 +149,15 @@ def spend(diff: np.ndarray, surplus: np.ndarray, deficit: np.ndarray) -> np.ndar
     return (diff == 0) | ((diff == 1) & surplus) | ((diff == -1) & deficit)
 
 
+def ends(words: list[bytes]) -> np.ndarray:
+    """The first two and the last two letters of each word, as numbers; 0 for words of less than four letters.
+
+    One edit of words of four letters or more leaves the first two or the last two as they are.
+    """
+    long = b"".join(w[:2] + w[-2:] if len(w) > 3 else bytes(4) for w in words)
+    return np.frombuffer(long, np.uint16).reshape(len(words), 2)
+
+
 def search(base: np.ndarray, queries: np.ndarray, leaf: int = 6) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Depth-first search of all ``queries`` in the trie of ``base``, whose rows are sorted by level: the numbers of
     queries and base words that meet in a leaf, with vectors that the budget allows."""
@@ -287,6 +295,7 @@ def meet(table: pa.Table) -> pa.Table:
     vecs = vectors(words)
     base = np.flatnonzero(kind == BASE)
     base = base[np.lexsort(vecs[base].T[::-1])]
+    tips = ends(words)
     near: dict[int, int] = {}
     best: dict[int, tuple[int, bytes]] = {}
 
@@ -297,7 +306,9 @@ def meet(table: pa.Table) -> pa.Table:
             best[i] = found
 
     for a, b in search(vecs[base], vecs):
-        for i, j in zip(a.tolist(), base[b].tolist()):
+        b = base[b]
+        alike = (tips[a] == tips[b]).any(axis=1) | (tips[a] == 0).any(axis=1) | (tips[b] == 0).any(axis=1)
+        for i, j in zip(a[alike].tolist(), b[alike].tolist()):
             x, y = words[i], words[j]
             # words of one cell meet from both sides
             if (not kind[i] or x < y) and one_edit(x, y):
@@ -324,7 +335,7 @@ def roots(links: DataFrame) -> DataFrame:
     cur = stage(links.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         up = cur.select(F.col("word").alias("at"), F.col("root").alias("further"))
-        nxt = stage(cur.join(up, cur["root"] == up["at"], "left").select(
+        nxt = stage(cur.join(up.hint("merge"), cur["root"] == up["at"], "left").select(
             "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "spelling-roots")
         unstage(cur)
         cur = nxt.select("word", "root")
@@ -338,11 +349,11 @@ def variants(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataF
         raise ValueError("ratio has to be 2 or more: counts must grow along the forms, or chains would not end")
     words = stage(count_words(docs, p, text), "spelling-words")
     found = stage(near_words(words, words.count(), p), "spelling-near")
-    joined = words.join(found, "word", "left").withColumn("top", -F.col("best.less"))
+    joined = words.join(found.hint("merge"), "word", "left").withColumn("top", -F.col("best.less"))
     has_form = F.coalesce(F.col("top") >= p.ratio * F.col("n"), F.lit(False))
     joined = stage(joined.select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(has_form, F.col("best.form")).alias("form"), F.when(has_form, F.col("top")).alias("form_n")), "spelling-forms")
-    ends = roots(joined.where("form is not null"))
-    return joined.join(ends, "word", "left").select(
+    last = roots(joined.where("form is not null"))
+    return joined.join(last.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
