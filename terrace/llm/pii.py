@@ -101,8 +101,9 @@ def located(text: Column, pattern: str) -> Column:
         beside = F.transform(rows, lambda row, i: F.struct(
             row["gap"].alias("gap"), row["m"].alias("m"), row["tail"].alias("tail"), F.get(rows, i + 1)["head"].alias("after")))
         matches = F.size(rows) - 1  # the last row is the text behind the last match
-        chunks = F.transform(F.sequence(F.lit(0), F.greatest(matches - 1, F.lit(0)), F.lit(_CHUNK)), lambda c: _bind(
-            beside, lambda all_rows: F.slice(all_rows, c + 1, F.least(F.lit(_CHUNK), matches - c))))
+        chunks = _bind(beside, lambda found: F.transform(
+            F.sequence(F.lit(0), F.greatest(matches - 1, F.lit(0)), F.lit(_CHUNK)),
+            lambda c: F.slice(found, c + 1, F.least(F.lit(_CHUNK), matches - c))))
         start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_FOUND}>").alias("out"))
         return F.when(matches > 0, F.aggregate(chunks, start, chunk, lambda s: F.flatten(s["out"]))).otherwise(
             F.array().cast(_FOUND))

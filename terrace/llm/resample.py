@@ -223,7 +223,7 @@ def resample(docs: DataFrame, target: DataFrame, p: Params = Params(), text: str
 
 
 def drawn_documents(docs: DataFrame, target: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame:
-    """The drawn documents themselves, with all columns of ``docs``; a doc_id is drawn with all rows of its score."""
+    """The drawn documents themselves, with all columns of ``docs``; a doc_id of which one row is drawn comes with all its rows."""
     keys = resample(docs, target, p, text).where("rank is not null").select(
         F.col("doc_id").alias("__llm_id")).distinct()
     return docs.join(keys, docs["doc_id"].eqNullSafe(keys["__llm_id"]), "left_semi")

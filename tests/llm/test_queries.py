@@ -22,7 +22,7 @@ def test_query_matches_sql(spark, name):
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert names >= set(QUERIES) | {"pipeline"} and len(QUERIES) == 10
+    assert names >= set(QUERIES) | {"pipeline"} and len(QUERIES) == 13
     assert set(entry.oracle_sql()) <= names
 
 
