@@ -59,13 +59,19 @@ def _hadoop(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def write_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Note a table's columns beside its files (written aside, then renamed)."""
+def write_schema(spark: SparkSession, path: str, schema: T.StructType, partition_by: Iterable[str] | None = None,
+                 emptied: Iterable[str] = ()) -> None:
+    """Note a table's columns and partition columns beside its files (written aside, then renamed).
+
+    ``emptied``: partition folders that a staged commit still has to remove.
+    """
+    note = {**schema.jsonValue(), "partition_by": None if partition_by is None else list(partition_by),
+            "emptied": list(emptied)}
     fs, target = _hadoop(spark, f"{path}/{SCHEMA_FILE}")
     _, part = _hadoop(spark, f"{path}/{SCHEMA_FILE}.new")
     out = fs.create(part, True)
     try:
-        out.write(bytearray(schema.json().encode("utf-8")))
+        out.write(bytearray(json.dumps(note).encode("utf-8")))
     finally:
         out.close()
     fs.delete(target, False)
@@ -73,8 +79,8 @@ def write_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
         raise OSError(f"cannot write {target}")
 
 
-def read_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """The noted columns of a table; None if it was not written by this module."""
+def read_note(spark: SparkSession, path: str) -> dict | None:
+    """A table's note: its columns, ``partition_by`` (None: not noted) and ``emptied``; None if there is none."""
     fs, p = _hadoop(spark, f"{path}/{SCHEMA_FILE}")
     if not fs.exists(p):
         return None
@@ -83,7 +89,23 @@ def read_schema(spark: SparkSession, path: str) -> T.StructType | None:
         text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return T.StructType.fromJson(json.loads(text))
+    return json.loads(text)
+
+
+def read_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The noted columns of a table; None if it was not written by this module."""
+    note = read_note(spark, path)
+    return None if note is None else T.StructType.fromJson(note)
+
+
+def table_layout(spark: SparkSession, path: str, given: Iterable[str] | None = None) -> list[str]:
+    """The partition columns of a table: as noted, else as given.  A given layout that differs from the note raises."""
+    noted = (read_note(spark, path) or {}).get("partition_by")
+    if noted is None:
+        return list(given or [])
+    if given is not None and list(given) != noted:
+        raise ValueError(f"{path} is partitioned by {noted}, not by {list(given)}")
+    return noted
 
 
 def _union(old: T.StructType | None, new: T.StructType) -> T.StructType:
@@ -104,10 +126,11 @@ def table_schema(spark: SparkSession, path: str, like: T.StructType | None = Non
     return found if like is None else _union(found, like)
 
 
-def _note(spark: SparkSession, path: str, old: T.StructType | None, new: T.StructType) -> None:
-    schema = _union(old, new)
-    if old != schema or read_schema(spark, path) != schema:
-        write_schema(spark, path, schema)
+def _note(spark: SparkSession, path: str, old: T.StructType | None, new: T.StructType,
+          partition_by: Iterable[str]) -> None:
+    schema, note, pb = _union(old, new), read_note(spark, path), list(partition_by)
+    if note is None or note.get("partition_by") != pb or T.StructType.fromJson(note) != schema:
+        write_schema(spark, path, schema, pb)
 
 
 def _known(spark: SparkSession, path: str) -> T.StructType | None:
@@ -130,7 +153,7 @@ def overwrite(df: DataFrame, path: str, partition_by: Iterable[str] | None = Non
 
 def _overwrite(df: DataFrame, path: str, partition_by: Iterable[str] | None = None) -> None:
     _write(df, path, "overwrite", partition_by)
-    _note(df.sparkSession, path, None, df.schema)
+    _note(df.sparkSession, path, None, df.schema, partition_by or [])
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Iterable[str]) -> None:
@@ -143,14 +166,36 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Iterable[str]) ->
     pb = list(partition_by)
     if not pb:
         raise ValueError("replace_partitions needs partition columns")
-    recover(df.sparkSession, path, pb)
+    recover(df.sparkSession, path)
+    table_layout(df.sparkSession, path, pb)
     _replace_partitions(df, path, pb)
 
 
 def _replace_partitions(df: DataFrame, path: str, pb: list[str]) -> None:
     old = _known(df.sparkSession, path)
     _write(df, path, "overwrite", pb, dynamic=True)
-    _note(df.sparkSession, path, old, df.schema)
+    _note(df.sparkSession, path, old, df.schema, pb)
+
+
+def remove_partitions(parts: DataFrame, path: str, partition_by: Iterable[str]) -> int:
+    """Remove the folders of the partitions in ``parts``; how many there were.
+
+    One folder a row reaches the driver: each is one call to the file system in any case.
+    """
+    return _remove_folders(parts.sparkSession, path, partition_folders(parts, partition_by))
+
+
+def partition_folders(parts: DataFrame, partition_by: Iterable[str]) -> list[str]:
+    pb = list(partition_by)
+    return ["/".join(partition_dir(c, r[c]) for c in pb) for r in parts.select(*pb).distinct().toLocalIterator()]
+
+
+def _remove_folders(spark: SparkSession, path: str, folders: Iterable[str]) -> int:
+    n = 0
+    for folder in folders:
+        fs, p = _hadoop(spark, f"{path.rstrip('/')}/{folder}")
+        n += bool(fs.delete(p, True))
+    return n
 
 
 _ESCAPE = set('"#%\'*/:=?\\\x7f{[]^') | {chr(i) for i in range(1, 32)}
@@ -170,7 +215,7 @@ def replace_prefix(df: DataFrame, path: str, prefix: Mapping[str, object],
     including partitions the batch does not contain (a static partition
     overwrite).  ``prefix`` must be the leading columns of ``partition_by``.
     A row outside the prefix raises, before anything is replaced."""
-    pb = list(partition_by)
+    pb = table_layout(df.sparkSession, path, list(partition_by))
     keys = list(prefix)
     if pb[:len(keys)] != keys:
         raise ValueError(f"prefix {keys} must lead the partition columns {pb}")
@@ -182,7 +227,7 @@ def replace_prefix(df: DataFrame, path: str, prefix: Mapping[str, object],
         inside = inside & (F.col(c).isNull() if v is None else F.col(c).eqNullSafe(F.lit(v)))
     outside = F.raise_error(F.concat(F.lit(f"a row is outside the prefix {dict(prefix)}: "),
                                      F.to_json(F.struct(*keys)))).cast("boolean")
-    recover(spark, path, pb)
+    recover(spark, path)
     # Staged first: an overwrite deletes before it writes, so a row outside must be met before that.
     staged, stage = materialize(spark, df.filter(F.when(inside, F.lit(True)).otherwise(outside)), "prefix-batch")
     old = _known(spark, path)
@@ -190,16 +235,18 @@ def replace_prefix(df: DataFrame, path: str, prefix: Mapping[str, object],
         _write(staged.drop(*keys), sub, "overwrite", pb[len(keys):])
     except Exception as exc:
         raise RuntimeError(f"overwrite of {sub} failed; the batch is kept at {stage}") from exc
-    _note(spark, path, old, df.schema)
+    _note(spark, path, old, df.schema, pb)
     remove_path(spark, stage)
 
 
 def append(df: DataFrame, path: str, partition_by: Iterable[str] | None = None) -> None:
-    """Append.  New columns are allowed: read with ``merge_schema=True`` to see them."""
-    recover(df.sparkSession, path, partition_by)
+    """Append, in the table's own layout (``partition_by`` is for a new table; another layout than the table's raises).
+    New columns are allowed: read with ``merge_schema=True`` to see them."""
+    recover(df.sparkSession, path)
+    pb = table_layout(df.sparkSession, path, partition_by)
     old = _known(df.sparkSession, path)
-    _write(df, path, "append", partition_by)
-    _note(df.sparkSession, path, old, df.schema)
+    _write(df, path, "append", pb)
+    _note(df.sparkSession, path, old, df.schema, pb)
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
@@ -239,34 +286,56 @@ def _pending(path: str) -> str:
 def recover(spark: SparkSession, path: str, partition_by: Iterable[str] | None = None) -> bool:
     """Replay a merge whose commit did not finish; True if there was one.
 
-    Every write calls this first (a full load drops the stage instead).  A stage without its schema note was not
-    complete, so its commit had not begun: it is removed.
+    The stage's note says which partition columns it replaces and which
+    partitions it empties, so nothing else is touched; ``partition_by`` is not
+    needed, and another layout than the stage's raises.  Every write calls this
+    first (a full load drops the stage instead).  A stage without its note was
+    not complete, so its commit had not begun: it is removed.
     """
     pending = _pending(path)
     if not path_exists(spark, pending):
         return False
-    schema = read_schema(spark, pending)
-    if schema is not None:
-        staged = read_table(spark, pending, schema=schema)
-        if partition_by:
-            _replace_partitions(staged, path, list(partition_by))
+    note = read_note(spark, pending)
+    if note is not None:
+        pb = table_layout(spark, pending, partition_by)
+        staged = read_table(spark, pending, schema=T.StructType.fromJson(note))
+        if pb:
+            _replace_partitions(staged, path, pb)
+            _remove_folders(spark, path, note.get("emptied") or [])
         else:
             _overwrite(staged, path)
     remove_path(spark, pending)
-    return schema is not None
+    return note is not None
 
 
-def _commit(spark: SparkSession, result: DataFrame, path: str, partition_by: list[str]) -> None:
+def _commit(spark: SparkSession, result: DataFrame, path: str, partition_by: list[str],
+            processed: DataFrame | None = None) -> None:
     """Stage the merged rows, then put them in place; the stage outlives a broken commit."""
-    pending = _pending(path)
-    result.write.mode("overwrite").parquet(pending)
-    write_schema(spark, pending, result.schema)
+    pending = stage_commit(result, path, partition_by, processed)
     try:
-        recover(spark, path, partition_by)
+        recover(spark, path)
     except Exception as exc:
         raise RuntimeError(f"commit to {path} failed; recover() replays it from {pending}") from exc
 
 
+def stage_commit(result: DataFrame, path: str, partition_by: Iterable[str], processed: DataFrame | None = None) -> str:
+    """Write the rows that are to replace their partitions of ``path`` beside it; :func:`recover` puts them in place.
+
+    Of the partitions in ``processed``, those without a row in the result are to be emptied.
+    """
+    spark, partition_by = result.sparkSession, list(partition_by)
+    pending = _pending(path)
+    result.write.mode("overwrite").parquet(pending)
+    emptied: list[str] = []
+    if processed is not None and partition_by:
+        staged = read_table(spark, pending, schema=result.schema)
+        here = staged.select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate(partition_by)]).distinct()
+        gone = processed.select(*partition_by).distinct()
+        emptied = partition_folders(gone.join(here, _match(gone, here, partition_by, True), "left_anti"), partition_by)
+    write_schema(spark, pending, result.schema, partition_by, emptied)
+    return pending
+
+
 def _match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> Column:
     cond = F.lit(True)
     for i, k in enumerate(keys):
@@ -277,11 +346,11 @@ def _match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool)
 
 def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
            partition_by: Iterable[str] | None = None, null_safe: bool = False,
-           check_duplicates: bool = True, stage_source: bool = True) -> None:
+           check_duplicates: bool = True, stage_source: bool = True, processed: DataFrame | None = None) -> None:
     """Update rows whose key matches, insert the others; create the table if absent.
 
     Partitioned target: only partitions that the source touches are read and
-    rewritten (:func:`touched_partitions` prunes the scan statically).  Their
+    rewritten (:func:`touched_partitions` prunes the scan dynamically).  Their
     merged rows, ``touched ▷ source`` on the key and the source, are staged
     beside the table and then replace those partitions; an unpartitioned table
     is staged and replaced whole.  A commit that breaks is replayed from the
@@ -296,6 +365,10 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
     key raise :class:`DuplicateKeyError` before anything is written; the keys
     are grouped once, for this check and as the anti join's right side.
 
+    ``processed`` (its columns are among the key's and hold the partition columns) lists the
+    slices that the source covers in full: old rows of these slices that the
+    source does not hold are retracted, and a partition left without rows is removed.
+
     The source is consumed several times; ``stage_source`` writes it once to
     the shared folder so its upstream plan is not recomputed for each (pass
     False when the source is already a plain scan of staged data).
@@ -304,37 +377,42 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
     outside = [c for c in pb if c not in keys]
     if outside:
         raise ValueError(f"partition columns {outside} must be part of the upsert key")
-    _merge(spark, df, path, keys, pb, null_safe, check_duplicates, stage_source, fill=True)
+    _merge(spark, df, path, keys, pb, null_safe, check_duplicates, stage_source, True, processed)
 
 
 def replace_slices(spark: SparkSession, df: DataFrame, path: str, slices: Iterable[str],
-                   partition_by: Iterable[str], stage_source: bool = True) -> None:
+                   partition_by: Iterable[str], stage_source: bool = True, processed: DataFrame | None = None) -> None:
     """Replace the rows whose ``slices`` values occur in ``df``, in a table whose partitions may be coarser.
 
     ``slices`` must hold the partition columns.  In the partitions that the
     batch touches, rows of other slices stay.  With slices as fine as the
-    partitions this is :func:`replace_partitions`.  An empty ``df`` changes nothing.
+    partitions this is :func:`replace_partitions`.  An empty ``df`` changes
+    nothing, unless ``processed`` lists slices: they are replaced as well, by
+    nothing where ``df`` has no rows for them.
     """
     slices, pb = list(slices), list(partition_by)
     if not pb or any(c not in slices for c in pb):
         raise ValueError(f"slices {slices} must hold the partition columns {pb}")
-    if set(slices) == set(pb):
+    if set(slices) == set(pb) and processed is None:
         replace_partitions(df, path, pb)
     else:
-        _merge(spark, df, path, slices, pb, True, False, stage_source, fill=False)
+        _merge(spark, df, path, slices, pb, True, False, stage_source, False, processed)
 
 
 def _merge(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: list[str], null_safe: bool,
-           unique: bool, stage_source: bool, fill: bool) -> None:
-    """``(touched ▷ source) ∪ source`` over the touched partitions, staged and committed."""
+           unique: bool, stage_source: bool, fill: bool, processed: DataFrame | None = None) -> None:
+    """``(touched ▷ source ▷ processed) ∪ source`` over the touched partitions, staged and committed."""
+    if processed is not None and any(c not in processed.columns for c in pb):
+        raise ValueError(f"processed slices {processed.columns} must hold the partition columns {pb}")
     if stage_source:
         staged, stage = materialize(spark, df, "merge-source")
         try:
-            _merge(spark, staged, path, keys, pb, null_safe, unique, False, fill)
+            _merge(spark, staged, path, keys, pb, null_safe, unique, False, fill, processed)
         finally:
             remove_path(spark, stage)
         return
-    recover(spark, path, pb)
+    recover(spark, path)
+    table_layout(spark, path, pb)
     if not table_exists(spark, path):
         if unique:
             assert_unique(df, keys, null_safe)
@@ -346,10 +424,15 @@ def _merge(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: l
 
     target = read_table(spark, path, schema=table_schema(spark, path, like=df.schema))
     if pb:
-        target = touched_partitions(target, df, pb)
+        touching = df if processed is None else df.select(*pb).unionByName(processed.select(*pb))
+        target = touched_partitions(target, touching, pb)
     named = df.groupBy(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)]).agg(
         F.count(F.lit(1)).alias("__rows"))
     kept = target.join(named, _match(target, named, keys, null_safe), "left_anti")
+    if processed is not None:
+        slices = processed.columns
+        done = processed.select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate(slices)]).distinct()
+        kept = kept.join(done, _match(kept, done, slices, True), "left_anti")
     have = {c.lower() for c in df.columns}
     lacking = [c for c in target.columns if c.lower() not in have]
     if fill and lacking:
@@ -370,7 +453,7 @@ def _merge(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: l
         result = result.unionByName(named.filter(twice).select(
             message.cast(first.dataType).alias(first.name), *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]))
     try:
-        _commit(spark, result, path, pb)
+        _commit(spark, result, path, pb, processed)
     except Exception as exc:
         if DUPLICATE in str(exc):
             text = str(exc)
@@ -378,35 +461,35 @@ def _merge(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: l
         raise
 
 
+#: Touched partitions that may be sent to every executor (a row is a few short values).
+MOST_BROADCAST_PARTITIONS = 200_000
+
+
 def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Iterable[str]) -> DataFrame:
     """Rows of ``target`` in the partitions that ``source`` touches (NULL partitions included).
 
-    Per value of the leading partition column the source's smallest and
-    largest value of each further one become a static filter, so the target
-    scan is pruned at planning time whatever the source's plan looks like.
-    That is one row per leading value, whatever the number of partitions.  The
-    filter keeps a superset; the null-safe semi join then keeps exactly the
-    touched partitions.
+    The distinct touched partitions are broadcast, once their counted number is
+    within a bound.  Spark then prunes the target's scan dynamically to exactly
+    these partitions: two days ten years apart read two partitions.  Beyond the
+    bound both sides are shuffled.  Nothing but counts reaches the driver.
     """
-    lead, *rest = list(partition_by)
-    aggs = [x for i, c in enumerate(rest) for x in (F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"),
-                                                    F.count_if(F.col(c).isNull()).alias(f"nulls{i}"))]
-    ranges = source.groupBy(lead).agg(F.count(F.lit(1)).alias("rows"), *aggs).collect()
-    pruned, plain, exact = F.lit(False), [], True
-    for r in ranges:
-        here = F.col(lead).isNull() if r[lead] is None else F.col(lead) == F.lit(r[lead])
-        if not rest and r[lead] is not None:
-            plain.append(r[lead])
-            continue
-        for i, c in enumerate(rest):
-            lo, hi, nulls = r[f"lo{i}"], r[f"hi{i}"], r[f"nulls{i}"]
-            within = F.lit(False) if lo is None else F.col(c).between(F.lit(lo), F.lit(hi))
-            here = here & (within | F.col(c).isNull() if nulls else within)
-            exact = exact and (lo is None or lo == hi and not nulls)
-        pruned = pruned | here
-    target = target.filter(pruned | F.col(lead).isin(plain) if plain else pruned)
-    if exact:
-        return target
-    pb = [lead, *rest]
-    parts = source.select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate(pb)]).distinct()
-    return target.join(parts, _match(target, parts, pb, True), "left_semi")
+    pb = list(partition_by)
+    named = [F.col(c).alias(f"__k_{i}") for i, c in enumerate(pb)]
+    parts = source.select(*named).groupBy(*[f"__k_{i}" for i in range(len(pb))]).agg(F.count(F.lit(1)).alias("__rows"))
+    has_null = F.lit(False)
+    for i in range(len(pb)):
+        has_null = has_null | F.col(f"__k_{i}").isNull()
+    n, nulls = parts.agg(F.count(F.lit(1)), F.count_if(has_null)).first()
+    # The comparison of the count tells the optimizer that this side selects, which turns the pruning on.
+    whole = parts.filter(~has_null & (F.col("__rows") > 0)).drop("__rows")
+    if n <= MOST_BROADCAST_PARTITIONS:
+        whole = F.broadcast(whole)
+    out = target.join(whole, _match(target, whole, pb, False), "left_semi")
+    if nulls:
+        # "=" never meets a NULL, and only "=" prunes: partitions with one are a branch of their own
+        null = F.lit(False)
+        for c in pb:
+            null = null | F.col(c).isNull()
+        rest, some = target.filter(null), parts.filter(has_null)
+        out = out.unionByName(rest.join(some, _match(rest, some, pb, True), "left_semi"))
+    return out

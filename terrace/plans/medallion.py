@@ -67,6 +67,7 @@ from terrace.operators.sinks import (
     duplicate_keys,
     materialize,
     overwrite,
+    remove_partitions,
     replace_partitions,
     replace_prefix,
     replace_slices,
@@ -111,6 +112,11 @@ class Layout:
     def gold(self) -> str:
         return f"{self.root}/gold/daily_metrics_by_delivery_type"
 
+    @property
+    def ledger(self) -> str:
+        """The slices that runs with ``retract`` processed."""
+        return f"{self.root}/shared/processed_slices"
+
     @property
     def quality_log(self) -> str:
         return f"{self.root}/shared/quality_logs"
@@ -142,6 +148,9 @@ class RunConfig:
     deliveries: EntitySpec = DELIVERIES
     materials: EntitySpec = MATERIALS
     money_type: str = MONEY                     # operands of gold's sums
+    #: Rows that are good no longer leave silver, mended days leave quarantine, emptied days leave gold.  Off: the
+    #: upsert never deletes, and only slices with new bad rows are replaced in quarantine (parity).
+    retract: bool = False
 
     @property
     def slices(self) -> tuple[str, ...]:
@@ -402,15 +411,23 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
                 raise DuplicateKeyError("; ".join(f"{t}: {why}" for t, why in sorted(failed.items())))
             good, bad = (x.filter(~F.col("_tenant_id").isin(sorted(failed))) for x in (good, bad))
             counts = {t: c for t, c in counts.items() if t not in failed}
+        processed = None
+        if cfg.retract:
+            # every slice that bronze holds for the run is judged anew in full; the ledger tells gold, too
+            processed, ledger_dir = materialize(spark, staged.filter(~F.col("_tenant_id").isin(sorted(failed))).select(
+                *cfg.slices).distinct(), "silver-ledger")
+            stages.append(ledger_dir)
+            append(processed.withColumn("_run_id", F.lit(run_id)).withColumn("processed_at", F.current_timestamp()),
+                   layout.ledger)
         quarantine, _ = route_bad(bad, rules, cfg.discard_rules, cfg.unknown)
         quarantine = quarantine_frame(quarantine, rules, cfg.discard_rules, cfg.unknown)
         # Independent tables: both writes are submitted at once.
         with ThreadPoolExecutor(2) as pool:
             writes = [
                 pool.submit(upsert, spark, silver_rows(good, FACT_KEYS), layout.fact, keys, cfg.partition_by,
-                            check_duplicates=False, stage_source=False),
+                            check_duplicates=False, stage_source=False, processed=processed),
                 pool.submit(replace_slices, spark, quarantine, layout.quarantine, cfg.slices, cfg.partition_by,
-                            stage_source=False)]
+                            stage_source=False, processed=processed)]
             for w in writes:
                 w.result()
     finally:
@@ -455,11 +472,29 @@ def build_metrics(spark: SparkSession, layout: Layout, cfg: RunConfig,
     silver = silver.observe(misfits, F.count_if(rounded_operands(DAILY_MEASURES, cfg.money_type)).alias("n"))
     gold, obs = _observe(gold_frame(silver, cfg.partition_by, cfg.money_type), tenants, "gold")
     replace_partitions(gold, layout.gold, cfg.partition_by)
+    if cfg.retract and table_exists(spark, layout.ledger):
+        _clear_emptied(spark, layout, cfg, tenants, blocked)
     n = int(misfits.get.get("n", 0) or 0)
     reason = f"{n} rows with operands that {cfg.money_type} rounds" if n else None
     return StageResult("gold_daily_metrics", "ok", _tenant_counts(obs, tenants), reason)
 
 
+def _clear_emptied(spark: SparkSession, layout: Layout, cfg: RunConfig, tenants: list[str] | None,
+                   blocked: Iterable[str]) -> None:
+    """Remove gold's partitions of processed slices that silver holds no longer."""
+    pb = list(cfg.partition_by)
+    ledger = read_table(spark, layout.ledger, schema=table_schema(spark, layout.ledger))
+    if tenants is not None:
+        ledger = ledger.filter(F.col("_tenant_id").isin(tenants))
+    ledger = ledger.filter(~F.col("_tenant_id").isin(list(blocked)))
+    silver = read_table(spark, layout.fact, schema=table_schema(spark, layout.fact, like=partition_types(cfg)))
+    here = silver.select(*[F.col(c).alias(f"__{c}") for c in pb]).distinct()
+    same = F.lit(True)
+    for c in pb:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    remove_partitions(cfg.select_dates(ledger).select(*pb).distinct().join(here, same, "left_anti"), layout.gold, pb)
+
+
 STATUS_SCHEMA = T.StructType([
     T.StructField("tenant", T.StringType()),
     T.StructField("stage", T.StringType()),

@@ -346,6 +346,17 @@ WHERE NOT (r_cantidad_valida AND r_precio_valido AND r_fecha_valida AND r_tipo_e
            AND r_material_existe AND r_ruta_conocida) AND r_tipo_entrega_valido"""
 
 
+#: Deliveries as a rerun of a range leaves them: rows turn bad, others good, a tenant's month has no good row.
+RETRACTED_V = f"""
+bronze_v AS (
+  SELECT * REPLACE (CASE WHEN fecha_proceso NOT BETWEEN 19960110 AND 19960320 THEN cantidad
+                         WHEN pais = 'ASIA' AND {MONTH} = 199602 THEN -1
+                         WHEN pais = 'AFRICA' THEN 5
+                         WHEN material % 7 = 0 THEN NULL
+                         ELSE coalesce(cantidad, 5) END AS cantidad), lower(pais) AS _tenant_id
+  FROM deliveries_v)"""
+RETRACTED = with_(DELIVERIES_V, RETRACTED_V, MATERIALS_V, NORMALIZED_V, JOINED_V, EVALUATED_V)
+
 ORACLE: dict[str, str] = {
     "tenant_isolation": with_(DELIVERIES_V) + """
 SELECT *, lower(pais) AS _tenant_id FROM deliveries_v
@@ -578,4 +589,21 @@ WITH log AS ({_quality_log()})
 SELECT tenant_id, b._batch_id, check_name, CAST(1 AS BIGINT) AS runs, CAST(1 AS BIGINT) AS with_time,
        records_checked, records_failed
 FROM log, (VALUES ('batch-1'), ('batch-2')) b(_batch_id)""",
+
+    "retracted_silver_state": RETRACTED + f"""
+SELECT {KEYS}, precio, cantidad, {MONTH} AS mes FROM evaluated_v WHERE {COND}""",
+
+    "retracted_quarantine_state": RETRACTED + f"""
+SELECT {KEYS}, precio, cantidad, {MONTH} AS mes, {REASON} AS _quarantine_reason
+FROM evaluated_v WHERE NOT {COND} AND _rule_tipo_entrega_valido""",
+
+    "retracted_gold_state": RETRACTED + f"""
+SELECT _tenant_id, fecha_proceso, tipo_entrega, {MONTH} AS mes,{GOLD_AGGS}
+FROM evaluated_v WHERE {COND} GROUP BY 1, 2, 3, 4""",
+
+    "recovered_upsert_state": GOOD_MONTHLY + f"""
+SELECT {KEYS}, mes, CASE WHEN mes IN (199701, 199806) THEN precio + 1 ELSE precio END AS precio, cantidad FROM good_m""",
+
+    "sparse_upsert_state": GOOD_MONTHLY + f"""
+SELECT {KEYS}, mes, precio, CASE WHEN mes IN (199202, 199809) THEN cantidad * 2 ELSE cantidad END AS cantidad FROM good_m""",
 }

@@ -36,7 +36,8 @@ from terrace.operators.quality import (
     rules_for_tenants,
     split_by_quality,
 )
-from terrace.operators.sinks import append, overwrite, replace_partitions, replace_prefix, table_schema, upsert
+from terrace.operators.sinks import (
+    append, overwrite, recover, replace_partitions, replace_prefix, stage_commit, table_schema, upsert)
 from terrace.operators.temporal import point_in_time_join
 from terrace.plans.medallion import (
     Layout,
@@ -549,6 +550,60 @@ def range_rerun_gold_state(spark, sf):
     return read_table(spark, layout.gold, schema=table_schema(spark, layout.gold))
 
 
+def _retracting_rerun(spark, sf) -> Layout:
+    """A full run, then a rerun of a range in which rows turn bad, others good, and a tenant's month is left without
+    a good row; with ``retract`` every layer follows."""
+    layout = Layout(scratch_path(spark, "lake"))
+    raw, catalog = deliveries(spark, sf), fixtures.materials_raw(spark, sf)
+    run(spark, raw, catalog, layout, _run_config(retract=True))
+    emptied = (F.col("pais") == "ASIA") & (F.expr(MONTH[1]) == 199602)
+    changed = raw.withColumn("cantidad", F.when(emptied, F.lit(-1.0)).when(F.col("pais") == "AFRICA", F.lit(5.0))
+                             .when(F.col("material") % 7 == 0, F.lit(None).cast("double"))
+                             .otherwise(F.coalesce("cantidad", F.lit(5.0))))
+    run(spark, changed, catalog, layout, _run_config(retract=True, start=RERUN_RANGE[0], end=RERUN_RANGE[1]))
+    return layout
+
+
+def retracted_silver_state(spark, sf):
+    layout = _retracting_rerun(spark, sf)
+    return read_table(spark, layout.fact, schema=table_schema(spark, layout.fact)).select(
+        *FACT_KEYS, "precio", "cantidad", "mes")
+
+
+def retracted_quarantine_state(spark, sf):
+    layout = _retracting_rerun(spark, sf)
+    return read_table(spark, layout.quarantine, schema=table_schema(spark, layout.quarantine)).select(
+        *FACT_KEYS, "precio", "cantidad", "mes", "_quarantine_reason")
+
+
+def retracted_gold_state(spark, sf):
+    layout = _retracting_rerun(spark, sf)
+    return read_table(spark, layout.gold, schema=table_schema(spark, layout.gold))
+
+
+def recovered_upsert_state(spark, sf):
+    """An upsert of two months whose commit did not happen, replayed without a word about the table's layout."""
+    path = scratch_path(spark, "recover")
+    good = _good_monthly(spark, sf).select(*FACT_KEYS, "mes", "precio", "cantidad")
+    upsert(spark, good, path, [*FACT_KEYS, "mes"], MONTH_LAYOUT)
+    batch = good.filter(F.col("mes").isin(199701, 199806)).withColumn("precio", F.col("precio") + 1)
+    merged = read_table(spark, path, schema=table_schema(spark, path)).filter(
+        F.col("mes").isin(199701, 199806)).join(batch, [*FACT_KEYS, "mes"], "left_anti").unionByName(batch)
+    stage_commit(merged, path, MONTH_LAYOUT)
+    recover(spark, path)
+    return read_table(spark, path, schema=table_schema(spark, path))
+
+
+def sparse_upsert_state(spark, sf):
+    """A batch of two months six years apart; the table's scan is pruned to them dynamically."""
+    path = scratch_path(spark, "sparse")
+    good = _good_monthly(spark, sf).select(*FACT_KEYS, "mes", "precio", "cantidad")
+    upsert(spark, good, path, [*FACT_KEYS, "mes"], MONTH_LAYOUT)
+    batch = good.filter(F.col("mes").isin(199202, 199809)).withColumn("cantidad", F.col("cantidad") * 2)
+    upsert(spark, batch, path, [*FACT_KEYS, "mes"], MONTH_LAYOUT)
+    return read_table(spark, path, schema=table_schema(spark, path))
+
+
 def _plain_reason(status: DataFrame) -> DataFrame:
     """Without the parts of a reason that name a path or an example."""
     return status.withColumn("reason", F.regexp_replace("reason", "(, e\\.g\\. .*| at \\S+)$", ""))
@@ -652,4 +707,9 @@ QUERIES: dict[str, QueryFn] = {
     "quarantine_actions": quarantine_actions,
     "layer_stamps": layer_stamps,
     "quality_log_runs": quality_log_runs,
+    "retracted_silver_state": retracted_silver_state,
+    "retracted_quarantine_state": retracted_quarantine_state,
+    "retracted_gold_state": retracted_gold_state,
+    "recovered_upsert_state": recovered_upsert_state,
+    "sparse_upsert_state": sparse_upsert_state,
 }
