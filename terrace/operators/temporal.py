@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.sources.files import file_bytes
@@ -13,6 +13,73 @@ from terrace.sources.files import file_bytes
 BROADCAST_FILE_BYTES = 8 << 20   # parquet file bytes of a dimension that may be sent to every executor
 
 
+#: Days are counted from year 0, so that every date has a number of 0 or more and below 2 ** LEVELS.
+LEVELS = 22
+_DAY_ZERO = 719_528
+
+
+def _day(date: Column) -> Column:
+    return F.unix_date(date) + _DAY_ZERO
+
+
+def dyadic_nodes(first: Column, last: Column) -> Column:
+    """The dyadic ranges that make up the days from ``first`` to ``last``: an array of (level, node), a node of
+    level ``k`` being the days ``node * 2**k`` to ``(node + 1) * 2**k - 1``.
+
+    A range has at most two nodes a level, so O(log days) in all, and every
+    day of it lies in exactly one of them.
+    """
+    def at(k: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1), k)
+        lo = F.call_function("shiftright", _day(first) + size - 1, k)     # whole nodes of this level inside the range
+        hi = F.call_function("shiftright", _day(last) + 1, k)
+        left = F.when((lo < hi) & (lo % 2 == 1), F.struct(k.alias("level"), lo.alias("node")))
+        right = F.when((lo < hi) & (hi % 2 == 1), F.struct(k.alias("level"), (hi - 1).alias("node")))
+        return F.array_compact(F.array(left, right))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), at))
+
+
+def dyadic_path(date: Column) -> Column:
+    """The nodes that hold a day: one (level, node) a level."""
+    return F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda k: F.struct(
+        k.alias("level"), F.call_function("shiftright", _day(date), k).alias("node")))
+
+
+def versions_at(points: DataFrame, dim: DataFrame, keys: Iterable[str], at: str, valid_from: str = "valid_from",
+                valid_to: str = "valid_to", newest: bool = False) -> DataFrame:
+    """The versions of ``dim`` that are valid at each of the distinct ``points`` (keys and day ``at``): the points'
+    columns, the range and the other columns of each version; ``newest``: only the newest one.
+
+    Range matching as an equi-join: a version is cut into the dyadic ranges of
+    its days, a point looks up the ranges that hold its day, and they meet on
+    (keys, level, node).  A point and a version meet once at most, so work is
+    O((versions + points) log days + matches), and a key with many versions is
+    spread over its nodes.  With ``newest`` each node keeps its newest version
+    before the join, so no two versions of a key ever meet.
+    """
+    keys = list(keys)
+    dim = dim.filter(F.col(valid_from).isNotNull() & F.col(valid_to).isNotNull() & (F.col(valid_from) <= F.col(valid_to)))
+    others = [c for c in dim.columns if c not in (*keys, valid_from, valid_to)]
+    version = F.struct(F.col(valid_from).alias("__f"), F.col(valid_to).alias("__t"), *[F.col(c) for c in others])
+    nodes = dim.select(*[F.col(k).alias(f"__n_{i}") for i, k in enumerate(keys)], version.alias("__v"),
+                       F.explode(dyadic_nodes(F.col(valid_from), F.col(valid_to))).alias("__node"))
+    nodes = nodes.select("*", F.col("__node.level").alias("__level"), F.col("__node.node").alias("__at")).drop("__node")
+    named = [f"__n_{i}" for i in range(len(keys))]
+    if newest:
+        nodes = nodes.groupBy(*named, "__level", "__at").agg(F.max("__v").alias("__v"))
+    seen = points.select("*", F.explode(dyadic_path(F.col(at))).alias("__node")).select(
+        *points.columns, F.col("__node.level").alias("__l"), F.col("__node.node").alias("__a"))
+    cond = (F.col("__l") == F.col("__level")) & (F.col("__a") == F.col("__at"))
+    for k, n in zip(keys, named):
+        cond = cond & (seen[k] == nodes[n])
+    met = seen.join(nodes, cond).select(*points.columns, "__v")
+    if newest:
+        met = met.groupBy(*points.columns).agg(F.max("__v").alias("__v"))
+    return met.select(*points.columns, F.col("__v.__f").alias(valid_from), F.col("__v.__t").alias(valid_to),
+                      *[F.col(f"__v.{c}").alias(c) for c in others])
+
+
 def newest_versions(dim: DataFrame, keys: Iterable[str], valid_from: str = "valid_from",
                     valid_to: str = "valid_to") -> DataFrame:
     """Make the versions of one key non-overlapping: on every day the newest valid version wins.
@@ -21,30 +88,50 @@ def newest_versions(dim: DataFrame, keys: Iterable[str], valid_from: str = "vali
     and ends of a key cut time into elementary intervals; each keeps the
     version that covers it with the latest ``valid_from`` (on ties the latest
     ``valid_to``, then the largest values of the other columns).  A version
-    that a shorter, newer one interrupts therefore continues after it.  All
-    work is of the dimension's size; the fact side is untouched.
+    that a shorter, newer one interrupts therefore continues after it.  The
+    version of an interval is that of its first day (:func:`versions_at`), so
+    a key's versions are not compared with each other: work is O(V log days).
     """
     keys = list(keys)
     dim = dim.filter(F.col(valid_from).isNotNull() & F.col(valid_to).isNotNull() & (F.col(valid_from) <= F.col(valid_to)))
-    others = [c for c in dim.columns if c not in (*keys, valid_from, valid_to)]
+    # the day after the last date there is (9999-12-31) has no number in a dyadic tree of dates, and needs none
     cuts = dim.select(*keys, F.explode(F.array(F.col(valid_from), F.date_add(valid_to, 1))).alias("__start")).distinct()
     following = F.lead("__start").over(Window.partitionBy(*keys).orderBy("__start"))
     spans = cuts.select(*keys, "__start", F.date_sub(following, 1).alias("__end")).filter(F.col("__end").isNotNull())
-    spans = spans.select(*[F.col(k).alias(f"__s_{i}") for i, k in enumerate(keys)], "__start", "__end")
-    cond = F.col("__start").between(F.col(valid_from), F.col(valid_to))
-    for i, k in enumerate(keys):
-        cond = cond & (F.col(f"__s_{i}") == F.col(k))
-    version = F.struct(F.col(valid_from).alias("__f"), F.col(valid_to).alias("__t"), *[F.col(c) for c in others])
-    newest = spans.join(dim, cond).groupBy(*keys, "__start", "__end").agg(F.max(version).alias("__v"))
-    return newest.select(*keys, F.col("__start").alias(valid_from), F.col("__end").alias(valid_to),
-                         *[F.col(f"__v.{c}").alias(c) for c in others]).select(*dim.columns)
+    others = [c for c in dim.columns if c not in (*keys, valid_from, valid_to)]
+    found = versions_at(spans, dim, keys, "__start", valid_from, valid_to, newest=True)
+    return found.select(*keys, F.col("__start").alias(valid_from), F.col("__end").alias(valid_to), *others).select(
+        *dim.columns)
+
+
+def daily_snapshot(dim: DataFrame, fact: DataFrame, keys: Iterable[str], at: str, valid_from: str = "valid_from",
+                   valid_to: str = "valid_to", on_overlap: str = "fanout", day: str = "day") -> DataFrame:
+    """The dimension as one row per key, day and valid version, for the keys and days that facts need.
+
+    Versions are cut to each key's first and last fact day before they are
+    expanded, so an open end costs no more than the facts' own span.  The rows
+    are the sum of these clipped spans; where facts are sparse in a long span,
+    :func:`versions_at` on their distinct (key, day) is the smaller one.
+    """
+    keys = list(keys)
+    bounds = fact.filter(F.col(at).isNotNull()).groupBy(*keys).agg(F.min(at).alias("__lo"), F.max(at).alias("__hi"))
+    clipped = dim.join(bounds, keys).filter(
+        (F.col(valid_from) <= F.col("__hi")) & (F.col(valid_to) >= F.col("__lo")) & (F.col(valid_from) <= F.col(valid_to)))
+    days = clipped.withColumn(day, F.explode(F.sequence(
+        F.greatest(valid_from, "__lo"), F.least(valid_to, "__hi")))).drop("__lo", "__hi")
+    if on_overlap == "fanout":
+        return days
+    others = [c for c in dim.columns if c not in keys]
+    ordered = [valid_from, valid_to, *[c for c in others if c not in (valid_from, valid_to)]]
+    newest = days.groupBy(*keys, day).agg(F.max(F.struct(*ordered)).alias("__v"))
+    return newest.select(*keys, *[F.col(f"__v.{c}").alias(c) for c in others], day)
 
 
 def point_in_time_join(fact: DataFrame, dim: DataFrame, keys: Iterable[str] | Mapping[str, str],
                        at: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
                        columns: Mapping[str, str] | None = None, how: str = "left",
                        on_overlap: str = "fanout", broadcast_bytes: int = BROADCAST_FILE_BYTES,
-                       salt: int = 0) -> DataFrame:
+                       salt: int = 0, method: str = "range") -> DataFrame:
     """Attach the dimension version valid at ``fact[at]``: equal keys and
     ``valid_from <= at <= valid_to`` (both ends inclusive).
 
@@ -69,6 +156,13 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, keys: Iterable[str] | Ma
     AQE cannot split it (AQE off, or the hot side on the build side).  Costs:
     the dimension side grows ``salt`` times.
 
+    ``method`` says how days meet ranges: ``"range"`` as above; ``"points"``
+    looks the facts' distinct (key, day) up in dyadic ranges
+    (:func:`versions_at`); ``"snapshot"`` expands the versions to the facts'
+    days (:func:`daily_snapshot`).  The latter two then join facts on (key,
+    day) by equality alone, which keeps a key with thousands of versions linear:
+    a range condition compares each of its facts with all of them.
+
     ``keys`` is a list of shared names or a mapping fact column -> dim column.
     ``columns`` maps dimension columns to output names (default: all non-key,
     non-range columns with their own names).
@@ -77,10 +171,14 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, keys: Iterable[str] | Ma
     if columns is None:
         skip = set(pairs.values()) | {valid_from, valid_to}
         columns = {c: c for c in dim.columns if c not in skip}
+    if on_overlap not in ("fanout", "latest"):
+        raise ValueError("on_overlap must be 'fanout' or 'latest'")
+    if method not in ("range", "points", "snapshot"):
+        raise ValueError("method must be 'range', 'points' or 'snapshot'")
+    if method != "range":
+        return _join_on_days(fact, dim, pairs, at, valid_from, valid_to, columns, how, on_overlap, method)
     if on_overlap == "latest":
         dim = newest_versions(dim, list(pairs.values()), valid_from, valid_to)
-    elif on_overlap != "fanout":
-        raise ValueError("on_overlap must be 'fanout' or 'latest'")
 
     # Prefix the dimension's columns so no name is ambiguous after the join.
     d = dim.select(
@@ -105,3 +203,25 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, keys: Iterable[str] | Ma
     return joined.select(
         *[fact[c] for c in out_cols],
         *[d[f"__dv_{i}"].alias(out) for i, out in enumerate(columns.values())])
+
+
+def _join_on_days(fact: DataFrame, dim: DataFrame, pairs: Mapping[str, str], at: str, valid_from: str, valid_to: str,
+                  columns: Mapping[str, str], how: str, on_overlap: str, method: str) -> DataFrame:
+    """The point-in-time join as an equi-join of facts on (keys, day)."""
+    d = dim.select(*[F.col(dc).alias(f"__dk_{i}") for i, dc in enumerate(pairs.values())],
+                   F.col(valid_from).alias("__d_from"), F.col(valid_to).alias("__d_to"),
+                   *[F.col(src).alias(f"__dv_{i}") for i, src in enumerate(columns)])
+    keys = [f"__dk_{i}" for i in range(len(pairs))]
+    seen = fact.select(*[F.col(fc).alias(k) for fc, k in zip(pairs, keys)], F.col(at).alias("__day"))
+    if method == "points":
+        days = versions_at(seen.filter(F.col("__day").isNotNull()).distinct(), d, keys, "__day", "__d_from", "__d_to",
+                           on_overlap == "latest")
+    else:
+        days = daily_snapshot(d, seen, keys, "__day", "__d_from", "__d_to", on_overlap, day="__on")
+        days = days.withColumnRenamed("__on", "__day")
+    cond = fact[at] == days["__day"]
+    for fc, k in zip(pairs, keys):
+        cond = cond & (fact[fc] == days[k])
+    joined = fact.join(days, cond, how)
+    return joined.select(*[fact[c] for c in fact.columns],
+                         *[days[f"__dv_{i}"].alias(out) for i, out in enumerate(columns.values())])

@@ -410,6 +410,23 @@ ranked AS (
 SELECT f.* EXCLUDE (rid), r.precio_base AS precio_catalogo_unitario
 FROM facts f LEFT JOIN ranked r ON r.rid = f.rid AND r.k = 1""",
 
+    "point_in_time_join_snapshot": with_(DELIVERIES_V, BRONZE_V, MATERIALS_V, NORMALIZED_V, JOINED_V)
+    + "SELECT * FROM joined_v",
+
+    "point_in_time_join_fanout_points": with_(DELIVERIES_V, BRONZE_V, MATERIALS_V, NORMALIZED_V) + """,
+newer AS (SELECT * FROM materials_v WHERE valid_from = DATE '1998-07-01'),
+dim AS (
+  SELECT material, valid_from, valid_to, precio_base FROM materials_v
+  UNION ALL
+  SELECT material, DATE '1996-03-01', DATE '1996-03-31', precio_base * CAST(0.5 AS DOUBLE) FROM newer
+  UNION ALL
+  SELECT material, DATE '1998-07-01', DATE '1998-08-15', precio_base * CAST(0.75 AS DOUBLE) FROM newer
+  WHERE material % 3 = 0
+  UNION ALL
+  SELECT material, DATE '1997-01-01', NULL, precio_base * CAST(0.25 AS DOUBLE) FROM newer WHERE material % 2 = 0)
+SELECT f.*, d.precio_base AS precio_catalogo_unitario
+FROM normalized_v f LEFT JOIN dim d ON f.material = d.material AND f.fecha_proceso_dt BETWEEN d.valid_from AND d.valid_to""",
+
     "rule_flags": SILVER + "SELECT * FROM evaluated_v",
 
     "quality_log": _quality_log(),
@@ -590,6 +607,19 @@ SELECT tenant_id, b._batch_id, check_name, CAST(1 AS BIGINT) AS runs, CAST(1 AS
        records_checked, records_failed
 FROM log, (VALUES ('batch-1'), ('batch-2')) b(_batch_id)""",
 
+    "scd2_history_state": """
+WITH days AS (SELECT * FROM (VALUES (1, DATE '1995-01-01', DATE '1995-12-31'), (2, DATE '1996-01-01', DATE '1996-12-31'),
+                                    (3, DATE '1997-01-01', DATE '9999-12-31')) t(i, d, until)),
+seen AS (SELECT p_partkey AS material, i, d, until, p_brand AS marca,
+                CASE WHEN i = 3 AND p_partkey % 3 = 0 THEN p_retailprice * CAST(1.1 AS DOUBLE)
+                     WHEN i = 2 AND p_partkey % 5 = 0 THEN p_retailprice * CAST(0.9 AS DOUBLE)
+                     ELSE p_retailprice END AS precio_base
+         FROM part, days
+         WHERE CASE i WHEN 1 THEN p_partkey % 13 <> 0 WHEN 3 THEN p_partkey % 11 <> 0 ELSE TRUE END),
+runs AS (SELECT *, i - row_number() OVER (PARTITION BY material, precio_base, marca ORDER BY i) AS run FROM seen)
+SELECT material, precio_base, marca, min(d) AS valid_from, max(until) AS valid_to, max(until) = DATE '9999-12-31' AS is_current
+FROM runs GROUP BY material, precio_base, marca, run""",
+
     "retracted_silver_state": RETRACTED + f"""
 SELECT {KEYS}, precio, cantidad, {MONTH} AS mes FROM evaluated_v WHERE {COND}""",
 
@@ -607,3 +637,4 @@ SELECT {KEYS}, mes, CASE WHEN mes IN (199701, 199806) THEN precio + 1 ELSE preci
     "sparse_upsert_state": GOOD_MONTHLY + f"""
 SELECT {KEYS}, mes, precio, CASE WHEN mes IN (199202, 199809) THEN cantidad * 2 ELSE cantidad END AS cantidad FROM good_m""",
 }
+ORACLE["point_in_time_join_points"] = ORACLE["point_in_time_join_latest"]

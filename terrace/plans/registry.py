@@ -10,6 +10,7 @@ than by day to keep the number of directories small at test scale.
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 
 from terrace.config import DEFAULT_RULES, DIMENSION_KEYS, FACT_KEYS, MONTH_KEY
 from terrace.operators.contract import isolate_tenants, stamp_global
+from terrace.operators.history import record_snapshot
 from terrace.operators.metrics import daily_metrics, dedup
 from terrace.operators.normalize import (
     DELIVERY_FLAGS,
@@ -144,10 +146,9 @@ def point_in_time_join_salted(spark, sf):
                               columns={"precio_base": "precio_catalogo_unitario"}, salt=8)
 
 
-def point_in_time_join_latest(spark, sf):
-    """Overlapping versions: besides the two of the catalog a one-month promotion inside an open
-    version, a second version with an equal start that ends earlier, and versions with a NULL end.
-    ``on_overlap='latest'`` keeps one row per fact: the newest version valid on its day."""
+def _overlapping_versions(spark, sf) -> DataFrame:
+    """Besides the two versions of the catalog a one-month promotion inside an open version, a second
+    version with an equal start that ends earlier, and versions with a NULL end."""
     dim = dimension(spark, sf).select("material", "valid_from", "valid_to", "precio_base")
     newer = dim.filter(F.col("valid_from") == F.lit("1998-07-01").cast("date"))
 
@@ -156,12 +157,55 @@ def point_in_time_join_latest(spark, sf):
             "material", F.lit(start).cast("date").alias("valid_from"), F.lit(end).cast("date").alias("valid_to"),
             (F.col("precio_base") * F.lit(factor)).alias("precio_base"))
 
-    dim = (dim.unionByName(version("1996-03-01", "1996-03-31", 0.5, 1))
-           .unionByName(version("1998-07-01", "1998-08-15", 0.75, 3))
-           .unionByName(version("1997-01-01", None, 0.25, 2)))
+    return (dim.unionByName(version("1996-03-01", "1996-03-31", 0.5, 1))
+            .unionByName(version("1998-07-01", "1998-08-15", 0.75, 3))
+            .unionByName(version("1997-01-01", None, 0.25, 2)))
+
+
+def _join_latest(spark, sf, method: str) -> DataFrame:
+    fact = normalize_deliveries(bronze(spark, sf))
+    return point_in_time_join(fact, _overlapping_versions(spark, sf), ["material"], at="fecha_proceso_dt",
+                              columns={"precio_base": "precio_catalogo_unitario"}, on_overlap="latest", method=method)
+
+
+def point_in_time_join_latest(spark, sf):
+    """``on_overlap='latest'`` keeps one row per fact: the newest version valid on its day."""
+    return _join_latest(spark, sf, "range")
+
+
+def point_in_time_join_points(spark, sf):
+    """The newest version of each distinct (material, day), found in dyadic ranges, joined by equality."""
+    return _join_latest(spark, sf, "points")
+
+
+def point_in_time_join_fanout_points(spark, sf):
+    """All valid versions of overlapping ones, one row each, found in dyadic ranges."""
+    fact = normalize_deliveries(bronze(spark, sf))
+    return point_in_time_join(fact, _overlapping_versions(spark, sf), ["material"], at="fecha_proceso_dt",
+                              columns={"precio_base": "precio_catalogo_unitario"}, method="points")
+
+
+def point_in_time_join_snapshot(spark, sf):
+    """The pre-expanded daily dimension, cut to the facts' days of each material, joined by equality."""
     fact = normalize_deliveries(bronze(spark, sf))
-    return point_in_time_join(fact, dim, ["material"], at="fecha_proceso_dt",
-                              columns={"precio_base": "precio_catalogo_unitario"}, on_overlap="latest")
+    return point_in_time_join(fact, dimension(spark, sf).select("material", "valid_from", "valid_to", "precio_base"),
+                              ["material"], at="fecha_proceso_dt",
+                              columns={"precio_base": "precio_catalogo_unitario"}, method="snapshot")
+
+
+# ---------------------------------------------------------------- version history
+def scd2_history_state(spark, sf):
+    """Versions built from three plain catalog snapshots, the one of 1996 arriving last: prices change and change
+    back, parts appear and disappear."""
+    part = fixtures.table(spark, sf, "part")
+    path = scratch_path(spark, "history")
+    for day, there, factor in ((dt.date(1995, 1, 1), "p_partkey % 13 <> 0", "1"),
+                               (dt.date(1997, 1, 1), "p_partkey % 11 <> 0", "IF(p_partkey % 3 = 0, 1.1D, 1)"),
+                               (dt.date(1996, 1, 1), "TRUE", "IF(p_partkey % 5 = 0, 0.9D, 1)")):
+        snapshot = part.filter(there).select(F.col("p_partkey").alias("material"), F.expr(
+            f"CAST(p_retailprice * {factor} AS DOUBLE)").alias("precio_base"), F.col("p_brand").alias("marca"))
+        record_snapshot(spark, snapshot, path, ["material"], ["precio_base", "marca"], day)
+    return read_table(spark, path, schema=table_schema(spark, path)).drop("_bucket")
 
 
 # ---------------------------------------------------------------- quality
@@ -664,6 +708,9 @@ QUERIES: dict[str, QueryFn] = {
     "point_in_time_join": point_in_time_join_q,
     "point_in_time_join_salted": point_in_time_join_salted,
     "point_in_time_join_latest": point_in_time_join_latest,
+    "point_in_time_join_points": point_in_time_join_points,
+    "point_in_time_join_fanout_points": point_in_time_join_fanout_points,
+    "point_in_time_join_snapshot": point_in_time_join_snapshot,
     "rule_flags": rule_flags,
     "quality_log": quality_log_q,
     "good_rows": good_rows,
@@ -707,6 +754,7 @@ QUERIES: dict[str, QueryFn] = {
     "quarantine_actions": quarantine_actions,
     "layer_stamps": layer_stamps,
     "quality_log_runs": quality_log_runs,
+    "scd2_history_state": scd2_history_state,
     "retracted_silver_state": retracted_silver_state,
     "retracted_quarantine_state": retracted_quarantine_state,
     "retracted_gold_state": retracted_gold_state,
