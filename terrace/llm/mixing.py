@@ -62,8 +62,9 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats:
 
 
 def marks(docs: DataFrame) -> list[Column]:
-    """Two hashes of all columns: rows with the same are taken to be equal."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    """Two hashes of all columns: rows with the same are taken to be equal.  Maps, which have no hash, count as JSON."""
+    columns = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+               for f in docs.schema.fields]
     return [F.xxhash64(*columns).alias("mark1"), F.xxhash64(F.lit(1), *columns).alias("mark2")]
 
 

@@ -11,7 +11,8 @@ Cholesky factors, which are computed once per fit.
 Null and empty texts have the statistics of no words.  Rows whose held-out
 remainder is 0 are never learned from.  Repeated rows count as often as they
 come; a document with conflicting labels counts for both classes; null labels
-are left out.  Without labelled rows of a class, scores are the prior of the
+are left out.  Where the labelled texts of a class, or of both, are all alike,
+the covariance is the ridge alone, with an absolute floor.  Without labelled rows of a class, scores are the prior of the
 other: 1.0 if class 0 is missing, 0.0 if class 1 is, 0.5 if both are.
 """
 
@@ -120,7 +121,8 @@ def fit(stats: DataFrame, label: str, vector: str = "__llm_stats", shrink: float
         means.append(mean)
         covs.append(second - np.outer(mean, mean))
     pooled = sum(per[y][0] / total * covs[y] for y in (0, 1))
-    scale = np.trace(pooled) / d
+    # the floor keeps the factors regular where all texts of both classes agree
+    scale = max(np.trace(pooled) / d, 1e-4)
     factors = [np.linalg.cholesky((1 - shrink) * c + shrink * (0.5 * pooled + 0.5 * np.diag(np.diag(pooled)))
                                   + ridge * scale * np.eye(d)) for c in covs]
     return Discriminant(tuple(means), tuple(factors), tuple(math.log(per[y][0] / total) for y in (0, 1)))

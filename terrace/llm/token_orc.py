@@ -8,7 +8,7 @@ stripes of a file in parallel.  A reader that asks for some doc_ids skips
 files and stripes by their statistics and Bloom filters (``read_tokens``).
 
 Each row holds ``doc_id``, ``ids``, their number ``n`` and ``offset``, the number of ids before it
-in its file; ``file_starts`` adds up the files, so a document's first position
+among the rows of its task; ``task_starts`` adds up the tasks' files, so a document's first position
 in the whole stream needs no global sort of rows.
 
 Null and empty texts are written with the end id alone.  Repeated rows are
@@ -144,16 +144,22 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, t
 
 
 def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
-    """The rows of ``path`` with the file they are in; ``doc_ids`` prunes by statistics and Bloom filters."""
+    """The rows of ``path`` with the file they are in and the task that wrote it; ``doc_ids`` prunes by statistics
+    and Bloom filters."""
     rows = spark.read.schema(SCHEMA).orc(path).withColumn("file", F.col("_metadata.file_name"))
+    # the number in a file's name says which range it holds; as text, part-100000 would come before part-99999
+    rows = rows.withColumn("task", F.regexp_extract("file", "^part-([0-9]+)", 1).cast("long"))
     return rows if doc_ids is None else rows.where(F.col("doc_id").isin([int(i) for i in doc_ids]))
 
 
-def file_starts(tokens: DataFrame) -> DataFrame:
-    """(file, first): ids in all files before it; one row a file, so the running sum is over metadata."""
-    totals = tokens.groupBy("file").agg(F.sum(F.col("n").cast("long")).alias("n"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("first"))
+def task_starts(tokens: DataFrame) -> DataFrame:
+    """(task, first): ids in the files of all tasks before it; one row a task, so the running sum is over metadata.
+
+    A row's ``offset`` counts all of its task's rows, however many files the task was split into.
+    """
+    totals = tokens.groupBy("task").agg(F.sum(F.col("n").cast("long")).alias("n"))
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("first"))
 
 
 def digest(spark: SparkSession, path: str) -> DataFrame:
@@ -167,11 +173,11 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
             crc = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), batch.column(3), pa.array(n, pa.int64()), pa.array(crc, pa.int64())],
-                names=["doc_id", "offset", "file", "n_tokens", "ids_crc32"])
+                names=["doc_id", "offset", "task", "n_tokens", "ids_crc32"])
 
     tokens = read_tokens(spark, path)
-    starts = file_starts(tokens)
-    rows = tokens.select("doc_id", "ids", "offset", "file").mapInArrow(run, "doc_id long, offset long, file string, n_tokens long, ids_crc32 long")
-    # one short row a file: bounded by the number of files, which is that of the range partitions
-    return rows.join(F.broadcast(starts), "file").select(
+    starts = task_starts(tokens)
+    rows = tokens.select("doc_id", "ids", "offset", "task").mapInArrow(run, "doc_id long, offset long, task long, n_tokens long, ids_crc32 long")
+    # one short row a task: bounded by the number of range partitions
+    return rows.join(F.broadcast(starts), "task").select(
         "doc_id", (F.col("first") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")

@@ -146,11 +146,11 @@ def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 0.0
 
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", max_train: int = 20_000, beginnings: tuple[int, ...] =
           (4, 5, 6, 7, 8), least_toxic: int = 5, most_chance: float = 1e-4,
-          least_weight: float = 4.0, max_entries: int = 5_000) -> Lexicon:
+          least_weight: float = 4.0) -> Lexicon:
     """A lexicon and curve from about ``max_train`` labelled documents outside the held-out fold.
 
-    ``max_train`` bounds the sample and ``max_entries`` the lexicon; both are
-    parameters of the fit only.  An entry must occur in ``least_toxic`` distinct
+    ``max_train`` bounds the sample, a parameter of the fit only; with it the
+    number of entries is bounded, of which none that is significant is left out.  An entry must occur in ``least_toxic`` distinct
     toxic texts, copies of a text counting once, and have the log odds
     ``least_weight`` or occur in no other text, where the smoothing alone bounds
     them.  Its distinct texts must be so much more often toxic that chance would
@@ -196,17 +196,18 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", max_train: int
     # a text becomes thousands of entries: few texts at a time
     narrow_batches(sample.sparkSession, 100)
     found = counts.withColumn("w", weight).where(
-        telling & (F.col("w") > 0) & ((F.col("w") >= least_weight) | (F.col("f") == 0))).orderBy(
-        F.col("w").desc(), F.col("t").desc(), "entry").limit(max_entries).collect()
+        telling & (F.col("w") > 0) & ((F.col("w") >= least_weight) | (F.col("f") == 0))).collect()  # bounded by the sample
     chosen: dict[str, float] = {}
-    toxic_in: dict[str, int] = {}
+    most: dict[str, int] = {}   # beginning of chosen entries -> the most toxic rows that one of them has
     for r in sorted(found, key=lambda r: (-r["w"], len(r["entry"]), r["entry"])):
         entry, stem = r["entry"], r["entry"].strip()
         # a beginning at least as telling covers it, or it is telling only for the sake of a longer one
         covered = any(f" {stem[:k]}" in chosen for k in range(1, len(stem) + 1))
-        borrowed = any(c.startswith(f" {stem}") and toxic_in[c] >= 0.8 * r["t"] for c in chosen)
+        borrowed = most.get(f" {stem}", -1) >= 0.8 * r["t"]
         if not covered and not borrowed:
-            chosen[entry], toxic_in[entry] = r["w"], r["t"]
+            chosen[entry] = r["w"]
+            for k in range(1, len(entry) + 1):
+                most[entry[:k]] = max(most.get(entry[:k], 0), r["t"])
     for w in BASE:
         chosen.setdefault(f" {w} ", BASE_WEIGHT)
     raw = Lexicon(chosen)

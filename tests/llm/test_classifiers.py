@@ -154,3 +154,34 @@ def test_scores_do_not_depend_on_other_columns(spark):
     a = {r.doc_id: r.score for r in quality.score_texts(docs, model).collect()}
     shuffled = docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit(None).cast("string"))
     assert a == {r.doc_id: r.score for r in quality.score_texts(shuffled, model).collect()}
+
+
+@pytest.mark.parametrize("texts", [["same words"] * 39, [None] * 39, ["a b"] * 13 + ["c d e"] * 26, ["one", "two two"]])
+def test_classes_whose_texts_are_all_alike(spark, texts):
+    """Classes without any spread, of one row, and of one text: scores are numbers, and prior odds where nothing tells."""
+    rows = [(k, t) for k, t in enumerate(i for i in range(1000) if not held(i))]
+    rows = [(i, texts[k]) for k, i in rows if k < len(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ones = [texts.index(t) != 0 if len(set(texts)) > 1 else k % 3 == 0 for k, (_, t) in enumerate(rows)]
+    labels = spark.createDataFrame([(i, int(y)) for (i, _), y in zip(rows, ones)], "doc_id long, quality int")
+    model, _ = quality.train(docs, labels)
+    out = {r.doc_id: r.score for r in quality.score_texts(docs, model).collect()}
+    assert len(out) == len(rows) and all(0 <= x <= 1 for x in out.values())
+    if len(set(texts)) == 1:
+        assert all(x == pytest.approx(sum(ones) / len(ones), abs=1e-6) for x in out.values())
+    else:
+        assert all((out[i] >= 0.5) == y for (i, _), y in zip(rows, ones))
+
+
+def test_no_significant_entry_is_left_out(spark):
+    """More telling words than the lexicon once held."""
+    n = 5_600
+
+    def word(i):
+        return "z" + "".join(chr(97 + i // 18 ** k % 18) for k in (3, 2, 1, 0)) + "k"
+    rows = [(i, " ".join(word((i * 7 + j) % n) for j in range(40)) + f" text {i}", 1) for i in range(5000)]
+    rows += [(10_000 + i, f"plain text {i} of words", 0) for i in range(5000)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    lexicon = toxicity.learn(docs, labels)
+    assert all(lexicon.features(word(i))[0] > 0 for i in range(n))

@@ -327,3 +327,30 @@ def test_staged_tables_of_an_application_can_be_cleared(spark):
     clear_stages(spark)
     with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|not_found"):
         df.collect()
+
+
+def test_mixing_takes_columns_that_have_no_hash(spark):
+    df = docs(spark, [(i, "word " * 10, "ab"[i % 2]) for i in range(20)]).withColumn(
+        "m", F.create_map(F.lit("k"), F.col("doc_id"))).withColumn("n", F.array(F.create_map(F.lit(1), F.lit("x"))))
+    out = mixing.mixed_documents(df)
+    assert out.columns == df.columns and all(r.m == {"k": r.doc_id} for r in out.collect())
+    assert out.count() == sum(r.copies for r in mixing.mix(df.drop("m", "n")).collect())
+
+
+def test_token_starts_over_split_and_many_files(spark):
+    rows = [(i, "some words here " * (i % 5), "s") for i in range(40)]
+    path = new_path(spark, "tokens-split")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "3")
+    try:
+        token_orc.write_tokens(docs(spark, rows), path, P.path("word_bpe_49k.json"), 2)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    at = 0
+    for r in sorted(token_orc.digest(spark, path).collect()):
+        assert r.start == at
+        at += r.n_tokens
+    # names beyond five digits: the number counts, not the text
+    names = spark.createDataFrame([("part-99999-x-c000.orc", 99_999, 5), ("part-100000-x-c000.orc", 100_000, 7)], "file string, task long, n int")
+    assert {r.task: r.first for r in token_orc.task_starts(names).collect()} == {99_999: 0, 100_000: 5}
+    read = token_orc.read_tokens(spark, path)
+    assert read.where(F.col("file").substr(6, 5).cast("long") != F.col("task")).count() == 0
