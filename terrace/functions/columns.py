@@ -70,10 +70,10 @@ MONEY = "decimal(18,6)"
 def money(c: str | Column, dtype: str = MONEY) -> Column:
     """Cast an operand to a fixed decimal so that sums do not depend on task order.
 
-    A value beyond the type's range raises (ANSI cast); one with more decimals
-    is rounded, see :func:`rounded`.
+    A value beyond the type's range is NULL, so the caller can tell it; one with
+    more decimals is rounded, see :func:`rounded`.
     """
-    return col(c).cast(dtype)
+    return col(c).try_cast(dtype)
 
 
 def rounded(c: str | Column, dtype: str = MONEY) -> Column:

@@ -39,21 +39,25 @@ def measure_column(m: Measure, exact: bool = True, money_type: str = MONEY,
 
     ``exact`` sums fixed-point decimal operands and returns a double: a double
     sum's last digits depend on the order in which tasks combine partial sums,
-    so reruns and the oracle would disagree; the decimal sum does not.
+    so reruns and the oracle would disagree; the decimal sum does not.  A group
+    with an operand that the decimal type cannot hold (too large, infinite or
+    NaN), or whose sum it cannot, gets the plain double sum instead, as it would without ``exact``.
     """
     cols = [F.col(c) for c in m.columns]
-    if m.kind == "sum":
-        return (F.sum(money(cols[0], money_type)).cast("double") if exact else F.sum(cols[0])).alias(m.name)
-    if m.kind == "sum_product":
-        if exact:
-            prod = money(cols[0], money_type)
-            for c in cols[1:]:
-                prod = prod * money(c, money_type)
-            return F.sum(prod).cast("double").alias(m.name)
-        prod = cols[0]
+    if m.kind in ("sum", "sum_product"):
+        plain = cols[0]
         for c in cols[1:]:
-            prod = prod * c
-        return F.sum(prod).alias(m.name)
+            plain = plain * c
+        if not exact:
+            return F.sum(plain).alias(m.name)
+        fixed = money(cols[0], money_type)
+        for c in cols[1:]:
+            fixed = fixed * money(c, money_type)
+        too_large = F.lit(False)
+        for c in cols:
+            too_large = too_large | (c.isNotNull() & money(c, money_type).isNull())
+        return F.coalesce(F.when(~F.max(too_large), F.try_sum(fixed).cast("double")),
+                          F.sum(plain.cast("double"))).alias(m.name)
     if m.kind == "count_distinct":
         return F.count_distinct(*cols).alias(m.name)
     if m.kind == "approx_count_distinct":

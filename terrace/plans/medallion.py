@@ -79,6 +79,9 @@ from terrace.operators.temporal import point_in_time_join
 from terrace.session import remove_path
 from terrace.sources.files import MissingTableError, read_source, read_table, require_table, table_exists
 
+MALFORMED = "_malformed_line"
+MALFORMED_LAYOUT = ("_file",)
+LOG_DATE = "executed_date"
 AUDIT_FIELDS = [
     T.StructField("_tenant_id", T.StringType()),
     T.StructField("_ingestion_timestamp", T.TimestampType()),
@@ -112,6 +115,10 @@ class Layout:
     def gold(self) -> str:
         return f"{self.root}/gold/daily_metrics_by_delivery_type"
 
+    def malformed(self, entity: str) -> str:
+        """Raw lines of an entity's files that have the wrong number of values."""
+        return f"{self.root}/bronze_malformed/{entity}"
+
     @property
     def ledger(self) -> str:
         """The slices that runs with ``retract`` processed."""
@@ -142,9 +149,10 @@ class RunConfig:
     fail_on_critical: bool | tuple[str, ...] = False    # the breaker: on for all tenants, or for these
     fail_fast: bool = False
     on_violation: str = "skip"
+    malformed: str = "keep"                     # lines with the wrong number of values: "keep" or "quarantine"
     partition_by: tuple[str, ...] = ("_tenant_id", "fecha_proceso")
     derived: tuple[tuple[str, str], ...] = ()
-    log_partition_by: tuple[str, ...] = ()      # e.g. ("tenant_id",): one log folder per tenant
+    log_partition_by: tuple[str, ...] = ()      # e.g. ("tenant_id", LOG_DATE): log folders per tenant and day
     deliveries: EntitySpec = DELIVERIES
     materials: EntitySpec = MATERIALS
     money_type: str = MONEY                     # operands of gold's sums
@@ -258,21 +266,30 @@ def bronze_frame(spark: SparkSession, source: DataFrame | str | list[str], spec:
                  tenants: Iterable[str] | None = None, start: str | None = None,
                  end: str | None = None, batch_id: str | None = None,
                  on_violation: str = "raise", lineage: bool = True,
-                 observed: list[Observation] | None = None) -> DataFrame | None:
+                 observed: list[Observation] | None = None, malformed: str = "keep") -> DataFrame | None:
     """The bronze frame of one entity (lazy).  None when the contract check skips it.
 
     The contract is checked on the columns that the source really has (for
     CSV, its header).  CSV values are read as text and converted here, so that
     an observation (added to ``observed``) can count what does not convert.
+    Lines with more or fewer values than the header are counted too;
+    ``malformed="quarantine"`` leaves them out, ``"keep"`` takes what they have.
     """
     spec = entity_spec(spec)
+    if malformed not in ("keep", "quarantine"):
+        raise ValueError("malformed must be 'keep' or 'quarantine'")
     if isinstance(source, DataFrame):
         raw = source
     else:
         schema = spec.schema
         if spec.fmt == "csv" and schema is not None:
             schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-        raw = read_source(spark, source, spec.fmt, schema, **spec.options)
+        raw = read_source(spark, source, spec.fmt, schema, corrupt=MALFORMED, **spec.options)
+    if MALFORMED in raw.columns:
+        if observed is not None:
+            observed.append(Observation(f"{spec.name}-lines"))
+            raw = raw.observe(observed[-1], F.count_if(F.col(MALFORMED).isNotNull()).alias(MALFORMED))
+        raw = (raw.filter(F.col(MALFORMED).isNull()) if malformed == "quarantine" else raw).drop(MALFORMED)
     if enforce_contract(raw, spec.required_columns, spec.name, on_violation) is None:
         return None
     if lineage:
@@ -282,13 +299,19 @@ def bronze_frame(spark: SparkSession, source: DataFrame | str | list[str], spec:
 
 def ingest(spark: SparkSession, source, spec: EntitySpec | str, layout: Layout,
            tenants: Iterable[str] | None = None, start: str | None = None, end: str | None = None,
-           batch_id: str | None = None, on_violation: str = "raise") -> StageResult:
+           batch_id: str | None = None, on_violation: str = "raise", malformed: str = "keep") -> StageResult:
     """Land one entity in bronze.  Transactional entities replace the (tenant,
-    date) slices of the batch, whatever the layout; catalogs are a full load."""
+    date) slices of the batch, whatever the layout; catalogs are a full load.
+
+    The result's reason counts malformed lines and values that do not convert.
+    With ``malformed="quarantine"`` the raw lines go to ``layout.malformed``, where a file's
+    lines replace those of its last load.
+    """
     spec = entity_spec(spec)
     stage = f"bronze_{spec.name}"
     parsed: list[Observation] = []
-    df = bronze_frame(spark, source, spec, tenants, start, end, batch_id, on_violation, observed=parsed)
+    df = bronze_frame(spark, source, spec, tenants, start, end, batch_id, on_violation, observed=parsed,
+                      malformed=malformed)
     if df is None:
         raw = source if isinstance(source, DataFrame) else read_source(spark, source, spec.fmt, spec.schema, **spec.options)
         missing = [c for c in spec.required_columns if c.lower() not in {x.lower() for x in raw.columns}]
@@ -303,8 +326,32 @@ def ingest(spark: SparkSession, source, spec: EntitySpec | str, layout: Layout,
     if not spec.tenant_column:
         rows = {GLOBAL_TENANT: rows["*"]}
     bad = {c: n for o in parsed for c, n in o.get.items() if n}
-    reason = f"unparsable values: {', '.join(f'{c} {n}' for c, n in sorted(bad.items()))}" if bad else None
-    return StageResult(stage, "ok", rows, reason)
+    reasons = []
+    if n := bad.pop(MALFORMED, 0):
+        lines, stage_dir = materialize(spark, malformed_lines(spark, source, spec, batch_id), "malformed")
+        try:
+            if malformed == "quarantine":
+                replace_partitions(lines, layout.malformed(spec.name), MALFORMED_LAYOUT)
+            files = lines.select("_source_file").distinct().count()
+        finally:
+            remove_path(spark, stage_dir)
+        reasons.append(f"malformed lines: {n} in {files} files")
+    if bad:
+        reasons.append(f"unparsable values: {', '.join(f'{c} {n}' for c, n in sorted(bad.items()))}")
+    return StageResult(stage, "ok", rows, "; ".join(reasons) or None)
+
+
+def malformed_lines(spark: SparkSession, source: str | list[str], spec: EntitySpec, batch_id: str | None = None) -> DataFrame:
+    """The lines of CSV files that have more or fewer values than the header, with their first value and their file.
+
+    Spark reads a file's raw lines only beside some parsed column, which is what the first value is for.
+    """
+    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in spec.schema.fields])
+    raw = read_source(spark, source, spec.fmt, schema, corrupt=MALFORMED, **spec.options)
+    file = F.col("_metadata.file_path")
+    return raw.filter(F.col(MALFORMED).isNotNull()).select(
+        F.col(MALFORMED).alias("line"), F.col(raw.columns[0]).alias("first_value"), file.alias("_source_file"), F.lit(batch_id).cast("string").alias("_batch_id"),
+        F.current_timestamp().alias("_ingestion_timestamp"), F.hex(F.xxhash64(file)).alias(MALFORMED_LAYOUT[0]))
 
 
 def bronze_schema(spec: EntitySpec, derived_types: Mapping[str, T.DataType] | None = None) -> T.StructType:
@@ -395,7 +442,6 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
             spark, rule_summary(staged, rules, discard_rules=cfg.discard_rules, unknown=cfg.unknown),
             "silver-summary")
         stages.append(summary_dir)
-        append(log_from_summary(summary, rules, run_id), layout.quality_log, cfg.log_partition_by)
         counts = {r["tenant"]: {k: int(v or 0) for k, v in r.asDict().items() if k != "tenant"}
                   for r in counts_from_summary(summary).join(
                       summary.select("tenant", "critical_failed"), "tenant").collect()}
@@ -430,6 +476,11 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
                             stage_source=False, processed=processed)]
             for w in writes:
                 w.result()
+        # last, so that a stage that breaks on its way has logged nothing and its retry logs once
+        log = log_from_summary(summary, rules, run_id)
+        if LOG_DATE in cfg.log_partition_by:
+            log = log.withColumn(LOG_DATE, F.to_date("executed_at"))
+        append(log, layout.quality_log, cfg.log_partition_by)
     finally:
         for p in stages:
             remove_path(spark, p)
@@ -564,13 +615,13 @@ def run(spark: SparkSession, deliveries_source, materials_source, layout: Layout
 
     guarded(f"bronze_{cfg.materials.name}",
             lambda c: ingest(spark, materials_source, c.materials, layout, batch_id=batch_id,
-                             on_violation=c.on_violation), ["global"])
+                             on_violation=c.on_violation, malformed=c.malformed), ["global"])
     guarded("silver_dim_materials", lambda c: build_dimension(spark, layout, c.materials), ["global"])
 
     spec = dataclasses.replace(cfg.deliveries, partition_by=cfg.partition_by, derived=cfg.derived)
     bronze = guarded(f"bronze_{spec.name}",
                      lambda c: ingest(spark, deliveries_source, spec, layout, c.tenants, c.start, c.end,
-                                      batch_id=batch_id, on_violation=c.on_violation), everyone)
+                                      batch_id=batch_id, on_violation=c.on_violation, malformed=c.malformed), everyone)
     parts = (("silver_quarantine", "quarantined"), ("silver_discarded", "discarded"), ("silver_lost", "lost"))
     later = ("silver_fact_deliveries", *(stage for stage, _ in parts), "gold_daily_metrics")
     landed = [t for t in everyone if bronze.status == "ok" and t not in bronze.failed]

@@ -607,6 +607,37 @@ SELECT tenant_id, b._batch_id, check_name, CAST(1 AS BIGINT) AS runs, CAST(1 AS
        records_checked, records_failed
 FROM log, (VALUES ('batch-1'), ('batch-2')) b(_batch_id)""",
 
+    "malformed_lines_status": with_(DELIVERIES_V, BRONZE_V) + """,
+bad AS (SELECT COUNT(*) AS n FROM bronze_v WHERE transporte % 97 = 0 OR transporte % 89 = 0),
+why AS (SELECT 'malformed lines: ' || n || ' in 6 files' AS reason FROM bad)
+SELECT _tenant_id, COUNT(*) AS rows, COUNT(unidad) FILTER (WHERE transporte % 97 <> 0) AS with_unit, 'keep' AS mode,
+       (SELECT reason FROM why) AS reason
+FROM bronze_v GROUP BY 1
+UNION ALL
+SELECT _tenant_id, COUNT(*), COUNT(unidad), 'quarantine', (SELECT reason FROM why)
+FROM bronze_v WHERE transporte % 97 <> 0 AND transporte % 89 <> 0 GROUP BY 1""",
+
+    "malformed_lines_state": with_(DELIVERIES_V) + """
+SELECT CAST(CASE WHEN transporte % 97 = 0 THEN 8 ELSE 10 END AS INTEGER) AS n_values, pais, fecha_proceso, transporte, ruta
+FROM deliveries_v WHERE transporte % 97 = 0 OR transporte % 89 = 0""",
+
+    "gold_extreme_metrics": with_(DELIVERIES_V, """
+bronze_v AS (
+  SELECT * REPLACE (CASE WHEN fecha_proceso % 10 = 3 THEN CAST(1e12 AS DOUBLE)
+                         WHEN fecha_proceso % 10 = 4 AND material % 2 = 0 THEN CAST('NaN' AS DOUBLE)
+                         ELSE cantidad END AS cantidad,
+                    CASE WHEN fecha_proceso % 10 = 3 THEN floor(precio) ELSE precio END AS precio),
+         lower(pais) AS _tenant_id FROM deliveries_v)""", MATERIALS_V, NORMALIZED_V, JOINED_V, EVALUATED_V) + f"""
+SELECT _tenant_id, fecha_proceso, tipo_entrega,
+       CASE WHEN bool_or(abs(cantidad_normalizada_st) >= 1e12 OR isnan(cantidad_normalizada_st)) THEN SUM(cantidad_normalizada_st)
+            ELSE CAST(SUM(TRY_CAST(cantidad_normalizada_st AS DECIMAL(18,6))) AS DOUBLE) END AS total_units,
+       CASE WHEN bool_or(abs(cantidad_normalizada_st) >= 1e12 OR isnan(cantidad_normalizada_st))
+            THEN SUM(cantidad_normalizada_st * precio)
+            ELSE CAST(SUM(CAST(TRY_CAST(cantidad_normalizada_st AS DECIMAL(18,6)) AS DECIMAL(36,6))
+                          * CAST(precio AS DECIMAL(18,6))) AS DOUBLE) END AS total_revenue,
+       COUNT(DISTINCT ruta) AS active_routes, COUNT(DISTINCT transporte) AS active_transports
+FROM evaluated_v WHERE {COND} GROUP BY 1, 2, 3""",
+
     "scd2_history_state": """
 WITH days AS (SELECT * FROM (VALUES (1, DATE '1995-01-01', DATE '1995-12-31'), (2, DATE '1996-01-01', DATE '1996-12-31'),
                                     (3, DATE '1997-01-01', DATE '9999-12-31')) t(i, d, until)),

@@ -42,6 +42,7 @@ from terrace.operators.sinks import (
     append, overwrite, recover, replace_partitions, replace_prefix, stage_commit, table_schema, upsert)
 from terrace.operators.temporal import point_in_time_join
 from terrace.plans.medallion import (
+    LOG_DATE,
     Layout,
     RunConfig,
     bronze_frame,
@@ -308,6 +309,17 @@ def gold_fractional_metrics(spark, sf):
     return gold_frame(fine)
 
 
+def gold_extreme_metrics(spark, sf):
+    """Quantities beyond the decimal operands (days ending in 3) and NaN (in 4): those groups get double sums."""
+    last = F.col("fecha_proceso") % 10
+    extreme = bronze(spark, sf).withColumn("cantidad", F.when(last == 3, F.lit(1e12)).when(
+        (last == 4) & (F.col("material") % 2 == 0), F.lit(float("nan"))).otherwise(F.col("cantidad"))).withColumn(
+        "precio", F.when(last == 3, F.floor("precio").cast("double")).otherwise(F.col("precio")))
+    df, cond = silver_evaluate(extreme, dimension(spark, sf))
+    good, _ = split_by_quality(df, cond)
+    return gold_frame(silver_rows(good, timestamp=False), ())
+
+
 def gold_approx_distinct_error(spark, sf):
     """HyperLogLog distinct counts of whole tenants: are they within 15 % of the exact ones?"""
     df, cond = evaluated(spark, sf)
@@ -457,6 +469,44 @@ def bronze_csv_ingest(spark, sf):
     return read_table(spark, layout.bronze("deliveries"), schema=BRONZE_SCHEMA)
 
 
+def _ragged_files(spark, sf) -> str:
+    """CSV files with lines that lack their last value (transporte % 97 = 0) or have one too many (% 89 = 0)."""
+    raw = deliveries(spark, sf)
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in raw.columns]
+    line = (F.when(F.col("transporte") % 97 == 0, F.concat_ws(",", *values[:-1]))
+            .when(F.col("transporte") % 89 == 0, F.concat_ws(",", *values, F.lit("surplus")))
+            .otherwise(F.concat_ws(",", *values)))
+    path = scratch_path(spark, "ragged")
+    # one column that holds the whole line, header included, with a separator that no value has
+    raw.select(line.alias(",".join(raw.columns))).repartition(6).write.option("header", "true").option("sep", "\x01").csv(path)
+    return path
+
+
+def malformed_lines_status(spark, sf):
+    """Lines with the wrong number of values are counted, kept or left out."""
+    raw, out = _ragged_files(spark, sf), None
+    for mode in ("keep", "quarantine"):
+        layout = Layout(scratch_path(spark, "lake"))
+        res = ingest(spark, raw, MONTHLY, layout, malformed=mode)
+        table = read_table(spark, layout.bronze("deliveries"), schema=BRONZE_SCHEMA).groupBy("_tenant_id").agg(
+            F.count(F.lit(1)).alias("rows"), F.count("unidad").alias("with_unit"))
+        table = table.select("*", F.lit(mode).alias("mode"), F.lit(res.reason).alias("reason"))
+        out = table if out is None else out.unionByName(table)
+    return out
+
+
+def malformed_lines_state(spark, sf):
+    """The quarantined raw lines; loading the same files again replaces them."""
+    raw, layout = _ragged_files(spark, sf), Layout(scratch_path(spark, "lake"))
+    for _ in range(2):
+        ingest(spark, raw, MONTHLY, layout, malformed="quarantine")
+    path = layout.malformed("deliveries")
+    values = F.split("line", ",", -1)
+    return read_table(spark, path, schema=table_schema(spark, path)).select(
+        F.size(values).alias("n_values"), values[0].alias("pais"), values[1].cast("int").alias("fecha_proceso"),
+        values[2].cast("long").alias("transporte"), values[3].cast("long").alias("ruta"))
+
+
 def csv_reordered_columns(spark, sf):
     """Columns are taken by their names in the header, whatever their order and case."""
     layout = Layout(scratch_path(spark, "lake"))
@@ -685,11 +735,11 @@ def layer_stamps(spark, sf):
 
 
 def quality_log_runs(spark, sf):
-    """The shared log, laid out per tenant, after two runs with a batch id each."""
+    """The shared log, laid out per tenant and day, after two runs with a batch id each."""
     layout = Layout(scratch_path(spark, "lake"))
     for batch in ("batch-1", "batch-2"):
         run(spark, deliveries(spark, sf), fixtures.materials_raw(spark, sf), layout,
-            _run_config(log_partition_by=("tenant_id",)), batch_id=batch)
+            _run_config(log_partition_by=("tenant_id", LOG_DATE)), batch_id=batch)
     log = read_table(spark, layout.quality_log, schema=table_schema(spark, layout.quality_log))
     return log.groupBy("tenant_id", "_batch_id", "check_name").agg(
         F.count_distinct("_run_id").alias("runs"), F.count("executed_at").alias("with_time"),
@@ -754,6 +804,9 @@ QUERIES: dict[str, QueryFn] = {
     "quarantine_actions": quarantine_actions,
     "layer_stamps": layer_stamps,
     "quality_log_runs": quality_log_runs,
+    "malformed_lines_status": malformed_lines_status,
+    "malformed_lines_state": malformed_lines_state,
+    "gold_extreme_metrics": gold_extreme_metrics,
     "scd2_history_state": scd2_history_state,
     "retracted_silver_state": retracted_silver_state,
     "retracted_quarantine_state": retracted_quarantine_state,

@@ -26,7 +26,7 @@ def header_schema(columns: list[str], declared: T.StructType) -> T.StructType:
 
 def read_source(spark: SparkSession, path: str | list[str], fmt: str = "csv",
                 schema: T.StructType | None = None, infer: bool = False,
-                **options) -> DataFrame:
+                corrupt: str | None = None, **options) -> DataFrame:
     """Scan raw files.
 
     CSV columns are taken by the names in the header: a declared ``schema``
@@ -35,13 +35,22 @@ def read_source(spark: SparkSession, path: str | list[str], fmt: str = "csv",
     must have the header of the first one, else the scan raises.  ``infer``
     reproduces ``header=True, inferSchema=True`` reading, at the price of a
     pass over the data.  Self-describing formats keep their own columns.
+
+    ``corrupt`` names a further column for CSV with a declared schema: the raw
+    line where it has more or fewer values than the header, else NULL.  (Without
+    it surplus values are cut and missing ones are NULL, and nobody is told.)
     """
     reader = spark.read.format(fmt).options(**options)
     if fmt == "csv":
         reader = reader.option("header", "true")
         if schema is not None:
-            reader = reader.option("enforceSchema", "false").schema(
-                header_schema(csv_columns(spark, path, **options), schema))
+            found = header_schema(csv_columns(spark, path, **options), schema)
+            if corrupt:
+                found = T.StructType([*found.fields, T.StructField(corrupt, T.StringType())])
+                # a pruned scan would count only the values that it takes
+                reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt).option(
+                    "columnPruning", "false")
+            reader = reader.option("enforceSchema", "false").schema(found)
         elif infer:
             reader = reader.option("inferSchema", "true")
     elif schema is not None and fmt not in ("parquet", "orc"):

@@ -319,3 +319,74 @@ def test_command_line_run_over_raw_csv(spark):
     silver = read_table(spark, m.Layout(root).fact)
     assert silver.filter(F.col("fecha_proceso") < 19960101).count() == 0
     assert sorted(r[0] for r in silver.select("_tenant_id").distinct().collect()) == ["asia", "europe"]
+
+
+def test_a_stage_that_breaks_once_logs_once(spark, monkeypatch):
+    """The silver upsert breaks at its first try and the retry runs tenant by tenant: one log of each tenant."""
+    layout = m.Layout(scratch_path(spark, "lake"))
+    cfg = reg._run_config(log_partition_by=("tenant_id", m.LOG_DATE))
+    cfg = dataclasses.replace(cfg, tenants=("asia", "europe"))
+    upsert, calls = m.upsert, []
+
+    def flaky(spark, df, path, *args, **kw):
+        if path == layout.fact:
+            calls.append(path)
+            if len(calls) == 1:
+                raise OSError("lost once")
+        return upsert(spark, df, path, *args, **kw)
+
+    monkeypatch.setattr(m, "upsert", flaky)
+    status = m.run(spark, fixtures.deliveries(spark, SF_SMALL), fixtures.materials_raw(spark, SF_SMALL), layout, cfg).collect()
+    assert {r["status"] for r in status if r["stage"] == "silver_fact_deliveries"} == {"ok"} and len(calls) == 3
+    log = read_table(spark, layout.quality_log).groupBy("tenant_id").agg(
+        F.count_distinct("_run_id").alias("runs"), F.count("*").alias("n"), F.count_distinct("executed_date").alias("days"))
+    assert {(r["tenant_id"], r["runs"], r["n"], r["days"]) for r in log.collect()} == {("asia", 1, 5, 1), ("europe", 1, 5, 1)}
+
+
+def test_malformed_lines_are_counted_kept_or_left_out(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b,c\n1,2,3\n4,5\n6,7,8,9\n,,\n")
+    (tmp_path / "b.csv").write_text("a,b,c\n7,8,9\n")
+    spec = dataclasses.replace(DELIVERIES, name="lines", required_columns=("a",), tenant_column=None, date_column=None, partition_by=(),
+                               schema=m.T.StructType([m.T.StructField(c, m.T.LongType()) for c in "abc"]))
+    for mode, rows in (("keep", {(1, 2, 3), (4, 5, None), (6, 7, 8), (None, None, None), (7, 8, 9)}),
+                       ("quarantine", {(1, 2, 3), (None, None, None), (7, 8, 9)})):
+        layout = m.Layout(scratch_path(spark, "lake"))
+        res = m.ingest(spark, str(tmp_path), spec, layout, malformed=mode)
+        assert res.reason == "malformed lines: 2 in 1 files"
+        assert {(r.a, r.b, r.c) for r in read_table(spark, layout.bronze("lines")).collect()} == rows
+        assert table_exists(spark, layout.malformed("lines")) == (mode == "quarantine")
+    assert {r.line for r in read_table(spark, layout.malformed("lines")).collect()} == {"4,5", "6,7,8,9"}
+    with pytest.raises(ValueError):
+        m.ingest(spark, str(tmp_path), spec, layout, malformed="other")
+
+
+def test_gold_of_extreme_operands(spark):
+    """An operand beyond the decimals, an infinite one and NaN give double sums for their groups only."""
+    rows = [("x", 1, "A", 1e12, 2.0, 1, 1), ("x", 1, "A", 1.0, 2.0, 2, 2), ("x", 2, "A", float("nan"), 1.0, 1, 1),
+            ("x", 2, "A", 1.0, 1.0, 1, 1), ("x", 3, "A", float("inf"), 1.0, 1, 1), ("x", 4, "A", 0.1, 0.2, 1, 1),
+            ("x", 4, "A", 0.2, None, 1, 1), ("x", 5, "A", None, None, 1, 1)]
+    df = spark.createDataFrame(rows, "_tenant_id string, fecha_proceso int, tipo_entrega string, cantidad_normalizada_st double, "
+                                     "precio double, ruta int, transporte int")
+    got = {r["fecha_proceso"]: (r["total_units"], r["total_revenue"]) for r in m.gold_frame(df, ()).collect()}
+    assert got[1] == (1e12 + 1, 2e12 + 2) and got[3] == (float("inf"), float("inf"))
+    assert all(x != x for x in got[2]) and got[4] == (0.3, 0.02) and got[5] == (None, None)
+
+
+def test_retraction_reaches_every_layer(spark):
+    """A month whose rows all turn bad leaves silver and gold; when they are mended, quarantine is cleared."""
+    layout = m.Layout(scratch_path(spark, "lake"))
+    raw, catalog = fixtures.deliveries(spark, SF_SMALL).filter("pais = 'ASIA'"), fixtures.materials_raw(spark, SF_SMALL)
+    cfg = dataclasses.replace(reg._run_config(retract=True), tenants=("asia",))
+    month = F.expr(reg.MONTH[1]) == 199602
+
+    def rows(path):
+        return read_table(spark, path).filter("mes = 199602").count()
+    bad = raw.withColumn("cantidad", F.when(month, F.lit(-1.0)).otherwise(F.col("cantidad")))
+    good = raw.withColumn("cantidad", F.when(month, F.lit(5.0)).otherwise(F.col("cantidad"))).withColumn(
+        "precio", F.abs("precio")).filter("material % 50 <> 0")
+    seen = []
+    for df in (good, bad, good):
+        m.run(spark, df, catalog, layout, cfg)
+        seen.append([rows(layout.fact), rows(layout.quarantine), rows(layout.gold)])
+    assert seen[0] == seen[2] and seen[0][0] and not seen[0][1] and seen[0][2]
+    assert seen[1][0] == 0 and seen[1][1] and seen[1][2] == 0
