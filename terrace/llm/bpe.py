@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from terrace.llm.common import add_columns, is_plain
 
 LEAF = 6
+DECODED_LEAF = 64
 SCANNED = 32
 KEPT = 100_000
 # Plain texts split alike in ``re`` with plain classes and, much slower, by Unicode property.
@@ -169,8 +170,13 @@ class TreeBPE:
         return out
 
     def decode(self, ids: list[int]) -> bytes:
-        """The ids' bytes in one flat join, no tree: the same bytes as pairwise sums, without their copies."""
-        return b"".join([self.tokens[i] for i in ids])
+        """The ids' bytes, concatenated up the tree: leaves of some ids, then neighbours pair by pair."""
+        tokens = self.tokens
+        level = [b"".join([tokens[i] for i in ids[k:k + DECODED_LEAF]]) for k in range(0, len(ids), DECODED_LEAF)]
+        while len(level) > 1:
+            odd = level[-1:] if len(level) % 2 else []
+            level = [a + b for a, b in zip(level[::2], level[1::2])] + odd
+        return level[0] if level else b""
 
 
 _codecs: dict[str, TreeBPE] = {}

@@ -91,7 +91,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats: int
     same = firsts["source"].eqNullSafe(goals["source"])
     firsts = firsts.join(goals, same).select(
         firsts["source"].alias("s"), F.col("slice").alias("k"), "first", "rank", "source_size", "target")
-    joined = rows.join(firsts, rows["source"].eqNullSafe(firsts["s"]) & (rows["slice"] == firsts["k"]))
+    # the rows are the larger side, but each has to meet its slice: merged, not broadcast
+    joined = rows.join(firsts.hint("merge"), rows["source"].eqNullSafe(firsts["s"]) & (rows["slice"] == firsts["k"]))
     in_slice = Window.partitionBy("rank", "slice").orderBy("key", "doc_id", "size", "mark1").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     queued = stage(joined.select("doc_id", "source", "size", "source_size", "target", "rank", "mark1", "mark2",

@@ -132,7 +132,8 @@ def training_rows(docs_with_id: DataFrame, labels: DataFrame, label: str) -> Dat
     """Rows of documents outside the held-out fold with their label; a label repeated for a document counts once."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).select(
         "doc_id", F.col(label).cast("int").alias("__llm_label")).distinct()
-    return docs_with_id.where(~held_out()).join(known, "doc_id")
+    # both sides grow with the corpus: merged, not broadcast
+    return docs_with_id.where(~held_out()).join(known.hint("merge"), "doc_id")
 
 
 def score(rows: DataFrame, model: Discriminant, vector: str = "__llm_stats", out: str = "score") -> DataFrame:
