@@ -36,7 +36,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    judged = url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES, min_hosts=2)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
