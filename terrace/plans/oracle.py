@@ -187,6 +187,18 @@ GOOD_MONTHLY = SILVER.rstrip("\n") + f""",
 good_m AS (SELECT {SILVER_COLS}, {MONTH} AS mes FROM evaluated_v WHERE {COND})
 """
 
+REFRESHED = GOOD_MONTHLY + """,
+facts AS (
+  SELECT * REPLACE (CASE WHEN fecha_proceso IN (19930615, 19980302) THEN cantidad_normalizada_st + 0.25
+                         ELSE cantidad_normalizada_st END AS cantidad_normalizada_st)
+  FROM good_m WHERE fecha_proceso NOT IN (19950310, 19970704))
+"""
+
+REFRESHED_AGGS = """
+       CAST(ROUND(SUM(CAST(cantidad_normalizada_st AS DECIMAL(18,6))), 2) AS DOUBLE) AS total_units,
+       CAST(ROUND(SUM(CAST(cantidad_normalizada_st AS DECIMAL(36,6)) * CAST(precio AS DECIMAL(18,6))), 2) AS DOUBLE) AS total_revenue,
+       COUNT(*) AS deliveries"""
+
 RUN_TENANTS = ("africa", "america", "asia", "europe", "middle east", "ec")
 
 
@@ -667,5 +679,15 @@ SELECT {KEYS}, mes, CASE WHEN mes IN (199701, 199806) THEN precio + 1 ELSE preci
 
     "sparse_upsert_state": GOOD_MONTHLY + f"""
 SELECT {KEYS}, mes, precio, CASE WHEN mes IN (199202, 199809) THEN cantidad * 2 ELSE cantidad END AS cantidad FROM good_m""",
+
+    "gold_incremental_state": REFRESHED + f"""
+SELECT _tenant_id, fecha_proceso, tipo_entrega, mes,{REFRESHED_AGGS}
+FROM facts GROUP BY 1, 2, 3, 4""",
+
+    "gold_rollup_partials": REFRESHED + f"""
+SELECT _tenant_id, mes,{REFRESHED_AGGS},
+       COUNT(DISTINCT ruta) AS active_routes, COUNT(DISTINCT transporte) AS active_transports,
+       true AS routes_within, true AS transports_within
+FROM facts GROUP BY 1, 2""",
 }
 ORACLE["point_in_time_join_points"] = ORACLE["point_in_time_join_latest"]

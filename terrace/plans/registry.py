@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from terrace.config import DEFAULT_RULES, DIMENSION_KEYS, FACT_KEYS, MONTH_KEY
 from terrace.operators.contract import isolate_tenants, stamp_global
 from terrace.operators.history import record_snapshot
-from terrace.operators.metrics import daily_metrics, dedup
+from terrace.operators.metrics import DAILY_KEYS, DAILY_MEASURES, Measure, daily_metrics, dedup
 from terrace.operators.normalize import (
     DELIVERY_FLAGS,
     class_flags,
@@ -29,6 +29,7 @@ from terrace.operators.normalize import (
     normalize_units,
     parse_process_date,
 )
+from terrace.operators.partials import finish_metrics, merge_partials, refresh_partials
 from terrace.operators.quality import (
     action_frame,
     outcome_counts,
@@ -333,6 +334,44 @@ def gold_approx_distinct_error(spark, sf):
         (F.abs(F.col("t") / F.col("active_transports") - 1) <= 0.15).alias("transports_within"))
 
 
+PARTIAL_MEASURES = (*DAILY_MEASURES, Measure("deliveries", "count"))
+MENDED_DAYS, EMPTIED_DAYS = (19930615, 19980302), (19950310, 19970704)
+
+
+def _refreshed_partials(spark, sf, name):
+    """Partials of all days, then of two mended days five years apart and two emptied ones; and the facts they stand for."""
+    path, good = scratch_path(spark, name), _good_monthly(spark, sf)
+    refresh_partials(spark, good, path, MONTH_LAYOUT, measures=PARTIAL_MEASURES)
+    mended = good.filter(F.col("fecha_proceso").isin(*MENDED_DAYS)).withColumn(
+        "cantidad_normalizada_st", F.col("cantidad_normalizada_st") + 0.25)
+    emptied = good.filter(F.col("fecha_proceso").isin(*EMPTIED_DAYS)).select("_tenant_id", "fecha_proceso", "mes").distinct()
+    refresh_partials(spark, mended, path, MONTH_LAYOUT, measures=PARTIAL_MEASURES, processed=emptied)
+    facts = good.filter(~F.col("fecha_proceso").isin(*MENDED_DAYS, *EMPTIED_DAYS)).unionByName(mended)
+    return read_table(spark, path, schema=table_schema(spark, path)), facts
+
+
+def gold_incremental_state(spark, sf):
+    """Gold from stored partials after single days were refreshed; sums to cents, without the estimates."""
+    partials, _ = _refreshed_partials(spark, sf, "gold-partials")
+    return finish_metrics(partials, PARTIAL_MEASURES).select(
+        *DAILY_KEYS, "mes", F.round("total_units", 2).alias("total_units"), F.round("total_revenue", 2).alias("total_revenue"),
+        "deliveries")
+
+
+def gold_rollup_partials(spark, sf):
+    """Monthly metrics merged from daily partials: exact sums, and distinct counts within 10 % of the exact ones."""
+    partials, facts = _refreshed_partials(spark, sf, "rollup-partials")
+    keys = ["_tenant_id", "mes"]
+    near = finish_metrics(merge_partials(partials, keys, PARTIAL_MEASURES), PARTIAL_MEASURES).withColumnsRenamed(
+        {"active_routes": "r", "active_transports": "t"})
+    exact = daily_metrics(facts, keys).select(*keys, "active_routes", "active_transports")
+    return near.join(exact, keys).select(
+        *keys, F.round("total_units", 2).alias("total_units"), F.round("total_revenue", 2).alias("total_revenue"), "deliveries",
+        "active_routes", "active_transports",
+        (F.abs(F.col("r") / F.col("active_routes") - 1) <= 0.1).alias("routes_within"),
+        (F.abs(F.col("t") / F.col("active_transports") - 1) <= 0.1).alias("transports_within"))
+
+
 # ---------------------------------------------------------------- sinks
 def replace_partitions_state(spark, sf):
     path = scratch_path(spark, "replace-partitions")
@@ -813,4 +852,6 @@ QUERIES: dict[str, QueryFn] = {
     "retracted_gold_state": retracted_gold_state,
     "recovered_upsert_state": recovered_upsert_state,
     "sparse_upsert_state": sparse_upsert_state,
+    "gold_incremental_state": gold_incremental_state,
+    "gold_rollup_partials": gold_rollup_partials,
 }
