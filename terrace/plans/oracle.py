@@ -690,4 +690,7 @@ SELECT _tenant_id, mes,{REFRESHED_AGGS},
        true AS routes_within, true AS transports_within
 FROM facts GROUP BY 1, 2""",
 }
+ORACLE["stream_silver_state"] = GOOD_MONTHLY + "SELECT * FROM good_m"
+ORACLE["stream_quarantine_state"] = ORACLE["quarantine_state"]
+ORACLE["stream_quality_log_totals"] = ORACLE["quality_log"]
 ORACLE["point_in_time_join_points"] = ORACLE["point_in_time_join_latest"]

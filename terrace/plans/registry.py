@@ -60,6 +60,7 @@ from terrace.sources import fixtures
 from terrace.sources.files import read_table
 from terrace.sources.fixtures import FIXTURE_DELIVERIES, FIXTURE_MATERIALS
 from terrace.streaming.ingest import stream_ingest
+from terrace.streaming.silver import stream_quality_log, stream_silver
 
 # Fixed values of the query scenarios.
 FIXTURE_TENANTS = ("africa", "america", "asia", "europe", "middle east")
@@ -620,6 +621,48 @@ def stream_ingest_state(spark, sf):
     return read_table(spark, sink, schema=BRONZE_SCHEMA)
 
 
+def forget_last_commit(spark, checkpoint: str) -> None:
+    """Remove a stream's last commit mark, as if it had failed right before: the next start replays that micro-batch."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    marks = [f.getPath() for f in fs.listStatus(fs_path) if f.getPath().getName().isdigit()]
+    fs.delete(max(marks, key=lambda p: int(p.getName())), False)
+
+
+def _streamed(spark, sf) -> Layout:
+    """Stream the files to silver in two micro-batches, deliver half of the rows again in other files, replay that batch."""
+    raw, layout = deliveries(spark, sf), Layout(scratch_path(spark, "lake"))
+    overwrite(dimension(spark, sf), layout.dimension)
+    landing, ckpt = _write_raw(raw, "parquet"), scratch_path(spark, "stream-ckpt")
+    cfg = dataclasses.replace(_run_config(), tenants=FIXTURE_TENANTS, partition_by=MONTH_LAYOUT[:1], deliveries=dataclasses.replace(FIXTURE_DELIVERIES, fmt="parquet"))
+    stream_silver(spark, landing, layout, ckpt, cfg, max_files_per_trigger=3)
+    raw.filter(F.col("ruta") % 2 == 0).repartition(2).write.mode("append").parquet(landing)
+    stream_silver(spark, landing, layout, ckpt, cfg)
+    forget_last_commit(spark, ckpt)
+    stream_silver(spark, landing, layout, ckpt, cfg)
+    return layout
+
+
+def stream_silver_state(spark, sf):
+    """Silver after the stream: the state that the batch path reaches."""
+    path = _streamed(spark, sf).fact
+    return read_table(spark, path, schema=table_schema(spark, path)).drop("_silver_timestamp")
+
+
+def stream_quarantine_state(spark, sf):
+    path = _streamed(spark, sf).quarantine
+    return read_table(spark, path, schema=table_schema(spark, path)).drop("_quarantine_timestamp")
+
+
+def stream_quality_log_totals(spark, sf):
+    """The stream's log over all micro-batches: no row is counted twice, neither as a copy nor by the replay."""
+    path = stream_quality_log(_streamed(spark, sf))
+    log = read_table(spark, path, schema=table_schema(spark, path))
+    return log.groupBy("tenant_id", "layer", "table_name", "check_name", "check_severity").agg(
+        F.sum("records_checked").alias("records_checked"), F.sum("records_failed").alias("records_failed"),
+        F.sum("records_unknown").alias("records_unknown")).withColumn("check_passed", F.col("records_failed") == 0)
+
+
 RUN_TENANTS = FIXTURE_TENANTS + ("ec",)
 
 
@@ -854,4 +897,7 @@ QUERIES: dict[str, QueryFn] = {
     "sparse_upsert_state": sparse_upsert_state,
     "gold_incremental_state": gold_incremental_state,
     "gold_rollup_partials": gold_rollup_partials,
+    "stream_silver_state": stream_silver_state,
+    "stream_quarantine_state": stream_quarantine_state,
+    "stream_quality_log_totals": stream_quality_log_totals,
 }

@@ -13,7 +13,7 @@ stops, so the same code serves scheduled and continuous runs.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,33 @@ from terrace.operators.sinks import upsert
 from terrace.plans.medallion import bronze_rows
 
 
+def file_stream(spark: SparkSession, landing: str, spec: EntitySpec, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The landing folder as a stream of raw rows with their ``_source_file``; the declared schema must hold the contract."""
+    missing = check_contract(spark.createDataFrame([], spec.schema), spec.required_columns)
+    if missing:
+        raise ContractViolation(spec.name, missing)
+    reader = spark.readStream.format(spec.fmt).schema(spec.schema).options(**spec.options)
+    if spec.fmt == "csv":
+        reader = reader.option("header", "true").option("enforceSchema", "false")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(landing).withColumn("_source_file", F.col("_metadata.file_path"))
+
+
+def start_stream(source: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True,
+                 processing_time: str | None = None):
+    """Start ``write`` on every micro-batch; with ``available_now`` block until the backlog is done."""
+    writer = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    query = writer.start()
+    if available_now:
+        query.awaitTermination()
+    return query
+
+
 def stream_ingest(spark: SparkSession, landing: str, spec: EntitySpec | str, sink: str,
                   checkpoint: str, tenants: Iterable[str] | None = None, start: str | None = None,
                   end: str | None = None, max_files_per_trigger: int | None = None,
@@ -40,17 +67,9 @@ def stream_ingest(spark: SparkSession, landing: str, spec: EntitySpec | str, sin
     Returns the ``StreamingQuery`` (already stopped in ``available_now`` mode).
     """
     spec = entity_spec(spec)
-    missing = check_contract(spark.createDataFrame([], spec.schema), spec.required_columns)
-    if missing:
-        raise ContractViolation(spec.name, missing)
-    reader = spark.readStream.format(spec.fmt).schema(spec.schema).options(**spec.options)
-    if spec.fmt == "csv":
-        reader = reader.option("header", "true").option("enforceSchema", "false")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    source = file_stream(spark, landing, spec, max_files_per_trigger)
     keys = [*keys, *(c for c in spec.partition_by if c not in keys)]
     tenants = None if tenants is None else list(tenants)
-    source = reader.load(landing).withColumn("_source_file", F.col("_metadata.file_path"))
 
     def land(batch: DataFrame, number: int) -> None:
         rows = bronze_rows(batch, spec, tenants, start, end)
@@ -59,12 +78,4 @@ def stream_ingest(spark: SparkSession, landing: str, spec: EntitySpec | str, sin
                                  "_batch_id": F.lit(batch_id or f"{checkpoint}#{number}")})
         upsert(batch.sparkSession, once, sink, keys, spec.partition_by, null_safe=True)
 
-    writer = source.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    query = writer.start()
-    if available_now:
-        query.awaitTermination()
-    return query
+    return start_stream(source, land, checkpoint, available_now, processing_time)
