@@ -23,7 +23,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import combinations
+from itertools import combinations, islice
 
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
@@ -222,13 +222,14 @@ def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float
     reduced = add_columns(labelled.select("tokens", "verdict"), ["tokens"], {"items": T.ArrayType(T.StringType())}, reduce)
     dealt = labelled.sparkSession.sparkContext.broadcast(_buckets(reduced, items, max_tokens))
 
-    def cut(columns: list[pa.Array]) -> list[pa.Array]:
-        rows, ends = (c.to_pylist() for c in columns)
-        return [pa.array([[[f"{name}|{t}" for t in [*some, MARK + end]] for name, some in _subsets(row, dealt.value, max_tokens)]
-                          for row, end in zip(rows, ends)], pa.list_(pa.list_(pa.string())))]
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # a long url's are never held at once
+        made = ([f"{name}|{t}" for t in [*some, MARK + end]] for batch in batches
+                for row, end in zip(*(c.to_pylist() for c in batch.columns))
+                for name, some in _subsets(row, dealt.value, max_tokens))
+        while rows := list(islice(made, 1000)):
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], names=["items"])
 
-    transactions = stage(add_columns(reduced.select("items", "verdict"), ["items", "verdict"], {
-        "cut": T.ArrayType(T.ArrayType(T.StringType()))}, cut).select(F.explode("cut").alias("items")), "url-transactions")
+    transactions = stage(reduced.select("items", "verdict").mapInArrow(cut, "items array<string>"), "url-transactions")
     total = transactions.count()
     model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / total, minConfidence=min_confidence).fit(transactions)
     name, tokens = F.split_part(F.element_at("antecedent", 1), F.lit("|"), F.lit(1)), F.array_sort(F.transform(
