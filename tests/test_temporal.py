@@ -148,3 +148,15 @@ def test_snapshot_with_a_key_twice_raises(spark, tmp_table):
     rows = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "k string, price double")
     with pytest.raises(Exception, match="twice"):
         record_snapshot(spark, rows, tmp_table, ["k"], ["price"], day(0))
+
+
+def test_sparse_points_get_no_row_a_level(spark):
+    """A key's few days in a long span: neither the days between nor the levels of a tree of dates become rows."""
+    n = 300
+    fact = spark.range(n).select((F.col("id") % 3).alias("k"), F.date_add(F.lit(D(1990, 1, 1)), (F.col("id") * 30).cast("int")).alias("d"))
+    dim = spark.range(3).selectExpr("id AS k", "DATE'1900-01-01' AS valid_from", "DATE'9999-12-31' AS valid_to", "id AS p")
+    for method in ("points", "snapshot"):
+        for overlap in ("fanout", "latest"):
+            out = point_in_time_join(fact, dim, ["k"], "d", columns={"p": "p"}, on_overlap=overlap, method=method)
+            assert all(r.p == r.k for r in out.collect())
+            assert _most_rows(out._jdf.queryExecution().executedPlan()) <= 2 * n
