@@ -60,13 +60,14 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def write_schema(spark: SparkSession, path: str, schema: T.StructType, partition_by: Iterable[str] | None = None,
-                 emptied: Iterable[str] = ()) -> None:
+                 emptied: Iterable[str] = (), laid_out: bool = False) -> None:
     """Note a table's columns and partition columns beside its files (written aside, then renamed).
 
-    ``emptied``: partition folders that a staged commit still has to remove.
+    ``emptied``: partition folders that a staged commit still has to remove; ``laid_out``: its files lie in
+    the folders of their partitions.
     """
     note = {**schema.jsonValue(), "partition_by": None if partition_by is None else list(partition_by),
-            "emptied": list(emptied)}
+            "emptied": list(emptied), "laid_out": laid_out}
     fs, target = _hadoop(spark, f"{path}/{SCHEMA_FILE}")
     _, part = _hadoop(spark, f"{path}/{SCHEMA_FILE}.new")
     out = fs.create(part, True)
@@ -151,8 +152,12 @@ def overwrite(df: DataFrame, path: str, partition_by: Iterable[str] | None = Non
     _overwrite(df, path, partition_by)
 
 
-def _overwrite(df: DataFrame, path: str, partition_by: Iterable[str] | None = None) -> None:
-    _write(df, path, "overwrite", partition_by)
+def _overwrite(df: DataFrame, path: str, partition_by: Iterable[str] | None = None, stage: str | None = None) -> None:
+    """``stage``: a folder of files that hold ``df`` and take the table's place."""
+    if stage is None:
+        _write(df, path, "overwrite", partition_by)
+    else:
+        _move(df.sparkSession, stage, path)
     _note(df.sparkSession, path, None, df.schema, partition_by or [])
 
 
@@ -171,9 +176,14 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Iterable[str]) ->
     _replace_partitions(df, path, pb)
 
 
-def _replace_partitions(df: DataFrame, path: str, pb: list[str]) -> None:
-    old = _known(df.sparkSession, path)
-    _write(df, path, "overwrite", pb, dynamic=True)
+def _replace_partitions(df: DataFrame, path: str, pb: list[str], stage: str | None = None) -> None:
+    """``stage``: a folder that holds ``df`` in folders of its partitions, which take the place of the table's."""
+    spark, old = df.sparkSession, _known(df.sparkSession, path)
+    if stage is None:
+        _write(df, path, "overwrite", pb, dynamic=True)
+    else:
+        for folder in _staged_folders(spark, stage, len(pb)):
+            _move(spark, f"{stage}/{folder}", f"{path.rstrip('/')}/{folder}")
     _note(df.sparkSession, path, old, df.schema, pb)
 
 
@@ -198,6 +208,29 @@ def _remove_folders(spark: SparkSession, path: str, folders: Iterable[str]) -> i
     return n
 
 
+def _staged_folders(spark: SparkSession, stage: str, depth: int) -> list[str]:
+    """The partition folders of a stage, relative to it; as many reach the driver as a dynamic overwrite moves there."""
+    found = [""]
+    for _ in range(depth):
+        below = []
+        for folder in found:
+            fs, p = _hadoop(spark, f"{stage}/{folder}" if folder else stage)
+            below += [f"{folder}/{f.getPath().getName()}".lstrip("/") for f in fs.listStatus(p)
+                      if f.isDirectory() and "=" in f.getPath().getName()]
+        found = below
+    return found
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder to where another may be.  Broken in between, the source is still there to be moved again."""
+    fs, to = _hadoop(spark, target)
+    _, here = _hadoop(spark, source)
+    fs.delete(to, True)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(here, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 _ESCAPE = set('"#%\'*/:=?\\\x7f{[]^') | {chr(i) for i in range(1, 32)}
 
 
@@ -299,11 +332,12 @@ def recover(spark: SparkSession, path: str, partition_by: Iterable[str] | None =
     if note is not None:
         pb = table_layout(spark, pending, partition_by)
         staged = read_table(spark, pending, schema=T.StructType.fromJson(note))
+        stage = pending if note.get("laid_out") else None      # stages of earlier versions are written once more
         if pb:
-            _replace_partitions(staged, path, pb)
+            _replace_partitions(staged, path, pb, stage)
             _remove_folders(spark, path, note.get("emptied") or [])
         else:
-            _overwrite(staged, path)
+            _overwrite(staged, path, None, stage)
     remove_path(spark, pending)
     return note is not None
 
@@ -321,18 +355,16 @@ def _commit(spark: SparkSession, result: DataFrame, path: str, partition_by: lis
 def stage_commit(result: DataFrame, path: str, partition_by: Iterable[str], processed: DataFrame | None = None) -> str:
     """Write the rows that are to replace their partitions of ``path`` beside it; :func:`recover` puts them in place.
 
-    Of the partitions in ``processed``, those without a row in the result are to be emptied.
+    They are written once, in folders of their partitions, which the commit renames.  Of the partitions in ``processed``, those without a row in the result are to be emptied.
     """
     spark, partition_by = result.sparkSession, list(partition_by)
     pending = _pending(path)
-    result.write.mode("overwrite").parquet(pending)
+    _write(result, pending, "overwrite", partition_by)
     emptied: list[str] = []
     if processed is not None and partition_by:
-        staged = read_table(spark, pending, schema=result.schema)
-        here = staged.select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate(partition_by)]).distinct()
-        gone = processed.select(*partition_by).distinct()
-        emptied = partition_folders(gone.join(here, _match(gone, here, partition_by, True), "left_anti"), partition_by)
-    write_schema(spark, pending, result.schema, partition_by, emptied)
+        here = set(_staged_folders(spark, pending, len(partition_by)))
+        emptied = [f for f in partition_folders(processed, partition_by) if f not in here]
+    write_schema(spark, pending, result.schema, partition_by, emptied, laid_out=True)
     return pending
 
 
@@ -404,6 +436,8 @@ def _merge(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: l
     """``(touched ▷ source ▷ processed) ∪ source`` over the touched partitions, staged and committed."""
     if processed is not None and any(c not in processed.columns for c in pb):
         raise ValueError(f"processed slices {processed.columns} must hold the partition columns {pb}")
+    if stage_source and not unique and not path_exists(spark, _pending(path)) and not table_exists(spark, path):
+        stage_source = False      # a new table's rows are read once
     if stage_source:
         staged, stage = materialize(spark, df, "merge-source")
         try:

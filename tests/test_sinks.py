@@ -299,3 +299,27 @@ def test_replace_prefix_refuses_rows_outside(spark, tmp_table):
         replace_prefix(spark.createDataFrame([("X", 3, 4, 4.0), ("Y", 9, 9, 9.0)], SCHEMA), tmp_table, {"t": "X"}, ["t", "d"])
     assert _rows(read_table(spark, tmp_table, schema=base.schema)) == [("X", 1, 1, 1.0), ("Y", 1, 3, 3.0)]
     assert partition_dir("p", "") == partition_dir("p", None)
+
+
+def test_a_commit_moves_the_staged_files(spark, tmp_table, monkeypatch):
+    """Merged rows are written once: the commit renames folders, also when a broken one is replayed half done."""
+    schema = "t string, k int, v double"
+    upsert(spark, spark.createDataFrame([("a", 1, 1.0), (None, 2, 2.0), ("x/y", 3, 3.0)], schema), tmp_table, ["t", "k"], ["t"])
+    written, write, move, moved = [], sinks._write, sinks._move, []
+    monkeypatch.setattr(sinks, "_write", lambda df, path, *a, **k: (written.append(path), write(df, path, *a, **k)))
+
+    def once(*args):
+        if moved:
+            raise OSError("lost in the commit")
+        moved.append(args)
+        move(*args)
+    batch = spark.createDataFrame([("a", 1, 9.0), (None, 4, 4.0), ("x/y", 5, 5.0)], schema)
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_move", once)
+        with pytest.raises(RuntimeError, match="recover"):
+            upsert(spark, batch, tmp_table, ["t", "k"], ["t"], null_safe=True)
+    assert sinks.recover(spark, tmp_table) and not sinks.recover(spark, tmp_table)
+    assert len(written) == 1
+    want = [("a", 1, 9.0), ("x/y", 3, 3.0), ("x/y", 5, 5.0), (None, 2, 2.0), (None, 4, 4.0)]
+    got = read_table(spark, tmp_table, schema=sinks.table_schema(spark, tmp_table)).select("t", "k", "v").collect()
+    assert sorted(map(tuple, got), key=lambda r: (r[0] is None, str(r[0]), r[1])) == want
