@@ -57,7 +57,7 @@ from terrace.plans.medallion import (
 )
 from terrace.session import scratch_path
 from terrace.sources import fixtures
-from terrace.sources.files import read_table
+from terrace.sources.files import file_bytes, read_table
 from terrace.sources.fixtures import FIXTURE_DELIVERIES, FIXTURE_MATERIALS
 from terrace.streaming.ingest import stream_ingest
 from terrace.streaming.silver import stream_quality_log, stream_silver
@@ -481,10 +481,18 @@ def routine_extract_q(spark, sf):
     return routine_extract(deliveries(spark, sf), ROUTINE_COUNTRIES)
 
 
-def _write_raw(df: DataFrame, fmt: str, parts: int = 6) -> str:
+RAW_FILES, RAW_BYTES = 6, 4 << 20     # least number of raw files; bytes of the driver's tables that go into one
+
+
+def _raw_files_of(df: DataFrame, least: int = RAW_FILES) -> int:
+    """How many raw files rows are dealt to: a multiple of ``least`` that grows with the files they come from."""
+    return least * max(1, -(-(file_bytes(df) or 0) // (RAW_BYTES * RAW_FILES)))
+
+
+def _write_raw(df: DataFrame, fmt: str) -> str:
     """Rows as several raw files in the shared folder."""
     path = scratch_path(df.sparkSession, f"raw-{fmt}")
-    df.repartition(parts).write.option("header", "true").format(fmt).save(path)
+    df.repartition(_raw_files_of(df)).write.option("header", "true").format(fmt).save(path)
     return path
 
 
@@ -612,9 +620,9 @@ def stream_ingest_state(spark, sf):
     layout = Layout(scratch_path(spark, "lake"))
     sink, ckpt = layout.bronze("deliveries"), scratch_path(spark, "stream-ckpt")
     spec = dataclasses.replace(MONTHLY, fmt="parquet")
-    stream_ingest(spark, landing, spec, sink, ckpt, max_files_per_trigger=3)
+    stream_ingest(spark, landing, spec, sink, ckpt, max_files_per_trigger=_raw_files_of(raw) // 2)
     stream_ingest(spark, landing, spec, sink, ckpt)   # restart: nothing new
-    raw.filter(F.col("ruta") % 2 == 0).repartition(2).write.mode("append").parquet(landing)
+    raw.filter(F.col("ruta") % 2 == 0).repartition(_raw_files_of(raw, 2)).write.mode("append").parquet(landing)
     stream_ingest(spark, landing, spec, sink, ckpt)   # delivered again: nothing twice
     month = raw.filter(F.col("fecha_proceso").between(19970301, 19970331))
     ingest(spark, month.withColumn("precio", F.col("precio") + 1), MONTHLY, layout)
@@ -635,8 +643,8 @@ def _streamed(spark, sf) -> Layout:
     overwrite(dimension(spark, sf), layout.dimension)
     landing, ckpt = _write_raw(raw, "parquet"), scratch_path(spark, "stream-ckpt")
     cfg = dataclasses.replace(_run_config(), tenants=FIXTURE_TENANTS, partition_by=MONTH_LAYOUT[:1], deliveries=dataclasses.replace(FIXTURE_DELIVERIES, fmt="parquet"))
-    stream_silver(spark, landing, layout, ckpt, cfg, max_files_per_trigger=3)
-    raw.filter(F.col("ruta") % 2 == 0).repartition(2).write.mode("append").parquet(landing)
+    stream_silver(spark, landing, layout, ckpt, cfg, max_files_per_trigger=_raw_files_of(raw) // 2)
+    raw.filter(F.col("ruta") % 2 == 0).repartition(_raw_files_of(raw, 2)).write.mode("append").parquet(landing)
     stream_silver(spark, landing, layout, ckpt, cfg)
     forget_last_commit(spark, ckpt)
     stream_silver(spark, landing, layout, ckpt, cfg)

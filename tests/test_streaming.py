@@ -48,3 +48,13 @@ def test_copies_changes_bad_rows_and_replay(spark):
     reg.forget_last_commit(spark, ckpt)
     stream_silver(spark, landing, layout, ckpt, cfg)
     assert state() == want
+
+
+def test_raw_files_grow_with_the_input(spark, monkeypatch):
+    raw = reg.deliveries(spark, SF)
+    assert reg._raw_files_of(raw) == 6 and reg._raw_files_of(raw, 2) == 2
+    monkeypatch.setattr(reg, "RAW_BYTES", 2000)
+    n = reg._raw_files_of(raw)
+    assert n > 12 and n % 6 == 0
+    landing = reg._write_raw(raw, "parquet")
+    assert len(spark.read.parquet(landing).inputFiles()) == n
