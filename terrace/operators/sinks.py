@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,6 +163,10 @@ def _overwrite(df: DataFrame, path: str, partition_by: Iterable[str] | None = No
     _note(df.sparkSession, path, None, df.schema, partition_by or [])
 
 
+#: Partition folders that a commit renames at a time.
+MOST_MOVES = 16
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Iterable[str]) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic partition overwrite).
 
@@ -182,8 +188,11 @@ def _replace_partitions(df: DataFrame, path: str, pb: list[str], stage: str | No
     if stage is None:
         _write(df, path, "overwrite", pb, dynamic=True)
     else:
-        for folder in _staged_folders(spark, stage, len(pb)):
-            _move(spark, f"{stage}/{folder}", f"{path.rstrip('/')}/{folder}")
+        folders = _staged_folders(spark, stage, len(pb))
+        # a rename is one call that waits for the file system, so many are under way at once
+        with ThreadPoolExecutor(max(1, min(MOST_MOVES, len(folders) // 8))) as pool:
+            for moved in [pool.submit(_move, spark, f"{stage}/{f}", f"{path.rstrip('/')}/{f}") for f in folders]:
+                moved.result()
     _note(df.sparkSession, path, old, df.schema, pb)
 
 
@@ -303,6 +312,14 @@ def duplicate_keys(df: DataFrame, keys: Iterable[str], null_safe: bool = False)
     return src.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
+def groups_to_check(df: DataFrame, keys: Iterable[str], group: str) -> list:
+    """Values of the key column ``group`` in which rows may share a key (NULL keys never match): all in which they do,
+    since equal keys have one 64-bit hash, and hardly any other.  A hash is shuffled instead of a key."""
+    keys = list(keys)
+    hashes = df.dropna(subset=keys).groupBy(group, F.xxhash64(*keys).alias("__hash")).agg(F.count(F.lit(1)).alias("rows"))
+    return [r[0] for r in hashes.filter(F.col("rows") > 1).select(group).distinct().collect()]
+
+
 def assert_unique(df: DataFrame, keys: Iterable[str], null_safe: bool = False) -> None:
     """Raise :class:`DuplicateKeyError` if two rows share a key."""
     dup = duplicate_keys(df, keys, null_safe).limit(1).collect()
@@ -331,8 +348,9 @@ def recover(spark: SparkSession, path: str, partition_by: Iterable[str] | None =
     note = read_note(spark, pending)
     if note is not None:
         pb = table_layout(spark, pending, partition_by)
-        staged = read_table(spark, pending, schema=T.StructType.fromJson(note))
-        stage = pending if note.get("laid_out") else None      # stages of earlier versions are written once more
+        schema, stage = T.StructType.fromJson(note), pending if note.get("laid_out") else None
+        # stages of earlier versions are written once more; of one that is moved only the columns are asked for
+        staged = read_table(spark, pending, schema=schema) if stage is None else spark.createDataFrame([], schema)
         if pb:
             _replace_partitions(staged, path, pb, stage)
             _remove_folders(spark, path, note.get("emptied") or [])
@@ -345,11 +363,15 @@ def recover(spark: SparkSession, path: str, partition_by: Iterable[str] | None =
 def _commit(spark: SparkSession, result: DataFrame, path: str, partition_by: list[str],
             processed: DataFrame | None = None) -> None:
     """Stage the merged rows, then put them in place; the stage outlives a broken commit."""
-    pending = stage_commit(result, path, partition_by, processed)
+    stage_commit(result, path, partition_by, processed)
+    _finish(spark, path)
+
+
+def _finish(spark: SparkSession, path: str) -> None:
     try:
         recover(spark, path)
     except Exception as exc:
-        raise RuntimeError(f"commit to {path} failed; recover() replays it from {pending}") from exc
+        raise RuntimeError(f"commit to {path} failed; recover() replays it from {_pending(path)}") from exc
 
 
 def stage_commit(result: DataFrame, path: str, partition_by: Iterable[str], processed: DataFrame | None = None) -> str:
@@ -357,15 +379,20 @@ def stage_commit(result: DataFrame, path: str, partition_by: Iterable[str], proc
 
     They are written once, in folders of their partitions, which the commit renames.  Of the partitions in ``processed``, those without a row in the result are to be emptied.
     """
-    spark, partition_by = result.sparkSession, list(partition_by)
     pending = _pending(path)
     _write(result, pending, "overwrite", partition_by)
+    _note_stage(result.sparkSession, pending, result.schema, list(partition_by), processed)
+    return pending
+
+
+def _note_stage(spark: SparkSession, pending: str, schema: T.StructType, partition_by: list[str],
+                processed: DataFrame | None) -> None:
+    """A stage's note; with it the stage is complete."""
     emptied: list[str] = []
     if processed is not None and partition_by:
         here = set(_staged_folders(spark, pending, len(partition_by)))
         emptied = [f for f in partition_folders(processed, partition_by) if f not in here]
-    write_schema(spark, pending, result.schema, partition_by, emptied, laid_out=True)
-    return pending
+    write_schema(spark, pending, schema, partition_by, emptied, laid_out=True)
 
 
 def _match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> Column:
@@ -401,9 +428,9 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
     slices that the source covers in full: old rows of these slices that the
     source does not hold are retracted, and a partition left without rows is removed.
 
-    The source is consumed several times; ``stage_source`` writes it once to
-    the shared folder so its upstream plan is not recomputed for each (pass
-    False when the source is already a plain scan of staged data).
+    A source whose keys are checked here, or that lacks columns, is consumed several times; ``stage_source``
+    writes it once to the shared folder so its upstream plan is not recomputed for each (pass
+    False when the source is already a plain scan of staged data).  Any other source of a partitioned table is consumed once.
     """
     keys, pb = list(keys), list(partition_by or [])
     outside = [c for c in pb if c not in keys]
@@ -433,11 +460,19 @@ def replace_slices(spark: SparkSession, df: DataFrame, path: str, slices: Iterab
 
 def _merge(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: list[str], null_safe: bool,
            unique: bool, stage_source: bool, fill: bool, processed: DataFrame | None = None) -> None:
-    """``(touched ▷ source ▷ processed) ∪ source`` over the touched partitions, staged and committed."""
+    """``(touched ▷ source ▷ processed) ∪ source`` over the touched partitions, staged and committed.
+
+    A source that need not be checked or filled in goes to a partitioned table through :func:`_merge_in_stage`.
+    """
     if processed is not None and any(c not in processed.columns for c in pb):
         raise ValueError(f"processed slices {processed.columns} must hold the partition columns {pb}")
-    if stage_source and not unique and not path_exists(spark, _pending(path)) and not table_exists(spark, path):
-        stage_source = False      # a new table's rows are read once
+    def lacks() -> bool:
+        have = {c.lower() for c in df.columns}
+        return any(c.lower() not in have for c in table_schema(spark, path, like=df.schema).names)
+
+    if stage_source and not unique and not path_exists(spark, _pending(path)) and (
+            not table_exists(spark, path) or pb and not (fill and lacks())):
+        stage_source = False      # its rows are read once
     if stage_source:
         staged, stage = materialize(spark, df, "merge-source")
         try:
@@ -456,6 +491,9 @@ def _merge(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: l
             overwrite(df, path)
         return
 
+    if pb and not unique and not (fill and lacks()):
+        _merge_in_stage(spark, df, path, keys, pb, null_safe, fill, processed)
+        return
     target = read_table(spark, path, schema=table_schema(spark, path, like=df.schema))
     if pb:
         touching = df if processed is None else df.select(*pb).unionByName(processed.select(*pb))
@@ -495,6 +533,55 @@ def _merge(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: l
         raise
 
 
+def _merge_in_stage(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: list[str], null_safe: bool,
+                    by_key: bool, processed: DataFrame | None) -> None:
+    """``(touched ▷ source ▷ processed) ∪ source`` with the source shuffled and written once.
+
+    Its rows go to the commit's stage in folders of their partitions; everything
+    else is found from these files' key columns, and the target's rows that stay
+    are written beside them.  Where slices decide which rows stay, their distinct
+    values are broadcast (up to a bound), so the target is not shuffled for that;
+    ``by_key`` looks keys up, but only those outside the processed slices, whose
+    old rows go in any case.
+    """
+    pending, schema = _pending(path), table_schema(spark, path, like=df.schema)
+    _write(df, pending, "overwrite", pb)
+    source, target = (read_table(spark, p, schema=schema) for p in (pending, path))
+    stages = []
+
+    def distinct_slices(rows: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str], bool]:
+        found, where = materialize(spark, rows.select(*columns).distinct(), "merge-slices")
+        stages.append(where)
+        return found, columns, found.count() <= MOST_BROADCAST_PARTITIONS
+
+    def without(rows: DataFrame, out: DataFrame, columns: list[str], small: bool, null_safe: bool) -> DataFrame:
+        named = out.select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate(columns)])
+        named = F.broadcast(named) if small else named
+        return rows.join(named, _match(rows, named, columns, null_safe), "left_anti")
+
+    try:
+        replaced = [] if by_key else [distinct_slices(source, keys)]
+        if processed is not None:
+            replaced.append(distinct_slices(processed, processed.columns))
+        touching = [rows.select(*pb) for rows, _, _ in replaced] + ([source.select(*pb)] if by_key else [])
+        kept = touched_partitions(target, reduce(DataFrame.unionByName, touching), pb)
+        for rows, columns, small in replaced:
+            kept = without(kept, rows, columns, small, True)
+        if by_key:
+            looked_up, inside = source.select(*keys), False
+            for rows, columns, small in replaced:
+                if set(columns) <= set(keys):
+                    looked_up, inside = without(looked_up, rows, columns, small, True), True
+            if not inside or looked_up.count():
+                kept = without(kept, looked_up, keys, False, null_safe)
+        _write(kept.select(*schema.names), pending, "append", pb)
+        _note_stage(spark, pending, schema, pb, processed)
+    finally:
+        for where in stages:
+            remove_path(spark, where)
+    _finish(spark, path)
+
+
 #: Touched partitions that may be sent to every executor (a row is a few short values).
 MOST_BROADCAST_PARTITIONS = 200_000
 

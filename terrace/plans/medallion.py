@@ -65,6 +65,7 @@ from terrace.operators.sinks import (
     DuplicateKeyError,
     append,
     duplicate_keys,
+    groups_to_check,
     materialize,
     overwrite,
     remove_partitions,
@@ -448,8 +449,9 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
         good, bad = split_by_quality(staged, cond, cfg.unknown)
         # A tenant with two rows of one key fails alone; at most one row per tenant reaches the driver.
         keys = cfg.fact_keys()
-        twice = duplicate_keys(good, keys).groupBy("_tenant_id").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.to_json(F.struct(*keys))).alias("key")).collect()
+        suspects = groups_to_check(good, keys, "_tenant_id")
+        twice = duplicate_keys(good.filter(F.col("_tenant_id").isin(suspects)), keys).groupBy("_tenant_id").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.to_json(F.struct(*keys))).alias("key")).collect() if suspects else []
         failed = {r["_tenant_id"]: f"DuplicateKeyError: {r['n']} upsert keys occur more than once, e.g. {r['key']}"
                   for r in twice}
         if failed:

@@ -323,3 +323,34 @@ def test_a_commit_moves_the_staged_files(spark, tmp_table, monkeypatch):
     want = [("a", 1, 9.0), ("x/y", 3, 3.0), ("x/y", 5, 5.0), (None, 2, 2.0), (None, 4, 4.0)]
     got = read_table(spark, tmp_table, schema=sinks.table_schema(spark, tmp_table)).select("t", "k", "v").collect()
     assert sorted(map(tuple, got), key=lambda r: (r[0] is None, str(r[0]), r[1])) == want
+
+
+def test_an_unchecked_source_is_written_once(spark, tmp_table, monkeypatch):
+    """Slices and upserts without a check: the source goes straight to the commit's stage, what stays joins it there."""
+    base = spark.createDataFrame([("a", 1, 1, 1.0), ("a", 2, 2, 2.0), ("b", 1, 3, 3.0), (None, 1, 4, 4.0)], SCHEMA)
+    replace_partitions(base, tmp_table, ["t"])
+    seen = spark.sparkContext.accumulator(0)
+    read = F.udf(lambda k: (seen.add(1), k)[1], "int").asNondeterministic()
+    written, write = [], sinks._write
+    monkeypatch.setattr(sinks, "_write", lambda df, path, mode, *a, **k: (written.append(mode), write(df, path, mode, *a, **k)))
+    batch = spark.createDataFrame([("a", 2, 9, 9.0), ("c", 5, 5, 5.0), (None, 2, 6, 6.0)], SCHEMA)
+    sinks.replace_slices(spark, batch.withColumn("k", read("k")), tmp_table, ["t", "d"], ["t"])
+    want = [("a", 1, 1, 1.0), ("a", 2, 9, 9.0), ("b", 1, 3, 3.0), ("c", 5, 5, 5.0), (None, 1, 4, 4.0), (None, 2, 6, 6.0)]
+    assert _rows(read_table(spark, tmp_table, schema=base.schema)) == sorted(want, key=_key)
+    assert seen.value == 3 and written == ["overwrite", "append"]
+    newer = spark.createDataFrame([("a", 2, 9, 10.0, "x"), ("d", 1, 1, 1.0, None), (None, 2, 6, 7.0, "y")], SCHEMA + ", w string")
+    upsert(spark, newer, tmp_table, ["t", "d", "k"], ["t"], check_duplicates=False, processed=spark.createDataFrame(
+        [("a", 2), ("b", 1)], "t string, d int"))
+    got = read_table(spark, tmp_table, schema=sinks.table_schema(spark, tmp_table))
+    want = [("a", 1, 1, 1.0, None), ("a", 2, 9, 10.0, "x"), ("c", 5, 5, 5.0, None), ("d", 1, 1, 1.0, None),
+            (None, 1, 4, 4.0, None), (None, 2, 6, 6.0, None), (None, 2, 6, 7.0, "y")]     # a NULL key never matches
+    assert _rows(got, ("t", "d", "k", "v", "w")) == sorted(want, key=_key)
+    old = spark.createDataFrame([("a", 1, 1, 5.0)], SCHEMA)      # lacks a column: matched rows keep theirs
+    upsert(spark, old.withColumn("k", F.lit(9)).withColumn("d", F.lit(2)), tmp_table, ["t", "d", "k"], ["t"], check_duplicates=False)
+    got = read_table(spark, tmp_table, schema=sinks.table_schema(spark, tmp_table)).filter("t = 'a'")
+    assert _rows(got, ("t", "d", "k", "v", "w")) == [("a", 1, 1, 1.0, None), ("a", 2, 9, 5.0, "x")]
+
+
+def test_groups_to_check_hold_all_shared_keys(spark):
+    rows = spark.createDataFrame([("a", 1, 1, 1.0), ("a", 1, 1, 2.0), ("b", 1, 1, 1.0), ("c", None, 1, 1.0), ("c", None, 1, 2.0)], SCHEMA)
+    assert sinks.groups_to_check(rows, ["t", "d", "k"], "t") == ["a"]
