@@ -27,6 +27,15 @@ def parse_date_key(c: str | Column, fmt: str = "yyyyMMdd") -> Column:
     return F.try_to_date(col(c).cast("string"), fmt)
 
 
+def int_date_key(c: str | Column, fmt: str = "yyyyMMdd") -> Column:
+    """:func:`parse_date_key` of an integer column.  Days that every month has are put together from the
+    digits, which costs a fraction of parsing; all other values are parsed."""
+    key = col(c)
+    year, month, day = (key / 10000).cast("int"), (key / 100).cast("int") % 100, key % 100
+    plain = key.between(10000101, 99991231) & month.between(1, 12) & day.between(1, 28)
+    return F.when(plain, F.make_date(year, month, day)).otherwise(parse_date_key(key, fmt))
+
+
 def bound_key(value: str | int | None) -> int | None:
     """``'2025-01-15'`` / ``'20250115'`` / ``20250115`` -> ``20250115``."""
     if value is None:

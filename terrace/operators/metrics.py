@@ -79,7 +79,7 @@ def rounded_operands(measures: Iterable[Measure] = DAILY_MEASURES, money_type: s
 
 def daily_metrics(df: DataFrame, keys: Iterable[str] = DAILY_KEYS,
                   measures: Iterable[Measure] = DAILY_MEASURES, exact: bool = True,
-                  approx: bool = False, money_type: str = MONEY) -> DataFrame:
+                  approx: bool = False, money_type: str = MONEY, table: DataFrame | None = None) -> DataFrame:
     """Group by ``keys`` and compute the measures in one aggregation.
 
     Exact distinct counts are planned by Spark as an ``Expand`` + two-level
@@ -87,10 +87,26 @@ def daily_metrics(df: DataFrame, keys: Iterable[str] = DAILY_KEYS,
     a group holding a third of all rows spreads its distinct values over all
     tasks.  ``approx=True`` turns distinct counts into HyperLogLog sketches
     (one partial sketch per task and group).
+
+    ``table`` holds the rows of ``df`` in a form that is cheap to read several
+    times: each exact distinct count is then an aggregation of its own over two
+    or three columns of it, and no row is copied per count with the buffers of the sums.
     """
     ms = [Measure(m.name, "approx_count_distinct", m.columns)
           if approx and m.kind == "count_distinct" else m for m in measures]
-    return df.groupBy(*keys).agg(*[measure_column(m, exact, money_type) for m in ms])
+    keys = list(keys)
+    apart = [m for m in ms if m.kind == "count_distinct"] if table is not None else []
+    rest = [measure_column(m, exact, money_type) for m in ms if m not in apart] or [F.lit(0).alias("__none")]
+    if not apart:
+        return df.groupBy(*keys).agg(*rest)
+    out = df.groupBy(*keys).agg(*rest)
+    for m in apart:
+        found = table.select(*keys, *[F.col(c).alias(f"__v_{i}") for i, c in enumerate(m.columns)])
+        found = found.dropna(subset=[f"__v_{i}" for i in range(len(m.columns))]).dropDuplicates()
+        out = out.unionByName(found.groupBy(*keys).agg(F.count(F.lit(1)).alias(m.name)), allowMissingColumns=True)
+    # a group has one row with each measure, and is counted where it has no value
+    return out.groupBy(*keys).agg(*[
+        (F.coalesce(F.max(m.name), F.lit(0).cast("long")) if m in apart else F.max(m.name)).alias(m.name) for m in ms])
 
 
 def dedup(df: DataFrame, subset: Iterable[str] | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from terrace.config import (
     STANDARD_UNIT,
     UNIT_FACTORS,
 )
-from terrace.functions.columns import bound_key, factor_case, parse_date_key
+from terrace.functions.columns import bound_key, factor_case, int_date_key, parse_date_key
 
 
 def date_range(df: DataFrame, column: str, start: str | None = None,
@@ -67,10 +67,11 @@ DELIVERY_FLAGS = {"is_routine_delivery": ROUTINE_TYPES, "is_bonus_delivery": BON
 
 def normalize_deliveries(df: DataFrame) -> DataFrame:
     """Units to ``ST``, parsed process date, routine/bonus flags — one projection."""
+    parse = int_date_key if isinstance(df.schema["fecha_proceso"].dataType, T.IntegerType) else parse_date_key
     return df.withColumns({
         "cantidad_normalizada_st": factor_case("unidad", "cantidad", UNIT_FACTORS),
         "unidad_estandar": F.lit(STANDARD_UNIT),
-        "fecha_proceso_dt": parse_date_key("fecha_proceso", PROCESS_DATE_FORMAT),
+        "fecha_proceso_dt": parse("fecha_proceso", PROCESS_DATE_FORMAT),
         **{name: F.col("tipo_entrega").isin(list(values)) for name, values in DELIVERY_FLAGS.items()},
     })
 

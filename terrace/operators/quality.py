@@ -120,7 +120,8 @@ def rule_summary(df: DataFrame, rules, tenant_column: str = "_tenant_id",
     ``quarantined``, ``discarded`` and ``critical_failed`` (rows failing a
     critical rule).  The quality log and the outcome counts are projections of
     it, so the evaluated rows are scanned once.  Partial aggregation keeps the
-    shuffle at one row per tenant and task, whatever the tenant skew.
+    shuffle at one row per tenant, batch and task, whatever the tenant skew.  The batch
+    is grouped by: the largest string as an aggregate would have all rows sorted.
     """
     rules = as_rules(rules)
     cond = rule_condition(rules)
@@ -144,14 +145,15 @@ def rule_summary(df: DataFrame, rules, tenant_column: str = "_tenant_id",
     for i, r in enumerate(rules):
         c = F.col(r.column)
         aggs += [F.count_if(~c).alias(f"__f{i}"), F.count_if(c.isNull()).alias(f"__u{i}")]
-    if batch_column in df.columns:
-        aggs.append(F.max(F.col(batch_column).cast("string")).alias("_batch_id"))
-    else:
-        aggs.append(F.lit(None).cast("string").alias("_batch_id"))
     aggs += [F.count_if(good).alias("good"), F.count_if(bad).alias("bad"),
              F.count_if(quar).alias("quarantined"), F.count_if(disc).alias("discarded"),
              F.count_if(crit).alias("critical_failed")]
-    return df.groupBy(F.lower(F.col(tenant_column)).alias("tenant")).agg(*aggs)
+    batch = F.col(batch_column) if batch_column in df.columns else F.lit(None)
+    by_batch = df.groupBy(F.lower(F.col(tenant_column)).alias("tenant"), batch.cast("string").alias("_batch_id")).agg(*aggs)
+    counters = [c for c in by_batch.columns if c not in ("tenant", "_batch_id")]
+    at = 1 + 2 * len(rules)
+    return by_batch.groupBy("tenant").agg(*[F.sum(c).alias(c) for c in counters[:at]], F.max("_batch_id").alias("_batch_id"),
+                                          *[F.sum(c).alias(c) for c in counters[at:]])
 
 
 def log_from_summary(summary: DataFrame, rules, run_id: str | None = None,

@@ -312,12 +312,17 @@ def duplicate_keys(df: DataFrame, keys: Iterable[str], null_safe: bool = False)
     return src.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
+def repeated_hashes(df: DataFrame, keys: Iterable[str], group: str) -> DataFrame:
+    """The 64-bit hashes (``__hash``) of ``keys`` that several rows of a ``group``, a column of the key, have."""
+    hashes = df.groupBy(group, F.xxhash64(*keys).alias("__hash")).agg(F.count(F.lit(1)).alias("__rows"))
+    return hashes.filter(F.col("__rows") > 1).drop("__rows")
+
+
 def groups_to_check(df: DataFrame, keys: Iterable[str], group: str) -> list:
     """Values of the key column ``group`` in which rows may share a key (NULL keys never match): all in which they do,
     since equal keys have one 64-bit hash, and hardly any other.  A hash is shuffled instead of a key."""
     keys = list(keys)
-    hashes = df.dropna(subset=keys).groupBy(group, F.xxhash64(*keys).alias("__hash")).agg(F.count(F.lit(1)).alias("rows"))
-    return [r[0] for r in hashes.filter(F.col("rows") > 1).select(group).distinct().collect()]
+    return [r[0] for r in repeated_hashes(df.dropna(subset=keys), keys, group).select(group).distinct().collect()]
 
 
 def assert_unique(df: DataFrame, keys: Iterable[str], null_safe: bool = False) -> None:

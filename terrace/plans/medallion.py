@@ -61,11 +61,11 @@ from terrace.operators.quality import (
     rules_for_tenants,
     split_by_quality,
 )
+from terrace.operators.repeats import Repeats
 from terrace.operators.sinks import (
     DuplicateKeyError,
     append,
     duplicate_keys,
-    groups_to_check,
     materialize,
     overwrite,
     remove_partitions,
@@ -77,7 +77,7 @@ from terrace.operators.sinks import (
     upsert,
 )
 from terrace.operators.temporal import point_in_time_join
-from terrace.session import remove_path
+from terrace.session import remove_path, session_conf
 from terrace.sources.files import MissingTableError, read_source, read_table, require_table, table_exists
 
 MALFORMED = "_malformed_line"
@@ -405,6 +405,10 @@ def silver_rows(good: DataFrame, keys: Iterable[str] = FACT_KEYS, timestamp: boo
     return order_columns(good, keys)
 
 
+#: The price lookup does not sort the facts where every shuffled piece of the dimension is this small.
+LOOKUP_CONF = {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB"}
+
+
 def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
                run_id: str | None = None, stage: bool = True) -> StageResult:
     """Silver fact for all requested tenants.
@@ -429,14 +433,18 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
     bronze = cfg.select_dates(bronze)
     dim = read_table(spark, layout.dimension, schema=table_schema(spark, layout.dimension))
     rules = cfg.effective_rules()
-    evaluated, cond = silver_evaluate(bronze, dim, rules)
-
-    if stage:
-        staged, stage_dir = materialize(spark, evaluated, "silver-evaluated")
-        stages = [stage_dir]
-    else:
-        staged, stages = evaluated, []
+    keys = cfg.fact_keys()
+    # Copies and doubled keys are looked for by hash: rows that have neither are not shuffled for it.
+    repeats = Repeats(spark, bronze, keys, "_tenant_id")
+    stages = [repeats.path]
     try:
+        evaluated, cond = silver_evaluate(repeats.dedup(bronze), dim, rules, deduplicate=False)
+        if stage:
+            with session_conf(spark, LOOKUP_CONF):
+                staged, stage_dir = materialize(spark, evaluated, "silver-evaluated")
+            stages.append(stage_dir)
+        else:
+            staged = evaluated
         # One aggregation yields the log, the outcome counts and the breaker
         # input; it is tiny (one row per tenant) and staged for both consumers.
         summary, summary_dir = materialize(
@@ -448,9 +456,8 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
                       summary.select("tenant", "critical_failed"), "tenant").collect()}
         good, bad = split_by_quality(staged, cond, cfg.unknown)
         # A tenant with two rows of one key fails alone; at most one row per tenant reaches the driver.
-        keys = cfg.fact_keys()
-        suspects = groups_to_check(good, keys, "_tenant_id")
-        twice = duplicate_keys(good.filter(F.col("_tenant_id").isin(suspects)), keys).groupBy("_tenant_id").agg(
+        suspects = repeats.candidates(good)
+        twice = duplicate_keys(suspects, keys).groupBy("_tenant_id").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.to_json(F.struct(*keys))).alias("key")).collect() if suspects else []
         failed = {r["_tenant_id"]: f"DuplicateKeyError: {r['n']} upsert keys occur more than once, e.g. {r['key']}"
                   for r in twice}
@@ -498,9 +505,9 @@ def partition_types(cfg: RunConfig) -> T.StructType:
 
 
 def gold_frame(silver: DataFrame, partition_by: Iterable[str] = ("_tenant_id", "fecha_proceso"),
-               money_type: str = MONEY) -> DataFrame:
+               money_type: str = MONEY, table: DataFrame | None = None) -> DataFrame:
     keys = list(DAILY_KEYS) + [c for c in partition_by if c not in DAILY_KEYS]
-    return daily_metrics(silver, keys, DAILY_MEASURES, money_type=money_type)
+    return daily_metrics(silver, keys, DAILY_MEASURES, money_type=money_type, table=table)
 
 
 def build_metrics(spark: SparkSession, layout: Layout, cfg: RunConfig,
@@ -522,8 +529,8 @@ def build_metrics(spark: SparkSession, layout: Layout, cfg: RunConfig,
         silver = silver.filter(~F.col("_tenant_id").isin(blocked))
     silver = cfg.select_partitions(silver)
     misfits = Observation("gold-operands")
-    silver = silver.observe(misfits, F.count_if(rounded_operands(DAILY_MEASURES, cfg.money_type)).alias("n"))
-    gold, obs = _observe(gold_frame(silver, cfg.partition_by, cfg.money_type), tenants, "gold")
+    observed = silver.observe(misfits, F.count_if(rounded_operands(DAILY_MEASURES, cfg.money_type)).alias("n"))
+    gold, obs = _observe(gold_frame(observed, cfg.partition_by, cfg.money_type, silver), tenants, "gold")
     replace_partitions(gold, layout.gold, cfg.partition_by)
     if cfg.retract and table_exists(spark, layout.ledger):
         _clear_emptied(spark, layout, cfg, tenants, blocked)

@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,8 @@ RECOMMENDED_CONF = {
     "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # A write task has the rows of a few partitions: it keeps that many files open and sorts only what is beyond them.
+    "spark.sql.maxConcurrentOutputFileWriters": "24",
     "spark.sql.parquet.mergeSchema": "false",
 }
 
@@ -41,6 +45,21 @@ def apply_conf(spark: SparkSession, conf: dict | None = None) -> None:
             spark.conf.set(k, v)
 
 
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict) -> Iterator[None]:
+    """SQL settings for the jobs that run inside the block."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    apply_conf(spark, conf)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int | None = None,
                   app_name: str = "terrace", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
