@@ -65,6 +65,10 @@ def class_flags(df: DataFrame, type_column: str,
 DELIVERY_FLAGS = {"is_routine_delivery": ROUTINE_TYPES, "is_bonus_delivery": BONUS_TYPES}
 
 
+#: The columns of :func:`normalize_deliveries`: each depends on nothing but other columns of its row.
+NORMALIZED = ("cantidad_normalizada_st", "unidad_estandar", "fecha_proceso_dt", *DELIVERY_FLAGS)
+
+
 def normalize_deliveries(df: DataFrame) -> DataFrame:
     """Units to ``ST``, parsed process date, routine/bonus flags — one projection."""
     parse = int_date_key if isinstance(df.schema["fecha_proceso"].dataType, T.IntegerType) else parse_date_key

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from terrace.operators.metrics import dedup
 from terrace.operators.sinks import materialize, repeated_hashes
+from terrace.session import UNIQUE_KEYS_CONF, session_conf
 
 #: Hashes that may be sent to every executor (8 bytes each).
 MOST_BROADCAST_HASHES = 1_000_000
@@ -30,7 +31,8 @@ class Repeats:
 
     def __init__(self, spark: SparkSession, df: DataFrame, keys: Iterable[str], group: str):
         self.keys, self.group = list(keys), group
-        self.hashes, self.path = materialize(spark, repeated_hashes(df, self.keys, group), "repeats")
+        with session_conf(spark, UNIQUE_KEYS_CONF):
+            self.hashes, self.path = materialize(spark, repeated_hashes(df, self.keys, group), "repeats")
         counts = self.hashes.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect()
         self.few, self.many, room = [], [], MOST_BROADCAST_HASHES
         for value, n in sorted(((r[0], r["n"]) for r in counts), key=lambda r: r[1]):

@@ -297,10 +297,11 @@ def materialize(spark: SparkSession, df: DataFrame, name: str = "stage") -> tupl
     Cuts the lineage (a lost executor no longer recomputes the upstream plan)
     and lets several consumers read one evaluated result, each with its own
     column pruning.  Remove the path with :func:`terrace.session.remove_path`
-    once every consumer has run.
+    once every consumer has run.  Its files, which nobody keeps, are compressed
+    more than a table's.
     """
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return read_table(spark, path, schema=df.schema), path
 
 

@@ -48,7 +48,7 @@ from terrace.operators.contract import (
     stamp_lineage,
 )
 from terrace.operators.metrics import DAILY_KEYS, DAILY_MEASURES, daily_metrics, dedup, rounded_operands
-from terrace.operators.normalize import conform_types, date_range, normalize_deliveries, order_columns
+from terrace.operators.normalize import NORMALIZED, conform_types, date_range, normalize_deliveries, order_columns
 from terrace.operators.quality import (
     CriticalQualityError,
     as_rules,
@@ -77,7 +77,7 @@ from terrace.operators.sinks import (
     upsert,
 )
 from terrace.operators.temporal import point_in_time_join
-from terrace.session import remove_path, session_conf
+from terrace.session import UNIQUE_KEYS_CONF, remove_path, session_conf
 from terrace.sources.files import MissingTableError, read_source, read_table, require_table, table_exists
 
 MALFORMED = "_malformed_line"
@@ -416,8 +416,10 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
     The evaluated rows are staged once in the shared folder; the quality log,
     the upsert of good rows, the quarantine write and the outcome counts all
     read that stage (each with its own column pruning) instead of recomputing
-    the dedup and join per consumer.  ``stage=False`` lets every consumer
-    recompute the plan (kept for measurement).
+    the dedup and join per consumer.  The stage holds the bronze columns, the
+    price and the rules' outcomes; the normalized columns are made anew from
+    each row, which is cheaper than shuffling and writing them.  ``stage=False``
+    lets every consumer recompute the plan (kept for measurement).
     """
     run_id = run_id or str(uuid.uuid4())
     require_table(spark, layout.dimension, "dim_materials")
@@ -440,9 +442,10 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
     try:
         evaluated, cond = silver_evaluate(repeats.dedup(bronze), dim, rules, deduplicate=False)
         if stage:
-            with session_conf(spark, LOOKUP_CONF):
-                staged, stage_dir = materialize(spark, evaluated, "silver-evaluated")
+            with session_conf(spark, {**LOOKUP_CONF, **UNIQUE_KEYS_CONF}):
+                staged, stage_dir = materialize(spark, evaluated.drop(*NORMALIZED), "silver-evaluated")
             stages.append(stage_dir)
+            staged = normalize_deliveries(staged).select(*evaluated.columns)
         else:
             staged = evaluated
         # One aggregation yields the log, the outcome counts and the breaker
@@ -457,8 +460,9 @@ def build_fact(spark: SparkSession, layout: Layout, cfg: RunConfig,
         good, bad = split_by_quality(staged, cond, cfg.unknown)
         # A tenant with two rows of one key fails alone; at most one row per tenant reaches the driver.
         suspects = repeats.candidates(good)
-        twice = duplicate_keys(suspects, keys).groupBy("_tenant_id").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.to_json(F.struct(*keys))).alias("key")).collect() if suspects else []
+        with session_conf(spark, UNIQUE_KEYS_CONF):
+            twice = duplicate_keys(suspects, keys).groupBy("_tenant_id").agg(
+                F.count(F.lit(1)).alias("n"), F.min(F.to_json(F.struct(*keys))).alias("key")).collect() if suspects else []
         failed = {r["_tenant_id"]: f"DuplicateKeyError: {r['n']} upsert keys occur more than once, e.g. {r['key']}"
                   for r in twice}
         if failed:
@@ -531,7 +535,8 @@ def build_metrics(spark: SparkSession, layout: Layout, cfg: RunConfig,
     misfits = Observation("gold-operands")
     observed = silver.observe(misfits, F.count_if(rounded_operands(DAILY_MEASURES, cfg.money_type)).alias("n"))
     gold, obs = _observe(gold_frame(observed, cfg.partition_by, cfg.money_type, silver), tenants, "gold")
-    replace_partitions(gold, layout.gold, cfg.partition_by)
+    with session_conf(spark, UNIQUE_KEYS_CONF):
+        replace_partitions(gold, layout.gold, cfg.partition_by)
     if cfg.retract and table_exists(spark, layout.ledger):
         _clear_emptied(spark, layout, cfg, tenants, blocked)
     n = int(misfits.get.get("n", 0) or 0)

@@ -37,6 +37,9 @@ RECOMMENDED_CONF = {
     "spark.sql.parquet.mergeSchema": "false",
 }
 
+# For aggregates whose keys hardly repeat: the small map that Spark probes before the hash map meets none of them.
+UNIQUE_KEYS_CONF = {"spark.sql.codegen.aggregate.map.twolevel.enabled": "false"}
+
 
 def apply_conf(spark: SparkSession, conf: dict | None = None) -> None:
     """Apply the library's SQL settings to an existing session (all runtime-settable)."""
