@@ -40,7 +40,7 @@ from terrace.operators.quality import (
     split_by_quality,
 )
 from terrace.operators.sinks import (
-    append, overwrite, recover, replace_partitions, replace_prefix, stage_commit, table_schema, upsert)
+    append, materialize, overwrite, recover, replace_partitions, replace_prefix, stage_commit, table_schema, upsert)
 from terrace.operators.temporal import point_in_time_join
 from terrace.plans.medallion import (
     LOG_DATE,
@@ -55,7 +55,7 @@ from terrace.plans.medallion import (
     silver_evaluate,
     silver_rows,
 )
-from terrace.session import scratch_path
+from terrace.session import CLEAN_CONF, remove_path, scratch_path, session_conf
 from terrace.sources import fixtures
 from terrace.sources.files import file_bytes, read_table
 from terrace.sources.fixtures import FIXTURE_DELIVERIES, FIXTURE_MATERIALS
@@ -341,7 +341,7 @@ MENDED_DAYS, EMPTIED_DAYS = (19930615, 19980302), (19950310, 19970704)
 
 def _refreshed_partials(spark, sf, name):
     """Partials of all days, then of two mended days five years apart and two emptied ones; and the facts they stand for."""
-    path, good = scratch_path(spark, name), _good_monthly(spark, sf)
+    path, good = scratch_path(spark, name), _staged_good(spark, sf)[0]
     refresh_partials(spark, good, path, MONTH_LAYOUT, measures=PARTIAL_MEASURES)
     mended = good.filter(F.col("fecha_proceso").isin(*MENDED_DAYS)).withColumn(
         "cantidad_normalizada_st", F.col("cantidad_normalizada_st") + 0.25)
@@ -406,6 +406,12 @@ def _good_monthly(spark, sf):
     return _with_month(silver_rows(df.filter(cond), FACT_KEYS, timestamp=False))
 
 
+def _staged_good(spark, sf) -> tuple[DataFrame, str]:
+    """The good rows, evaluated once for all that is made of them, and the folder they lie in."""
+    with session_conf(spark, CLEAN_CONF):
+        return materialize(spark, _good_monthly(spark, sf), "good")
+
+
 def upsert_fact_state(spark, sf):
     path = scratch_path(spark, "upsert-fact")
     good = _good_monthly(spark, sf)
@@ -421,7 +427,7 @@ def upsert_fact_state(spark, sf):
 def upsert_evolved_state(spark, sf):
     """Tables whose later files have a column that the first file lacks, then an upsert whose source
     lacks it too: matched rows keep its values.  Once partitioned, once not."""
-    good = _good_monthly(spark, sf)
+    good, stage = _staged_good(spark, sf)
     keys = list(FACT_KEYS) + ["mes"]
     old = good.filter(F.col("mes") < 199706)
     new = good.filter(F.col("mes") >= 199706).withColumn("nota", F.concat(F.lit("n"), F.col("ruta").cast("string")))
@@ -435,6 +441,7 @@ def upsert_evolved_state(spark, sf):
         table = read_table(spark, path, schema=table_schema(spark, path)).select(
             *keys, "cantidad", "precio", "unidad", "nota", F.lit(name).alias("layout"))
         out = table if out is None else out.unionByName(table)
+    remove_path(spark, stage)
     return out
 
 
@@ -492,7 +499,8 @@ def _raw_files_of(df: DataFrame, least: int = RAW_FILES) -> int:
 def _write_raw(df: DataFrame, fmt: str) -> str:
     """Rows as several raw files in the shared folder."""
     path = scratch_path(df.sparkSession, f"raw-{fmt}")
-    df.repartition(_raw_files_of(df)).write.option("header", "true").format(fmt).save(path)
+    with session_conf(df.sparkSession, CLEAN_CONF):
+        df.repartition(_raw_files_of(df)).write.option("header", "true").format(fmt).save(path)
     return path
 
 

@@ -40,6 +40,10 @@ RECOMMENDED_CONF = {
 # For aggregates whose keys hardly repeat: the small map that Spark probes before the hash map meets none of them.
 UNIQUE_KEYS_CONF = {"spark.sql.codegen.aggregate.map.twolevel.enabled": "false"}
 
+# For writes whose frames nobody runs again: a write's shuffle files go when it ends, not when the driver happens to
+# collect its garbage.  (A frame that is run again after all makes them anew.)
+CLEAN_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def apply_conf(spark: SparkSession, conf: dict | None = None) -> None:
     """Apply the library's SQL settings to an existing session (all runtime-settable)."""

@@ -83,3 +83,12 @@ def test_a_new_day_replaces_its_own_partials_alone(spark, tmp_table):
     assert state() == want
     refresh([])
     assert state() == want
+
+
+def test_facts_of_the_queries_are_evaluated_once(spark):
+    """All that is made of the good rows reads their stage; the tables behind them are not scanned again."""
+    from terrace.plans import registry as reg
+
+    _, facts = reg._refreshed_partials(spark, "/root/testdata/sf0.001", "once")
+    files = facts.inputFiles()
+    assert files and not any("lineitem" in f for f in files)
