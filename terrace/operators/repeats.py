@@ -8,7 +8,7 @@ comparison and changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,13 +48,13 @@ class Repeats:
         hashes = F.broadcast(self.hashes.filter(self._among(self.few)).select(F.col("__hash").alias("__repeated")))
         return df.join(hashes, F.xxhash64(*[df[k] for k in self.keys]) == hashes["__repeated"], how)
 
-    def dedup(self, df: DataFrame) -> DataFrame:
-        """``df`` without full-row copies: rows that can have none stay where they are."""
+    def dedup(self, df: DataFrame, collapse: Callable[[DataFrame], DataFrame] = dedup) -> DataFrame:
+        """``df`` without copies: rows that can have none stay where they are, ``collapse`` makes the others one."""
         out = df.filter(~self._among(self.many)) if self.many else df
         if self.few:
             out = self._few(out, "left_anti").unionByName(
-                dedup(self._few(df.filter(self._among(self.few)), "left_semi")))
-        return out.unionByName(dedup(df.filter(self._among(self.many)))) if self.many else out
+                collapse(self._few(df.filter(self._among(self.few)), "left_semi")))
+        return out.unionByName(collapse(df.filter(self._among(self.many)))) if self.many else out
 
     def candidates(self, df: DataFrame) -> DataFrame | None:
         """The rows of ``df``, a part of the rows given first, that may share a key; None if there are none."""

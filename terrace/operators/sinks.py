@@ -328,9 +328,24 @@ def groups_to_check(df: DataFrame, keys: Iterable[str], group: str) -> list:
 
 def assert_unique(df: DataFrame, keys: Iterable[str], null_safe: bool = False) -> None:
     """Raise :class:`DuplicateKeyError` if two rows share a key."""
-    dup = duplicate_keys(df, keys, null_safe).limit(1).collect()
+    keys = list(keys)
+    dup = duplicate_keys(df, keys, null_safe).select(F.to_json(F.struct(*keys)).alias("key")).limit(1).collect()
     if dup:
-        raise DuplicateKeyError(f"{DUPLICATE}{dup[0].asDict()}")
+        raise DuplicateKeyError(f"{DUPLICATE}{dup[0]['key']}")
+
+
+def check_unique(df: DataFrame, keys: Iterable[str], null_safe: bool = False) -> None:
+    """:func:`assert_unique` of rows that are cheap to read twice: keys are looked for by hash, and only rows that
+    share one are compared."""
+    keys = list(keys)
+    src = df if null_safe else df.dropna(subset=keys)
+    hashes, where = materialize(df.sparkSession, src.groupBy(F.xxhash64(*keys).alias("__hash")).agg(
+        F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > 1).select("__hash"), "repeated-keys")
+    try:
+        if hashes.head(1):
+            assert_unique(src.join(hashes, F.xxhash64(*[src[k] for k in keys]) == hashes["__hash"], "left_semi"), keys, null_safe)
+    finally:
+        remove_path(df.sparkSession, where)
 
 
 def _pending(path: str) -> str:
@@ -428,15 +443,17 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, keys: Iterable[str],
     ``null_safe``.  Partition columns must be part of the key, otherwise an
     update could not move a row between partitions.  Two source rows with one
     key raise :class:`DuplicateKeyError` before anything is written; the keys
-    are grouped once, for this check and as the anti join's right side.
+    are looked for by hash (a source that was staged for this: grouped once, for
+    the check and as the anti join's right side).
 
     ``processed`` (its columns are among the key's and hold the partition columns) lists the
     slices that the source covers in full: old rows of these slices that the
     source does not hold are retracted, and a partition left without rows is removed.
 
-    A source whose keys are checked here, or that lacks columns, is consumed several times; ``stage_source``
-    writes it once to the shared folder so its upstream plan is not recomputed for each (pass
-    False when the source is already a plain scan of staged data).  Any other source of a partitioned table is consumed once.
+    A source that lacks columns, or whose keys are checked against existing partitions, is consumed several times;
+    ``stage_source`` writes it once to the shared folder so its upstream plan is not recomputed for each.  Pass
+    False when the source is already a plain scan of staged data; one with all columns then goes straight to the commit's stage
+    and is consumed once, as is any other source.
     """
     keys, pb = list(keys), list(partition_by or [])
     outside = [c for c in pb if c not in keys]
@@ -465,10 +482,11 @@ def replace_slices(spark: SparkSession, df: DataFrame, path: str, slices: Iterab
 
 
 def _merge(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: list[str], null_safe: bool,
-           unique: bool, stage_source: bool, fill: bool, processed: DataFrame | None = None) -> None:
+           unique: bool, stage_source: bool, fill: bool, processed: DataFrame | None = None, staged: bool = False) -> None:
     """``(touched ▷ source ▷ processed) ∪ source`` over the touched partitions, staged and committed.
 
-    A source that need not be checked or filled in goes to a partitioned table through :func:`_merge_in_stage`.
+    A source that need not be filled in goes through :func:`_merge_in_stage`, unless it was ``staged`` before for a
+    checked write of partitions, or an unpartitioned table takes it unchecked.
     """
     if processed is not None and any(c not in processed.columns for c in pb):
         raise ValueError(f"processed slices {processed.columns} must hold the partition columns {pb}")
@@ -476,13 +494,13 @@ def _merge(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: l
         have = {c.lower() for c in df.columns}
         return any(c.lower() not in have for c in table_schema(spark, path, like=df.schema).names)
 
-    if stage_source and not unique and not path_exists(spark, _pending(path)) and (
-            not table_exists(spark, path) or pb and not (fill and lacks())):
+    if stage_source and not path_exists(spark, _pending(path)) and (
+            not table_exists(spark, path) or bool(pb) != unique and not (fill and lacks())):
         stage_source = False      # its rows are read once
     if stage_source:
-        staged, stage = materialize(spark, df, "merge-source")
+        source, stage = materialize(spark, df, "merge-source")
         try:
-            _merge(spark, staged, path, keys, pb, null_safe, unique, False, fill, processed)
+            _merge(spark, source, path, keys, pb, null_safe, unique, False, fill, processed, staged=True)
         finally:
             remove_path(spark, stage)
         return
@@ -490,15 +508,15 @@ def _merge(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: l
     table_layout(spark, path, pb)
     if not table_exists(spark, path):
         if unique:
-            assert_unique(df, keys, null_safe)
-        if pb:
+            _merge_in_stage(spark, df, path, keys, pb, null_safe, True, fill, processed)
+        elif pb:
             replace_partitions(df, path, pb)
         else:
             overwrite(df, path)
         return
 
-    if pb and not unique and not (fill and lacks()):
-        _merge_in_stage(spark, df, path, keys, pb, null_safe, fill, processed)
+    if (pb or unique) and not (pb and unique and staged) and not (fill and lacks()):
+        _merge_in_stage(spark, df, path, keys, pb, null_safe, unique, fill, processed)
         return
     target = read_table(spark, path, schema=table_schema(spark, path, like=df.schema))
     if pb:
@@ -540,7 +558,7 @@ def _merge(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: l
 
 
 def _merge_in_stage(spark: SparkSession, df: DataFrame, path: str, keys: list[str], pb: list[str], null_safe: bool,
-                    by_key: bool, processed: DataFrame | None) -> None:
+                    unique: bool, by_key: bool, processed: DataFrame | None) -> None:
     """``(touched ▷ source ▷ processed) ∪ source`` with the source shuffled and written once.
 
     Its rows go to the commit's stage in folders of their partitions; everything
@@ -548,11 +566,24 @@ def _merge_in_stage(spark: SparkSession, df: DataFrame, path: str, keys: list[st
     are written beside them.  Where slices decide which rows stay, their distinct
     values are broadcast (up to a bound), so the target is not shuffled for that;
     ``by_key`` looks keys up, but only those outside the processed slices, whose
-    old rows go in any case.
+    old rows go in any case.  Two source rows with one key (``unique``) are
+    found in the stage, which then goes: the table is as it was.
     """
-    pending, schema = _pending(path), table_schema(spark, path, like=df.schema)
+    exists, pending = table_exists(spark, path), _pending(path)
+    schema = table_schema(spark, path, like=df.schema) if exists else df.schema
     _write(df, pending, "overwrite", pb)
-    source, target = (read_table(spark, p, schema=schema) for p in (pending, path))
+    source = read_table(spark, pending, schema=schema)
+    if unique:
+        try:
+            check_unique(source, keys, null_safe)
+        except DuplicateKeyError:
+            remove_path(spark, pending)
+            raise
+    if not exists:
+        _note_stage(spark, pending, schema, pb, None)
+        _finish(spark, path)
+        return
+    target = read_table(spark, path, schema=schema)
     stages = []
 
     def distinct_slices(rows: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str], bool]:
@@ -570,7 +601,7 @@ def _merge_in_stage(spark: SparkSession, df: DataFrame, path: str, keys: list[st
         if processed is not None:
             replaced.append(distinct_slices(processed, processed.columns))
         touching = [rows.select(*pb) for rows, _, _ in replaced] + ([source.select(*pb)] if by_key else [])
-        kept = touched_partitions(target, reduce(DataFrame.unionByName, touching), pb)
+        kept = touched_partitions(target, reduce(DataFrame.unionByName, touching), pb) if pb else target
         for rows, columns, small in replaced:
             kept = without(kept, rows, columns, small, True)
         if by_key:

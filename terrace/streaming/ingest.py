@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 
 from terrace.config import FACT_KEYS, EntitySpec
 from terrace.operators.contract import ContractViolation, check_contract, entity_spec
+from terrace.operators.repeats import Repeats
 from terrace.operators.sinks import upsert
 from terrace.plans.medallion import bronze_rows
+from terrace.session import CLEAN_CONF, remove_path, session_conf
 
 
 def file_stream(spark: SparkSession, landing: str, spec: EntitySpec, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -38,14 +40,18 @@ def file_stream(spark: SparkSession, landing: str, spec: EntitySpec, max_files_p
 
 
 def start_stream(source: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True,
-                 processing_time: str | None = None):
-    """Start ``write`` on every micro-batch; with ``available_now`` block until the backlog is done."""
+                 processing_time: str | None = None, conf: dict | None = None):
+    """Start ``write`` on every micro-batch; with ``available_now`` block until the backlog is done.
+
+    The stream takes a copy of the session's settings when it starts, with those in ``conf``.
+    """
     writer = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    query = writer.start()
+    with session_conf(source.sparkSession, {**CLEAN_CONF, **(conf or {})}):
+        query = writer.start()
     if available_now:
         query.awaitTermination()
     return query
@@ -74,8 +80,15 @@ def stream_ingest(spark: SparkSession, landing: str, spec: EntitySpec | str, sin
     def land(batch: DataFrame, number: int) -> None:
         rows = bronze_rows(batch, spec, tenants, start, end)
         data = [c for c in rows.columns if c != "_source_file"]
-        once = rows.groupBy(*data).agg(F.min("_source_file").alias("_source_file")).withColumns({"_ingestion_timestamp": F.current_timestamp(),
-                                 "_batch_id": F.lit(batch_id or f"{checkpoint}#{number}")})
-        upsert(batch.sparkSession, once, sink, keys, spec.partition_by, null_safe=True)
+        # the smallest string of a group has all rows sorted, so only rows that may have copies are grouped
+        repeats = Repeats(batch.sparkSession, rows, data, "_tenant_id")
+        try:
+            once = repeats.dedup(rows, lambda some: some.groupBy(*data).agg(F.min("_source_file").alias("_source_file")))
+            once = once.withColumns({"_ingestion_timestamp": F.current_timestamp(),
+                                     "_batch_id": F.lit(batch_id or f"{checkpoint}#{number}")})
+            upsert(batch.sparkSession, once.select(*data, "_source_file", "_ingestion_timestamp", "_batch_id"), sink, keys,
+                   spec.partition_by, null_safe=True, stage_source=False)     # its rows are read once
+        finally:
+            remove_path(batch.sparkSession, repeats.path)
 
     return start_stream(source, land, checkpoint, available_now, processing_time)

@@ -354,3 +354,30 @@ def test_an_unchecked_source_is_written_once(spark, tmp_table, monkeypatch):
 def test_groups_to_check_hold_all_shared_keys(spark):
     rows = spark.createDataFrame([("a", 1, 1, 1.0), ("a", 1, 1, 2.0), ("b", 1, 1, 1.0), ("c", None, 1, 1.0), ("c", None, 1, 2.0)], SCHEMA)
     assert sinks.groups_to_check(rows, ["t", "d", "k"], "t") == ["a"]
+
+
+def test_duplicates_of_a_plain_table_leave_it_as_it_was(spark, tmp_table):
+    from terrace.operators import sinks
+    from terrace.sources.files import path_exists
+
+    def rows(*some):
+        return spark.createDataFrame(list(some), SCHEMA)
+
+    with pytest.raises(DuplicateKeyError, match='"k":1'):
+        upsert(spark, rows(("a", 1, 1, 1.0), ("a", 1, 1, 2.0)), tmp_table, ["t", "d", "k"])
+    assert not path_exists(spark, tmp_table) and not path_exists(spark, sinks._pending(tmp_table))
+    upsert(spark, rows(("a", 1, 1, 1.0), (None, 1, 2, 2.0), (None, 1, 2, 3.0)), tmp_table, ["t", "d", "k"])   # NULL keys equal none
+    with pytest.raises(DuplicateKeyError):
+        upsert(spark, rows((None, 1, 5, 1.0), (None, 1, 5, 2.0)), tmp_table, ["t", "d", "k"], null_safe=True)
+    upsert(spark, rows(("a", 1, 1, 9.0), ("b", 1, 1, 4.0)), tmp_table, ["t", "d", "k"])
+    assert sorted(r.v for r in spark.read.parquet(tmp_table).collect()) == [2.0, 3.0, 4.0, 9.0]
+    assert not path_exists(spark, sinks._pending(tmp_table))
+
+
+def test_the_evolved_tables_take_rows_that_were_evaluated_once(spark, monkeypatch):
+    from terrace.plans import registry as reg
+
+    files, plain = [], reg.upsert
+    monkeypatch.setattr(reg, "upsert", lambda s, df, *a, **k: files.extend(df.inputFiles()) or plain(s, df, *a, **k))
+    reg.upsert_evolved_state(spark, "/root/testdata/sf0.001")
+    assert files and not any("lineitem" in f for f in files)
